@@ -1,0 +1,52 @@
+"""Optional H3 cells through an Arrow UDF, for deployments that have the ``h3`` package."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+try:
+    import h3
+except ImportError:
+    h3 = None
+
+
+def available() -> bool:
+    return h3 is not None
+
+
+def _require() -> None:
+    if h3 is None:
+        raise RuntimeError("the h3 package is not installed; use functions.hexgrid instead")
+
+
+def h3_cell(lat: Column, lon: Column, resolution: int = 10) -> Column:
+    _require()
+
+    @F.pandas_udf("string")
+    def index(lats: pd.Series, lons: pd.Series) -> pd.Series:
+        to_cell = getattr(h3, "latlng_to_cell", None) or h3.geo_to_h3
+        return pd.Series(
+            [
+                None if pd.isna(a) or pd.isna(b) else to_cell(a, b, resolution)
+                for a, b in zip(lats, lons)
+            ]
+        )
+
+    return index(lat, lon)
+
+
+def with_h3_center(df: DataFrame, cell: str = "cell") -> DataFrame:
+    """Add ``lat`` and ``lon`` of each H3 cell."""
+    _require()
+
+    @F.pandas_udf("lat double, lon double")
+    def center(cells: pd.Series) -> pd.DataFrame:
+        to_point = getattr(h3, "cell_to_latlng", None) or h3.h3_to_geo
+        points = [(None, None) if pd.isna(c) else to_point(c) for c in cells]
+        return pd.DataFrame(points, columns=["lat", "lon"], dtype="float64")
+
+    return df.withColumn("_center", center(F.col(cell))).select(
+        *df.columns, F.col("_center.lat").alias("lat"), F.col("_center.lon").alias("lon")
+    )
