@@ -53,7 +53,11 @@ def cell_counts(visits: DataFrame, resolution: int = DEFAULT_RESOLUTION) -> Data
     so a crowded cell costs the shuffle no more than a quiet one. NULLs are removed
     from the inputs: a filter on the cell would be pushed below it and compute it twice.
     """
-    placed = visits.dropna(subset=["lat_visit", "lon_visit", "date_visit"])
+    placed = visits.filter(
+        F.col("lat_visit").isNotNull()
+        & F.col("lon_visit").isNotNull()
+        & F.col("date_visit").isNotNull()
+    )
     return (
         with_calendar(with_cell(placed, resolution))
         .filter(F.col("date").isNotNull())

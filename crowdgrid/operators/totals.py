@@ -11,7 +11,7 @@ from crowdgrid.operators.hotspots import with_calendar
 def hourly_pings(visits: DataFrame) -> DataFrame:
     """Pings per (date, hour)."""
     return (
-        with_calendar(visits.dropna(subset=["date_visit"]))
+        with_calendar(visits.filter(F.col("date_visit").isNotNull()))
         .filter(F.col("date").isNotNull())
         .groupBy("date", "hour")
         .agg(F.count(F.lit(1)).alias("pings"))
