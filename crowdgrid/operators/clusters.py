@@ -7,7 +7,8 @@ the repeated passes of KMeans run over positions instead of visits.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -22,6 +23,9 @@ POSITION = ["lat_visit", "lon_visit"]
 SEED = 42
 MAX_K = 10
 METHODS = ("silhouette_max", "argmin_silhouette", "elbow")
+# Fits run at the same time; and positions per task, so that small fits wait for few tasks.
+PARALLELISM = 8
+POSITIONS_PER_TASK = 100_000
 
 
 def assemble(visits: DataFrame, columns: Sequence[str] = POSITION) -> DataFrame:
@@ -66,20 +70,20 @@ def sweep(
     points: DataFrame,
     max_k: int = MAX_K,
     seed: int = SEED,
-    parallelism: int = 4,
+    parallelism: int = PARALLELISM,
     silhouette: bool = True,
 ) -> list[dict]:
     """Fit k = 2..max_k on a persisted table; k, cost and silhouette of each.
 
     The fits do not depend on each other, so several run at once and fill the
-    cores that one small fit leaves idle. A fit whose points all share one
-    cluster has no silhouette.
+    cores that one small fit leaves idle. A fit that found a single centre has no
+    silhouette.
     """
 
     def one(k: int) -> dict:
         model = fit(points, k, seed)
-        used = sum(1 for size in model.summary.clusterSizes if size)
-        value = score(model.transform(points)) if silhouette and used > 1 else None
+        several = len(model.clusterCenters()) > 1
+        value = score(model.transform(points)) if silhouette and several else None
         return {"k": k, "cost": model.summary.trainingCost, "silhouette": value}
 
     with ThreadPool(parallelism) as pool:
@@ -123,12 +127,28 @@ def _elbow(curve: list[tuple[int, float]]) -> int:
     return max(curve, key=lambda p: (gap(p), -p[0]))[0]
 
 
+@contextmanager
+def held_positions(visits: DataFrame) -> Iterator[tuple[DataFrame, int]]:
+    """Weighted positions, persisted for the sweep in as few tasks as they need."""
+    wide = weighted_positions(visits).persist(StorageLevel.MEMORY_AND_DISK)
+    points = wide
+    try:
+        distinct = wide.count()
+        tasks = max(1, -(-distinct // POSITIONS_PER_TASK))
+        if tasks < int(visits.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            points = wide.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+        yield points, distinct
+    finally:
+        points.unpersist()
+        wide.unpersist()
+
+
 def fit_best(
     visits: DataFrame,
     max_k: int = MAX_K,
     method: str = "silhouette_max",
     seed: int = SEED,
-    parallelism: int = 4,
+    parallelism: int = PARALLELISM,
 ) -> KMeansModel | None:
     """Choose k by a sweep and fit it; None where fewer than two positions differ.
 
@@ -136,15 +156,12 @@ def fit_best(
     centres could only repeat.
     """
     _check(method)
-    points = weighted_positions(visits).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        limit = min(max_k, points.count())
+    with held_positions(visits) as (points, distinct):
+        limit = min(max_k, distinct)
         if limit < 2:
             return None
         scores = sweep(points, limit, seed, parallelism, method != "elbow")
         return fit(points, pick(scores, method), seed)
-    finally:
-        points.unpersist()
 
 
 def select_k(
@@ -152,21 +169,18 @@ def select_k(
     max_k: int = MAX_K,
     method: str = "silhouette_max",
     seed: int = SEED,
-    parallelism: int = 4,
+    parallelism: int = PARALLELISM,
 ) -> int:
     """Choose k; fewer than two visits is an error, identical visits give 1."""
     _check(method)
-    points = weighted_positions(visits).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        distinct, rows = points.agg(F.count(F.lit(1)), F.sum("weight")).first()
-        if (rows or 0) < 2:
+    with held_positions(visits) as (points, distinct):
+        rows = points.agg(F.sum("weight")).first()[0] or 0
+        if rows < 2:
             raise ValueError("at least two visits are needed to choose k")
         if distinct < 2:
             return 1
         limit = min(max_k, distinct)
         return pick(sweep(points, limit, seed, parallelism, method != "elbow"), method)
-    finally:
-        points.unpersist()
 
 
 def cluster(visits: DataFrame, **choice) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,16 +85,16 @@ def above_spread(
     """``pings > mean + sigma * std`` without division or root, so ties are exact.
 
     With n days, sum S and sum of squares Q the test reads
-    ``n*p > S and (n*p - S)^2 * (n - 1) > sigma^2 * n * (n*Q - S^2)``.
-    One day alone gives 0 > 0, hence False.
+    ``n*p > S and (n*p - S)^2 * (n - 1) > sigma^2 * n * (n*Q - S^2)``, with sigma^2
+    as a ratio of whole numbers, one on each side. One day alone gives 0 > 0, hence False.
     """
     n, wide = days.cast("decimal(10,0)"), "decimal(38,0)"
     excess = (n * pings - total).cast(wide)
     spread = (n * squares - total * total).cast(wide)
-    weight = F.lit(Decimal(str(sigma)) ** 2)
-    return (excess > 0) & (
-        (excess * excess * (n - F.lit(1))).cast(wide) > weight * (n * spread).cast(wide)
-    )
+    ratio = Fraction(str(sigma)) ** 2
+    left = excess * excess * (n - F.lit(1)) * F.lit(Decimal(ratio.denominator))
+    right = n * spread * F.lit(Decimal(ratio.numerator))
+    return (excess > 0) & (left.cast(wide) > right.cast(wide))
 
 
 def with_flags(

@@ -10,13 +10,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from crowdgrid.session import materialise
 
-# Products per point that one generated projection may hold; more clusters take more passes.
-TERMS_PER_PASS = 1024
+# Up to this many products per point the scoring stays in generated code; beyond it,
+# batches of points are multiplied with the cluster sums through Arrow.
+GENERATED_TERMS = 64
+# Most clusters scored in one pass; more clusters take more passes.
+CLUSTERS_PER_PASS = 1000
 
 
 def cluster_sums(points: DataFrame, cluster: str, columns: Sequence[str]) -> DataFrame:
@@ -32,39 +38,38 @@ def silhouette(
     points: DataFrame,
     cluster: str,
     columns: Sequence[str],
-    terms_per_pass: int = TERMS_PER_PASS,
+    clusters_per_pass: int = CLUSTERS_PER_PASS,
+    generated_terms: int = GENERATED_TERMS,
 ) -> DataFrame:
     """One row with the mean ``silhouette``; points without a cluster are left out.
 
-    The sums of the clusters are sent to the tasks as literals, at most
-    ``terms_per_pass`` numbers at a time. When the clusters do not fit one pass, the
-    distances met so far are written out and the next group of clusters goes on.
+    The sums of at most ``clusters_per_pass`` clusters are sent to the tasks at a
+    time. When there are more clusters, the distances met so far are written out and
+    the next group of clusters goes on from them.
     """
     columns = list(columns)
     known = points.filter(F.col(cluster).isNotNull()).select(
         F.col(cluster).alias("own"), *[F.col(c).cast("double").alias(c) for c in columns]
     )
     sums = cluster_sums(known, "own", columns)
-    at_once = max(1, terms_per_pass // len(columns))
-    first = sums.limit(at_once + 1).collect()
+    first = sums.limit(clusters_per_pass + 1).collect()
 
     scored = known.withColumns(
         {
-            "_norm": _dot([(F.col(c), F.col(c)) for c in columns]),
             "_a": F.lit(None).cast("double"),
             "_b": F.lit(None).cast("double"),
             "_n": F.lit(None).cast("bigint"),
         }
     )
-    if len(first) <= at_once:
-        scored = _measure(scored, first, columns)
+    if len(first) <= clusters_per_pass:
+        scored = _measure(scored, first, columns, generated_terms)
     else:
         stored = materialise(sums)
-        groups = -(-2 * stored.count() // at_once)
+        groups = -(-2 * stored.count() // clusters_per_pass)
         for g in range(groups):
             mine = stored.filter(F.pmod(F.xxhash64("own"), F.lit(groups)) == g).collect()
             if mine:
-                scored = materialise(_measure(scored, mine, columns))
+                scored = materialise(_measure(scored, mine, columns, generated_terms))
 
     a = F.col("_a") * F.col("_n") / (F.col("_n") - 1)
     value = F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(
@@ -73,22 +78,73 @@ def silhouette(
     return scored.agg(F.avg(F.coalesce(value, F.lit(0.0))).alias("silhouette"))
 
 
-def _measure(scored: DataFrame, sums: list[Row], columns: list[str]) -> DataFrame:
+def _measure(
+    scored: DataFrame, sums: list[Row], columns: list[str], generated_terms: int
+) -> DataFrame:
     """Fold one group of clusters into the own distance and the least other distance."""
     if not sums:
         return scored
-    kept = scored.columns
-    away = {f"_c{i}": _mean_distance(s, columns) for i, s in enumerate(sums)}
-    own = [F.col("own") == F.lit(s["own"]) for s in sums]
-    others = [F.when(~o, F.col(d)) for o, d in zip(own, away)]
-    measured = scored.withColumns(away)
-    return measured.withColumns(
+    generated = len(sums) * len(columns) <= generated_terms
+    found = (_in_generated_code if generated else _in_arrow_batches)(scored, sums, columns)
+    return found.withColumns(
         {
-            "_a": F.coalesce("_a", *[F.when(o, F.col(d)) for o, d in zip(own, away)]),
-            "_b": F.least("_b", *others),
-            "_n": F.coalesce("_n", *[F.when(o, F.lit(s["n"])) for o, s in zip(own, sums)]),
+            "_a": F.coalesce("_a", "_own_d"),
+            "_b": F.least("_b", "_other_d"),
+            "_n": F.coalesce("_n", "_own_n"),
         }
-    ).select(*kept)
+    ).drop("_own_d", "_other_d", "_own_n")
+
+
+def _in_generated_code(scored: DataFrame, sums: list[Row], columns: list[str]) -> DataFrame:
+    norm = scored.withColumn("_norm", _dot([(F.col(c), F.col(c)) for c in columns]))
+    away = {f"_c{i}": _mean_distance(s, columns) for i, s in enumerate(sums)}
+    own = [F.col("own") == F.lit(s["own"]) for s in sums]
+    never = F.lit(None).cast("double")
+    return (
+        norm.withColumns(away)
+        .withColumns(
+            {
+                "_own_d": F.coalesce(*[F.when(o, F.col(d)) for o, d in zip(own, away)]),
+                "_other_d": F.least(never, *[F.when(~o, F.col(d)) for o, d in zip(own, away)]),
+                "_own_n": F.coalesce(*[F.when(o, F.lit(s["n"])) for o, s in zip(own, sums)]),
+            }
+        )
+        .drop("_norm", *away)
+    )
+
+
+def _in_arrow_batches(scored: DataFrame, sums: list[Row], columns: list[str]) -> DataFrame:
+    labels = [s["own"] for s in sums]
+    sizes = np.array([s["n"] for s in sums], dtype="float64")
+    psi = np.array([s["psi"] for s in sums]) / sizes
+    means = np.array([[s[f"y{i}"] for i in range(len(columns))] for s in sums]) / sizes[:, None]
+
+    @F.arrow_udf("own_d double, other_d double, own_n bigint")
+    def measure(own: pa.Array, features: pa.Array) -> pa.Array:
+        x = features.flatten().to_numpy(zero_copy_only=False).reshape(len(own), len(columns))
+        norm = np.einsum("ij,ij->i", x, x)
+        away = norm[:, None] + psi - 2.0 * (x @ means.T)
+        at = pc.index_in(own, value_set=pa.array(labels, type=own.type))
+        here = at.is_valid().to_numpy(zero_copy_only=False)
+        rows, at = np.flatnonzero(here), at.drop_null().to_numpy()
+        own_d = np.full(len(own), np.nan)
+        own_d[rows] = away[rows, at]
+        own_n = np.zeros(len(own), dtype="int64")
+        own_n[rows] = sizes[at]
+        away[rows, at] = np.inf
+        other = away.min(axis=1)
+        return pa.StructArray.from_arrays(
+            [
+                pa.array(own_d, mask=~here),
+                pa.array(other, mask=np.isinf(other)),
+                pa.array(own_n, mask=~here),
+            ],
+            names=["own_d", "other_d", "own_n"],
+        )
+
+    found = scored.withColumn("_found", measure(F.col("own"), F.array(*columns)))
+    names = ["own_d", "other_d", "own_n"]
+    return found.select(*scored.columns, *[F.col(f"_found.{n}").alias(f"_{n}") for n in names])
 
 
 def _mean_distance(s: Row, columns: list[str]) -> Column:

@@ -378,15 +378,14 @@ def silhouette_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(pin(spark), sf_dir, "embeddings")
     width = vectors.select(F.max(F.size("embedding"))).first()[0]
     names = [f"x{i}" for i in range(width)]
-    wide = vectors.select("label", *[F.col("embedding")[i].alias(n) for i, n in enumerate(names)])
+    wide = vectors.selectExpr("label", *[f"embedding[{i}] AS {n}" for i, n in enumerate(names)])
     return _rounded(silhouette(wide, "label", names), "silhouette")
 
 
 def chosen_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     visits = _visits(spark, sf_dir)
-    points = clusters.weighted_positions(visits).persist()
-    scores = clusters.sweep(points)
-    points.unpersist()
+    with clusters.held_positions(visits) as (points, distinct):
+        scores = clusters.sweep(points, min(clusters.MAX_K, distinct))
     picked = [F.lit(clusters.pick(scores, m)).alias(m) for m in clusters.METHODS]
     return totals.total_visits(visits).select("total", *picked)
 

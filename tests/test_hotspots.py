@@ -1,0 +1,147 @@
+"""Counts, spread and flags on hand-made days."""
+
+import datetime
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from crowdgrid.operators import hotspots, totals
+
+DAY = datetime.date(2024, 1, 1)
+
+
+def counts(spark, pings, hour=9, cell=1):
+    rows = [(cell, hour, DAY + datetime.timedelta(i), p) for i, p in enumerate(pings)]
+    return spark.createDataFrame(rows, "cell bigint, hour int, date date, pings bigint")
+
+
+def visits(spark, times, lat=53.55, lon=-2.43):
+    rows = [("d", t, lat, lon, 0) for t in times]
+    return spark.createDataFrame(
+        rows, "device_id string, date_visit string, lat_visit double, lon_visit double, "
+        "cluster_pred int"
+    )
+
+
+def flags(df, **kw):
+    return [r.alert for r in hotspots.with_flags(df, **kw).orderBy("date").collect()]
+
+
+def test_one_day_has_no_alert(spark):
+    row = hotspots.with_flags(counts(spark, [9999])).first()
+    assert (row.std, row.alert, row.red_wave) == (None, False, True)
+
+
+def test_five_days_cannot_alert_but_six_can(spark):
+    assert flags(counts(spark, [1, 1, 1, 1, 1000])) == [False] * 5
+    assert flags(counts(spark, [1, 1, 1, 1, 1, 1000])) == [False] * 5 + [True]
+
+
+def test_equal_days_never_alert(spark):
+    assert flags(counts(spark, [5] * 10)) == [False] * 10
+
+
+def test_low_days_never_alert(spark):
+    assert flags(counts(spark, [1000] * 9 + [1])) == [False] * 10
+
+
+def test_red_wave_is_strict(spark):
+    out = hotspots.with_flags(counts(spark, [1500, 1501])).orderBy("date").collect()
+    assert [r.red_wave for r in out] == [False, True]
+
+
+def test_exact_tie_is_no_alert(spark):
+    """Counts 0,0,0,0,10 have mean 2 and sample variance 20; 10 - 2 = sigma * sqrt(20)."""
+    tied = counts(spark, [0, 0, 0, 0, 10])
+    assert flags(tied, sigma="1.78") == [False] * 4 + [True]
+    assert flags(tied, sigma="1.79") == [False] * 5
+    exact = counts(spark, [1, 2, 3])  # mean 2, std 1: 3 is exactly one deviation above
+    assert flags(exact, sigma=1) == [False] * 3
+    assert flags(exact, sigma="0.999999") == [False, False, True]
+
+
+def test_flag_agrees_with_floating_point(spark):
+    import random
+
+    rng = random.Random(3)
+    pings = [rng.choice([1, 2, 3, 4, 50]) for _ in range(40)]
+    limit = statistics.mean(pings) + 2 * statistics.stdev(pings)
+    assert flags(counts(spark, pings)) == [p > limit for p in pings]
+
+
+def test_very_large_counts_do_not_overflow(spark):
+    big = 3_000_000_000
+    assert flags(counts(spark, [big] * 30 + [big * 9])) == [False] * 30 + [True]
+
+
+def test_groups_do_not_mix(spark):
+    both = counts(spark, [1, 1, 1], hour=1).unionByName(counts(spark, [7, 7, 7], hour=2))
+    out = hotspots.with_flags(both).groupBy("hour").agg(F.max("mean").alias("m"))
+    assert {r.hour: r.m for r in out.collect()} == {1: 1.0, 2: 7.0}
+
+
+def test_window_equals_join(spark):
+    table = counts(spark, [1, 5, 9], hour=1).unionByName(counts(spark, [4], hour=2))
+    joined = hotspots.join_stats(table, hotspots.hour_stats(table))
+    columns = ["cell", "hour", "date", "pings", "mean", "std"]
+    windowed = hotspots.with_flags(table).select(*columns)
+    assert sorted(joined.select(*columns).collect(), key=str) == sorted(
+        windowed.collect(), key=str
+    )
+
+
+def test_counts_by_hour_and_date(spark):
+    df = visits(spark, ["2024-01-01 09:00:00", "2024-01-01 09:59:59", "2024-01-01 10:00:00",
+                        "2024-01-02 09:30:00", None])
+    out = hotspots.cell_counts(df).select("hour", "date", "pings").collect()
+    assert sorted((r.hour, r.date.day, r.pings) for r in out) == [(9, 1, 2), (9, 2, 1), (10, 1, 1)]
+    assert totals.hourly_pings(df).agg(F.sum("pings")).first()[0] == 4
+
+
+def test_calendar_forms_agree(spark):
+    from crowdgrid.sources.tables import with_visit_date
+
+    df = visits(spark, ["2024-01-01 00:00:00", "2024-02-29 23:59:59"])
+    parsed = hotspots.with_calendar(df).select("date", "hour").collect()
+    stored = hotspots.with_calendar(with_visit_date(df)).select("date", "hour").collect()
+    assert parsed == stored
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_date_range_includes_both_ends(spark, stored):
+    from crowdgrid.sources.tables import with_visit_date
+
+    times = ["2024-01-04 23:59:59", "2024-01-05 00:00:00", "2024-01-08 23:59:59",
+             "2024-01-09 00:00:00", None]
+    df = visits(spark, times)
+    df = with_visit_date(df) if stored else df
+    kept = hotspots.date_range(df, "2024-01-05", "2024-01-08").collect()
+    assert sorted(r.date_visit for r in kept) == times[1:3]
+
+
+def test_cluster_tables(spark):
+    df = visits(spark, ["2024-01-01 09:00:00"] * 6).drop("cluster_pred")
+    from pyspark.sql import Window
+
+    n = F.row_number().over(Window.orderBy(F.lit(1)))
+    labels = F.element_at(F.array(*[F.lit(v) for v in (2, 2, 0, 0, 1, None)]), n)
+    df = df.withColumn("cluster_pred", labels).withColumn("batch_id", (n % 2).cast("bigint"))
+    out = [(r.cluster_pred, r["count"]) for r in totals.cluster_distribution(df).collect()]
+    assert out == [(0, 2), (2, 2), (1, 1)]
+    assert totals.cluster_count(df).first().clusters == 3
+    assert {r.batch_id: r.clusters for r in totals.cluster_count(df, True).collect()} == {
+        0: 2, 1: 3
+    }
+    assert totals.cluster_distribution(df, True).count() == 5
+    assert totals.total_visits(df).first().total == 6
+    assert totals.overview(df).first().clusters == 3
+
+
+def test_report_plan(spark):
+    """Two shuffles of counts, combined before the first; no join and no Python."""
+    report = hotspots.hotspots(visits(spark, ["2024-01-01 09:00:00"]))
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "Join" not in plan and "Python" not in plan
+    assert "partial_count" in plan

@@ -1,0 +1,37 @@
+"""Every registered query against its SQL on the supplied tables."""
+
+import pytest
+from compare import connect, spark_rows, sql_rows
+
+from crowdgrid.plans.oracles import ORACLES
+from crowdgrid.plans.queries import QUERIES
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connect(sf_dir)
+
+
+def test_every_oracle_has_a_query():
+    assert set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_matches_sql(spark, sf_dir, con, name):
+    assert spark_rows(QUERIES[name](spark, sf_dir)) == sql_rows(con, ORACLES[name])
+
+
+def test_chosen_k_lies_in_the_sweep(spark, sf_dir):
+    row = QUERIES["m4_chosen_k"](spark, sf_dir).first()
+    assert all(2 <= row[m] <= 10 for m in ("silhouette_max", "argmin_silhouette", "elbow"))
+
+
+def test_entry_runs(spark):
+    import __spark_entry__
+
+    report = __spark_entry__.entry(spark)
+    assert report.columns == [
+        "cell", "hour", "date", "pings", "mean", "std", "alert", "red_wave"
+    ]
+    assert report.count() > 0
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
