@@ -32,6 +32,14 @@ def with_calendar(visits: DataFrame) -> DataFrame:
     )
 
 
+def timed(visits: DataFrame) -> DataFrame:
+    """Visits that have a time, with their ``date`` and ``hour``."""
+    if "visit_date" in visits.columns:
+        return with_calendar(visits.filter(F.col("visit_date").isNotNull()))
+    known = visits.filter(F.col("date_visit").isNotNull())
+    return with_calendar(known).filter(F.col("date").isNotNull())
+
+
 def date_range(visits: DataFrame, start: str, end: str) -> DataFrame:
     """Visits from the first second of ``start`` to the last second of ``end``.
 
@@ -54,14 +62,9 @@ def cell_counts(visits: DataFrame, resolution: int = DEFAULT_RESOLUTION) -> Data
     so a crowded cell costs the shuffle no more than a quiet one. NULLs are removed
     from the inputs: a filter on the cell would be pushed below it and compute it twice.
     """
-    placed = visits.filter(
-        F.col("lat_visit").isNotNull()
-        & F.col("lon_visit").isNotNull()
-        & F.col("date_visit").isNotNull()
-    )
+    placed = visits.filter(F.col("lat_visit").isNotNull() & F.col("lon_visit").isNotNull())
     return (
-        with_calendar(with_cell(placed, resolution))
-        .filter(F.col("date").isNotNull())
+        timed(with_cell(placed, resolution))
         .groupBy("cell", "hour", "date")
         .agg(F.count(F.lit(1)).alias("pings"))
     )

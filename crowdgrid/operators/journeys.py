@@ -18,9 +18,9 @@ POINT = ["device_id", *ORDER]
 # A device above this many visits is ordered by many tasks instead of one.
 BUSY_VISITS = 5_000_000
 # No more devices than this can be named busy, whatever the size of the table.
-MAX_BUSY = 10_000
+MAX_BUSY = 200_000
 # Visits per block of a busy device.
-BLOCK_VISITS = 1_000_000
+BLOCK_VISITS = 4_000_000
 
 
 def device_visits(visits: DataFrame, device_id: str) -> DataFrame:
@@ -29,16 +29,21 @@ def device_visits(visits: DataFrame, device_id: str) -> DataFrame:
 
 
 def journey(visits: DataFrame, device_id: str) -> DataFrame:
-    """The visits of one device in time order."""
-    return device_visits(visits, device_id).orderBy(*ORDER)
+    """The visits of one device in time order.
+
+    The row number spreads any run of identical visits over the tasks of the sort.
+    """
+    numbered = device_visits(visits, device_id).withColumn("_row", F.monotonically_increasing_id())
+    return numbered.orderBy(*ORDER, "_row").drop("_row")
 
 
 def journey_sql(spark: SparkSession, device_id: str, view: str = VIEW_NAME) -> DataFrame:
     """The same through SQL with a bound parameter."""
     return spark.sql(
-        "SELECT device_id, lat_visit, lon_visit, date_visit, cluster_pred "
-        "FROM IDENTIFIER(:view) WHERE device_id = :device_id "
-        "ORDER BY date_visit, lat_visit, lon_visit",
+        "SELECT device_id, lat_visit, lon_visit, date_visit, cluster_pred FROM ("
+        "  SELECT *, monotonically_increasing_id() AS row FROM IDENTIFIER(:view)"
+        "  WHERE device_id = :device_id) "
+        "ORDER BY date_visit, lat_visit, lon_visit, row",
         args={"device_id": device_id, "view": view},
     )
 

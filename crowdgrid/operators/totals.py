@@ -5,17 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crowdgrid.operators.hotspots import with_calendar
+from crowdgrid.operators.hotspots import timed
 
 
 def hourly_pings(visits: DataFrame) -> DataFrame:
     """Pings per (date, hour)."""
-    return (
-        with_calendar(visits.filter(F.col("date_visit").isNotNull()))
-        .filter(F.col("date").isNotNull())
-        .groupBy("date", "hour")
-        .agg(F.count(F.lit(1)).alias("pings"))
-    )
+    return timed(visits).groupBy("date", "hour").agg(F.count(F.lit(1)).alias("pings"))
 
 
 def hourly_from_counts(counts: DataFrame) -> DataFrame:

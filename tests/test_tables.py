@@ -59,6 +59,16 @@ def test_device_lookup_is_pushed_down(spark, table):
     assert "EqualTo(device_id,abc)" in plan(one)
 
 
+def test_files_are_sorted_by_device(spark, table):
+    stored = tables.read_visits(spark, table)
+    files = stored.select("device_id", "visit_date", F.input_file_name().alias("file")).collect()
+    by_file = {}
+    for r in files:
+        by_file.setdefault(r.file, []).append(r.device_id)
+    assert len(by_file) == len({r.visit_date for r in files})
+    assert all(ids == sorted(ids) for ids in by_file.values())
+
+
 def test_text_range_is_pushed_down(spark, table):
     bare = tables.read_visits(spark, table).drop("visit_date")
     text = plan(hotspots.date_range(bare, "2024-01-05", "2024-01-06"))
