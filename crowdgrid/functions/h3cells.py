@@ -37,8 +37,13 @@ def h3_cell(lat: Column, lon: Column, resolution: int = 10) -> Column:
     return index(lat, lon)
 
 
-def with_h3_center(df: DataFrame, cell: str = "cell") -> DataFrame:
-    """Add ``lat`` and ``lon`` of each H3 cell."""
+def with_h3_cell(df: DataFrame, resolution: int = 10) -> DataFrame:
+    """Add the H3 index of each visit as ``cell``; fits ``place`` of the hotspot report."""
+    return df.withColumn("cell", h3_cell(F.col("lat_visit"), F.col("lon_visit"), resolution))
+
+
+def with_h3_center(df: DataFrame, resolution: int = 10) -> DataFrame:
+    """Add ``lat`` and ``lon`` of each H3 cell; an index carries its own resolution."""
     _require()
 
     @F.pandas_udf("lat double, lon double")
@@ -47,6 +52,5 @@ def with_h3_center(df: DataFrame, cell: str = "cell") -> DataFrame:
         points = [(None, None) if pd.isna(c) else to_point(c) for c in cells]
         return pd.DataFrame(points, columns=["lat", "lon"], dtype="float64")
 
-    return df.withColumn("_center", center(F.col(cell))).select(
-        *df.columns, F.col("_center.lat").alias("lat"), F.col("_center.lon").alias("lon")
-    )
+    found = df.withColumn("_center", center(F.col("cell")))
+    return found.select(*df.columns, "_center.lat", "_center.lon")

@@ -24,7 +24,7 @@ SEED = 42
 MAX_K = 10
 METHODS = ("silhouette_max", "argmin_silhouette", "elbow")
 # Fits run at the same time; and positions per task, so that small fits wait for few tasks.
-PARALLELISM = 8
+PARALLELISM = MAX_K - 1
 POSITIONS_PER_TASK = 100_000
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 from fractions import Fraction
 
@@ -15,6 +16,9 @@ DEFAULT_RESOLUTION = 10
 DEFAULT_SIGMA = 2
 RED_WAVE_THRESHOLD = 1500
 
+# Adds a ``cell`` column at a resolution.
+Place = Callable[[DataFrame, int], DataFrame]
+
 
 def with_calendar(visits: DataFrame) -> DataFrame:
     """Add the ``date`` and ``hour`` that ``date_visit`` falls into.
@@ -55,16 +59,19 @@ def date_range(visits: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def cell_counts(visits: DataFrame, resolution: int = DEFAULT_RESOLUTION) -> DataFrame:
+def cell_counts(
+    visits: DataFrame, resolution: int = DEFAULT_RESOLUTION, place: Place = with_cell
+) -> DataFrame:
     """Pings per (cell, hour, date); rows without a position or a time count nowhere.
 
     The key is 16 bytes of fixed width and every task sends each key at most once,
     so a crowded cell costs the shuffle no more than a quiet one. NULLs are removed
     from the inputs: a filter on the cell would be pushed below it and compute it twice.
+    ``place`` adds the ``cell`` column and may be another grid.
     """
     placed = visits.filter(F.col("lat_visit").isNotNull() & F.col("lon_visit").isNotNull())
     return (
-        timed(with_cell(placed, resolution))
+        timed(place(placed, resolution))
         .groupBy("cell", "hour", "date")
         .agg(F.count(F.lit(1)).alias("pings"))
     )
@@ -142,6 +149,7 @@ def hotspots(
     resolution: int = DEFAULT_RESOLUTION,
     sigma: int | float | str = DEFAULT_SIGMA,
     threshold: int = RED_WAVE_THRESHOLD,
+    place: Place = with_cell,
 ) -> DataFrame:
     """The full report: cell, hour, date, pings, mean, std, alert, red_wave."""
-    return with_flags(cell_counts(visits, resolution), sigma, threshold)
+    return with_flags(cell_counts(visits, resolution, place), sigma, threshold)

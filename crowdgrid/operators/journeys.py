@@ -31,10 +31,12 @@ def device_visits(visits: DataFrame, device_id: str) -> DataFrame:
 def journey(visits: DataFrame, device_id: str) -> DataFrame:
     """The visits of one device in time order.
 
-    The row number spreads any run of identical visits over the tasks of the sort.
+    The row number spreads any run of identical visits over the tasks of the sort. It
+    comes after every column, so that only whole copies are told apart by it.
     """
     numbered = device_visits(visits, device_id).withColumn("_row", F.monotonically_increasing_id())
-    return numbered.orderBy(*ORDER, "_row").drop("_row")
+    others = [c for c in visits.columns if c not in POINT]
+    return numbered.orderBy(*ORDER, *others, "_row").drop("_row")
 
 
 def journey_sql(spark: SparkSession, device_id: str, view: str = VIEW_NAME) -> DataFrame:
@@ -43,7 +45,7 @@ def journey_sql(spark: SparkSession, device_id: str, view: str = VIEW_NAME) -> D
         "SELECT device_id, lat_visit, lon_visit, date_visit, cluster_pred FROM ("
         "  SELECT *, monotonically_increasing_id() AS row FROM IDENTIFIER(:view)"
         "  WHERE device_id = :device_id) "
-        "ORDER BY date_visit, lat_visit, lon_visit, row",
+        "ORDER BY date_visit, lat_visit, lon_visit, cluster_pred, row",
         args={"device_id": device_id, "view": view},
     )
 

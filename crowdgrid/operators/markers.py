@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from crowdgrid.functions.hexgrid import with_center
 from crowdgrid.functions.visits import heat_popup, journey_popup, marker_color
-from crowdgrid.operators.hotspots import DEFAULT_RESOLUTION
+from crowdgrid.operators.hotspots import DEFAULT_RESOLUTION, Place
 
 
-def heat_markers(report: DataFrame, resolution: int = DEFAULT_RESOLUTION) -> DataFrame:
+def heat_markers(
+    report: DataFrame, resolution: int = DEFAULT_RESOLUTION, center: Place = with_center
+) -> DataFrame:
     """One marker per row of the hotspot report, at the centre of its cell."""
     red = F.col("red_wave")
-    return with_center(report, resolution).select(
+    return center(report, resolution).select(
         "cell",
         "hour",
         "date",

@@ -261,6 +261,7 @@ FROM sides""",
 SELECT cell, hour, date, pings FROM counts, latest
 WHERE CAST(date AS TIMESTAMP) + to_hours(CAST(hour + 1 AS INTEGER))
   <= CAST(last AS TIMESTAMP) - INTERVAL 1 HOUR""",
+    "w2_open_hours": f"WITH {COUNTS} SELECT cell, hour, date, pings FROM counts",
     "v1_heat_markers": f"""WITH {_flags()}, {AXES_OF_CELL}
 SELECT cell, hour, date, {_center()},
   CASE WHEN red_wave THEN 'red' ELSE 'blue' END AS color, {POPUP} FROM axes_of""",

@@ -33,7 +33,7 @@ from crowdgrid.sources.testtables import (
     stream_table,
 )
 from crowdgrid.streaming.ingest import ClusterBatch, run_batches, save_model, score_stream
-from crowdgrid.streaming.live import live_counts, store_counts
+from crowdgrid.streaming.live import live_counts, store_counts, watch_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -317,8 +317,11 @@ def journey_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def journey_segments_by_block(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same segments with every well-travelled device cut into range blocks."""
-    return journeys.journey_segments(_visits(spark, sf_dir), busy_visits=60, block_visits=500)
+    """The same segments with devices above the average cut into range blocks."""
+    visits = _visits(spark, sf_dir)
+    total, devices = visits.agg(F.count(F.lit(1)), F.countDistinct("device_id")).first()
+    sizes = {"busy_visits": total // devices, "block_visits": -(-total // 32)}
+    return journeys.journey_segments(visits, **sizes)
 
 
 def journey_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,7 +357,8 @@ def _nearest(labelled: DataFrame, model) -> DataFrame:
 
 def kmeans_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     visits = _visits(spark, sf_dir).select(*VISIT_COLUMNS)
-    model = clusters.fit(clusters.weighted_positions(visits), 5)
+    with clusters.held_positions(visits) as (points, _):
+        model = clusters.fit(points, 5)
     return _nearest(clusters.assign(model, visits), model)
 
 
@@ -413,6 +417,20 @@ def closed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(counts.schema).parquet(out)
 
 
+def open_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update mode over the whole table: every hour, the open ones too, as last reported."""
+    out, state = scratch(spark, "open"), scratch(spark, "checkpoint")
+
+    def keep(changed: DataFrame, batch_id: int) -> None:
+        changed.withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(out)
+
+    counts = live_counts(_stream_visits(spark, sf_dir), lateness=LATENESS)
+    watch_counts(counts, keep, state, once=True).awaitTermination()
+    reported = spark.read.parquet(out)
+    latest = F.max_by("pings", "batch").alias("pings")
+    return reported.groupBy("cell", "hour", "date").agg(latest)
+
+
 def heat_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(markers.heat_markers(_report(spark, sf_dir)), "lat", "lon")
 
@@ -474,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "m7_saved_model_scores": saved_model_scores,
     "w1_batch_visits": batch_visits,
     "w2_closed_hours": closed_hours,
+    "w2_open_hours": open_hours,
     "v1_heat_markers": heat_markers,
     "v2_journey_markers": journey_markers,
 }

@@ -46,7 +46,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="crowdgrid-")
-    if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
     return named
 

@@ -56,10 +56,8 @@ def run_batches(
 ) -> StreamingQuery:
     """Start the stream; ``once`` works through what is there now and stops."""
     writer = visits.writeStream.foreachBatch(callback).option("checkpointLocation", checkpoint)
-    writer = (
-        writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
-    )
-    return writer.start()
+    timing = {"availableNow": True} if once else {"processingTime": interval}
+    return writer.trigger(**timing).start()
 
 
 def save_model(history: DataFrame, path: str, **choice) -> KMeansModel | None:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from crowdgrid.functions.hexgrid import with_cell
 from crowdgrid.functions.visits import visit_time
@@ -36,6 +38,25 @@ def live_counts(
     )
 
 
+def watch_counts(
+    counts: DataFrame,
+    callback: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    once: bool = False,
+    interval: str = "10 seconds",
+) -> StreamingQuery:
+    """Hand every count that changed to ``callback``, open hours included.
+
+    The callback replaces the rows it stored under the same (cell, hour, date).
+    """
+    writer = (
+        counts.writeStream.outputMode("update")
+        .foreachBatch(callback)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _started(writer, once, interval)
+
+
 def store_counts(
     counts: DataFrame, path: str, checkpoint: str, once: bool = False, interval: str = "10 seconds"
 ) -> StreamingQuery:
@@ -47,7 +68,9 @@ def store_counts(
         .option("checkpointLocation", checkpoint)
         .partitionBy("date")
     )
-    writer = (
-        writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
-    )
-    return writer.start()
+    return _started(writer, once, interval)
+
+
+def _started(writer: DataStreamWriter, once: bool, interval: str) -> StreamingQuery:
+    timing = {"availableNow": True} if once else {"processingTime": interval}
+    return writer.trigger(**timing).start()

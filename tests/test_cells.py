@@ -2,11 +2,14 @@
 
 import math
 import random
+import types
 
 import pytest
 from pyspark.sql import functions as F
 
 from crowdgrid.functions import h3cells, hexgrid
+from crowdgrid.operators.hotspots import hotspots
+from crowdgrid.operators.markers import heat_markers
 
 
 @pytest.fixture(scope="module")
@@ -92,3 +95,24 @@ def test_cells_stay_in_generated_code(points):
 def test_h3_without_the_package():
     with pytest.raises(RuntimeError):
         h3cells.h3_cell(F.lit(1.0), F.lit(1.0))
+
+
+@pytest.mark.parametrize("names", [("latlng_to_cell", "cell_to_latlng"), ("geo_to_h3", "h3_to_geo")])
+def test_another_grid_through_the_h3_hook(spark, monkeypatch, names):
+    """A stand-in with the names of either h3 release, on whole degrees."""
+    stand_in = types.SimpleNamespace(
+        **{
+            names[0]: lambda lat, lon, res: f"{res}:{round(lat)}:{round(lon)}",
+            names[1]: lambda cell: tuple(float(p) for p in cell.split(":")[1:]),
+        }
+    )
+    monkeypatch.setattr(h3cells, "h3", stand_in)
+    rows = [("2024-01-01 09:00:00", 1.2, 2.2)] * 2 + [("2024-01-01 09:00:00", None, 2.2)]
+    df = spark.createDataFrame(rows, "date_visit string, lat_visit double, lon_visit double")
+    report = hotspots(df, 9, threshold=1, place=h3cells.with_h3_cell)
+    (marker,) = heat_markers(report, 9, center=h3cells.with_h3_center).collect()
+    assert (marker.cell, marker.lat, marker.lon) == ("9:1:2", 1.0, 2.0)
+    assert marker.color == "red"
+    assert marker.popup == (
+        "ALERT! Red Wave - 2 pings at this location, Date: 2024-01-01, Hour: 9"
+    )

@@ -14,7 +14,7 @@ from crowdgrid.sources import tables
 from crowdgrid.sources.messages import publish, read_messages
 from crowdgrid.sources.testtables import event_pings, event_visits, read_table
 from crowdgrid.streaming.ingest import ClusterBatch, run_batches, save_model, score_stream
-from crowdgrid.streaming.live import live_counts, store_counts
+from crowdgrid.streaming.live import live_counts, store_counts, watch_counts
 
 
 class Inbox:
@@ -165,6 +165,18 @@ def test_late_visits(spark, inbox, tmp_path):
     assert (14, 2) in closed
 
 
+def test_open_hours_are_reported_as_they_grow(spark, inbox, tmp_path):
+    seen, state = [], str(tmp_path / "state")
+    for rows in ([ping(1, 1, START)] * 2, [ping(1, 1, START + 5)], [ping(1, 1, START + HOUR)]):
+        inbox.send(*rows)
+        stream = live_counts(inbox.visits())
+        watch_counts(
+            stream, lambda df, _: seen.append([(r.hour, r.pings) for r in df.collect()]),
+            state, once=True,
+        ).awaitTermination()
+    assert [batch for batch in seen if batch] == [[(9, 2)], [(9, 3)], [(10, 1)]]
+
+
 def test_closed_hours_equal_batch_counts_and_can_be_flagged(spark, sf_dir, tmp_path):
     out = str(tmp_path / "live")
     events = read_table(spark, sf_dir, "events")
