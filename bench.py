@@ -36,7 +36,7 @@ HEADLINE = [
     "m2_fixed_centers",
     "m3_silhouette_visits",
     "m4_chosen_k",
-    "s4_micro_batches",
+    "m6_clustered_batches",
     "w2_closed_hours",
 ]
 

@@ -73,7 +73,7 @@ def sweep(
     parallelism: int = PARALLELISM,
     silhouette: bool = True,
 ) -> list[dict]:
-    """Fit k = 2..max_k on a persisted table; k, cost and silhouette of each.
+    """Fit k = 2..max_k on a persisted table; k, model, cost and silhouette of each.
 
     The fits do not depend on each other, so several run at once and fill the
     cores that one small fit leaves idle. A fit that found a single centre has no
@@ -84,7 +84,7 @@ def sweep(
         model = fit(points, k, seed)
         several = len(model.clusterCenters()) > 1
         value = score(model.transform(points)) if silhouette and several else None
-        return {"k": k, "cost": model.summary.trainingCost, "silhouette": value}
+        return {"k": k, "model": model, "cost": model.summary.trainingCost, "silhouette": value}
 
     with ThreadPool(parallelism) as pool:
         run = inheritable_thread_target(points.sparkSession)(one)
@@ -150,10 +150,10 @@ def fit_best(
     seed: int = SEED,
     parallelism: int = PARALLELISM,
 ) -> KMeansModel | None:
-    """Choose k by a sweep and fit it; None where fewer than two positions differ.
+    """The model of the k that a sweep chooses; None where fewer than two positions differ.
 
     The sweep never goes beyond the number of distinct positions, where further
-    centres could only repeat.
+    centres could only repeat. Fitting the chosen k again would give the same model.
     """
     _check(method)
     with held_positions(visits) as (points, distinct):
@@ -161,7 +161,8 @@ def fit_best(
         if limit < 2:
             return None
         scores = sweep(points, limit, seed, parallelism, method != "elbow")
-        return fit(points, pick(scores, method), seed)
+        chosen = pick(scores, method)
+        return next(s["model"] for s in scores if s["k"] == chosen)
 
 
 def select_k(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 
 from crowdgrid.operators.clusters import is_empty
@@ -18,20 +20,28 @@ from crowdgrid.operators.totals import cluster_distribution, hourly_from_counts,
 from crowdgrid.session import materialise
 
 
+def last_days(days: int = 7, today: date | None = None) -> tuple[str, str]:
+    """The range from ``days`` ago to today, both included."""
+    end = today or date.today()
+    return (end - timedelta(days=days)).isoformat(), end.isoformat()
+
+
 def dashboard(
     visits: DataFrame,
-    start: str,
-    end: str,
+    start: str | None = None,
+    end: str | None = None,
     resolution: int = DEFAULT_RESOLUTION,
     sigma: int | float | str = DEFAULT_SIGMA,
     threshold: int = RED_WAVE_THRESHOLD,
 ) -> dict[str, DataFrame]:
     """Tables by name, or an empty dict where the range holds no visits.
 
+    Without a range it is that of the last seven days.
     The cell counts are written once; the report, the markers and the hourly
     totals all start from them instead of from the visits.
     """
-    chosen = date_range(visits, start, end)
+    first, last = last_days()
+    chosen = date_range(visits, start or first, end or last)
     if is_empty(chosen):
         return {}
     counts = materialise(cell_counts(chosen, resolution))

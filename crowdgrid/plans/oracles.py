@@ -157,8 +157,7 @@ FROM pings""",
     "s2_malformed_messages": "SELECT count(*) AS messages, 0::BIGINT AS visits FROM documents",
     "s3_append_table": f"""WITH {VISITS}
 SELECT {VISIT_COLUMNS}, cluster_pred, visit_date FROM visits""",
-    "s4_micro_batches": f"""WITH {VISITS}
-SELECT {VISIT_COLUMNS}, visit_date, true AS labelled FROM visits""",
+    "s4_micro_batches": f"WITH {VISITS} SELECT {VISIT_COLUMNS}, visit_date FROM visits",
     "s5_encode_round_trip": CLEAN,
     "s6_view_scan": f"""WITH {VISITS}
 SELECT lat_visit, lon_visit, date_visit, cluster_pred FROM visits WHERE {IN_RANGE}""",
@@ -255,6 +254,10 @@ sides AS (
     min(CASE WHEN own <> other THEN d END) AS b FROM means GROUP BY vec_id)
 SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
 FROM sides""",
+    "m5_degenerate_tables": """SELECT 'one_position' AS rows, 0 AS label, count(*) AS visits
+FROM events UNION ALL SELECT 'one_row', -1, 1::BIGINT""",
+    "m6_clustered_batches": f"""WITH {VISITS}
+SELECT {VISIT_COLUMNS}, visit_date, true AS labelled FROM visits""",
     "m7_saved_model_scores": NEAREST,
     "w1_batch_visits": CLEAN,
     "w2_closed_hours": f"""WITH {COUNTS}, latest AS (SELECT max(date_visit) AS last FROM visits)

@@ -116,13 +116,15 @@ def append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def micro_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole clustering stream; its labels are arbitrary, so only their range is shown."""
-    out, state = scratch(spark, "clustered"), scratch(spark, "checkpoint")
-    callback = ClusterBatch(path=out, choice={"max_k": 4})
-    run_batches(_stream_visits(spark, sf_dir), callback, state, once=True).awaitTermination()
-    return tables.read_visits(spark, out).select(
-        *VISIT_COLUMNS, "visit_date", F.col("cluster_pred").between(0, 3).alias("labelled")
-    )
+    """Every batch written twice, as after a lost commit; the table holds it once."""
+    out, state = scratch(spark, "batches"), scratch(spark, "checkpoint")
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        tables.write_batch(batch, batch_id, out)
+        tables.write_batch(batch, batch_id, out)
+
+    run_batches(_stream_visits(spark, sf_dir), twice, state, once=True).awaitTermination()
+    return tables.read_visits(spark, out).select(*VISIT_COLUMNS, "visit_date")
 
 
 def encode_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -394,6 +396,31 @@ def chosen_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.total_visits(visits).select("total", *picked)
 
 
+def degenerate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All visits moved to one position get cluster 0; a table of one row gets none."""
+    visits = _visits(spark, sf_dir)
+    middle = totals.mean_position(visits).select(
+        F.col("mean_lat").alias("lat_visit"), F.col("mean_lon").alias("lon_visit")
+    )
+    moved = visits.select(F.lit(53.55).alias("lat_visit"), F.lit(-2.4333).alias("lon_visit"))
+    parts = {"one_row": clusters.cluster(middle), "one_position": clusters.cluster(moved)}
+    named = [df.select(F.lit(n).alias("rows"), "cluster_pred") for n, df in parts.items()]
+    label = F.coalesce(F.col("cluster_pred"), F.lit(-1)).alias("label")
+    return named[0].unionByName(named[1]).groupBy("rows", label).agg(
+        F.count(F.lit(1)).alias("visits")
+    )
+
+
+def clustered_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole clustering stream; its labels are arbitrary, so only their range is shown."""
+    out, state = scratch(spark, "clustered"), scratch(spark, "checkpoint")
+    callback = ClusterBatch(path=out, choice={"max_k": 4})
+    run_batches(_stream_visits(spark, sf_dir), callback, state, once=True).awaitTermination()
+    return tables.read_visits(spark, out).select(
+        *VISIT_COLUMNS, "visit_date", F.col("cluster_pred").between(0, 3).alias("labelled")
+    )
+
+
 def saved_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model fitted on the stored visits labels the same visits as a stream."""
     path, out, state = (scratch(spark, n) for n in ("model", "scored", "checkpoint"))
@@ -489,6 +516,8 @@ QUERIES: dict[str, Query] = {
     "m3_silhouette_library": silhouette_library,
     "m3_silhouette_embeddings": silhouette_embeddings,
     "m4_chosen_k": chosen_k,
+    "m5_degenerate_tables": degenerate_tables,
+    "m6_clustered_batches": clustered_batches,
     "m7_saved_model_scores": saved_model_scores,
     "w1_batch_visits": batch_visits,
     "w2_closed_hours": closed_hours,

@@ -7,9 +7,7 @@ import pytest
 from crowdgrid.operators import hotspots
 from crowdgrid.operators.clean import visits_from_messages
 from crowdgrid.plans import ingest_job
-from crowdgrid.plans.dashboard import dashboard
 from crowdgrid.schema import CLUSTERED_COLUMNS, VISIT_COLUMNS
-from crowdgrid.session import scratch
 from crowdgrid.sources import tables
 from crowdgrid.sources.messages import publish, read_messages
 from crowdgrid.sources.testtables import event_pings, event_visits, read_table
@@ -211,15 +209,3 @@ def test_submit_script_arguments():
         ["--checkpoint", "c", "--table", "t", "--bootstrap", "h:1", "--topic", "x"]
     )
     assert (args.interval, args.max_k, args.seed) == ("10 seconds", 10, 42)
-
-
-def test_dashboard(spark, sf_dir):
-    visits = event_visits(read_table(spark, sf_dir, "events"))
-    shown = dashboard(visits, "2024-01-05", "2024-01-12", threshold=1)
-    total = hotspots.date_range(visits, "2024-01-05", "2024-01-12").count()
-    assert shown["overview"].first().total == total
-    assert shown["markers"].count() == shown["report"].count()
-    assert sum(r.pings for r in shown["pings_by_hour"].collect()) == total
-    assert shown["clusters"].count() == 5
-    assert dashboard(visits, "1999-01-01", "1999-01-02") == {}
-    assert scratch(spark, "a").startswith(spark.conf.get("spark.checkpoint.dir"))
