@@ -89,24 +89,6 @@ def join_stats(counts: DataFrame, stats: DataFrame) -> DataFrame:
     return counts.join(stats, ["cell", "hour"], "left")
 
 
-def above_spread(
-    pings: Column, days: Column, total: Column, squares: Column, sigma: int | float | str
-) -> Column:
-    """``pings > mean + sigma * std`` without division or root, so ties are exact.
-
-    With n days, sum S and sum of squares Q the test reads
-    ``n*p > S and (n*p - S)^2 * (n - 1) > sigma^2 * n * (n*Q - S^2)``, with sigma^2
-    as a ratio of whole numbers, one on each side. One day alone gives 0 > 0, hence False.
-    """
-    n, wide = days.cast("decimal(10,0)"), "decimal(38,0)"
-    excess = (n * pings - total).cast(wide)
-    spread = (n * squares - total * total).cast(wide)
-    ratio = Fraction(str(sigma)) ** 2
-    left = excess * excess * (n - F.lit(1)) * F.lit(Decimal(ratio.denominator))
-    right = n * spread * F.lit(Decimal(ratio.numerator))
-    return (excess > 0) & (left.cast(wide) > right.cast(wide))
-
-
 def with_flags(
     counts: DataFrame,
     sigma: int | float | str = DEFAULT_SIGMA,
@@ -114,28 +96,40 @@ def with_flags(
 ) -> DataFrame:
     """Add mean, std, alert and red_wave to daily counts in one window, with no join.
 
-    A window partition holds one row per observed date of a (cell, hour). The counts
-    are moved before the wide sums are formed, so the shuffle carries four columns.
+    A window partition holds one row per observed date of a (cell, hour). Everything
+    follows from three whole numbers: n days, sum S and sum of squares Q. The alert
+    ``p > S/n + sigma * std`` is tested without division or root, so ties are exact:
+    ``n*p > S and (n*p - S)^2 * (n - 1) > sigma^2 * n * (n*Q - S^2)``, with sigma^2 as a
+    ratio of whole numbers. One day alone gives 0 > 0, hence False, and has no std.
     """
+    ratio = Fraction(str(sigma)) ** 2
     if float(sigma) < 0:
         raise ValueError("sigma must not be negative")
     days = Window.partitionBy("cell", "hour")
-    exact = F.col("pings").cast("decimal(19,0)")
-    spread = counts.repartition("cell", "hour").withColumns(
+    pings, wide = F.col("pings").cast("decimal(19,0)"), "decimal(38,0)"
+    summed = counts.withColumns(
         {
-            "mean": F.avg("pings").over(days),
-            "std": F.stddev_samp("pings").over(days),
             "_n": F.count(F.lit(1)).over(days),
-            "_s": F.sum(exact).over(days),
-            "_q": F.sum(exact * exact).over(days),
+            "_s": F.sum("pings").over(days),
+            "_q": F.sum(pings * pings).over(days),
         }
     )
-    alert = above_spread(exact, F.col("_n"), F.col("_s"), F.col("_q"), sigma)
-    return spread.select(
+    n, total = F.col("_n").cast("decimal(10,0)"), F.col("_s").cast("decimal(19,0)")
+    measured = summed.withColumns(
+        {
+            "_excess": (n * pings - total).cast(wide),
+            "_moment": (n * F.col("_q") - total * total).cast(wide),
+        }
+    )
+    excess, moment = F.col("_excess"), F.col("_moment")
+    left = excess * excess * (n - F.lit(1)) * F.lit(Decimal(ratio.denominator))
+    right = n * moment * F.lit(Decimal(ratio.numerator))
+    pairs = F.col("_n").cast("double") * (F.col("_n") - 1)
+    return measured.select(
         *counts.columns,
-        "mean",
-        "std",
-        F.coalesce(alert, F.lit(False)).alias("alert"),
+        (F.col("_s").cast("double") / F.col("_n")).alias("mean"),
+        F.when(F.col("_n") > 1, F.sqrt(moment.cast("double") / pairs)).alias("std"),
+        ((excess > 0) & (left.cast(wide) > right.cast(wide))).alias("alert"),
         red_wave(F.col("pings"), threshold).alias("red_wave"),
     )
 
