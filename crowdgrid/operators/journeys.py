@@ -75,31 +75,67 @@ def ordered_points(
     more than ``busy_visits`` visits is cut into blocks by range instead.
     """
     known = visits.filter(F.col("device_id").isNotNull()).select(*POINT)
-    per_device = known.groupBy("device_id").agg(F.count(F.lit(1)).alias("visits"))
-    total, widest = per_device.agg(F.sum("visits"), F.max("visits")).first()
-    # At most total / limit devices can exceed the limit, so the list stays below MAX_BUSY.
-    limit = max(busy_visits, (total or 0) // MAX_BUSY)
-    if (widest or 0) <= limit:
+    busy = _busy_devices(known, visits.count(), busy_visits)
+    if busy is None:
         return _points_by_device(known)
-
-    busy = materialise(per_device.filter(F.col("visits") > limit))
-    busy_total = busy.agg(F.sum("visits")).first()[0]
+    total = busy.agg(F.sum("visits")).first()[0]
     names = F.broadcast(busy.select("device_id"))
     quiet = _points_by_device(known.join(names, "device_id", "left_anti"))
-    blocks = -(-busy_total // block_visits)
+    blocks = -(-total // block_visits)
     return quiet.unionByName(_points_by_block(known.join(names, "device_id", "left_semi"), blocks))
 
 
+def _busy_devices(visits: DataFrame, total: int, busy_visits: int) -> DataFrame | None:
+    """Devices with more visits than one task should hold, or None.
+
+    At most ``total / limit`` devices can exceed the limit, so the list stays below
+    MAX_BUSY. Visits are first counted in slots of hashed devices, on a narrow key
+    that combines well: a slot within the limit cannot hold a busy device, and only
+    the devices of fuller slots are counted one by one.
+    """
+    limit = max(busy_visits, total // MAX_BUSY)
+    if total <= limit:
+        return None
+    slots = max(1024, 8 * total // limit)
+    slotted = visits.select(
+        "device_id", F.pmod(F.xxhash64("device_id"), F.lit(slots)).alias("slot")
+    )
+    count = F.count(F.lit(1)).alias("visits")
+    full = slotted.groupBy("slot").agg(count).filter(F.col("visits") > limit)
+    full = materialise(full.select("slot"))
+    if full.isEmpty():
+        return None
+    suspects = slotted.join(F.broadcast(full), "slot", "left_semi")
+    busy = suspects.groupBy("device_id").agg(count).filter(F.col("visits") > limit)
+    busy = materialise(busy)
+    return None if busy.isEmpty() else busy
+
+
 def _points_by_device(visits: DataFrame) -> DataFrame:
-    """One shuffle by device serves the grouping and the window."""
-    points = visits.repartition("device_id").groupBy(*POINT).agg(F.count(F.lit(1)).alias("pings"))
-    order = Window.partitionBy("device_id").orderBy(*ORDER)
-    return points.withColumns(
+    """One shuffle and one sort by device; copies are found next to each other.
+
+    A point starts where a row differs from the row before it. The distance to the
+    start of the next point is the number of its copies.
+    """
+    device = Window.partitionBy("device_id")
+    order = device.orderBy(*ORDER)
+    here = F.struct(*ORDER)
+    starts = visits.withColumns(
+        {
+            "_before": F.lag(here).over(order),
+            "_row": F.row_number().over(order),
+            "_rows": F.count(F.lit(1)).over(device),
+        }
+    ).filter(~F.col("_before").eqNullSafe(here))
+    placed = starts.withColumns(
         {
             "pos": F.row_number().over(order).cast("bigint"),
-            "after": F.lead(F.struct(*ORDER)).over(order),
+            "after": F.lead(here).over(order),
+            "_next": F.lead("_row").over(order),
         }
     )
+    pings = F.coalesce("_next", F.col("_rows") + 1) - F.col("_row")
+    return placed.select(*POINT, pings.alias("pings"), "pos", "after")
 
 
 def _points_by_block(visits: DataFrame, blocks: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crowdgrid.schema import MESSAGE_FIELDS, message_schema
+from crowdgrid.schema import message_schema
 
 
 def kafka_options(bootstrap_servers: str, topic: str, **extra: str) -> dict[str, str]:
@@ -56,6 +56,3 @@ def publish(rows: DataFrame, sink: str = "kafka", path: str | None = None, **opt
     """Encode rows and write them to a topic or to text files, from the executors."""
     writer = encode(rows).write.format(sink).options(**options).mode("append")
     writer.save(path) if path else writer.save()
-
-
-__all__ = ["MESSAGE_FIELDS", "kafka_options", "read_messages", "decode", "encode", "publish"]

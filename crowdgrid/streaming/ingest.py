@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crowdgrid.operators.clusters import assign, cluster, fit_best, is_empty
@@ -25,7 +26,7 @@ class ClusterBatch:
     The batch is persisted, so its messages are read and parsed once. Each batch
     has its own cluster numbers and is stored under its own ``batch_id``.
     With ``connector`` the rows are appended through that format instead of to files;
-    such a write is only as repeatable as the connector makes it.
+    a replay may then store a batch twice, under the same ``batch_id``.
     """
 
     path: str | None = None
@@ -40,7 +41,8 @@ class ClusterBatch:
                 return
             rows = cluster(held, **self.choice).select(*CLUSTERED_COLUMNS)
             if self.connector:
-                append(rows, None, self.connector, self.options)
+                numbered = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                append(numbered, None, self.connector, self.options)
             else:
                 write_batch(rows, batch_id, self.path)
         finally:

@@ -103,7 +103,7 @@ def test_connector_sink(spark, inbox, tmp_path):
     callback = ClusterBatch(connector="json", options={"path": out}, choice={"max_k": 2})
     work(inbox.visits(), callback, tmp_path / "state")
     stored = spark.read.json(out)
-    assert stored.count() == 4 and set(CLUSTERED_COLUMNS) <= set(stored.columns)
+    assert stored.count() == 4 and {*CLUSTERED_COLUMNS, "batch_id"} <= set(stored.columns)
 
 
 def test_stream_equals_batch(spark, sf_dir, tmp_path):
