@@ -41,8 +41,8 @@ def epoch_to_text(epoch: Column) -> Column:
 
 
 def valid_position(lat: Column, lon: Column) -> Column:
-    """Both coordinates present and on the globe; NaN is above every range bound in Spark."""
-    return lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0)
+    """Both coordinates present and on the globe; NaN is greater than any bound in Spark."""
+    return (F.abs(lat) <= 90.0) & (F.abs(lon) <= 180.0)
 
 
 def visit_time(date_visit: Column) -> Column:

@@ -154,3 +154,12 @@ def test_unused_statistics_cost_no_shuffle(spark):
     shown = heat_markers(hotspots.hotspots(visits(spark, ["2024-01-01 09:00:00"])))
     plan = shown._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan
+
+
+def test_messages_are_read_once_on_the_way_to_the_report(spark, sf_dir):
+    from crowdgrid.plans.queries import batch_visits
+
+    report = hotspots.hotspots(batch_visits(spark, sf_dir))
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == plan.count("from_unixtime") == 1
+    assert "sha2" not in plan
