@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from crowdgrid.plans.queries import QUERIES  # noqa: E402
-from crowdgrid.session import builder  # noqa: E402
+from crowdgrid.session import builder, clean_scratch  # noqa: E402
 
 HEADLINE = [
     "w1_batch_visits",
@@ -64,6 +64,7 @@ def main() -> None:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(taken[1:]), 3)
+        clean_scratch(spark)
     spark.stop()
     print(
         json.dumps(

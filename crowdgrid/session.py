@@ -50,9 +50,24 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no earlier run has used."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _made.append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Remove what this driver wrote under ``scratch``, once its results are no longer read."""
+    removed = 0
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        removed += files.delete(path, True)
+    return removed
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """The stored table: what reaches the scan, and writing a batch twice."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +105,15 @@ def test_settings(spark):
     pin(spark)
     for name in ("spark.sql.ansi.enabled", "spark.sql.session.timeZone"):
         assert spark.conf.get(name).lower() == SETTINGS[name].lower()
+
+
+def test_scratch_is_cleaned(spark, visits, monkeypatch):
+    from crowdgrid import session
+
+    monkeypatch.setattr(session, "_made", [])
+    held = session.materialise(visits.limit(3))
+    assert held.count() == 3
+    (path,) = session._made
+    assert os.path.isdir(path)
+    assert session.clean_scratch(spark) == 1
+    assert not os.path.exists(path) and session.clean_scratch(spark) == 0
