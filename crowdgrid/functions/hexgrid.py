@@ -3,7 +3,8 @@
 The plane is a cylindrical equal-area projection with one standard parallel.
 A cell is one ``bigint``: 4 bits of resolution, then 28 bits each for the axial
 coordinates q and r, offset so that they are never negative. Grouping keys stay
-eight bytes wide and nothing leaves generated code. The ids are not H3 ids.
+eight bytes wide and nothing leaves generated code. The ids are not H3 ids. Cells do
+not wrap at the antimeridian and stretch away from the standard parallel.
 """
 
 from __future__ import annotations
@@ -128,12 +129,13 @@ def with_center(
     lat: str = "lat",
     lon: str = "lon",
 ) -> DataFrame:
-    """Add the centre point of each cell."""
+    """Add the centre point of each cell; a centre beyond a pole is put on it."""
     k = factors(resolution, parallel)
     q, r = axis_q(F.col(cell)), axis_r(F.col(cell))
+    sin_lat = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r * F.lit(k["sin_per_r"])))
     return df.withColumns(
         {
-            lat: F.asin(r * F.lit(k["sin_per_r"])) * F.lit(DEG_PER_RAD),
+            lat: F.asin(sin_lat) * F.lit(DEG_PER_RAD),
             lon: (q + r * F.lit(0.5)) * F.lit(k["lon_per_axis"]),
         }
     )

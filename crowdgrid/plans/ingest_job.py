@@ -31,6 +31,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--max-k", type=int, default=MAX_K)
     p.add_argument("--method", choices=METHODS, default=METHODS[0])
     p.add_argument("--seed", type=int, default=SEED)
+    p.add_argument("--substitute", nargs=2, metavar=("FROM", "TO"), help="alphabet before hashing")
     p.add_argument("--once", action="store_true", help="work through what is there and stop")
     args = p.parse_args(argv)
     if args.source == "kafka" and not (args.bootstrap and args.topic):
@@ -57,10 +58,9 @@ def main(argv: list[str] | None = None) -> None:
         options=_pairs(args.option),
         choice={"max_k": args.max_k, "method": args.method, "seed": args.seed},
     )
-    query = run_batches(
-        visits_from_messages(messages), callback, args.checkpoint, args.once, args.interval
-    )
-    query.awaitTermination()
+    substitution = tuple(args.substitute) if args.substitute else None
+    visits = visits_from_messages(messages, substitution)
+    run_batches(visits, callback, args.checkpoint, args.once, args.interval).awaitTermination()
 
 
 if __name__ == "__main__":

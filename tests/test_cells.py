@@ -71,6 +71,14 @@ def test_null_coordinates_have_no_cell(spark):
     assert [r.cell for r in hexgrid.with_cell(df).collect()] == [None, None]
 
 
+def test_poles_have_a_centre(spark):
+    rows = [(90.0, 0.0), (-90.0, 180.0), (90.0, -180.0)]
+    df = spark.createDataFrame(rows, "lat_visit double, lon_visit double")
+    for resolution in (0, 10, 15):
+        placed = hexgrid.with_center(hexgrid.with_cell(df, resolution), resolution)
+        assert all(abs(r.lat) <= 90 for r in placed.collect())
+
+
 def test_text_form(spark):
     df = spark.createDataFrame([(53.55, -2.4333)], "lat_visit double, lon_visit double")
     row = hexgrid.with_cell(df).select(

@@ -1,5 +1,6 @@
 """Streams over text files, each with a fresh checkpoint."""
 
+import hashlib
 import json
 
 import pytest
@@ -195,9 +196,11 @@ def test_submit_script(spark, inbox, tmp_path):
     out = str(tmp_path / "out")
     ingest_job.main(
         ["--source", "text", "--path", str(inbox.folder), "--table", out, "--once",
-         "--checkpoint", str(tmp_path / "state"), "--max-k", "3", "--method", "elbow"]
+         "--checkpoint", str(tmp_path / "state"), "--max-k", "3", "--method", "elbow",
+         "--substitute", "d", "e"]
     )
-    assert tables.read_visits(spark, out).count() == 5
+    rows = tables.read_visits(spark, out).collect()
+    assert [r.device_id for r in rows] == [hashlib.sha256(b"e").hexdigest()] * 5
 
 
 def test_submit_script_arguments():
