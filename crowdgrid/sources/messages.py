@@ -13,6 +13,7 @@ def kafka_options(bootstrap_servers: str, topic: str, **extra: str) -> dict[str,
 
     ``extra`` overrides or adds connector options, e.g. ``maxOffsetsPerTrigger``.
     """
+    # The connector settings of the job.
     return {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
