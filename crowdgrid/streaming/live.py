@@ -10,13 +10,14 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from crowdgrid.functions.hexgrid import with_cell
 from crowdgrid.functions.visits import visit_time
-from crowdgrid.operators.hotspots import DEFAULT_RESOLUTION
-
-COUNT_COLUMNS = ["cell", "hour", "date", "pings"]
+from crowdgrid.operators.hotspots import DEFAULT_RESOLUTION, Place
 
 
 def live_counts(
-    visits: DataFrame, resolution: int = DEFAULT_RESOLUTION, lateness: str = "1 hour"
+    visits: DataFrame,
+    resolution: int = DEFAULT_RESOLUTION,
+    lateness: str = "1 hour",
+    place: Place = with_cell,
 ) -> DataFrame:
     """Pings per (cell, hour, date) with a watermark.
 
@@ -24,7 +25,7 @@ def live_counts(
     mode it appears whenever it grows. State is one counter per open hour and cell,
     and tasks combine before the shuffle.
     """
-    timed = with_cell(visits, resolution).withColumn(
+    timed = place(visits, resolution).withColumn(
         "event_ts", visit_time(F.col("date_visit")).cast("timestamp")
     )
     counted = (

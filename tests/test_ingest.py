@@ -1,6 +1,10 @@
 """Decoding and cleaning of single messages."""
 
+import datetime
 import hashlib
+import json
+import math
+import random
 
 import pytest
 
@@ -134,3 +138,44 @@ def test_line_files_in_batch(spark, tmp_path):
     (tmp_path / "m.txt").write_text("\n".join(SAMPLES))
     read = read_messages(spark, "text", path=str(tmp_path), streaming=False)
     assert visits_from_messages(read).count() == 2
+
+
+def random_message(rng):
+    """A message with every field drawn from good, odd and bad values, and what becomes of it."""
+    device = rng.choice([None, "", "+447000000001", "\u00e9\u6f22", "a b"])
+    lat = rng.choice([0, -90, 90, 53.549933, "53.5", " 1 ", "1e1", 90.0001, "x", "", None, "NaN", "-Infinity"])
+    lon = rng.choice([0, -180, 180, -2.433338, "-2.4", 180.5, -1e9, "east", None, "Infinity"])
+    stamp = rng.choice([0, -1.5, 1731655224.390121, "1731655224", "1e9", "soon", "", None, 1e18, "NaN"])
+    fields = {"device_id": device, "lat_visit": lat, "lon_visit": lon, "time_stamp": stamp}
+    kept = {k: v for k, v in fields.items() if v is not None or rng.random() < 0.5}
+    text = json.dumps(kept, ensure_ascii=rng.random() < 0.5)
+    if rng.random() < 0.1:
+        return text[: rng.randrange(len(text))], None
+    return text, expected_visit(device, lat, lon, stamp)
+
+
+def as_number(value):
+    try:
+        return None if value is None else float(value)
+    except ValueError:
+        return None
+
+
+def expected_visit(device, lat, lon, stamp):
+    lat, lon, stamp = as_number(lat), as_number(lon), as_number(stamp)
+    if lat is None or lon is None or not (abs(lat) <= 90 and abs(lon) <= 180):
+        return None
+    at = None
+    if stamp is not None and -62135596800 <= stamp < 253402300800:
+        epoch = datetime.datetime(1970, 1, 1)
+        at = str(epoch + datetime.timedelta(seconds=math.floor(stamp)))
+    masked = None if device is None else hashlib.sha256(device.encode()).hexdigest()
+    return masked, at, lat, lon
+
+
+def test_random_messages_against_a_model(spark):
+    rng = random.Random(20)
+    pairs = [random_message(rng) for _ in range(5000)]
+    got = visits_from_messages(messages(spark, [text for text, _ in pairs])).collect()
+    want = [visit for _, visit in pairs if visit is not None]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
