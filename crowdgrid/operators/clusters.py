@@ -23,9 +23,11 @@ POSITION = ["lat_visit", "lon_visit"]
 SEED = 42
 MAX_K = 10
 METHODS = ("silhouette_max", "argmin_silhouette", "elbow")
-# Fits run at the same time; and positions per task, so that small fits wait for few tasks.
-PARALLELISM = MAX_K - 1
+# Positions per task, so that small fits wait for few tasks; and fits that run at the same
+# time, for positions of one task and for more, where each fit holds its own copy of them.
 POSITIONS_PER_TASK = 100_000
+SMALL_FITS = MAX_K - 1
+LARGE_FITS = 4
 
 
 def assemble(visits: DataFrame, columns: Sequence[str] = POSITION) -> DataFrame:
@@ -40,11 +42,15 @@ def weighted_positions(visits: DataFrame, columns: Sequence[str] = POSITION) ->
 
 
 def fit(points: DataFrame, k: int, seed: int = SEED) -> KMeansModel:
-    """Fit k centres on ``features``, weighted where the table has a ``weight``."""
+    """Fit k centres on ``features``, weighted where the table has a ``weight``.
+
+    KMeans is handed a projection, which it caches as plain vectors: over a persisted
+    table it would unpack every row again in each of its passes.
+    """
     kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_pred")
     if "weight" in points.columns:
-        kmeans = kmeans.setWeightCol("weight")
-    return kmeans.fit(points)
+        return kmeans.setWeightCol("weight").fit(points.select("features", "weight"))
+    return kmeans.fit(points.select("features"))
 
 
 def assign(model: KMeansModel, visits: DataFrame, columns: Sequence[str] = POSITION) -> DataFrame:
@@ -70,7 +76,7 @@ def sweep(
     points: DataFrame,
     max_k: int = MAX_K,
     seed: int = SEED,
-    parallelism: int = PARALLELISM,
+    parallelism: int = SMALL_FITS,
     silhouette: bool = True,
 ) -> list[dict]:
     """Fit k = 2..max_k on a persisted table; k, model, cost and silhouette of each.
@@ -148,7 +154,7 @@ def fit_best(
     max_k: int = MAX_K,
     method: str = "silhouette_max",
     seed: int = SEED,
-    parallelism: int = PARALLELISM,
+    parallelism: int | None = None,
 ) -> KMeansModel | None:
     """The model of the k that a sweep chooses; None where fewer than two positions differ.
 
@@ -160,7 +166,8 @@ def fit_best(
         limit = min(max_k, distinct)
         if limit < 2:
             return None
-        scores = sweep(points, limit, seed, parallelism, method != "elbow")
+        at_once = parallelism or _fits_at_once(distinct)
+        scores = sweep(points, limit, seed, at_once, method != "elbow")
         chosen = pick(scores, method)
         return next(s["model"] for s in scores if s["k"] == chosen)
 
@@ -170,7 +177,7 @@ def select_k(
     max_k: int = MAX_K,
     method: str = "silhouette_max",
     seed: int = SEED,
-    parallelism: int = PARALLELISM,
+    parallelism: int | None = None,
 ) -> int:
     """Choose k; fewer than two visits is an error, identical visits give 1."""
     _check(method)
@@ -181,7 +188,12 @@ def select_k(
         if distinct < 2:
             return 1
         limit = min(max_k, distinct)
-        return pick(sweep(points, limit, seed, parallelism, method != "elbow"), method)
+        at_once = parallelism or _fits_at_once(distinct)
+        return pick(sweep(points, limit, seed, at_once, method != "elbow"), method)
+
+
+def _fits_at_once(distinct: int) -> int:
+    return SMALL_FITS if distinct <= POSITIONS_PER_TASK else LARGE_FITS
 
 
 def cluster(visits: DataFrame, **choice) -> DataFrame:
