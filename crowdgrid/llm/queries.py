@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crowdgrid.llm import main_text, quality_classifier
+from crowdgrid.llm import (
+    main_text,
+    near_duplicates,
+    packing,
+    quality_classifier,
+    quality_rules,
+    repeated_passages,
+)
 from crowdgrid.llm.common import table
 
 
@@ -14,15 +21,36 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     )
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_passages.find_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_quality_classifier": op5_quality_classifier,
+    "op8_packing": op8_packing,
+    "op9_repeated_passages": op9_repeated_passages,
 }
 
 # Each is given where SQL can say what the query returns; the tests hold the others against
