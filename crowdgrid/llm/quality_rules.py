@@ -29,8 +29,9 @@ LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 SYMBOLS = "#*$%&|<>"
 BUCKETS = 1 << 14
-# A mean log ratio per n-gram below this drops a text.
-THRESHOLD = -0.5
+# A mean log ratio per n-gram below this drops a text. Labelled good texts of 20 words and more
+# lie around 0 with a deviation of 0.01 to 0.04, so this is far below them.
+THRESHOLD = -0.1
 # Added to every bucket's count, so that no weight is infinite.
 SMOOTHING = 1.0
 
