@@ -60,7 +60,21 @@ lower town was under water when the day broke over the hills.</p><p>Nobody was h
 the many helpers who filled sandbags until the morning came and the rain stopped at last.</p>
 <p><a href=2>More</a> <a href=3>news</a></p></body></html>"""
 
+SHORT = "<html><body><article><p>Yes.</p></article></body></html>"
+
+ENDING = """<html><body><nav><a href=1>Home</a></nav><article><h1>Notes</h1><p>It rained.</p><p>Then not.</p>
+</article></body></html>"""
+
+LINKED = """<html><body><main><p><a href=1>One link only</a></p></main><p>Imprint</p></body></html>"""
+
+ASIDES = """<html><body><nav>All pages of this site in one place</nav><aside>Buy a boat this week and get a second
+one for half of the price, as long as we have any left in our harbour.</aside><form>Your name</form></body></html>"""
+
 PAGES = [
+    (SHORT, ("Yes.",)),
+    (ENDING, ("Notes", "It rained.", "Then not.")),
+    (LINKED, ("One link only",)),
+    (ASIDES, ()),
     (NEWS, (
         "Harbour opens after long works",
         "The harbour opened on Monday after three years of building works that cost more than expected.",

@@ -44,15 +44,16 @@ def natural_weights(counts: Mapping[str | None, int], power: float = 0.5) -> dic
 
 def in_parts(weights: Mapping, parts: int) -> dict:
     """Weights as whole parts that add up to ``parts`` (one at least each), by largest
-    remainder."""
+    remainder; what small sources get too much is taken where it is missed least."""
     parts = max(parts, len(weights))
     total = sum(weights.values())
-    free = parts - len(weights)
-    exact = {s: w / total * free for s, w in weights.items()}
-    out = {s: 1 + math.floor(x) for s, x in exact.items()}
-    order = sorted(out, key=lambda s: (math.floor(exact[s]) - exact[s], s is None, str(s)))
-    for s in order[: parts - sum(out.values())]:
-        out[s] += 1
+    exact = {s: w / total * parts for s, w in weights.items()}
+    out = {s: max(1, math.floor(round(x, 9))) for s, x in exact.items()}
+    while sum(out.values()) != parts:
+        step = 1 if sum(out.values()) < parts else -1
+        able = [s for s in out if step > 0 or out[s] > 1]
+        s = max(able, key=lambda s: ((exact[s] - out[s]) * step / out[s], s is not None, str(s)))
+        out[s] += step
     return out
 
 
@@ -161,24 +162,26 @@ def schedule(
         for s, p in phase["sources"].items()
     ]
     key, number, slot = (free_name(docs, f"llm_{n}") for n in ("key", "number", "slot"))
+    plan_names = [free_name(docs, f"llm_plan_{n}") for n in ("key", "from", "to", "start", "length", "slots")]
+    p_key, p_from, p_to, p_start, p_length, p_slots = plan_names
     # A source stands in a struct, where NULL is equal to NULL.
     kind = docs.schema[source].dataType.simpleString()
     table = docs.sparkSession.createDataFrame(
         rows,
-        f"_s {kind}, _from long, _to long, _start long, _length long, _slots array<int>",
-    ).select(F.struct(F.col("_s").alias("s")).alias("_key"), "_from", "_to", "_start", "_length", "_slots")
+        f"{p_key} {kind}, {p_from} long, {p_to} long, {p_start} long, {p_length} long, {p_slots} array<int>",
+    ).withColumn(p_key, F.struct(F.col(p_key).alias("s")))
     keyed = docs.withColumn(key, F.struct(F.col(source).alias("s")))
     placed = _numbered(keyed, sum(counts.values()), key, number, seed)
     block = F.floor(F.col(number) / F.lit(block_documents))
-    match = (placed[key] == table["_key"]) & (block >= table["_from"]) & (block < table["_to"])
-    nth = block - F.col("_from")
-    turn = F.floor(nth / F.size("_slots"))
-    at = F.get("_slots", (nth % F.size("_slots")).cast("int"))
+    match = (F.col(key) == F.col(p_key)) & (block >= F.col(p_from)) & (block < F.col(p_to))
+    nth = block - F.col(p_from)
+    turn = F.floor(nth / F.size(p_slots))
+    at = F.get(p_slots, (nth % F.size(p_slots)).cast("int"))
     # The plan is bounded by MOST_SOURCES, so it may be sent to every task.
     out = placed.join(F.broadcast(table), match).withColumn(
-        slot, F.col("_start") + turn * F.col("_length") + at
+        slot, F.col(p_start) + turn * F.col(p_length) + at
     )
-    return out.drop("_key", "_from", "_to", "_start", "_length", "_slots", key), slot, number
+    return out.drop(key, *plan_names), slot, number
 
 
 def mixed_order(docs: DataFrame, weights: Mapping | None = None, **choice) -> DataFrame:

@@ -297,9 +297,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        out = [
-            cut_text(t.as_py(), merged(s.as_py())) for t, s in zip(texts, spans)
-        ]
+        # It is also called for rows without spans, whose result is not used.
+        out = [cut_text(t.as_py() or "", merged(s.as_py())) for t, s in zip(texts, spans)]
         return pa.array(out, pa.string())
 
     marked = _with_spans(docs, window, name)
