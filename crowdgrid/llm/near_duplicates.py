@@ -241,11 +241,10 @@ def components(links: DataFrame) -> DataFrame:
     """node and root (the least node reachable) of every node that has a link.
 
     Large-star and small-star steps in turn: every node hands its neighbours to the least of
-    them, until nothing changes. Each step is a table in the shared folder.
+    them, until only stars are left. Each step is a table in the shared folder.
     """
     links = materialise(links.select("a", "b").distinct())
-    seen = None
-    while True:
+    while not _stars(links):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select("a", F.least("a", "m").alias("m"))
@@ -258,15 +257,16 @@ def components(links: DataFrame) -> DataFrame:
             .unionByName(smallest.select(F.col("r").alias("a"), F.col("u").alias("b")))
             .distinct()
         )
-        state = links.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-        if state == seen:
-            break
-        seen = state
     return links.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether every link leads from a root, and every other node has one link only."""
+    roots = links.select(F.col("a").alias("b")).distinct()
+    twice = links.groupBy("b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return links.join(roots, "b", "left_semi").isEmpty() and twice.isEmpty()
+
+
 def _texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """node and text of the wanted classes (node, key, rep), one row each.
 
@@ -312,6 +312,7 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def rooted(end: str) -> DataFrame:
         return roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
 
+    # From here on a component stands for its members, so only links between components count.
     open_ = (
         pairs.select("a", "b")
         .join(rooted("a"), "a", "left")
@@ -320,11 +321,16 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
         .join(first, ["a", "b"], "left_anti")
         .select("a", "b")
     )
-    links = links.unionByName(confirm(open_, texts, words, percent))
-    roots = components(links)
+    more = confirm(open_, texts, words, percent).join(rooted("a"), "a", "left")
+    more = more.join(rooted("b"), "b", "left").select(
+        F.coalesce("root_a", "a").alias("x"), F.coalesce("root_b", "b").alias("y")
+    )
+    last = components(more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    last = last.select(F.col("node").alias("root"), F.col("root").alias("last"))
 
     named = classes.select("key", "node", "rep").join(roots, "node", "left")
-    named = named.withColumn("root", F.coalesce("root", "node"))
+    named = named.withColumn("root", F.coalesce("root", "node")).join(last, "root", "left")
+    named = named.withColumn("root", F.coalesce("last", "root")).drop("last")
     ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     placed = materialise(named.join(ids, "root").select("key", "component_id"))
     linked = rows.select("doc_id", "key", "n_shingles").join(placed, "key", "left")
