@@ -14,6 +14,7 @@ packed each. No document, no rows.
 
 from __future__ import annotations
 
+import base64
 import sys
 import zlib
 from collections import defaultdict
@@ -32,49 +33,34 @@ CAPACITY = 1024
 END_ID = 2
 GROUP_ITEMS = 20_000
 ROUNDS = 3
-# Pre-tokens whose ids a task remembers at a time; the table is emptied when it is full.
-REMEMBERED = 200_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long, certified boolean"
 
 
 class Encoder:
-    """Byte-level BPE through the ``tokenizers`` library, one pre-token at a time.
+    """Byte-level BPE from a file of ranks, the same vocabulary and merges as the tokenizer
+    file of that name; strings of special tokens in a text are ordinary text."""
 
-    Merges never cross a pre-token, so the ids of a text are those of its pre-tokens in a
-    row; words come again and again, so most are looked up.
-    """
-
-    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
+    def __init__(self, path: str) -> None:
         import public_tokenizers
-        import regex
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.remembered = remembered
-        self.known: dict[str, bytes] = {}
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self.encode = tiktoken.Encoding(
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        ).encode_ordinary
 
     def ids(self, text: str) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit numbers."""
-        parts = self.split(text)
-        new = list({p for p in parts if p not in self.known})
-        if len(self.known) + len(new) > self.remembered:
-            self.known = {}
-            new = list(set(parts))
-        for some in range(0, len(new), 4096):
-            chunk = new[some : some + 4096]
-            for p, e in zip(chunk, self.tokenizer.encode_batch(chunk, add_special_tokens=False)):
-                self.known[p] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join([self.known[p] for p in parts])
+        return np.array(self.encode(text), dtype="<u4").tobytes()
 
 
 def default_tokenizer() -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def pieces(
@@ -86,9 +72,6 @@ def pieces(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = Encoder(path)
         for batch in in_slices(batches):
             rows = []
