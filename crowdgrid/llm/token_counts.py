@@ -27,7 +27,7 @@ from crowdgrid.llm.common import WORD_PATTERN, in_slices
 # What a pre-token begins with: the mark that the vocabulary uses for a space before a word.
 MARK = "▁"
 # Nodes that a task's trie may have; a full one is started anew.
-MOST_NODES = 400_000
+MOST_NODES = 800_000
 # Rank from which Zipf's law counts, so that the first pieces are not too likely.
 ZIPF_SHIFT = 2.7
 
@@ -78,11 +78,12 @@ class Trie:
         self.best, self.tokens = [0.0], [0]
         self.counts: dict[str, int] = {}
 
+    def total(self, words: list[str]) -> int:
+        """Tokens of all pre-tokens of a text; every word has at least one."""
+        return sum([self.counts.get(w) or self.count(w) for w in words])
+
     def count(self, word: str) -> int:
-        """Tokens of a pre-token; computed where it was not met before."""
-        known = self.counts.get(word)
-        if known is not None:
-            return known
+        """Tokens of a pre-token that was not met before, stored where it ends."""
         if len(self.best) + len(word) > self.most_nodes:
             self.clear()
         marked, node, path = MARK + word, 0, [0]
@@ -99,10 +100,11 @@ class Trie:
         """Add the node of ``marked[:end]``; ``path`` holds the nodes of its prefixes."""
         width = len(marked[end - 1].encode("utf-8", "surrogatepass"))
         best, tokens = self.best[parent] + self.byte * width, self.tokens[parent] + width
+        score_of, reached, counted = self.pieces.get, self.best, self.tokens
         for start in range(max(0, end - self.longest), end):
-            score = self.pieces.get(marked[start:end])
+            score = score_of(marked[start:end])
             if score is not None:
-                total, several = self.best[path[start]] + score, self.tokens[path[start]] + 1
+                total, several = reached[path[start]] + score, counted[path[start]] + 1
                 if total > best or (total == best and several < tokens):
                     best, tokens = total, several
         node = len(self.best)
@@ -126,7 +128,7 @@ def count_tokens(
                 words = WORD_PATTERN.findall(text.as_py() or "")
                 all_.append(len(words))
                 distinct.append(len(set(words)))
-                tokens.append(sum(map(trie.count, words)))
+                tokens.append(trie.total(words))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (all_, distinct, tokens))],
                 names=["doc_id", "n_pretokens", "n_distinct_pretokens", "n_tokens"],
