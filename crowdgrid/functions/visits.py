@@ -34,10 +34,16 @@ def number(value: Column) -> Column:
 
 
 def epoch_to_text(epoch: Column) -> Column:
-    """Epoch seconds, floored, as text; NULL for anything outside years 1 to 9999."""
+    """Epoch seconds, floored, as text in UTC; NULL for anything outside years 1 to 9999.
+
+    The session's time zone plays no part.
+    """
     seconds = number(epoch)
     in_calendar = (seconds >= float(FIRST_EPOCH)) & (seconds < float(LAST_EPOCH + 1))
-    return F.when(in_calendar, F.from_unixtime(F.floor(seconds), DATE_VISIT_FORMAT))
+    days = F.floor(seconds / 86400)
+    rest = F.floor(seconds) - days * 86400
+    since = F.make_dt_interval(days.cast("int"), F.lit(0), F.lit(0), rest.cast("decimal(18,6)"))
+    return F.when(in_calendar, (F.lit("1970-01-01").cast("timestamp_ntz") + since).cast("string"))
 
 
 def valid_position(lat: Column, lon: Column) -> Column:

@@ -9,59 +9,145 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import reduce
+from math import isfinite
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 POSITION = ["lat_visit", "lon_visit"]
 SEED = 42
 MAX_K = 10
 METHODS = ("silhouette_max", "argmin_silhouette", "elbow")
-# Positions per task, so that small fits wait for few tasks; and fits that run at the same
-# time, for positions of one task and for more, where each fit holds its own copy of them.
-POSITIONS_PER_TASK = 100_000
-SMALL_FITS = MAX_K - 1
-LARGE_FITS = 4
+# Tasks that hold the positions of a fit. KMeans seeds by task and by row order, so positions
+# are dealt by hash and sorted, and the same number gives the same fit in any session.
+FIT_PARTITIONS = 8
+# Fits of a sweep that run side by side.
+FITS_AT_ONCE = 4
 
 
-def assemble(visits: DataFrame, columns: Sequence[str] = POSITION) -> DataFrame:
-    """Add the ``features`` vector. Cleaning has already removed NULL and NaN."""
-    return VectorAssembler(inputCols=list(columns), outputCol="features").transform(visits)
+def known(points: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows that have a number in every column."""
+    return points.filter(
+        reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in columns])
+    )
 
 
-def weighted_positions(visits: DataFrame, columns: Sequence[str] = POSITION) -> DataFrame:
-    """Distinct positions with ``features`` and the number of visits as ``weight``."""
-    counted = visits.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    return assemble(counted, columns)
+def _bounds(columns: Sequence[str]) -> list[Column]:
+    return [f(c).cast("double") for f in (F.min, F.max) for c in columns]
+
+
+def _halfway(bounds: Sequence[float | None]) -> tuple[float, ...]:
+    half = len(bounds) // 2
+    return tuple((a + b) / 2 if a is not None else 0.0 for a, b in zip(bounds[:half], bounds[half:]))
+
+
+def middle(points: DataFrame, columns: Sequence[str] = POSITION) -> tuple[float, ...]:
+    """Halfway between the bounds of each column; squares around it lose no digits."""
+    return _halfway(list(known(points, columns).agg(*_bounds(columns)).first()))
+
+
+def assemble(
+    visits: DataFrame, columns: Sequence[str] = POSITION, shift: Sequence[float] | None = None
+) -> DataFrame:
+    """Add the ``features`` vector, less ``shift``, which is noted in its metadata.
+
+    Cleaning has already removed NULL and NaN.
+    """
+    if shift is None:
+        return VectorAssembler(inputCols=list(columns), outputCol="features").transform(visits)
+    names = {f"_centred{i}": F.col(c) - F.lit(m) for i, (c, m) in enumerate(zip(columns, shift))}
+    wide = VectorAssembler(inputCols=list(names), outputCol="features").transform(
+        visits.withColumns(names)
+    )
+    return wide.withColumn("features", F.col("features").alias("features", metadata={"shift": list(shift)})).drop(*names)
 
 
-def fit(points: DataFrame, k: int, seed: int = SEED) -> KMeansModel:
+def _shift_of(points: DataFrame) -> tuple[float, ...] | None:
+    noted = points.schema["features"].metadata.get("shift")
+    return None if noted is None else tuple(noted)
+
+
+def _positions(visits: DataFrame, columns: Sequence[str] = POSITION) -> DataFrame:
+    counted = known(visits, columns).groupBy(*columns)
+    return counted.agg(F.count(F.lit(1)).cast("double").alias("weight"))
+
+
+def weighted_positions(visits: DataFrame, columns: Sequence[str] = POSITION) -> DataFrame:
+    """Distinct positions with centred ``features`` and the number of visits as ``weight``."""
+    counted = _positions(visits, columns)
+    return assemble(counted, columns, middle(counted, columns))
+
+
+@dataclass(frozen=True)
+class PositionModel:
+    """A KMeans model over positions less a constant ``shift``."""
+
+    model: KMeansModel
+    shift: tuple[float, ...] | None = None
+
+    @property
+    def summary(self):
+        return self.model.summary
+
+    def clusterCenters(self) -> list[tuple[float, ...]]:  # noqa: N802  (the library's name)
+        """The centres as positions."""
+        centers = [tuple(map(float, c)) for c in self.model.clusterCenters()]
+        if self.shift is None:
+            return centers
+        return [tuple(x + m for x, m in zip(c, self.shift)) for c in centers]
+
+    def transform(self, visits: DataFrame, columns: Sequence[str] = POSITION) -> DataFrame:
+        if "features" in visits.columns and _shift_of(visits) == self.shift:
+            return self.model.transform(visits)
+        fresh = assemble(visits.drop("features"), columns, self.shift)
+        return self.model.transform(fresh).drop("features")
+
+    def save(self, path: str) -> None:
+        spark = SparkSession.active()
+        self.model.write().overwrite().save(f"{path}/kmeans")
+        row = spark.createDataFrame([(self.shift,)], "shift array<double>").coalesce(1)
+        row.write.mode("overwrite").parquet(f"{path}/shift")
+
+    @staticmethod
+    def load(path: str) -> PositionModel:
+        shift = SparkSession.active().read.parquet(f"{path}/shift").first()["shift"]
+        return PositionModel(
+            KMeansModel.load(f"{path}/kmeans"), None if shift is None else tuple(shift)
+        )
+
+
+def fit(points: DataFrame, k: int, seed: int = SEED) -> PositionModel:
     """Fit k centres on ``features``, weighted where the table has a ``weight``.
 
     KMeans is handed a projection, which it caches as plain vectors: over a persisted
     table it would unpack every row again in each of its passes.
     """
     kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_pred")
+    names = ["features"]
     if "weight" in points.columns:
-        return kmeans.setWeightCol("weight").fit(points.select("features", "weight"))
-    return kmeans.fit(points.select("features"))
+        kmeans, names = kmeans.setWeightCol("weight"), ["features", "weight"]
+    return PositionModel(kmeans.fit(points.select(*names)), _shift_of(points))
 
 
-def assign(model: KMeansModel, visits: DataFrame, columns: Sequence[str] = POSITION) -> DataFrame:
+def assign(
+    model: PositionModel, visits: DataFrame, columns: Sequence[str] = POSITION
+) -> DataFrame:
     """Add ``cluster_pred``, the 0-based number of the nearest centre; works on streams too."""
-    if "features" in visits.columns:
-        return model.transform(visits)
-    return model.transform(assemble(visits, columns)).drop("features")
+    return model.transform(visits, columns)
 
 
 def score(predictions: DataFrame) -> float:
-    """Silhouette with squared Euclidean distance, from the library evaluator."""
+    """Silhouette with squared Euclidean distance, from the library evaluator.
+
+    The features should be centred, or tight clusters far from the origin lose their digits.
+    """
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_pred")
     if "weight" in predictions.columns:
         evaluator = evaluator.setWeightCol("weight")
@@ -76,12 +162,12 @@ def sweep(
     points: DataFrame,
     max_k: int = MAX_K,
     seed: int = SEED,
-    parallelism: int = SMALL_FITS,
+    parallelism: int = FITS_AT_ONCE,
     silhouette: bool = True,
 ) -> list[dict]:
     """Fit k = 2..max_k on a persisted table; k, model, cost and silhouette of each.
 
-    The fits do not depend on each other, so several run at once and fill the
+    A score that is not finite counts as none. The fits do not depend on each other, so several run at once and fill the
     cores that one small fit leaves idle. A fit that found a single centre has no
     silhouette.
     """
@@ -90,6 +176,7 @@ def sweep(
         model = fit(points, k, seed)
         several = len(model.clusterCenters()) > 1
         value = score(model.transform(points)) if silhouette and several else None
+        value = value if value is not None and isfinite(value) else None
         return {"k": k, "model": model, "cost": model.summary.trainingCost, "silhouette": value}
 
     with ThreadPool(parallelism) as pool:
@@ -134,19 +221,17 @@ def _elbow(curve: list[tuple[int, float]]) -> int:
 
 
 @contextmanager
-def held_positions(visits: DataFrame) -> Iterator[tuple[DataFrame, int]]:
-    """Weighted positions, persisted for the sweep in as few tasks as they need."""
-    wide = weighted_positions(visits).persist(StorageLevel.MEMORY_AND_DISK)
-    points = wide
+def held_positions(
+    visits: DataFrame, partitions: int = FIT_PARTITIONS
+) -> Iterator[tuple[DataFrame, int]]:
+    """Weighted positions for the sweep, persisted once, and how many there are."""
+    held = _positions(visits).repartition(partitions, *POSITION).sortWithinPartitions(*POSITION)
+    held = held.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        distinct = wide.count()
-        tasks = max(1, -(-distinct // POSITIONS_PER_TASK))
-        if tasks < int(visits.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-            points = wide.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
-        yield points, distinct
+        distinct, *bounds = held.agg(F.count(F.lit(1)), *_bounds(POSITION)).first()
+        yield assemble(held, POSITION, _halfway(bounds)), distinct
     finally:
-        points.unpersist()
-        wide.unpersist()
+        held.unpersist()
 
 
 def fit_best(
@@ -154,8 +239,8 @@ def fit_best(
     max_k: int = MAX_K,
     method: str = "silhouette_max",
     seed: int = SEED,
-    parallelism: int | None = None,
-) -> KMeansModel | None:
+    parallelism: int = FITS_AT_ONCE,
+) -> PositionModel | None:
     """The model of the k that a sweep chooses; None where fewer than two positions differ.
 
     The sweep never goes beyond the number of distinct positions, where further
@@ -166,8 +251,7 @@ def fit_best(
         limit = min(max_k, distinct)
         if limit < 2:
             return None
-        at_once = parallelism or _fits_at_once(distinct)
-        scores = sweep(points, limit, seed, at_once, method != "elbow")
+        scores = sweep(points, limit, seed, parallelism, method != "elbow")
         chosen = pick(scores, method)
         return next(s["model"] for s in scores if s["k"] == chosen)
 
@@ -177,7 +261,7 @@ def select_k(
     max_k: int = MAX_K,
     method: str = "silhouette_max",
     seed: int = SEED,
-    parallelism: int | None = None,
+    parallelism: int = FITS_AT_ONCE,
 ) -> int:
     """Choose k; fewer than two visits is an error, identical visits give 1."""
     _check(method)
@@ -188,12 +272,7 @@ def select_k(
         if distinct < 2:
             return 1
         limit = min(max_k, distinct)
-        at_once = parallelism or _fits_at_once(distinct)
-        return pick(sweep(points, limit, seed, at_once, method != "elbow"), method)
-
-
-def _fits_at_once(distinct: int) -> int:
-    return SMALL_FITS if distinct <= POSITIONS_PER_TASK else LARGE_FITS
+        return pick(sweep(points, limit, seed, parallelism, method != "elbow"), method)
 
 
 def cluster(visits: DataFrame, **choice) -> DataFrame:

@@ -112,6 +112,7 @@ def with_flags(
     ratio of whole numbers. One day alone gives 0 > 0, hence False, and has no std.
     """
     ratio = Fraction(str(sigma)) ** 2
+    exact = max(ratio.numerator, ratio.denominator) < 10**38
     if float(sigma) < 0:
         raise ValueError("sigma must not be negative")
     days = Window.partitionBy("cell", "hour")
@@ -131,14 +132,23 @@ def with_flags(
         }
     )
     excess, moment = F.col("_excess"), F.col("_moment")
-    left = excess * excess * (n - F.lit(1)) * F.lit(Decimal(ratio.denominator))
-    right = n * moment * F.lit(Decimal(ratio.numerator))
+    # Doubles decide where the sides differ by more than their rounding; whole numbers where
+    # they do not, unless a product leaves their range.
+    e, m, days_ = excess.cast("double"), moment.cast("double"), F.col("_n").cast("double")
+    left, right = e * e * (days_ - 1), days_ * m * F.lit(float(sigma)) * F.lit(float(sigma))
+    near = F.abs(left - right) <= F.lit(1e-9) * F.greatest(left, right)
+    over = left > right
+    if exact:
+        whole = F.try_multiply(F.try_multiply(excess, excess), (n - F.lit(1)).cast(wide))
+        whole = F.try_multiply(whole, F.lit(Decimal(ratio.denominator)).cast(wide))
+        other = F.try_multiply(F.try_multiply(n.cast(wide), moment), F.lit(Decimal(ratio.numerator)).cast(wide))
+        over = F.when(near, F.coalesce(whole > other, over)).otherwise(over)
     pairs = F.col("_n").cast("double") * (F.col("_n") - 1)
     return measured.select(
         *counts.columns,
         (F.col("_s").cast("double") / F.col("_n")).alias("mean"),
         F.when(F.col("_n") > 1, F.sqrt(moment.cast("double") / pairs)).alias("std"),
-        ((excess > 0) & (left.cast(wide) > right.cast(wide))).alias("alert"),
+        ((excess > 0) & over).alias("alert"),
         red_wave(F.col("pings"), threshold).alias("red_wave"),
     )
 

@@ -17,8 +17,8 @@ POINT = ["device_id", *ORDER]
 
 # A device above this many visits is ordered by many tasks instead of one.
 BUSY_VISITS = 5_000_000
-# No more devices than this can be named busy, whatever the size of the table.
-MAX_BUSY = 200_000
+# The list of busy devices is sent to the tasks up to this length, and joined beyond it.
+MAX_BROADCAST = 200_000
 # Visits per block of a busy device.
 BLOCK_VISITS = 4_000_000
 
@@ -78,8 +78,9 @@ def ordered_points(
     busy = _busy_devices(known, visits.count(), busy_visits)
     if busy is None:
         return _points_by_device(known)
-    total = busy.agg(F.sum("visits")).first()[0]
-    names = F.broadcast(busy.select("device_id"))
+    total, several = busy.agg(F.sum("visits"), F.count(F.lit(1))).first()
+    names = busy.select("device_id")
+    names = F.broadcast(names) if several <= MAX_BROADCAST else names
     quiet = _points_by_device(known.join(names, "device_id", "left_anti"))
     blocks = -(-total // block_visits)
     return quiet.unionByName(_points_by_block(known.join(names, "device_id", "left_semi"), blocks))
@@ -88,12 +89,11 @@ def ordered_points(
 def _busy_devices(visits: DataFrame, total: int, busy_visits: int) -> DataFrame | None:
     """Devices with more visits than one task should hold, or None.
 
-    At most ``total / limit`` devices can exceed the limit, so the list stays below
-    MAX_BUSY. Visits are first counted in slots of hashed devices, on a narrow key
+    At most ``total / limit`` devices can exceed the limit. Visits are first counted in slots of hashed devices, on a narrow key
     that combines well: a slot within the limit cannot hold a busy device, and only
     the devices of fuller slots are counted one by one.
     """
-    limit = max(busy_visits, total // MAX_BUSY)
+    limit = busy_visits
     if total <= limit:
         return None
     slots = max(1024, 8 * total // limit)
@@ -105,7 +105,8 @@ def _busy_devices(visits: DataFrame, total: int, busy_visits: int) -> DataFrame
     full = materialise(full.select("slot"))
     if full.isEmpty():
         return None
-    suspects = slotted.join(F.broadcast(full), "slot", "left_semi")
+    full = F.broadcast(full) if full.count() <= MAX_BROADCAST else full
+    suspects = slotted.join(full, "slot", "left_semi")
     busy = suspects.groupBy("device_id").agg(count).filter(F.col("visits") > limit)
     busy = materialise(busy)
     return None if busy.isEmpty() else busy

@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from crowdgrid.operators.clusters import known, middle
 from crowdgrid.session import materialise
 
 # Up to this many products per point the scoring stays in generated code; beyond it,
@@ -41,20 +42,27 @@ def silhouette(
     clusters_per_pass: int = CLUSTERS_PER_PASS,
     generated_terms: int = GENERATED_TERMS,
 ) -> DataFrame:
-    """One row with the mean ``silhouette``; points without a cluster are left out.
+    """One row with the mean ``silhouette``; points without a cluster, or without a number
+    in each column, are left out.
+
+    The points are taken around the middle of their bounds, which changes no distance and
+    keeps the digits of tight clusters far from the origin.
 
     The sums of at most ``clusters_per_pass`` clusters are sent to the tasks at a
     time. When there are more clusters, the distances met so far are written out and
     the next group of clusters goes on from them.
     """
     columns = list(columns)
-    known = points.filter(F.col(cluster).isNotNull()).select(
-        F.col(cluster).alias("own"), *[F.col(c).cast("double").alias(c) for c in columns]
+    usable = known(points.filter(F.col(cluster).isNotNull()), columns)
+    shift = middle(usable, columns)
+    usable = usable.select(
+        F.col(cluster).alias("own"),
+        *[(F.col(c).cast("double") - F.lit(m)).alias(c) for c, m in zip(columns, shift)],
     )
-    sums = cluster_sums(known, "own", columns)
+    sums = cluster_sums(usable, "own", columns)
     first = sums.limit(clusters_per_pass + 1).collect()
 
-    scored = known.withColumns(
+    scored = usable.withColumns(
         {
             "_a": F.lit(None).cast("double"),
             "_b": F.lit(None).cast("double"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 
@@ -21,8 +21,8 @@ from crowdgrid.session import materialise
 
 
 def last_days(days: int = 7, today: date | None = None) -> tuple[str, str]:
-    """The range from ``days`` ago to today, both included."""
-    end = today or date.today()
+    """The range from ``days`` ago to today in UTC, both included."""
+    end = today or datetime.now(timezone.utc).date()
     return (end - timedelta(days=days)).isoformat(), end.isoformat()
 
 

@@ -115,11 +115,19 @@ IN_RANGE = f"visit_date BETWEEN DATE '{START}' AND DATE '{END}'"
 RANGE = f"WITH {VISITS} SELECT {VISIT_COLUMNS}, cluster_pred FROM visits WHERE {IN_RANGE}"
 HOURS = f"""WITH {VISITS}
 SELECT date, hour, count(*) AS pings FROM visits GROUP BY date, hour"""
-NEAREST = f"WITH {VISITS} SELECT {VISIT_COLUMNS}, true AS nearest FROM visits"
+# The five separated places of the clustering checks, with the number of each.
+PLACED = """placed AS (
+  SELECT sha256('+447' || lpad(CAST(user_id AS VARCHAR), 9, '0')) AS device_id,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS date_visit,
+    50.0::DOUBLE + (user_id % 5) * 1.0::DOUBLE + (event_id % 7) * 0.001::DOUBLE AS lat_visit,
+    (-3.0)::DOUBLE + (user_id % 5) * 0.75::DOUBLE + (event_id % 11) * 0.001::DOUBLE AS lon_visit,
+    CAST(ts AS DATE) AS visit_date, CAST(user_id % 5 AS INTEGER) AS place FROM events)"""
+PLACES = f"WITH {PLACED} SELECT {VISIT_COLUMNS}, place FROM placed"
 
 SILHOUETTE = f"""{VISITS}, points AS (
-  SELECT cluster_pred AS own, lat_visit AS x, lon_visit AS y,
-    lat_visit * lat_visit + lon_visit * lon_visit AS norm FROM visits),
+  SELECT own, x, y, x * x + y * y AS norm FROM (
+    SELECT cluster_pred AS own, lat_visit - avg(lat_visit) OVER () AS x,
+      lon_visit - avg(lon_visit) OVER () AS y FROM visits)),
 sums AS (
   SELECT own AS other, count(*) AS n, sum(norm) AS psi, sum(x) AS sx, sum(y) AS sy
   FROM points GROUP BY own),
@@ -233,7 +241,7 @@ SELECT device_id, CAST((pos - 1) // {POINTS_PER_ROW} AS BIGINT) AS part,
   string_agg(CAST(CAST(lat_visit AS DECIMAL(9,6)) AS VARCHAR) || ' ' ||
     CAST(CAST(lon_visit AS DECIMAL(9,6)) AS VARCHAR), ';' ORDER BY pos) AS path
 FROM ordered GROUP BY 1, 2""",
-    "m1_kmeans_labels": NEAREST,
+    "m1_kmeans_labels": PLACES,
     "m2_fixed_centers": _nearest_label(),
     "m3_silhouette_visits": f"""WITH {SILHOUETTE}
 SELECT round(avg(score), 6) AS silhouette FROM scores""",
@@ -256,9 +264,12 @@ SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END),
 FROM sides""",
     "m5_degenerate_tables": """SELECT 'one_position' AS rows, 0 AS label, count(*) AS visits
 FROM events UNION ALL SELECT 'one_row', -1, 1::BIGINT""",
-    "m6_clustered_batches": f"""WITH {VISITS}
-SELECT {VISIT_COLUMNS}, visit_date, true AS labelled FROM visits""",
-    "m7_saved_model_scores": NEAREST,
+    "m4_chosen_k": """SELECT count(*) AS total,
+  CAST(count(DISTINCT user_id % 5) AS INTEGER) AS silhouette_max,
+  CAST(count(DISTINCT user_id % 5) AS INTEGER) AS elbow FROM events""",
+    "m6_clustered_batches": f"""WITH {PLACED}
+SELECT {VISIT_COLUMNS}, visit_date, place, 4::BIGINT AS batches FROM placed""",
+    "m7_saved_model_scores": PLACES,
     "w1_batch_visits": CLEAN,
     "w2_closed_hours": f"""WITH {COUNTS}, latest AS (SELECT max(date_visit) AS last FROM visits)
 SELECT cell, hour, date, pings FROM counts, latest

@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crowdgrid.functions.hexgrid import cell_text, with_cell, with_center
@@ -30,6 +30,7 @@ from crowdgrid.sources.testtables import (
     event_pings,
     event_visits,
     read_table,
+    stream_in_parts,
     stream_table,
 )
 from crowdgrid.streaming.ingest import ClusterBatch, run_batches, save_model, score_stream
@@ -47,6 +48,8 @@ COARSE = 8
 POINTS_PER_ROW = 50
 CENTERS = [(53.5437, -2.4377), (53.5521, -2.4371), (53.5466, -2.4302), (53.5583, -2.4291)]
 LATENESS = "1 hour"
+GROUPS = 5
+BATCHES = 4
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,26 +345,24 @@ def journey_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Clustering
 
 
-def _nearest(labelled: DataFrame, model) -> DataFrame:
-    """Visits and whether their label is that of a nearest centre."""
-    centers = [tuple(map(float, c)) for c in model.clusterCenters()]
-    own = F.lit(None).cast("double")
-    measured = labelled
-    for i, c in enumerate(centers):
-        away = sum(
-            (F.col(n) - F.lit(v)) * (F.col(n) - F.lit(v)) for n, v in zip(clusters.POSITION, c)
-        )
-        measured = measured.withColumn(f"_d{i}", away)
-        own = F.when(F.col("cluster_pred") == i, F.col(f"_d{i}")).otherwise(own)
-    least = F.least(*[f"_d{i}" for i in range(len(centers))])
-    return measured.select(*VISIT_COLUMNS, (own <= least + F.lit(1e-12)).alias("nearest"))
+def _grouped_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits in five clearly separated places."""
+    return event_visits(_events(spark, sf_dir), grouped=True)
+
+
+def _numbered(labelled: DataFrame, *batch: str) -> DataFrame:
+    """Visits with their label as the number of its cluster in the order of mean latitude."""
+    means = labelled.groupBy(*batch, "cluster_pred").agg(F.avg("lat_visit").alias("_mean"))
+    order = Window.partitionBy(*batch).orderBy("_mean")
+    ranks = means.withColumn("place", F.row_number().over(order) - 1).drop("_mean")
+    return labelled.join(F.broadcast(ranks), [*batch, "cluster_pred"])
 
 
 def kmeans_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    visits = _visits(spark, sf_dir).select(*VISIT_COLUMNS)
+    visits = _grouped_visits(spark, sf_dir).select(*VISIT_COLUMNS)
     with clusters.held_positions(visits) as (points, _):
-        model = clusters.fit(points, 5)
-    return _nearest(clusters.assign(model, visits), model)
+        model = clusters.fit(points, GROUPS)
+    return _numbered(clusters.assign(model, visits)).select(*VISIT_COLUMNS, "place")
 
 
 def fixed_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,7 +376,8 @@ def silhouette_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silhouette_library(spark: SparkSession, sf_dir: str) -> DataFrame:
-    visits = clusters.assemble(_visits(spark, sf_dir))
+    visits = _visits(spark, sf_dir)
+    visits = clusters.assemble(visits, shift=clusters.middle(visits))
     value = clusters.score(visits)
     return totals.total_visits(visits).select("total", F.round(F.lit(value), 6).alias("silhouette"))
 
@@ -389,10 +391,11 @@ def silhouette_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chosen_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    visits = _visits(spark, sf_dir)
+    """Both ways of choosing k find the five places."""
+    visits = _grouped_visits(spark, sf_dir)
     with clusters.held_positions(visits) as (points, distinct):
         scores = clusters.sweep(points, min(clusters.MAX_K, distinct))
-    picked = [F.lit(clusters.pick(scores, m)).alias(m) for m in clusters.METHODS]
+    picked = [F.lit(clusters.pick(scores, m)).alias(m) for m in ("silhouette_max", "elbow")]
     return totals.total_visits(visits).select("total", *picked)
 
 
@@ -411,23 +414,29 @@ def degenerate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stream_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = stream_in_parts(spark, _events(spark, sf_dir), scratch(spark, "parts"), BATCHES)
+    return visits_from_messages(event_messages(parts, grouped=True))
+
+
 def clustered_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole clustering stream; its labels are arbitrary, so only their range is shown."""
+    """The clustering stream over several batches; each batch finds the five places anew."""
     out, state = scratch(spark, "clustered"), scratch(spark, "checkpoint")
-    callback = ClusterBatch(path=out, choice={"max_k": 4})
-    run_batches(_stream_visits(spark, sf_dir), callback, state, once=True).awaitTermination()
-    return tables.read_visits(spark, out).select(
-        *VISIT_COLUMNS, "visit_date", F.col("cluster_pred").between(0, 3).alias("labelled")
-    )
+    callback = ClusterBatch(path=out, choice={"max_k": GROUPS + 1})
+    run_batches(_stream_grouped(spark, sf_dir), callback, state, once=True).awaitTermination()
+    stored = tables.read_visits(spark, out)
+    batches = stored.select(F.countDistinct("batch_id").alias("batches"))
+    labelled = _numbered(stored, "batch_id").select(*VISIT_COLUMNS, "visit_date", "place")
+    return labelled.join(F.broadcast(batches))
 
 
 def saved_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A model fitted on the stored visits labels the same visits as a stream."""
+    """A model fitted on the stored visits labels the same visits, streamed in batches."""
     path, out, state = (scratch(spark, n) for n in ("model", "scored", "checkpoint"))
-    model = save_model(_visits(spark, sf_dir), path, max_k=4)
-    scored = score_stream(_stream_visits(spark, sf_dir), path)
+    save_model(_grouped_visits(spark, sf_dir), path, max_k=GROUPS + 1)
+    scored = score_stream(_stream_grouped(spark, sf_dir), path)
     run_batches(scored, lambda df, _: tables.append(df, out), state, once=True).awaitTermination()
-    return _nearest(spark.read.parquet(out), model)
+    return _numbered(spark.read.parquet(out)).select(*VISIT_COLUMNS, "place")
 
 
 # Streams and markers

@@ -29,9 +29,8 @@ def builder(app_name: str = "crowdgrid") -> SparkSession.Builder:
 
 
 def pin(spark: SparkSession) -> SparkSession:
-    """Set the two settings that change results on a session someone else built."""
+    """Set the one setting that changes results on a session someone else built."""
     spark.conf.set("spark.sql.ansi.enabled", "true")
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 

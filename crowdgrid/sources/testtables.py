@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crowdgrid.functions.visits import DATE_VISIT_FORMAT, mask_device_id
+from crowdgrid.functions.visits import mask_device_id
 from crowdgrid.sources.messages import encode
 
 
@@ -26,36 +26,47 @@ def stream_table(
     return reader.parquet(sf_dir)
 
 
-def event_pings(events: DataFrame) -> DataFrame:
-    """One typed ping per event, with the field names of the wire message."""
-    ts = F.col("ts").cast("timestamp")
+def stream_in_parts(spark: SparkSession, df: DataFrame, path: str, parts: int) -> DataFrame:
+    """The whole of ``df`` written as ``parts`` files and streamed one file at a time."""
+    df.repartition(parts, *df.columns).write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def event_pings(events: DataFrame, grouped: bool = False) -> DataFrame:
+    """One typed ping per event, with the field names of the wire message.
+
+    ``grouped`` pings stand in five clearly separated places, by ``user_id % 5``. Times are
+    those of ``ts`` read as UTC, whatever the session's time zone.
+    """
+    lat, lon = (_grouped_latitude(), _grouped_longitude()) if grouped else (_latitude(), _longitude())
+    text = F.col("ts").cast("string")
     return events.select(
         _device_id(),
         F.lit("UTC+0").alias("timezone_visit"),
-        F.date_format(ts, "EEEE").alias("day_of_week_visit"),
-        (F.unix_micros(ts) / F.lit(1e6)).alias("time_stamp"),
-        _latitude(),
-        F.date_format(ts, "yyyy-MM-dd").alias("data_visit"),
-        F.date_format(ts, "HH:mm:ss").alias("time_visit"),
-        _longitude(),
+        F.date_format(F.col("ts").cast("date"), "EEEE").alias("day_of_week_visit"),
+        (_epoch_micros() / F.lit(1e6)).alias("time_stamp"),
+        lat,
+        F.substring(text, 1, 10).alias("data_visit"),
+        F.substring(text, 12, 8).alias("time_visit"),
+        lon,
     )
 
 
-def event_messages(events: DataFrame) -> DataFrame:
+def event_messages(events: DataFrame, grouped: bool = False) -> DataFrame:
     """Events as JSON messages."""
-    return encode(event_pings(events))
+    return encode(event_pings(events, grouped))
 
 
-def event_visits(events: DataFrame) -> DataFrame:
+def event_visits(events: DataFrame, grouped: bool = False) -> DataFrame:
     """Events as stored visits, ``user_id % 5`` standing in for the cluster number.
 
     ``visit_date`` comes straight from ``ts``, so a range on it reaches the scan.
     """
+    position = [_grouped_latitude(), _grouped_longitude()] if grouped else [_latitude(), _longitude()]
     return events.select(
         mask_device_id(_device_id()).alias("device_id"),
-        F.date_format(F.col("ts").cast("timestamp"), DATE_VISIT_FORMAT).alias("date_visit"),
-        _latitude(),
-        _longitude(),
+        F.substring(F.col("ts").cast("string"), 1, 19).alias("date_visit"),
+        *position,
         (F.col("user_id") % 5).cast("int").alias("cluster_pred"),
         F.col("ts").cast("date").alias("visit_date"),
     )
@@ -66,6 +77,21 @@ def _device_id() -> Column:
     return F.concat(F.lit("+447"), number).alias("device_id")
 
 
+def _epoch_micros() -> Column:
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", start, F.col("ts"))
+
+
+def _grouped_latitude() -> Column:
+    offset = (F.col("event_id") % 7) * F.lit(0.001)
+    return (F.lit(50.0) + (F.col("user_id") % 5) * F.lit(1.0) + offset).alias("lat_visit")
+
+
+def _grouped_longitude() -> Column:
+    offset = (F.col("event_id") % 11) * F.lit(0.001)
+    return (F.lit(-3.0) + (F.col("user_id") % 5) * F.lit(0.75) + offset).alias("lon_visit")
+
+
 def _latitude() -> Column:
     return (F.lit(53.55) + (F.col("user_id") % 20 - 10) * F.lit(0.001)).alias("lat_visit")
 

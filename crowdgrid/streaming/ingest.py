@@ -6,12 +6,11 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from crowdgrid.operators.clusters import assign, cluster, fit_best, is_empty
+from crowdgrid.operators.clusters import PositionModel, assign, cluster, fit_best, is_empty
 from crowdgrid.schema import CLUSTERED_COLUMNS
 from crowdgrid.sources.tables import append, write_batch
 
@@ -62,14 +61,14 @@ def run_batches(
     return writer.trigger(**timing).start()
 
 
-def save_model(history: DataFrame, path: str, **choice) -> KMeansModel | None:
+def save_model(history: DataFrame, path: str, **choice) -> PositionModel | None:
     """Fit once on stored visits and save, so that labels keep their meaning."""
     model = fit_best(history, **choice)
     if model is not None:
-        model.write().overwrite().save(path)
+        model.save(path)
     return model
 
 
 def score_stream(visits: DataFrame, model_path: str) -> DataFrame:
     """Label a stream or table of visits with a saved model; row-wise, no state."""
-    return assign(KMeansModel.load(model_path), visits).select(*CLUSTERED_COLUMNS)
+    return assign(PositionModel.load(model_path), visits).select(*CLUSTERED_COLUMNS)

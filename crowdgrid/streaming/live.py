@@ -19,23 +19,28 @@ def live_counts(
     lateness: str = "1 hour",
     place: Place = with_cell,
 ) -> DataFrame:
-    """Pings per (cell, hour, date) with a watermark.
+    """Pings per (cell, hour, date) with a watermark; rows without a position count nowhere.
 
     In append mode an hour appears once, when it can no longer change; in update
     mode it appears whenever it grows. State is one counter per open hour and cell,
     and tasks combine before the shuffle.
     """
-    timed = place(visits, resolution).withColumn(
-        "event_ts", visit_time(F.col("date_visit")).cast("timestamp")
-    )
+    placed = visits.filter(F.col("lat_visit").isNotNull() & F.col("lon_visit").isNotNull())
+    # A watermark needs an instant: the one at which UTC clocks show the time of the visit.
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", start, visit_time(F.col("date_visit")))
+    timed = place(placed, resolution).withColumn("event_ts", F.timestamp_micros(micros))
     counted = (
         timed.withWatermark("event_ts", lateness)
         .groupBy(F.window("event_ts", "1 hour"), "cell")
         .agg(F.count(F.lit(1)).alias("pings"))
     )
-    start = F.col("window.start")
+    hours = F.floor(F.unix_seconds("window.start") / 3600)
     return counted.select(
-        "cell", F.hour(start).alias("hour"), F.to_date(start).alias("date"), "pings"
+        "cell",
+        F.pmod(hours, F.lit(24)).cast("int").alias("hour"),
+        F.date_from_unix_date(F.floor(hours / 24).cast("int")).alias("date"),
+        "pings",
     )
 
 

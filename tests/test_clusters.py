@@ -156,3 +156,62 @@ def test_silhouette_equals_the_evaluator(spark):
 def test_silhouette_without_points(spark):
     df, _, names = labelled(spark)
     assert silhouette(df.limit(0), "c", names).first().silhouette is None
+
+
+def tight(spark, spread, copies=1):
+    """Three blobs a few metres apart, far from the origin, each point repeated."""
+    rng = random.Random(9)
+    points = [
+        (53.55 + 4 * spread * c + rng.gauss(0, spread / 20), -2.4333 + rng.gauss(0, spread / 20))
+        for c in range(3)
+        for _ in range(60)
+    ]
+    rows = [("d", "2024-01-01 00:00:00", *p) for p in points]
+    return spark.createDataFrame(rows * copies, SCHEMA), points
+
+
+@pytest.mark.parametrize(("spread", "copies"), [(1e-4, 1), (1e-4, 200), (1e-5, 200), (1e-6, 50)])
+def test_tight_positions_keep_their_score_and_k(spark, spread, copies):
+    df, points = tight(spark, spread, copies)
+    assert clusters.select_k(df, max_k=6) == 3
+    labelled_ = clusters.cluster(df, max_k=6).cache()
+    value = silhouette(labelled_, "cluster_pred", clusters.POSITION).first().silhouette
+    rows = [(i // 60, *p) for i, p in enumerate(points)]
+    if copies == 1:
+        assert value == pytest.approx(brute_force(rows), abs=1e-6)
+    assert 0.9 < value <= 1
+
+
+def test_null_and_nan_points_leave_both_forms_alike(spark):
+    rows = [(0, 1.0, 1.0), (0, 1.1, 1.0), (1, 5.0, 5.0), (1, 5.1, 5.0), (1, None, 5.0), (0, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "c int, x double, y double")
+    want = brute_force(rows[:4])
+    for terms in (0, 1000):
+        value = silhouette(df, "c", ["x", "y"], generated_terms=terms).first().silhouette
+        assert value == pytest.approx(want, abs=1e-9)
+
+
+def test_scores_that_are_not_finite_are_left_out():
+    scores = [{"k": 2, "cost": 1.0, "silhouette": 0.5}, {"k": 3, "cost": 1.0, "silhouette": None}]
+    assert clusters.pick(scores) == 2
+
+
+def test_fits_do_not_depend_on_the_session(spark, blobs):
+    found = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "4", "32"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            with clusters.held_positions(blobs.repartition(int(n))) as (points, _):
+                found.append([tuple(round(x, 9) for x in c) for c in clusters.fit(points, 6).clusterCenters()])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2]
+
+
+def test_saved_models_keep_their_shift(spark, blobs, tmp_path):
+    model = clusters.fit_best(blobs, max_k=3)
+    model.save(str(tmp_path / "m"))
+    again = clusters.PositionModel.load(str(tmp_path / "m"))
+    assert again.clusterCenters() == model.clusterCenters()
+    assert again.shift == model.shift and any(again.shift)

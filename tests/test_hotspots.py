@@ -3,6 +3,8 @@
 import datetime
 import statistics
 
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,5 +163,27 @@ def test_messages_are_read_once_on_the_way_to_the_report(spark, sf_dir):
 
     report = hotspots.hotspots(batch_visits(spark, sf_dir))
     plan = report._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json") == plan.count("from_unixtime") == 1
+    assert plan.count("from_json") == plan.count("make_dt_interval") == 1
     assert "sha2" not in plan
+
+
+@pytest.mark.parametrize("sigma", [2**0.5, 1 / 3, 2.5758, 1e-10, 2, "1.5", 37.123456789012345])
+def test_any_sigma_on_small_and_huge_counts(spark, sigma):
+    days = [5, 900, 7, 6, 5, 8, 900, 10**12, 10**12 - 1, 10**12]
+    rows = [("c", h, d, p + h) for h in range(3) for d, p in enumerate(days[: 4 + 3 * h])]
+    df = spark.createDataFrame(rows, "cell string, hour int, date int, pings long")
+    for r in hotspots.with_flags(df, sigma).collect():
+        own = [p for c, h, d, p in rows if h == r.hour]
+        n, total = len(own), sum(own)
+        excess = n * r.pings - total
+        moment = n * sum(p * p for p in own) - total**2
+        want = excess > 0 and excess**2 * (n - 1) > Fraction(str(sigma)) ** 2 * n * moment
+        assert r.alert == want
+
+
+def test_exact_ties_stay_exact(spark):
+    # mean 3, deviation exactly 2: 5 lies on the line for sigma 1 and is no alert.
+    rows = [("c", 1, d, p) for d, p in enumerate([1, 5, 1, 5, 3])]
+    df = spark.createDataFrame(rows, "cell string, hour int, date int, pings long")
+    assert not any(r.alert for r in hotspots.with_flags(df, 1).collect())
+    assert sum(r.alert for r in hotspots.with_flags(df, "0.999999999999").collect()) == 2

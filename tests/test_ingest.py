@@ -179,3 +179,20 @@ def test_random_messages_against_a_model(spark):
     got = visits_from_messages(messages(spark, [text for text, _ in pairs])).collect()
     want = [visit for _, visit in pairs if visit is not None]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    from crowdgrid.functions.visits import epoch_to_text
+
+    epochs = ["1731655224.390121", "-62135596800", "253402300799.9", "0", "-0.5", "1e300", "NaN", "x", None]
+    df = spark.createDataFrame([(e,) for e in epochs], "e string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        got = [r.t for r in df.select(epoch_to_text(df.e).alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [
+        "2024-11-15 07:20:24", "0001-01-01 00:00:00", "9999-12-31 23:59:59", "1970-01-01 00:00:00",
+        "1969-12-31 23:59:59", None, None, None, None,
+    ]

@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the supplied tables."""
 
 import pytest
+from pyspark.sql import functions as F
 from compare import connect, spark_rows, sql_rows
 
 from crowdgrid.plans.oracles import ORACLES
@@ -21,9 +22,17 @@ def test_query_matches_sql(spark, sf_dir, con, name):
     assert spark_rows(QUERIES[name](spark, sf_dir)) == sql_rows(con, ORACLES[name])
 
 
-def test_chosen_k_lies_in_the_sweep(spark, sf_dir):
-    row = QUERIES["m4_chosen_k"](spark, sf_dir).first()
-    assert all(2 <= row[m] <= 10 for m in ("silhouette_max", "argmin_silhouette", "elbow"))
+def test_the_checks_see_the_fit(spark, sf_dir, con, monkeypatch):
+    """A fit on five rows, and a label that is always the same, do not match the SQL."""
+    from crowdgrid.operators import clusters
+
+    name, real = "m1_kmeans_labels", clusters.fit
+    with monkeypatch.context() as m:
+        m.setattr(clusters, "fit", lambda points, k: real(points.limit(5), 2))
+        assert spark_rows(QUERIES[name](spark, sf_dir)) != sql_rows(con, ORACLES[name])
+    with monkeypatch.context() as m:
+        m.setattr(clusters, "assign", lambda model, v: v.withColumn("cluster_pred", F.lit(0)))
+        assert spark_rows(QUERIES[name](spark, sf_dir)) != sql_rows(con, ORACLES[name])
 
 
 def test_entry_runs(spark):
