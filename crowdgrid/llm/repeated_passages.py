@@ -33,6 +33,8 @@ from crowdgrid.session import materialise
 
 WINDOW = 35
 PHRASE = 8
+# Bytes of text that a task holds as words at a time; one longer text is held whole.
+SLICE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _PLACE_BITS = np.uint64(30)
@@ -57,10 +59,9 @@ class Run:
     def __init__(self, documents: list[list[bytes]]) -> None:
         self.lengths = np.array([len(d) for d in documents], dtype=np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]]).astype(np.int64)
-        hashes = np.array(
-            [xxhash.xxh64_intdigest(w) for d in documents for w in d], dtype=np.uint64
-        )
-        self.total = len(hashes)
+        self.total = int(self.lengths.sum())
+        each = (xxhash.xxh64_intdigest(w) for d in documents for w in d)
+        hashes = np.fromiter(each, dtype=np.uint64, count=self.total)
         powers = np.ones(self.total + 1, dtype=np.uint64)
         powers[1:] = _BASE
         back = np.ones(self.total + 1, dtype=np.uint64)
@@ -122,7 +123,7 @@ def reference_blocks(docs: DataFrame, window: int) -> DataFrame:
     """Every block of every row: anchor, whole, c1, c2, first, last (window starts)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches):
+        for batch in in_slices(batches, most_bytes=SLICE):
             run = Run([words(t.as_py()) for t in batch.column("text")])
             document, first, last, anchor, whole = run.blocks(window)
             take = pa.array(document)
@@ -151,7 +152,7 @@ def _boundary_windows(docs: DataFrame, asked: DataFrame, window: int) -> DataFra
     found = _identified(docs).join(lists, IDENTITY).dropDuplicates(IDENTITY)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches):
+        for batch in in_slices(batches, most_bytes=SLICE):
             run = Run([words(t.as_py()) for t in batch.column("text")])
             parts = []
             for row, blocks in enumerate(batch.column("asked")):
@@ -260,7 +261,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:int,stop:int>>"
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches):
+        for batch in in_slices(batches, most_bytes=SLICE):
             n_words, n_removed, digests, spans = [], [], [], []
             for text, found in zip(batch.column("text"), batch.column("spans")):
                 all_words, gone = words(text.as_py()), merged(found.as_py())
