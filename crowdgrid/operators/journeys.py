@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crowdgrid.session import materialise
+from crowdgrid.session import materialise, scratch
 from crowdgrid.sources.tables import VIEW_NAME
 
 ORDER = ["date_visit", "lat_visit", "lon_visit"]
@@ -72,44 +72,39 @@ def ordered_points(
     a struct of the next point that is NULL on the last one.
 
     Most devices fit one task: their visits move once, by device. A device with
-    more than ``busy_visits`` visits is cut into blocks by range instead.
+    more than ``busy_visits`` visits is cut into blocks by range instead. The input is
+    read twice: to count the visits of each device, and to order them.
     """
     known = visits.filter(F.col("device_id").isNotNull()).select(*POINT)
-    busy = _busy_devices(known, visits.count(), busy_visits)
-    if busy is None:
-        return _points_by_device(known)
+    busy = _busy_slots(known, busy_visits)
     total, several = busy.agg(F.sum("visits"), F.count(F.lit(1))).first()
-    names = busy.select("device_id")
-    names = F.broadcast(names) if several <= MAX_BROADCAST else names
-    quiet = _points_by_device(known.join(names, "device_id", "left_anti"))
+    if not several:
+        return _points_by_device(known)
+    routed = _routed(known, F.broadcast(busy) if several <= MAX_BROADCAST else busy)
     blocks = -(-total // block_visits)
-    return quiet.unionByName(_points_by_block(known.join(names, "device_id", "left_semi"), blocks))
+    quiet = _points_by_device(routed.filter("NOT busy").drop("busy"))
+    return quiet.unionByName(_points_by_block(routed.filter("busy").drop("busy"), blocks))
 
 
-def _busy_devices(visits: DataFrame, total: int, busy_visits: int) -> DataFrame | None:
-    """Devices with more visits than one task should hold, or None.
+def _busy_slots(visits: DataFrame, limit: int) -> DataFrame:
+    """Hashes of devices with more visits than one task should hold.
 
-    At most ``total / limit`` devices can exceed the limit. Visits are first counted in slots of hashed devices, on a narrow key
-    that combines well: a slot within the limit cannot hold a busy device, and only
-    the devices of fuller slots are counted one by one.
+    Tasks combine on a key of eight bytes. Devices of one hash are busy together, which
+    changes nothing but the way they are ordered. At most ``total / limit`` hashes remain.
     """
-    limit = busy_visits
-    if total <= limit:
-        return None
-    slots = max(1024, 8 * total // limit)
-    slotted = visits.select(
-        "device_id", F.pmod(F.xxhash64("device_id"), F.lit(slots)).alias("slot")
-    )
-    count = F.count(F.lit(1)).alias("visits")
-    full = slotted.groupBy("slot").agg(count).filter(F.col("visits") > limit)
-    full = materialise(full.select("slot"))
-    if full.isEmpty():
-        return None
-    full = F.broadcast(full) if full.count() <= MAX_BROADCAST else full
-    suspects = slotted.join(full, "slot", "left_semi")
-    busy = suspects.groupBy("device_id").agg(count).filter(F.col("visits") > limit)
-    busy = materialise(busy)
-    return None if busy.isEmpty() else busy
+    counted = visits.groupBy(F.xxhash64("device_id").alias("slot"))
+    counted = counted.agg(F.count(F.lit(1)).alias("visits"))
+    return materialise(counted.filter(F.col("visits") > limit))
+
+
+def _routed(visits: DataFrame, busy: DataFrame) -> DataFrame:
+    """The visits with ``busy``, stored apart by it, so that the input is read once for both."""
+    path = scratch(visits.sparkSession, "routed")
+    marks = busy.select(F.col("slot").alias("_slot"), F.lit(True).alias("busy"))
+    marked = visits.join(marks, F.xxhash64("device_id") == F.col("_slot"), "left").drop("_slot")
+    marked = marked.withColumn("busy", F.coalesce("busy", F.lit(False)))
+    marked.write.partitionBy("busy").parquet(path)
+    return visits.sparkSession.read.schema(marked.schema).parquet(path)
 
 
 def _points_by_device(visits: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from crowdgrid.plans.queries import (
     DEVICE,
     END,
     POINTS_PER_ROW,
+    SPLIT,
     START,
     SUBSTITUTION,
     THRESHOLD,
@@ -33,7 +34,7 @@ PINGS = """pings AS (
 VISITS = f"""{PINGS}, visits AS (
   SELECT sha256(device_id) AS device_id,
     strftime(ts, '%Y-%m-%d %H:%M:%S') AS date_visit,
-    lat_visit, lon_visit,
+    lat_visit, lon_visit, user_id,
     CAST(user_id % 5 AS INTEGER) AS cluster_pred,
     CAST(ts AS DATE) AS visit_date,
     CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour
@@ -166,9 +167,12 @@ FROM pings""",
     "s3_append_table": f"""WITH {VISITS}
 SELECT {VISIT_COLUMNS}, cluster_pred, visit_date FROM visits""",
     "s4_micro_batches": f"WITH {VISITS} SELECT {VISIT_COLUMNS}, visit_date FROM visits",
+    "s4_compacted_batches": f"WITH {VISITS} SELECT {VISIT_COLUMNS}, visit_date FROM visits",
     "s5_encode_round_trip": CLEAN,
     "s6_view_scan": f"""WITH {VISITS}
 SELECT lat_visit, lon_visit, date_visit, cluster_pred FROM visits WHERE {IN_RANGE}""",
+    "s6_connector_round_trip": f"""WITH {VISITS}
+SELECT {VISIT_COLUMNS}, cluster_pred, visit_date FROM visits""",
     "p1_masked_ids": f"WITH {PINGS} SELECT time_stamp, sha256(device_id) AS device_id FROM pings",
     "p2_substituted_ids": f"""WITH {PINGS}
 SELECT time_stamp, sha256(translate(device_id, '{SUBSTITUTION[0]}', '{SUBSTITUTION[1]}'))
@@ -275,6 +279,15 @@ SELECT {VISIT_COLUMNS}, visit_date, place, 4::BIGINT AS batches FROM placed""",
 SELECT cell, hour, date, pings FROM counts, latest
 WHERE CAST(date AS TIMESTAMP) + to_hours(CAST(hour + 1 AS INTEGER))
   <= CAST(last AS TIMESTAMP) - INTERVAL 1 HOUR""",
+    "w2_late_hours": f"""WITH {_cells()}, timed AS (
+  SELECT *, CAST(date AS TIMESTAMP) + to_hours(CAST(hour + 1 AS INTEGER)) AS closes,
+    date_visit < '{SPLIT}' AS early, user_id % 2 = 1 AS odd FROM placed),
+marks AS (
+  SELECT max(CAST(date_visit AS TIMESTAMP)) FILTER (early AND NOT odd) - INTERVAL 1 HOUR AS first,
+    max(CAST(date_visit AS TIMESTAMP)) - INTERVAL 1 HOUR AS last FROM timed)
+SELECT cell, hour, date, count(*) AS pings FROM timed, marks
+WHERE closes <= last AND (NOT (early AND odd) OR first IS NULL OR closes > first)
+GROUP BY cell, hour, date""",
     "w2_open_hours": f"WITH {COUNTS} SELECT cell, hour, date, pings FROM counts",
     "v1_heat_markers": f"""WITH {_flags()}, {AXES_OF_CELL}
 SELECT cell, hour, date, {_center()},

@@ -50,6 +50,7 @@ CENTERS = [(53.5437, -2.4377), (53.5521, -2.4371), (53.5466, -2.4302), (53.5583,
 LATENESS = "1 hour"
 GROUPS = 5
 BATCHES = 4
+SPLIT = "2024-01-15 00:00:00"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,6 +131,32 @@ def micro_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_visits(spark, out).select(*VISIT_COLUMNS, "visit_date")
 
 
+def compacted_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several batches, compacted twice with replays between; every visit is there once."""
+    out, state = scratch(spark, "compacted"), scratch(spark, "checkpoint")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        tables.write_batch(batch, batch_id, out)
+        if batch_id == BATCHES - 2:
+            tables.compact(spark, out)
+            tables.write_batch(batch, 0, out)
+        tables.write_batch(batch, batch_id, out)
+
+    parts = stream_in_parts(spark, _events(spark, sf_dir), scratch(spark, "parts"), BATCHES)
+    visits = visits_from_messages(event_messages(parts))
+    run_batches(visits, keep, state, once=True).awaitTermination()
+    tables.compact(spark, out, full=True)
+    tables.tidy(spark, out)
+    return tables.read_visits(spark, out).select(*VISIT_COLUMNS, "visit_date")
+
+
+def connector_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits appended through a connector and read back with the same options."""
+    through = {"fmt": "json", "options": {"path": scratch(spark, "connector")}}
+    tables.append(_visits(spark, sf_dir), **through)
+    return tables.read_visits(spark, **through).select(*CLUSTERED_COLUMNS, "visit_date")
+
+
 def encode_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visits_from_messages(msg.encode(event_pings(_events(spark, sf_dir))))
 
@@ -453,6 +480,20 @@ def closed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(counts.schema).parquet(out)
 
 
+def late_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts of a stream stopped and resumed: before SPLIT, users of odd numbers come
+    after all others, and count only where their hour is still open."""
+    inbox, out, state = (scratch(spark, n) for n in ("late", "live", "checkpoint"))
+    events = _events(spark, sf_dir)
+    early, odd = F.col("ts") < F.lit(SPLIT).cast("timestamp_ntz"), F.col("user_id") % 2 == 1
+    for part in (early & ~odd, early & odd, ~early):
+        events.filter(part).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(events.schema).parquet(inbox)
+        counts = live_counts(visits_from_messages(event_messages(stream)), lateness=LATENESS)
+        store_counts(counts, out, state, once=True).awaitTermination()
+    return spark.read.schema(counts.schema).parquet(out)
+
+
 def open_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update mode over the whole table: every hour, the open ones too, as last reported."""
     out, state = scratch(spark, "open"), scratch(spark, "checkpoint")
@@ -481,8 +522,10 @@ QUERIES: dict[str, Query] = {
     "s2_malformed_messages": malformed_messages,
     "s3_append_table": append_table,
     "s4_micro_batches": micro_batches,
+    "s4_compacted_batches": compacted_batches,
     "s5_encode_round_trip": encode_round_trip,
     "s6_view_scan": view_scan,
+    "s6_connector_round_trip": connector_round_trip,
     "p1_masked_ids": masked_ids,
     "p2_substituted_ids": substituted_ids,
     "p3_epoch_texts": epoch_texts,
@@ -530,6 +573,7 @@ QUERIES: dict[str, Query] = {
     "m7_saved_model_scores": saved_model_scores,
     "w1_batch_visits": batch_visits,
     "w2_closed_hours": closed_hours,
+    "w2_late_hours": late_hours,
     "w2_open_hours": open_hours,
     "v1_heat_markers": heat_markers,
     "v2_journey_markers": journey_markers,

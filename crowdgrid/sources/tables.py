@@ -1,7 +1,17 @@
-"""The stored visit table: appending, idempotent micro-batch writes, scans and views."""
+"""The stored visit table: appending, idempotent micro-batch writes, scans and views.
+
+Micro-batches land in the folder of the table, each in its own (visit_date, batch_id)
+partitions. ``compact`` publishes closed batches as segments, partitioned by date only, in a
+folder below that plain reads of the table pass over. A one-row entry in the log of segments
+makes a segment count, and from then on its landed batches do not. ``tidy`` removes those.
+"""
 
 from __future__ import annotations
 
+import os
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +19,10 @@ from crowdgrid.schema import STORED_VISIT_SCHEMA
 
 VIEW_NAME = "visits"
 
+# Folders below a table whose names plain reads of it pass over.
+SEGMENTS = "_segments"
+SEGMENT_LOG = "_segment_log"
+
 # Lookups of one device skip the row groups whose filter rules it out; the adaptive
 # filter is no larger than its devices need.
 DEVICE_INDEX = {
@@ -47,8 +61,13 @@ def write_batch(df: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -
     """Write one micro-batch so that writing it again replaces it.
 
     A batch owns its (visit_date, batch_id) partitions; the same offsets give the
-    same dates, so a replay overwrites exactly what the first try left behind.
+    same dates, so a replay overwrites exactly what the first try left behind. A replay of
+    a published batch writes nothing, as its rows are there. A stream that starts with a
+    new checkpoint numbers its batches anew and therefore needs a new table.
     """
+    segments = _segments(df.sparkSession, path)
+    if segments and batch_id <= segments[-1][1]:
+        return
     owned = with_visit_date(df).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     (
         _laid_out(owned, "visit_date", "batch_id")
@@ -61,11 +80,119 @@ def write_batch(df: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -
     )
 
 
+def compact(
+    spark: SparkSession, path: str, through: int | None = None, full: bool = False
+) -> int | None:
+    """Publish the landed batches up to ``through`` as one segment partitioned by date.
+
+    By default that is every batch but the latest, which may still be written. With
+    ``full`` the earlier segments are merged in, so that the number of files depends on the
+    dates alone. Run one compaction at a time; a failed one is simply run again. Returns the
+    last batch that is published, or None.
+    """
+    segments = _segments(spark, path)
+    done = segments[-1][1] if segments else None
+    try:
+        landed = _landed(spark, path, "parquet", done)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return done
+    first, latest = landed.agg(F.min("batch_id"), F.max("batch_id")).first()
+    last = through if through is not None else None if latest is None else latest - 1
+    fresh = latest is not None and first <= last
+    if not fresh and not (full and len(segments) > 1):
+        return done
+    rows = [landed.filter(F.col("batch_id") <= last)] if fresh else []
+    low, high = (first, min(last, latest)) if fresh else segments[0]
+    if full and segments:
+        rows += [_published(spark, path, s) for s in segments]
+        low, high = segments[0][0], max(high, done)
+    segment = reduce(DataFrame.unionByName, rows)
+    target = os.path.join(path, SEGMENTS, f"{low}-{high}")
+    writer = _laid_out(segment, "visit_date").write.options(**DEVICE_INDEX).mode("overwrite")
+    writer.partitionBy("visit_date").option("partitionOverwriteMode", "static").parquet(target)
+    entry = spark.range(1, numPartitions=1).select(F.lit(low).alias("low"), F.lit(high).alias("high"))
+    entry.write.mode("append").parquet(os.path.join(path, SEGMENT_LOG))
+    return high
+
+
+def tidy(spark: SparkSession, path: str) -> int:
+    """Remove published batches from the landing folder, and merged segments.
+
+    Call it when no reader that started before the last compaction is left. Returns the
+    number of folders removed.
+    """
+    segments = _segments(spark, path)
+    if not segments:
+        return 0
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def folders(pattern: str) -> list:
+        found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, pattern)))
+        return [status.getPath() for status in found or []]
+
+    landed = folders("visit_date=*/batch_id=*")
+    gone = [f for f in landed if int(f.getName().split("=")[1]) <= segments[-1][1]]
+    live = {f"{low}-{high}" for low, high in segments}
+    gone += [f for f in folders(os.path.join(SEGMENTS, "*")) if f.getName() not in live]
+    return sum(files.delete(f, True) for f in gone)
+
+
+def _segments(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """First and last batch of every segment that no larger one contains, in order."""
+    try:
+        log = spark.read.schema("low long, high long").parquet(os.path.join(path, SEGMENT_LOG))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    live: list[tuple[int, int]] = []
+    for low, high in sorted({(r.low, r.high) for r in log.collect()}, key=lambda s: (s[0], -s[1])):
+        if not live or high > live[-1][1]:
+            live.append((low, high))
+    return live
+
+
+def _landed(spark: SparkSession, path: str, fmt: str, done: int | None) -> DataFrame:
+    landed = spark.read.format(fmt).schema(STORED_VISIT_SCHEMA).load(path)
+    return landed if done is None else landed.filter(F.col("batch_id") > done)
+
+
+def _published(spark: SparkSession, path: str, segment: tuple[int, int]) -> DataFrame:
+    folder = os.path.join(path, SEGMENTS, f"{segment[0]}-{segment[1]}")
+    stored = spark.read.schema(STORED_VISIT_SCHEMA).parquet(folder)
+    return stored.select(*STORED_VISIT_SCHEMA.names)
+
+
 def read_visits(
-    spark: SparkSession, path: str, columns: list[str] | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str | None = None,
+    columns: list[str] | None = None,
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Scan the table written by ``write_batch`` with its declared schema."""
-    table = spark.read.format(fmt).schema(STORED_VISIT_SCHEMA).load(path)
+    """Scan the visit table with its declared schema; published batches count once.
+
+    Without a ``path`` the rows come through the connector ``fmt`` and its ``options``, as
+    ``append`` wrote them; columns it does not have are NULL.
+    """
+    if path is None:
+        loaded = spark.read.format(fmt).options(**(options or {})).load()
+        table = loaded.select(
+            *[
+                (F.col(f.name) if f.name in loaded.columns else F.lit(None))
+                .cast(f.dataType)
+                .alias(f.name)
+                for f in STORED_VISIT_SCHEMA
+            ]
+        )
+    else:
+        segments = _segments(spark, path)
+        table = _landed(spark, path, fmt, segments[-1][1] if segments else None)
+        for segment in segments:
+            table = table.unionByName(_published(spark, path, segment))
     return table.select(*columns) if columns else table
 
 

@@ -19,11 +19,9 @@ TRIGGER = "10 seconds"
 
 
 @dataclass
-class ClusterBatch:
-    """Callback that clusters one micro-batch and writes it to the visit table.
+class StoreBatch:
+    """Callback that writes one micro-batch to the visit table under its ``batch_id``.
 
-    The batch is persisted, so its messages are read and parsed once. Each batch
-    has its own cluster numbers and is stored under its own ``batch_id``.
     With ``connector`` the rows are appended through that format instead of to files;
     a replay may then store a batch twice, under the same ``batch_id``.
     """
@@ -31,19 +29,30 @@ class ClusterBatch:
     path: str | None = None
     connector: str | None = None
     options: dict[str, str] = field(default_factory=dict)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.connector:
+            numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            append(numbered, None, self.connector, self.options)
+        else:
+            write_batch(batch, batch_id, self.path)
+
+
+@dataclass
+class ClusterBatch(StoreBatch):
+    """The same after clustering the batch.
+
+    The batch is persisted, so its messages are read and parsed once. Each batch
+    has its own cluster numbers.
+    """
+
     choice: dict = field(default_factory=dict)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         held = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if is_empty(held):
-                return
-            rows = cluster(held, **self.choice).select(*CLUSTERED_COLUMNS)
-            if self.connector:
-                numbered = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                append(numbered, None, self.connector, self.options)
-            else:
-                write_batch(rows, batch_id, self.path)
+            if not is_empty(held):
+                super().__call__(cluster(held, **self.choice).select(*CLUSTERED_COLUMNS), batch_id)
         finally:
             held.unpersist()
 

@@ -110,6 +110,20 @@ def test_quiet_devices_move_once(visits):
     assert "Join" not in plan
 
 
+@pytest.mark.parametrize("sizes", SIZES)
+def test_the_input_is_read_twice_at_most(spark, sizes):
+    rows = spark.createDataFrame(fixture_rows(), SCHEMA).repartition(4)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    journeys.journey_segments(rows.mapInArrow(counted, SCHEMA), **sizes).collect()
+    assert read.value <= 2 * len(fixture_rows())
+
+
 def test_markers(visits):
     rows = markers.journey_markers(journeys.device_visits(visits, "single")).collect()
     assert [r.popup for r in rows] == [

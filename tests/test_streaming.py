@@ -203,6 +203,50 @@ def test_submit_script(spark, inbox, tmp_path):
     assert [r.device_id for r in rows] == [hashlib.sha256(b"e").hexdigest()] * 5
 
 
+def test_submit_script_saved_model_and_counts(spark, tmp_path, sf_dir):
+    events = read_table(spark, sf_dir, "events")
+    visits = event_visits(events).select(*CLUSTERED_COLUMNS)
+    folder = {n: str(tmp_path / n) for n in ("inbox", "history", "model", "out", "hours", "s1", "s2")}
+    tables.write_batch(visits, 0, folder["history"])
+    ingest_job.main(
+        ["--mode", "fit", "--table", folder["history"], "--model", folder["model"], "--max-k", "3"]
+    )
+    publish(event_pings(events), "text", folder["inbox"])
+    source = ["--source", "text", "--path", folder["inbox"], "--once"]
+    ingest_job.main(
+        ["--mode", "score", *source, "--model", folder["model"], "--table", folder["out"],
+         "--checkpoint", folder["s1"]]
+    )
+    scored = tables.read_visits(spark, folder["out"])
+    assert scored.count() == visits.count() and scored.filter("cluster_pred IS NULL").isEmpty()
+    ingest_job.main(
+        ["--mode", "counts", *source, "--table", folder["hours"], "--checkpoint", folder["s2"]]
+    )
+    hours = spark.read.parquet(folder["hours"])
+    assert 0 < hours.agg({"pings": "sum"}).first()[0] <= visits.count()
+
+
+@pytest.mark.parametrize("mode", ["fit", "score"])
+def test_saved_model_modes_need_a_model(mode):
+    with pytest.raises(SystemExit):
+        ingest_job.arguments(
+            ["--mode", mode, "--source", "text", "--table", "t", "--checkpoint", "c"]
+        )
+
+
+def test_submit_script_bounds_a_batch(monkeypatch, spark):
+    seen = {}
+    monkeypatch.setattr(
+        ingest_job, "read_messages", lambda s, source, options, path: seen.update(options) or s.range(0)
+    )
+    monkeypatch.setattr(ingest_job, "visits_from_messages", lambda messages, substitution: messages)
+    ingest_job._visits(spark, ingest_job.arguments(
+        ["--checkpoint", "c", "--table", "t", "--bootstrap", "h:1", "--topic", "x",
+         "--max-messages", "500"]
+    ))
+    assert seen["maxOffsetsPerTrigger"] == "500" and seen["subscribe"] == "x"
+
+
 def test_submit_script_arguments():
     with pytest.raises(SystemExit):
         ingest_job.arguments(["--checkpoint", "c", "--table", "t"])

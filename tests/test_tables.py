@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crowdgrid.operators import hotspots, journeys
-from crowdgrid.schema import CLUSTERED_COLUMNS
+from crowdgrid.schema import CLUSTERED_COLUMNS, STORED_VISIT_SCHEMA
 from crowdgrid.session import SETTINGS, pin, scratch, shared_dir
 from crowdgrid.sources import tables
 from crowdgrid.sources.testtables import event_visits, read_table
@@ -42,6 +42,71 @@ def test_writing_a_batch_again_changes_nothing(spark, visits):
     assert {r.batch_id: r["count"] for r in counted} == {3: visits.count(), 4: visits.count()}
 
 
+def files_of(spark, path):
+    stored = tables.read_visits(spark, path).select(F.input_file_name().alias("file"))
+    return stored.distinct().count()
+
+
+def test_compaction_returns_each_visit_once(spark, visits):
+    path = scratch(spark, "compacted")
+    parts = visits.randomSplit([1.0] * 5, seed=7)
+    dates = visits.select(F.substring("date_visit", 1, 10)).distinct().count()
+
+    def right(batches):
+        got = tables.read_visits(spark, path).groupBy("batch_id").count().collect()
+        return {r.batch_id: r["count"] for r in got} == {b: parts[b].count() for b in batches}
+
+    assert tables.compact(spark, path) is None
+    for b in range(3):
+        tables.write_batch(parts[b], b, path)
+    before = files_of(spark, path)
+    assert tables.compact(spark, path) == 1 and right(range(3))
+    assert tables.compact(spark, path) == 1 and right(range(3))
+    for b in (0, 2, 1):  # replays of published batches and of the latest
+        tables.write_batch(parts[b], b, path)
+    assert right(range(3))
+    assert tables.tidy(spark, path) > 0 and right(range(3))
+    tables.write_batch(parts[1], 1, path)
+    for b in (3, 4):
+        tables.write_batch(parts[b], b, path)
+    assert tables.compact(spark, path) == 3 and right(range(5))
+    assert tables.compact(spark, path, through=4, full=True) == 4 and right(range(5))
+    tables.tidy(spark, path)
+    assert right(range(5)) and tables.tidy(spark, path) == 0
+    assert files_of(spark, path) == dates < before
+
+
+def test_a_failed_compaction_changes_nothing(spark, visits):
+    path = scratch(spark, "failed")
+    for b in range(2):
+        tables.write_batch(visits, b, path)
+    # A segment whose entry was never written, as after a crash.
+    orphan = os.path.join(path, tables.SEGMENTS, "0-0")
+    tables.with_visit_date(visits).write.partitionBy("visit_date").parquet(orphan)
+    assert tables.read_visits(spark, path).count() == 2 * visits.count()
+    assert tables.compact(spark, path) == 0
+    assert tables.read_visits(spark, path).count() == 2 * visits.count()
+
+
+def test_compacted_dates_prune_partitions(spark, visits):
+    path = scratch(spark, "pruned")
+    for b in range(2):
+        tables.write_batch(visits, b, path)
+    tables.compact(spark, path)
+    kept = hotspots.date_range(tables.read_visits(spark, path), "2024-01-05", "2024-01-06")
+    scans = plan(kept).split("PartitionFilters: [")[1:]
+    assert len(scans) == 2 and all("isnotnull(visit_date" in s.split("]")[0] for s in scans)
+
+
+def test_read_back_through_a_connector(spark, visits):
+    through = {"fmt": "json", "options": {"path": scratch(spark, "connector")}}
+    tables.append(visits, **through)
+    back = tables.read_visits(spark, **through)
+    assert back.columns == STORED_VISIT_SCHEMA.names and back.filter("batch_id IS NULL").count()
+    assert back.select(*CLUSTERED_COLUMNS).exceptAll(visits).isEmpty()
+    assert back.count() == visits.count()
+
+
 def test_visits_without_a_time_are_stored(spark, visits):
     path = scratch(spark, "untimed")
     tables.write_batch(visits.limit(5).withColumn("date_visit", F.lit(None).cast("string")), 0, path)
