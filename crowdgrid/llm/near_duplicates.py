@@ -39,6 +39,7 @@ DEPTHS = (4, 6, 8)
 SKETCH = 64
 # Members of a region that may all be paired.
 REGION = 16
+HELD = 1 << 19  # shingles that a task keeps from earlier pairs
 WIDTH = 2  # bytes of a min-hash in an order
 _MASK = (1 << 64) - 1
 _rng = np.random.default_rng(20)
@@ -61,7 +62,8 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
         return np.zeros(0, dtype=np.uint64)
-    hashes = np.array([xxhash.xxh64_intdigest(w) for w in found], dtype=np.uint64)
+    each = (xxhash.xxh64_intdigest(w) for w in found)
+    hashes = np.fromiter(each, dtype=np.uint64, count=len(found))
     taken = min(words, len(found))
     out = np.full(len(found) - taken + 1, taken, dtype=np.uint64)
     for i in range(taken):
@@ -72,8 +74,8 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The least permuted hash of the set, for each function of the forest."""
     least = np.full(len(_FACTORS), _MASK, dtype=np.uint64)
-    for at in range(0, len(shingles), 4096):
-        part = shingles[at : at + 4096, None]
+    for at in range(0, len(shingles), 1024):
+        part = shingles[at : at + 1024, None]
         least = np.minimum(least, (part * _FACTORS + _SHIFTS).min(axis=0))
     return _mixed(least)
 
@@ -217,12 +219,15 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: OrderedDict[int, np.ndarray] = OrderedDict()
+        size = 0
 
         def full(node: int, text: pa.Scalar) -> np.ndarray:
+            nonlocal size
             if node not in held:
                 held[node] = shingle_set(text.as_py(), words)
-                if len(held) > 64:
-                    held.popitem(last=False)
+                size += len(held[node])
+                while len(held) > 1 and (len(held) > 64 or size > HELD):
+                    size -= len(held.popitem(last=False)[1])
             return held[node]
 
         for batch in batches:
