@@ -188,7 +188,11 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     A span is a struct (start, stop) of word places; spans may touch or overlap.
     """
     blocks = reference_blocks(docs, window)
-    met = blocks.groupBy("anchor").agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
+    # What is counted is stored before it is joined, here and below: adaptive execution splits
+    # a crowded anchor, block or window only where both sides come straight from a shuffle.
+    met = materialise(
+        blocks.groupBy("anchor").agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
+    )
     shared = materialise(blocks.join(met.select("anchor"), "anchor"))
 
     kinds = materialise(
@@ -196,10 +200,10 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             F.count(F.lit(1)).alias("times"), F.min("c1").alias("speaker")
         )
     )
-    several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
+    several = materialise(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")))
+    counted = materialise(kinds.join(several, "anchor").filter("times > 1 OR kinds > 1"))
     judged = materialise(
-        shared.join(kinds.join(several, "anchor"), ["anchor", "whole"])
-        .filter("times > 1 OR kinds > 1")
+        shared.join(counted, ["anchor", "whole"])
         .groupBy(*IDENTITY, "first", "last", "whole")
         .agg(
             F.first("times").alias("times"),
@@ -215,7 +219,8 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     asked = judged.filter("kinds > 1 AND (times = 1 OR c1 = speaker)")
     windows = materialise(_boundary_windows(docs, asked, window))
     alike = windows.groupBy("hash").agg(F.min("whole").alias("x"), F.max("whole").alias("y"))
-    edges = windows.join(alike.filter("x <> y").select("hash"), "hash", "left_semi").select(
+    alike = materialise(alike.filter("x <> y").select("hash"))
+    edges = windows.join(alike, "hash", "left_semi").select(
         *IDENTITY, "start", (F.col("start") + window).alias("stop")
     )
     return (
