@@ -133,10 +133,14 @@ def _classes(rows: DataFrame) -> DataFrame:
 
 
 def _regions(rows: DataFrame, depth: int) -> DataFrame:
-    """Rows whose region of this depth has two or more members, with its size and least node."""
+    """Rows whose region of this depth has two or more members, with its size and least node.
+
+    The sizes are a table, as adaptive execution splits a crowded region of the join only
+    where both sides come straight from a shuffle.
+    """
     prefix = F.substring("order", 1, WIDTH * depth)
     keyed = rows.withColumn("region", F.xxhash64("tree", prefix))
-    sizes = (
+    sizes = materialise(
         keyed.groupBy("region")
         .agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot"))
         .filter("size > 1")
@@ -299,8 +303,8 @@ def _key_of(column: str, words: int) -> Column:
     return key(F.col(column))
 
 
-def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, key, n_shingles and component_id of every row."""
+def _grouped(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, key and n_shingles of every row; key, rep and component_id of every class."""
     rows = materialise(_signed(docs, words))
     classes = _classes(rows)
     pairs = materialise(candidates(classes, percent))
@@ -337,10 +341,8 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     named = named.withColumn("root", F.coalesce("root", "node")).join(last, "root", "left")
     named = named.withColumn("root", F.coalesce("last", "root")).drop("last")
     ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    placed = materialise(named.join(ids, "root").select("key", "component_id"))
-    linked = rows.select("doc_id", "key", "n_shingles").join(placed, "key", "left")
-    alone = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return linked.withColumn("component_id", alone)
+    placed = materialise(named.join(ids, "root").select("key", "rep", "component_id"))
+    return rows.select("doc_id", "key", "n_shingles"), placed
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -349,7 +351,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     Texts are linked when their shingle sets have ``percent`` per cent of their union in
     common. The smallest doc_id of a group is kept.
     """
-    return _grouped(docs, words, percent).select(
+    rows, placed = _grouped(docs, words, percent)
+    linked = rows.join(placed.drop("rep"), "key", "left")
+    alone = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return linked.withColumn("component_id", alone).select(
         "doc_id",
         "n_shingles",
         "component_id",
@@ -362,12 +367,11 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     Rows without words stay. Among repeated rows of the kept document any one stays.
     """
+    # The least doc_id of a group stands for its class, so the classes alone tell who stays.
     kept = (
-        _grouped(docs, words, percent)
-        .filter("key IS NOT NULL")
-        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_kept_id"), F.col("key").alias("_kept_key"))
-        .distinct()
+        _grouped(docs, words, percent)[1]
+        .filter(F.col("rep").eqNullSafe(F.col("component_id")))
+        .select(F.col("rep").alias("_kept_id"), F.col("key").alias("_kept_key"))
     )
     name = free_name(docs, "llm_key")
     keyed = docs.withColumn(name, _key_of("text", words))
