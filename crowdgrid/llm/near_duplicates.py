@@ -6,7 +6,8 @@ prefix of the first depth are neighbours by longest common prefix: they form a r
 region of few members gives all its pairs as candidates. A region of many members is looked
 at again with a longer prefix, so depth grows only where the forest is crowded. Members
 that still share the longest prefix are linked to the region's smallest member and dealt to
-small sub-regions, other ones in each tree.
+small sub-regions, other ones in each tree. What these leave apart in such a region is
+compared in full, blocks against blocks, so that no pair of its members is passed over.
 
 A byte sketch of the signature rules out pairs whose similarity is far below the threshold
 (five standard deviations). The rest is confirmed on full sets, in two turns: the best
@@ -40,6 +41,9 @@ SKETCH = 64
 # Members of a region that may all be paired.
 REGION = 16
 HELD = 1 << 19  # shingles that a task keeps from earlier pairs
+# Members, and shingles, of a block in which a crowded region is compared, about.
+BLOCK = 256
+BLOCK_SHINGLES = 1 << 20
 WIDTH = 2  # bytes of a min-hash in an order
 _MASK = (1 << 64) - 1
 _rng = np.random.default_rng(20)
@@ -150,9 +154,10 @@ def _regions(rows: DataFrame, depth: int) -> DataFrame:
 
 def candidates(
     classes: DataFrame, percent: int, depths: tuple[int, ...] = DEPTHS, most: int = REGION
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs (a, b, alike) of nodes, a < b, each once; alike counts equal bytes
-    of the sketches."""
+    of the sketches. And region, tree and node of the members that share the longest prefix
+    with too many, not all of whose pairs are candidates."""
     length = WIDTH * depths[-1]
     forest = classes.select(
         "node", "orders", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
@@ -178,13 +183,18 @@ def candidates(
         .filter(F.size("members") > 1)
     )
     pairs = groups.select("members").mapInArrow(_paired(percent), "a long, b long, alike int")
-    return pairs.unionByName(stars).groupBy("a", "b").agg(F.max("alike").alias("alike"))
+    both = pairs.unionByName(stars).groupBy("a", "b").agg(F.max("alike").alias("alike"))
+    return both, crowded.select("region", "tree", "node")
 
 
-def _paired(percent: int):
+def _least_alike(percent: int) -> int:
+    """Equal bytes of a pair at the threshold, less five standard deviations."""
     share = percent / 100
-    # Equal bytes of a pair at the threshold, less five standard deviations.
-    least = int(SKETCH * share - 5 * np.sqrt(SKETCH * share * (1 - share)))
+    return int(SKETCH * share - 5 * np.sqrt(SKETCH * share * (1 - share)))
+
+
+def _paired(percent: int):
+    least = _least_alike(percent)
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,6 +256,114 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
+def crowd_links(
+    crowded: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int
+) -> DataFrame:
+    """Links (a, b) between components that members of one crowded region prove.
+
+    ``classes`` has node, root, n, orders and sketch. Only members outside the region's
+    largest component are open; blocks of them are compared with blocks of all members, each
+    pair of blocks in a task of its own.
+    """
+
+    def blocks(size: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(size / F.lit(BLOCK)), F.ceil(shingles / F.lit(BLOCK_SHINGLES))).cast("int")
+
+    members = materialise(crowded.join(classes.select("node", "root", "n"), "node"))
+    parts = members.groupBy("region", "root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n"))
+    regions = materialise(
+        parts.groupBy("region")
+        .agg(
+            F.sum("size").alias("size"),
+            F.sum("n").alias("n"),
+            F.max(F.struct("size", "n", "root")).alias("main"),
+        )
+        .filter("size > main.size")
+        .select(
+            "region",
+            F.col("main.root").alias("main"),
+            blocks(F.col("size"), F.col("n")).alias("blocks"),
+            blocks(F.col("size") - F.col("main.size"), F.col("n") - F.col("main.n")).alias("open_blocks"),
+        )
+    )
+    rows = members.select("region", "tree", "node").join(regions, "region")
+    rows = rows.join(classes.select("node", "root", "n", "orders", "sketch"), "node").join(texts, "node")
+    rows = rows.withColumn("open", F.col("root") != F.col("main")).withColumn(
+        "deal", F.xxhash64("node", "tree")
+    )
+
+    def cells(rows: DataFrame, own: str, other: str, left: bool) -> DataFrame:
+        return (
+            rows.withColumn(f"{own}_at", F.pmod("deal", own).cast("int"))
+            .withColumn(f"{other}_at", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+            .withColumn("left", F.lit(left))
+            .select(
+                "region", "tree", "blocks_at", "open_blocks_at",
+                "left", "node", "root", "n", "open", "orders", "sketch", "text",
+            )
+        )
+
+    both = cells(rows.filter("open"), "open_blocks", "blocks", True).unionByName(
+        cells(rows, "blocks", "open_blocks", False)
+    )
+    return both.groupBy("region", "tree", "blocks_at", "open_blocks_at").applyInArrow(
+        _compared(words, percent), "a long, b long"
+    )
+
+
+def _compared(words: int, percent: int):
+    least = _least_alike(percent)
+
+    def compare(cell: pa.Table) -> pa.Table:
+        tree = cell["tree"][0].as_py()
+        left = cell["left"].to_numpy()
+        unsettled = cell["open"].to_numpy()
+        node, root, n = (cell[c].to_numpy() for c in ("node", "root", "n"))
+        sketch = np.frombuffer(b"".join(cell["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
+        orders = np.frombuffer(b"".join(cell["orders"].to_pylist()), np.uint8)
+        orders = orders.reshape(len(node), TREES, -1).view(np.uint64)
+        mine, others = np.flatnonzero(left), np.flatnonzero(~left)
+        found = []
+        for i in mine:
+            # Two open members meet twice, and members that share an earlier order met there.
+            j = others[(root[others] != root[i]) & (~unsettled[others] | (node[others] > node[i]))]
+            j = j[100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])]
+            j = j[(orders[j, :tree] != orders[i, :tree]).any(axis=2).all(axis=1)]
+            alike = (sketch[j] == sketch[i]).sum(axis=1)
+            near = alike >= least
+            found.append(np.stack([alike[near], np.full(near.sum(), i), j[near]]))
+        pairs = np.hstack(found) if found else np.zeros((3, 0), dtype=np.int64)
+        # The likeliest first: a component found stands for its members from then on.
+        pairs = pairs[:, np.argsort(-pairs[0], kind="stable")]
+        above: dict[int, int] = {}
+        sets: dict[int, np.ndarray] = {}
+
+        def top(x: int) -> int:
+            while x in above:
+                x = above[x]
+            return x
+
+        def full(row: int) -> np.ndarray:
+            if row not in sets:
+                sets[row] = shingle_set(cell["text"][row].as_py(), words)
+            return sets[row]
+
+        links = []
+        for _, i, j in pairs.T.tolist():
+            x, y = top(int(root[i])), top(int(root[j]))
+            if x == y:
+                continue
+            one, two = full(i), full(j)
+            same = len(np.intersect1d(one, two, assume_unique=True))
+            if 100 * same >= percent * (len(one) + len(two) - same):
+                above[max(x, y)] = min(x, y)
+                links.append(sorted((int(root[i]), int(root[j]))))
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return compare
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and root (the least node reachable) of every node that has a link.
 
@@ -307,7 +425,8 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
     """doc_id, key and n_shingles of every row; key, rep and component_id of every class."""
     rows = materialise(_signed(docs, words))
     classes = _classes(rows)
-    pairs = materialise(candidates(classes, percent))
+    pairs, crowded = candidates(classes, percent)
+    pairs = materialise(pairs)
 
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     wanted = classes.select("node", "key", "rep").join(ends.distinct(), "node", "left_semi")
@@ -337,9 +456,14 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
     last = components(more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
     last = last.select(F.col("node").alias("root"), F.col("root").alias("last"))
 
-    named = classes.select("key", "node", "rep").join(roots, "node", "left")
+    named = classes.join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node")).join(last, "root", "left")
-    named = named.withColumn("root", F.coalesce("last", "root")).drop("last")
+    named = materialise(named.withColumn("root", F.coalesce("last", "root")).drop("last"))
+
+    final = components(crowd_links(crowded, named, texts, words, percent))
+    final = final.select(F.col("node").alias("root"), F.col("root").alias("final"))
+    named = named.select("key", "node", "rep", "root").join(final, "root", "left")
+    named = named.withColumn("root", F.coalesce("final", "root")).drop("final")
     ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     placed = materialise(named.join(ids, "root").select("key", "rep", "component_id"))
     return rows.select("doc_id", "key", "n_shingles"), placed

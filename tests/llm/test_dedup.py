@@ -63,6 +63,23 @@ def test_groups_of_large_families(spark):
     assert sorted(tuple(r)[:3] for r in got.collect()) == sorted(brute.groups(rows, 3, 85))
 
 
+def test_copies_that_only_their_original_links(spark):
+    r = random.Random(3)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for c in range(400):
+        copy = list(base)
+        # Apart from each other, as no two edits share a shingle: 0.90 to the original, 0.81 between copies.
+        for at in r.sample(range(3, 397, 4), 7):
+            copy[at] = f"e{c}x{at}"
+        rows.append(" ".join(copy))
+    rows = list(enumerate([*rows, " ".join(base)]))
+    want = sorted(brute.groups(rows, 3, 85))
+    assert {c for _, _, c in want} == {0}
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, SCHEMA), 3, 85)
+    assert sorted(tuple(x)[:3] for x in got.collect()) == want
+
+
 def test_odd_texts_repeated_rows_and_null_ids(spark):
     docs = spark.createDataFrame(ODD, SCHEMA)
     key = repr
