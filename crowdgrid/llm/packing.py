@@ -15,10 +15,11 @@ packed each. No document, no rows.
 from __future__ import annotations
 
 import base64
+import json
 import sys
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
@@ -40,17 +41,25 @@ PACKED = f"{PIECES}, sequence_id long, offset long, certified boolean"
 
 class Encoder:
     """Byte-level BPE from a file of ranks, the same vocabulary and merges as the tokenizer
-    file of that name; strings of special tokens in a text are ordinary text."""
+    file of that name. Where ``added`` names strings with their ids, a text is split at them
+    first, as that file does with its added tokens; otherwise they are ordinary text."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: Mapping[str, int] | None = None) -> None:
         import public_tokenizers
         import tiktoken
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.encode = tiktoken.Encoding(
-            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        ).encode_ordinary
+        added = dict(added or {})
+        encoding = tiktoken.Encoding(
+            "ranks",
+            pat_str=public_tokenizers.PATTERN,
+            mergeable_ranks={k: n for k, n in ranks.items() if n not in added.values()},
+            special_tokens=added,
+        )
+        self.encode = encoding.encode_ordinary
+        if added:
+            self.encode = lambda text: encoding.encode(text, allowed_special="all")
 
     def ids(self, text: str) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit numbers."""
@@ -63,8 +72,23 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens() -> dict[str, int]:
+    """The added tokens of the tokenizer file and their ids."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
+        raise ValueError("added tokens that take in their surroundings")
+    return {t["content"]: t["id"] for t in added}
+
+
 def pieces(
-    docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID
+    docs: DataFrame,
+    tokenizer: str | None = None,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    added: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """The pieces of every document: only one longer than ``capacity`` is cut, and its
     first piece is the one that may be shorter."""
@@ -72,7 +96,7 @@ def pieces(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = Encoder(path, added)
         for batch in in_slices(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
@@ -216,10 +240,13 @@ def _packer(turn: int, capacity: int):
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
+    docs: DataFrame,
+    tokenizer: str | None = None,
+    capacity: int = CAPACITY,
+    added: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Tokenise, cut and pack the documents: one row per piece."""
-    return pack(materialise(pieces(docs, tokenizer, capacity)), capacity)
+    return pack(materialise(pieces(docs, tokenizer, capacity, added=added)), capacity)
 
 
 if sys.byteorder != "little":  # the checksums are defined over little-endian ids

@@ -96,7 +96,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, added=packing.added_tokens())
 
 
 def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -143,6 +143,26 @@ def test_packing_odd_texts(spark):
     assert packing.pack_documents(df.limit(0)).count() == 0
 
 
+def test_packing_added_tokens_as_the_tokenizer_does(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end} x", f"word{end}word  \n{end}", "<|endoftext", f"你好 {end}é"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    want = [(d, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for d, x in enumerate(ids)]
+    docs = table(spark, str(tmp_path), "documents")
+    for out in (
+        QUERIES["op8_packing"](spark, str(tmp_path)),
+        corpus_pipeline.pack(spark, docs, str(tmp_path)),
+    ):
+        assert sorted((r.doc_id, r.length, r.ids_crc32) for r in out.collect()) == want
+
+
 def test_rounds_exchange_without_loss(spark):
     r = np.random.default_rng(1)
     rows = [(i, 0, 0, int(n), 0) for i, n in enumerate(r.integers(1, 1025, 3000))]
