@@ -6,11 +6,14 @@ floor((j-1)/w) and wants it read before slot ceil(j/w); of the released blocks t
 the earliest deadline is read. With weights that add up to one every block meets its
 deadline, so at any slot a source has had its share up to less than one block.
 
-Weights are multiples of 1/``PARTS``, so the schedule repeats every ``PARTS`` slots, with
-every source exactly on target there. The driver schedules one period; the slot of any block
-then follows from its number alone. When the shortest source ends, the others go on with
-their weights scaled up, in a new phase. There are at most as many phases as sources, and
-every document is read exactly once.
+Weights are taken as the exact fractions they are. The driver schedules block after block and
+stores the plan in parts of bounded size; documents meet it by source and block. When
+a source ends, the others go on with their weights scaled up, and every document is read
+exactly once.
+
+A caller may ask for weights in whole ``parts`` instead. The schedule then repeats every
+``parts`` slots, the driver schedules one period, and the slot of any block follows from its
+number alone; but weights that are no such parts are rounded, and drift from the target.
 
 Defined results: a NULL source is a source of its own. Sources without a weight, or with
 one that is not positive, follow after all others. Repeated rows are documents like any
@@ -19,16 +22,22 @@ others. An empty table gives an empty one.
 
 from __future__ import annotations
 
+import heapq
 import math
-from collections.abc import Mapping
+from bisect import bisect_right
+from collections.abc import Iterator, Mapping
 from fractions import Fraction
+from itertools import accumulate, islice
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crowdgrid.llm.common import free_name
+from crowdgrid.session import scratch
 
 PARTS = 1000
+# Blocks of the exact plan that the driver holds at a time.
+PLANNED = 1 << 18
 BLOCK_DOCUMENTS = 16
 # Documents that are put in order together, about; one source is spread over many such lots.
 LOT = 10_000
@@ -64,8 +73,6 @@ def period(parts: Mapping) -> dict:
     at ceil(jD/a). Among equal deadlines the one that stays tight goes first: a block whose
     window overlaps the next one's, then the heavier source.
     """
-    import heapq
-
     length = sum(parts.values())
     names = sorted(parts, key=lambda s: (-parts[s], s is None, str(s)))
     released: list[list] = [[] for _ in range(length)]
@@ -116,6 +123,63 @@ def phases(blocks: Mapping, weights: Mapping, parts: int = PARTS) -> list[dict]:
     return out
 
 
+def exact_plan(blocks: Mapping, weights: Mapping) -> Iterator[tuple]:
+    """(source, number, slot) of every block, slot by slot, by earliest deadline first.
+
+    The ideal gives every source its share of each slot until it ends, and the others its
+    share from then on. A block is released at the slot in which the ideal begins it, and is
+    due when the ideal has read it. All arithmetic is on whole numbers.
+    """
+    left = {s: n for s, n in blocks.items() if n > 0}
+    live = {s: Fraction(weights[s]) for s in left if weights.get(s) and weights[s] > 0}
+    rest = {s: Fraction(1) for s in left if s not in live}
+    start = 0
+    for group in (live, rest):
+        scale = math.lcm(*(w.denominator for w in group.values()))
+        # In the order in which the ideal ends them.
+        names = sorted(group, key=lambda s: (left[s] / group[s], s is None, str(s)))
+        share = [int(group[s] * scale) for s in names]
+        size = [left[s] for s in names]
+        ends = [n / w for n, w in zip(size, share)]
+        gone = [0, *accumulate(size)]
+        all_shares = sum(share)
+        speed = [all_shares - x for x in (0, *accumulate(share))]
+
+        def ideal(rank: int, j: int) -> int:
+            """When the ideal has read j blocks of a source, times its share."""
+            own = share[rank]
+            k = bisect_right(ends, j / own)
+            while k and size[k - 1] * own > j * share[k - 1]:
+                k -= 1
+            while k < len(size) and size[k] * own <= j * share[k]:
+                k += 1
+            return gone[k] * own + j * speed[k]
+
+        # Each source waits for the release of one block, or has one that is due.
+        waiting = [(0, rank, 0) for rank in range(len(names))]
+        ready: list = []
+        for slot in range(sum(size)):
+            while waiting and waiting[0][0] <= slot:
+                _, rank, j = heapq.heappop(waiting)
+                heapq.heappush(ready, (-(-ideal(rank, j + 1) // share[rank]), rank, j))
+            due, rank, j = heapq.heappop(ready)
+            if due <= slot:
+                raise RuntimeError("a block missed its deadline")
+            yield names[rank], j, start + slot
+            if j + 1 < size[rank]:
+                heapq.heappush(waiting, (ideal(rank, j + 1) // share[rank], rank, j + 1))
+        start += sum(size)
+
+
+def _stored_plan(spark: SparkSession, plan: Iterator[tuple], names: list[str], kind: str) -> DataFrame:
+    """The plan as a table in the shared folder, written in parts of ``PLANNED`` blocks."""
+    path, schema = scratch(spark, "plan"), f"{names[0]} {kind}, {names[1]} long, {names[2]} long"
+    spark.createDataFrame([], schema).write.parquet(path)
+    while part := list(islice(plan, PLANNED)):
+        spark.createDataFrame(part, schema, verifySchema=False).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def _numbered(docs: DataFrame, total: int, key: str, number: str, seed: int) -> DataFrame:
     """Number the documents of each source from 0 in the order of a hash, without putting
     a source into one task: hash ranges are counted, and each is numbered from its sum.
@@ -145,11 +209,16 @@ def schedule(
     docs: DataFrame,
     weights: Mapping | None = None,
     block_documents: int = BLOCK_DOCUMENTS,
-    parts: int = PARTS,
+    parts: int | None = None,
     seed: int = 7,
     source: str = "source",
 ) -> tuple[DataFrame, str, str]:
-    """``docs`` with the slot of each row and its place in the block, and their names."""
+    """``docs`` with the slot of each row and its place in the block, and their names.
+
+    ``parts`` asks for the periodic plan of weights rounded to whole parts.
+    """
+    if parts is None:
+        return _scheduled_exactly(docs, weights, block_documents, seed, source)
     found = docs.groupBy(source).count().limit(MOST_SOURCES + 1).collect()
     if len(found) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
@@ -184,6 +253,27 @@ def schedule(
     return out.drop(key, *plan_names), slot, number
 
 
+def _scheduled_exactly(
+    docs: DataFrame, weights: Mapping | None, block_documents: int, seed: int, source: str
+) -> tuple[DataFrame, str, str]:
+    found = docs.groupBy(source).count().limit(MOST_SOURCES + 1).collect()
+    if len(found) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
+    counts = {r[0]: r["count"] for r in found}
+    blocks = {s: -(-n // block_documents) for s, n in counts.items()}
+    plan = exact_plan(blocks, natural_weights(counts) if weights is None else weights)
+    key, number, slot, block = (free_name(docs, f"llm_{n}") for n in ("key", "number", "slot", "block"))
+    table = _stored_plan(
+        docs.sparkSession, plan, [key, block, slot], docs.schema[source].dataType.simpleString()
+    )
+    # A source stands in a struct, where NULL is equal to NULL.
+    table = table.withColumn(key, F.struct(F.col(key).alias("s")))
+    keyed = docs.withColumn(key, F.struct(F.col(source).alias("s")))
+    placed = _numbered(keyed, sum(counts.values()), key, number, seed)
+    placed = placed.withColumn(block, F.floor(F.col(number) / F.lit(block_documents)))
+    return placed.join(table, [key, block]).drop(key, block), slot, number
+
+
 def mixed_order(docs: DataFrame, weights: Mapping | None = None, **choice) -> DataFrame:
     """doc_id, source, block, slot and place in the block of every row."""
     source = choice.get("source", "source")

@@ -46,6 +46,38 @@ def test_in_parts_adds_up():
     assert sum(parts.values()) == 1000 and parts["d"] == 1
 
 
+def test_exact_plan_does_not_drift():
+    for weights in (
+        {"a": 1 / 3, "b": 2 / 3},
+        {"a": 0.9999, "b": 0.0001},
+        {"a": 2**0.5, "b": 3**0.5, "c": 0.01, None: 7},
+        {f"s{i}": (i + 1) ** 0.5 for i in range(60)},
+    ):
+        total, done = sum(weights.values()), dict.fromkeys(weights, 0)
+        plan = mixing.exact_plan(dict.fromkeys(weights, 10**6), weights)
+        for s, block, slot in (next(plan) for _ in range(20_000)):
+            assert block == done[s]
+            done[s] += 1
+            for x in weights if slot % 97 == 0 or slot > 19_900 else ():
+                assert abs(done[x] - weights[x] / total * (slot + 1)) < 1 + 1e-6
+    blocks = {"a": 500, "b": 10, None: 77, "unweighted": 4}
+    out = list(mixing.exact_plan(blocks, {"a": 1, "b": 5, None: 0.1}))
+    assert [t for _, _, t in out] == list(range(591)) and len({x[:2] for x in out}) == 591
+    assert [s for s, _, _ in out[-4:]] == ["unweighted"] * 4
+
+
+def test_mixing_follows_weights_that_are_no_whole_parts(spark):
+    rows = [(i, f"text {i}", "a" if i < 4000 else "b") for i in range(13_000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = mixing.mixed_order(docs, {"a": 1 / 3, "b": 2 / 3}, block_documents=1).collect()
+    taken = {r.slot for r in out if r.source == "a"}
+    assert len(out) == 13_000 and len({r.slot for r in out}) == 13_000
+    done = 0
+    for t in range(12_000):
+        done += t in taken
+        assert abs(done - (t + 1) / 3) < 1 + 1e-6
+
+
 def test_mixed_documents_keep_to_the_weights(spark):
     rows = [(i, f"text {i}", "big" if i % 3 else f"small{i % 5}") for i in range(3000)]
     docs = spark.createDataFrame([*rows, (None, None, None), (0, "text 0", "small0")], DOCS)
