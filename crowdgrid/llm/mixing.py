@@ -41,8 +41,8 @@ PLANNED = 1 << 18
 BLOCK_DOCUMENTS = 16
 # Documents that are put in order together, about; one source is spread over many such lots.
 LOT = 10_000
-# The driver plans with a number per source and phase, and sends the plan to the tasks; more
-# sources than this are refused.
+# With ``parts``, the driver plans with a number per source and phase, and sends the plan to the
+# tasks; more sources than this are refused there.
 MOST_SOURCES = 1000
 
 
@@ -256,10 +256,8 @@ def schedule(
 def _scheduled_exactly(
     docs: DataFrame, weights: Mapping | None, block_documents: int, seed: int, source: str
 ) -> tuple[DataFrame, str, str]:
-    found = docs.groupBy(source).count().limit(MOST_SOURCES + 1).collect()
-    if len(found) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    counts = {r[0]: r["count"] for r in found}
+    # The driver holds a few numbers for each source, however many there are.
+    counts = {r[0]: r["count"] for r in docs.groupBy(source).count().toLocalIterator()}
     blocks = {s: -(-n // block_documents) for s, n in counts.items()}
     plan = exact_plan(blocks, natural_weights(counts) if weights is None else weights)
     key, number, slot, block = (free_name(docs, f"llm_{n}") for n in ("key", "number", "slot", "block"))

@@ -78,6 +78,16 @@ def test_mixing_follows_weights_that_are_no_whole_parts(spark):
         assert abs(done - (t + 1) / 3) < 1 + 1e-6
 
 
+def test_mixing_takes_any_number_of_sources(spark):
+    rows = [(i, f"text {i}", f"site{i % 1500}.org") for i in range(4000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = mixing.mixed_order(docs, block_documents=2).collect()
+    assert sorted((r.doc_id, r.source) for r in out) == [(i, s) for i, _, s in rows]
+    slots = {(r.source, r.block): r.slot for r in out}
+    assert sorted(slots.values()) == list(range(len(slots)))
+    assert mixing.mix(docs).count() == 4000
+
+
 def test_mixed_documents_keep_to_the_weights(spark):
     rows = [(i, f"text {i}", "big" if i % 3 else f"small{i % 5}") for i in range(3000)]
     docs = spark.createDataFrame([*rows, (None, None, None), (0, "text 0", "small0")], DOCS)
