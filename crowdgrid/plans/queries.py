@@ -426,6 +426,15 @@ def chosen_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.total_visits(visits).select("total", *picked)
 
 
+def argmin_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's own choice of k, the lowest silhouette."""
+    visits = _grouped_visits(spark, sf_dir)
+    with clusters.held_positions(visits) as (points, distinct):
+        scores = clusters.sweep(points, min(clusters.MAX_K, distinct))
+    picked = F.lit(clusters.pick(scores, "argmin_silhouette")).alias("argmin_silhouette")
+    return totals.total_visits(visits).select("total", picked)
+
+
 def degenerate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All visits moved to one position get cluster 0; a table of one row gets none."""
     visits = _visits(spark, sf_dir)
@@ -568,6 +577,7 @@ QUERIES: dict[str, Query] = {
     "m3_silhouette_library": silhouette_library,
     "m3_silhouette_embeddings": silhouette_embeddings,
     "m4_chosen_k": chosen_k,
+    "m4_argmin_silhouette": argmin_silhouette,
     "m5_degenerate_tables": degenerate_tables,
     "m6_clustered_batches": clustered_batches,
     "m7_saved_model_scores": saved_model_scores,
