@@ -13,11 +13,14 @@ from crowdgrid.llm import (
     mixing,
     near_duplicates,
     packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     repeated_passages,
     token_counts,
+    token_files,
     url_lists,
+    whitening,
 )
 from crowdgrid.llm.common import table
 
@@ -109,6 +112,28 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.planted(table(spark, sf_dir, "documents"))
+    return periodic_runs.summarise(periodic_runs.find_runs(docs))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(
+        vectors.select("vec_id", whitening.whole_entries(F.col("embedding")).alias("x"))
+    )
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = token_files.document_ids(token_files.write_files(table(spark, sf_dir, "documents")))
+    return read.select(
+        "doc_id",
+        "start",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_mixing": op2_mixing,
@@ -120,6 +145,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_token_counts": op10_token_counts,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_whitening": op12_whitening,
+    "op13_token_files": op13_token_files,
 }
 
 # Each is given where SQL can say what the query returns; the tests hold the others against
