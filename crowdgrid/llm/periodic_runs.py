@@ -70,7 +70,10 @@ def runs_of(words: np.ndarray, reach: np.ndarray | None = None) -> list[tuple[in
             break
         found += _runs_at(words[:count], names, width, sorted(found))
         names, width, level = _names(names, width), 2 * width, level + 1
-    return [(s, e - s, q) for s, e, q in sorted(found, key=lambda r: (r[0], r[2]))]
+    least: dict[tuple[int, int], int] = {}
+    for s, e, q in sorted(found, key=lambda r: r[2]):
+        least.setdefault((s, e), q)
+    return sorted(((s, e - s, q) for (s, e), q in least.items()), key=lambda r: (r[0], r[2]))
 
 
 def _runs_at(

@@ -53,13 +53,13 @@ class _Models:
     The classes of order 0 are a new id, and ranks by their number of binary digits.
     """
 
-    def __init__(self, blocks: int, longest: int) -> None:
+    def __init__(self, blocks: int, most_ids: int) -> None:
         every = np.arange(blocks, dtype=np.int64)
         self.entries = np.full((2, blocks << SLOT_BITS), NOTHING, dtype=np.int32)
         self.base = every << SLOT_BITS
         self.weights = np.full(blocks << 5, (_ONE >> 2) << PAIR | _ONE >> 2, dtype=np.int32)
         self.weight_base = every << 5
-        classes = 1 + int(longest).bit_length()
+        classes = 1 + most_ids.bit_length()
         self.targets = _targets(classes)
         even = np.append(np.arange(classes) * ((1 << CLASS_SCALE) // classes), 1 << CLASS_SCALE)
         self.classes = np.tile(even.astype(np.int16), (blocks, 1))
@@ -147,8 +147,8 @@ def _arranged(sizes: list[int]) -> tuple[list[int], np.ndarray]:
     return order, np.array([sizes[i] for i in order], dtype=np.int64)
 
 
-def encode(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
-    """The code of every block; ids are below ``2**id_bits``."""
+def encode(blocks: list[np.ndarray], id_bits: int, most_ids: int) -> list[bytes]:
+    """The code of every block of at most ``most_ids`` ids below ``2**id_bits``."""
     order, sizes = _arranged([len(b) for b in blocks])
     count, longest = len(order), int(sizes[0]) if order else 0
     out: list[bytes] = [b""] * len(blocks)
@@ -160,7 +160,7 @@ def encode(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
     for lane, i in enumerate(order):
         ids[: sizes[lane], lane] = blocks[i]
         ranks[: sizes[lane], lane] = _ranks(ids[: sizes[lane], lane], scratch)
-    models, interval = _Models(count, longest), _Interval(count)
+    models, interval = _Models(count, most_ids), _Interval(count)
     # Two words at most leave for an id, and two close the block.
     words = np.zeros((count, 2 * longest + 2), dtype=np.uint32)
     used = np.zeros(count, dtype=np.int64)
@@ -217,13 +217,15 @@ def encode(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
     return out
 
 
-def decode(codes: list[bytes], sizes: list[int], id_bits: int) -> list[np.ndarray]:
-    """The ids of every block, given how many there are."""
+def decode(
+    codes: list[bytes], sizes: list[int], id_bits: int, most_ids: int
+) -> list[np.ndarray]:
+    """The ids of every block, given how many there are, and what ``encode`` was given."""
     order, sizes_ = _arranged(sizes)
     count, longest = len(order), int(sizes_[0]) if order else 0
     if not longest:
         return [np.zeros(0, dtype=np.uint32) for _ in codes]
-    models, interval = _Models(count, longest), _Interval(count)
+    models, interval = _Models(count, most_ids), _Interval(count)
     # The words of all blocks in a row; a block that is read past its end meets the next.
     given = [np.frombuffer(codes[i], dtype="<u4") for i in order]
     words = np.concatenate([*given, np.zeros(2, dtype="<u4")]).astype(np.uint64)

@@ -69,7 +69,7 @@ def pack_file(
     blocks = [ids[at : at + block_ids] for at in range(0, len(ids), block_ids)]
     codes = []
     for at in range(0, len(blocks), LANES):
-        codes += range_coder.encode(blocks[at : at + LANES], id_bits)
+        codes += range_coder.encode(blocks[at : at + LANES], id_bits, block_ids)
     table = np.zeros(len(blocks), dtype=_BLOCK)
     table["bytes"] = [len(c) for c in codes]
     table["code"] = [zlib.crc32(c) for c in codes]
@@ -105,7 +105,7 @@ def read_blocks(data: bytes, first: int = 0, last: int | None = None) -> np.ndar
         codes = [data[begins[i] : begins[i + 1]] for i in chosen]
         _same(chosen, [zlib.crc32(c) for c in codes], table["code"], "code")
         sizes = [min(size, total - i * size) for i in chosen]
-        blocks = range_coder.decode(codes, sizes, int(head["bits"]))
+        blocks = range_coder.decode(codes, sizes, int(head["bits"]), size)
         _same(chosen, [zlib.crc32(b.astype("<u4").tobytes()) for b in blocks], table["ids"], "ids")
         found += blocks
     return np.concatenate(found).astype("<u4")

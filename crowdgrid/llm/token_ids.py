@@ -37,7 +37,7 @@ class TokenIds:
             import regex
 
             self.pattern = regex.compile(pattern)
-        self.chunks: dict[str, bytes] = {}
+        self.chunks: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
@@ -45,14 +45,15 @@ class TokenIds:
         if self.pattern is None:
             return self._whole(text)
         known = self.chunks
-        # Texts are split at white space of ASCII; the pattern drops what else there is.
-        return b"".join([known.get(c) or self._chunk(c) for c in text.split()])
+        # Bytes are split at white space of ASCII alone; the pattern drops what else there is.
+        return b"".join([known.get(c) or self._chunk(c) for c in text.encode().split()])
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
+    def _chunk(self, key: bytes) -> bytes:
+        chunk = key.decode()
         if not _plain(chunk) or any(a in chunk for a in self.added):
             found = self._whole(chunk)
         else:
@@ -61,7 +62,7 @@ class TokenIds:
         if len(chunk) <= LONGEST_CHUNK:
             if len(self.chunks) >= MOST_CHUNKS:
                 self.chunks.clear()
-            self.chunks[chunk] = found
+            self.chunks[key] = found
         return found
 
     def _part(self, part: str) -> bytes:
