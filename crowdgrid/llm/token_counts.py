@@ -4,8 +4,9 @@ The pieces of a public vocabulary get log-probabilities by Zipf's law from their
 best segmentation of a pre-token is the path of greatest total score. Distinct pre-tokens
 are put into a trie; every node stands for a prefix and holds the best score of reaching it
 and the number of tokens on that path, both computed once, however many pre-tokens share the
-prefix. The node where a pre-token ends holds its count. Each task keeps a trie of bounded
-size over the texts it reads, so nothing is shuffled and no text leaves its task.
+prefix. The node where a pre-token ends holds its count. A Python worker keeps one trie and
+the counts of the pre-tokens it has met, both of bounded size, for all tasks it runs, so
+nothing is shuffled and no text leaves its task; counts do not depend on what it keeps.
 
 Defined results: a NULL or empty text has no pre-tokens and 0 tokens. Characters outside
 the vocabulary cost one token for each of their UTF-8 bytes. Among segmentations of equal
@@ -26,8 +27,9 @@ from crowdgrid.llm.common import WORD_PATTERN, in_slices
 
 # What a pre-token begins with: the mark that the vocabulary uses for a space before a word.
 MARK = "▁"
-# Nodes that a task's trie may have; a full one is started anew.
+# Nodes that a trie may have, and pre-tokens that keep their count; what is full starts anew.
 MOST_NODES = 800_000
+MOST_WORDS = 800_000
 # Rank from which Zipf's law counts, so that the first pieces are not too likely.
 ZIPF_SHIFT = 2.7
 
@@ -39,8 +41,8 @@ def default_vocabulary() -> str:
 
 
 @lru_cache(maxsize=2)
-def scores(path: str) -> tuple[dict[str, float], float, int]:
-    """Log-probability of every piece, that of a single byte, and the longest piece.
+def scores(path: str) -> tuple[dict[str, float], float]:
+    """Log-probability of every piece, and that of a single byte.
 
     Rank is the place among the ordinary pieces by the vocabulary's own score.
     """
@@ -58,7 +60,14 @@ def scores(path: str) -> tuple[dict[str, float], float, int]:
         model.id_to_piece(i): -log((r + ZIPF_SHIFT) * total) for r, i in enumerate(ids)
     }
     byte = -log((len(ids) + ZIPF_SHIFT) * total) - 1.0
-    return found, byte, max(map(len, found))
+    return found, byte
+
+
+@lru_cache(maxsize=2)
+def endings(path: str) -> dict[str, float | None]:
+    """Every ending of a piece with the log-probability it has as a piece itself, if any."""
+    pieces = scores(path)[0]
+    return {p[i:]: pieces.get(p[i:]) for p in pieces for i in range(len(p))}
 
 
 class Trie:
@@ -69,14 +78,14 @@ class Trie:
     """
 
     def __init__(self, path: str, most_nodes: int = MOST_NODES) -> None:
-        self.pieces, self.byte, self.longest = scores(path)
+        self.endings, self.byte = endings(path), scores(path)[1]
         self.most_nodes = most_nodes
+        self.counts: dict[str, int] = {}
         self.clear()
 
     def clear(self) -> None:
         self.edges: dict[tuple[int, str], int] = {}
         self.best, self.tokens = [0.0], [0]
-        self.counts: dict[str, int] = {}
 
     def total(self, words: list[str]) -> int:
         """Tokens of all pre-tokens of a text; every word has at least one."""
@@ -93,6 +102,8 @@ class Trie:
                 child = self._grow(node, marked, end, path)
             node = child
             path.append(node)
+        if len(self.counts) >= MOST_WORDS:
+            self.counts.clear()
         self.counts[word] = self.tokens[node]
         return self.tokens[node]
 
@@ -100,9 +111,13 @@ class Trie:
         """Add the node of ``marked[:end]``; ``path`` holds the nodes of its prefixes."""
         width = len(marked[end - 1].encode("utf-8", "surrogatepass"))
         best, tokens = self.best[parent] + self.byte * width, self.tokens[parent] + width
-        score_of, reached, counted = self.pieces.get, self.best, self.tokens
-        for start in range(max(0, end - self.longest), end):
-            score = score_of(marked[start:end])
+        reached, counted, endings_ = self.best, self.tokens, self.endings
+        # Only endings of pieces are looked at, from the shortest.
+        for start in range(end - 1, -1, -1):
+            piece = marked[start:end]
+            if piece not in endings_:
+                break
+            score = endings_[piece]
             if score is not None:
                 total, several = reached[path[start]] + score, counted[path[start]] + 1
                 if total > best or (total == best and several < tokens):
@@ -114,6 +129,12 @@ class Trie:
         return node
 
 
+@lru_cache(maxsize=2)
+def shared(path: str, most_nodes: int) -> Trie:
+    """One trie for all tasks of a Python worker."""
+    return Trie(path, most_nodes)
+
+
 def count_tokens(
     docs: DataFrame, vocabulary: str | None = None, most_nodes: int = MOST_NODES
 ) -> DataFrame:
@@ -121,7 +142,7 @@ def count_tokens(
     path = vocabulary or default_vocabulary()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie(path, most_nodes)
+        trie = shared(path, most_nodes)
         for batch in in_slices(batches):
             all_, distinct, tokens = [], [], []
             for text in batch.column("text"):

@@ -263,9 +263,9 @@ def test_fingerprints_against_brute_force(spark, sf_dir):
         assert r.f == _order_minhash(r.text)
 
 
-def _fewest(word, pieces, byte, longest):
+def _fewest(word, pieces, byte):
     """Best score and its tokens for one pre-token, without a trie."""
-    marked = token_counts.MARK + word
+    marked, longest = token_counts.MARK + word, max(map(len, pieces))
     best = [(0.0, 0)]
     for end in range(1, len(marked) + 1):
         width = len(marked[end - 1].encode())
@@ -278,6 +278,15 @@ def _fewest(word, pieces, byte, longest):
     return best[-1][1]
 
 
+def test_a_full_trie_keeps_its_counts_right(monkeypatch):
+    monkeypatch.setattr(token_counts, "MOST_WORDS", 7)
+    trie = token_counts.Trie(token_counts.default_vocabulary(), 60)
+    words = [f"{a}{b}" for a in ("under", "é", "x" * 70, "ing") for b in range(30)] * 2
+    model = token_counts.scores(token_counts.default_vocabulary())
+    assert trie.total(words) == sum(_fewest(w, *model) for w in words)
+    assert len(trie.counts) <= 7
+
+
 @pytest.mark.parametrize("most_nodes", [50, token_counts.MOST_NODES])
 def test_token_counts_against_plain_dynamic_programming(spark, sf_dir, most_nodes):
     model = token_counts.scores(token_counts.default_vocabulary())
