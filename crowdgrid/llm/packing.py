@@ -8,15 +8,15 @@ with a gap hand their sequences that still have room to groups of the next round
 pieces of different groups meet and are packed again; the new packing is taken only where
 it needs fewer sequences.
 
-Defined results: a NULL text counts as empty and has the closing id alone. Repeated rows are
-packed each. No document, no rows.
+Defined results: a NULL text counts as empty and has the closing id alone. Texts of any length
+are read whole, runs of millions of blanks included. Repeated rows are packed each. No
+document, no rows. Other columns are left aside, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
 import json
-import sys
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
@@ -42,7 +42,10 @@ PACKED = f"{PIECES}, sequence_id long, offset long, certified boolean"
 class Encoder:
     """Byte-level BPE from a file of ranks, the same vocabulary and merges as the tokenizer
     file of that name. Where ``added`` names strings with their ids, a text is split at them
-    first, as that file does with its added tokens; otherwise they are ordinary text."""
+    first, as that file does with its added tokens; otherwise they are ordinary text.
+
+    A text that the ranks' pattern gives up on, as it does on a million blanks in a row, is
+    encoded by the tokenizer file itself."""
 
     def __init__(self, path: str, added: Mapping[str, int] | None = None) -> None:
         import public_tokenizers
@@ -57,13 +60,27 @@ class Encoder:
             mergeable_ranks={k: n for k, n in ranks.items() if n not in added.values()},
             special_tokens=added,
         )
-        self.encode = encoding.encode_ordinary
-        if added:
-            self.encode = lambda text: encoding.encode(text, allowed_special="all")
+        allowed = set(added)
+        self.encode = lambda text: encoding.encode(
+            text, allowed_special=allowed, disallowed_special=()
+        )
+        self.added, self.library = added, None
 
     def ids(self, text: str) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit numbers."""
-        return np.array(self.encode(text), dtype="<u4").tobytes()
+        try:
+            found = self.encode(text)
+        except ValueError:
+            found = self._by_library(text)
+        return np.array(found, dtype="<u4").tobytes()
+
+    def _by_library(self, text: str) -> list[int]:
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(tokenizer_file())
+            self.library.encode_special_tokens = not self.added
+        return self.library.encode(text, add_special_tokens=False).ids
 
 
 def default_tokenizer() -> str:
@@ -72,11 +89,15 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def added_tokens() -> dict[str, int]:
-    """The added tokens of the tokenizer file and their ids."""
+def tokenizer_file() -> str:
     import public_tokenizers
 
-    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def added_tokens() -> dict[str, int]:
+    """The added tokens of the tokenizer file and their ids."""
+    with open(tokenizer_file(), encoding="utf-8") as file:
         added = json.load(file)["added_tokens"]
     if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
         raise ValueError("added tokens that take in their surroundings")
@@ -248,6 +269,3 @@ def pack_documents(
     """Tokenise, cut and pack the documents: one row per piece."""
     return pack(materialise(pieces(docs, tokenizer, capacity, added=added)), capacity)
 
-
-if sys.byteorder != "little":  # the checksums are defined over little-endian ids
-    raise ImportError("packing needs a little-endian machine")

@@ -185,6 +185,23 @@ def test_packing_odd_texts(spark):
     assert packing.pack_documents(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "a", "\t "])
+def test_packing_runs_of_millions(spark, run):
+    """As long as the dealt tokenizer takes them; ordinary words stand around."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "Some words " + run * (2_000_000 // len(run)) + "<|endoftext|> and more."
+    for added in (packing.added_tokens(), None):
+        tokenizer.encode_special_tokens = added is None
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        encoder = packing.Encoder(packing.default_tokenizer(), added)
+        assert encoder.ids(text) == ids.tobytes()
+    df = spark.createDataFrame([(1, text), (2, "plain")], "doc_id long, text string")
+    assert {r.doc_id for r in packing.pack_documents(df).collect()} == {1, 2}
+
+
 def test_packing_added_tokens_as_the_tokenizer_does(spark, tmp_path):
     import public_tokenizers
     from tokenizers import Tokenizer
