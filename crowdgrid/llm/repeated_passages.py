@@ -253,12 +253,13 @@ def cut_text(text: str, spans: list[tuple[int, int]]) -> str:
 
 def _with_spans(docs: DataFrame, window: int, name: str) -> DataFrame:
     """Every row of ``docs`` with its spans (NULL where there are none)."""
+    first, second = free_name(docs, f"{name}_1"), free_name(docs, f"{name}_2")
     spans = removals(docs, window).select(
-        F.col("c1").alias(f"{name}_1"), F.col("c2").alias(f"{name}_2"), F.col("spans").alias(name)
+        F.col("c1").alias(first), F.col("c2").alias(second), F.col("spans").alias(name)
     )
     one, two = _identity(docs["text"])
-    match = (one == spans[f"{name}_1"]) & (two == spans[f"{name}_2"])
-    return docs.join(spans, match, "left").drop(f"{name}_1", f"{name}_2")
+    match = (one == spans[first]) & (two == spans[second])
+    return docs.join(spans, match, "left").drop(first, second)
 
 
 def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:

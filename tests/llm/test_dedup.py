@@ -165,3 +165,12 @@ def test_cut_texts_keep_their_form_and_columns(spark):
     assert found == {
         1: ("a  b\nc\td", 8, "kept"), 2: ("x", 1, "kept"), 3: ("left  alone\n", 12, "kept"), 4: (None, None, "kept")
     }
+
+
+def test_cut_texts_keep_columns_named_like_helpers(spark):
+    passage = " ".join(f"p{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, passage + " a"), (2, passage + " b")], SCHEMA)
+    for name in ("llm_spans", "llm_spans_1", "LLM_SPANS_2", "spans"):
+        docs = docs.withColumn(name, F.col("doc_id") * 10)
+    rows = repeated_passages.remove_repeats(docs).orderBy("doc_id").collect()
+    assert [tuple(r) for r in rows] == [(1, "a", 10, 10, 10, 10), (2, "b", 20, 20, 20, 20)]
