@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -94,21 +95,55 @@ class Block:
         return len(" ".join(self.linked).split())
 
 
+class _Open:
+    """The open tags, innermost last, and where each name and the block tags stand among them,
+    so that a tag is found or closed without a search."""
+
+    def __init__(self) -> None:
+        self.tags: list[tuple[str, bool, bool]] = []  # tag, stands outside, stands in the article
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+
+    def push(self, entry: tuple[str, bool, bool]) -> None:
+        self.places[entry[0]].append(len(self.tags))
+        if entry[0] in BLOCK_TAGS:
+            self.blocks.append(len(self.tags))
+        self.tags.append(entry)
+
+    def close_from(self, place: int) -> None:
+        while len(self.tags) > place:
+            self.places[self.tags.pop()[0]].pop()
+        while self.blocks and self.blocks[-1] >= place:
+            self.blocks.pop()
+
+    def close(self, tag: str) -> None:
+        if self.places[tag]:
+            self.close_from(self.places[tag][-1])
+
+    def close_implied(self, tag: str) -> None:
+        """A block tag ends an open paragraph and what is open in it; an item ends its sibling."""
+        ended = tag if tag in ("li", "dt", "dd", "option", "tr", "td", "th", "a") else "p"
+        if self.places[ended] and self.places[ended][-1] >= (self.blocks or [0])[-1]:
+            self.close_from(self.places[ended][-1])
+
+    def block(self) -> str:
+        return self.tags[self.blocks[-1]][0] if self.blocks else ""
+
+
 def blocks_of(page: str | None) -> list[tuple[str, list[float]]]:
     """The blocks of a page in order, each with its features in the order of ``FEATURES``."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, stands outside, stands in the article
-    page, at, links, block = page or "", 0, 0, None
+    open_ = _Open()
+    page, at, block = page or "", 0, None
 
     def say(piece: str) -> None:
         nonlocal block
         if block is None:
-            tag = next((t for t, _, _ in reversed(stack) if t in BLOCK_TAGS), "")
-            _, outer, inner = stack[-1] if stack else ("", False, False)
-            block = Block(outer, inner, tag in HEADINGS)
+            _, outer, inner = open_.tags[-1] if open_.tags else ("", False, False)
+            block = Block(outer, inner, open_.block() in HEADINGS)
             found.append(block)
         block.parts.append(piece)
-        if links:
+        if open_.places["a"]:
             block.linked.append(piece)
 
     while at < len(page):
@@ -134,28 +169,14 @@ def blocks_of(page: str | None) -> list[tuple[str, list[float]]]:
         if tag in VOID_TAGS:
             continue
         if m["end"]:
-            if any(t == tag for t, _, _ in stack):
-                while stack and stack.pop()[0] != tag:
-                    pass
+            open_.close(tag)
         elif not m["attrs"].endswith("/") or tag in BLOCK_TAGS:
             if tag in BLOCK_TAGS or tag == "a":
-                _close_implied(stack, tag)
-            stack.append(_place(tag, m["attrs"], stack))
-        links = sum(t == "a" for t, _, _ in stack[-64:])
+                open_.close_implied(tag)
+            open_.push(_place(tag, m["attrs"], open_.tags))
     return _described(found)
 
 
-def _close_implied(stack: list[tuple[str, bool, bool]], tag: str) -> None:
-    """A block tag ends an open paragraph and what is open in it; an item ends its sibling."""
-    ends = {tag} if tag in ("li", "dt", "dd", "option", "tr", "td", "th", "a") else {"p"}
-    for back in range(len(stack) - 1, -1, -1):
-        if stack[back][0] in ends:
-            del stack[back:]
-            return
-        if stack[back][0] in BLOCK_TAGS:
-            return
-
-
 def _place(tag: str, attrs: str, stack: list[tuple[str, bool, bool]]) -> tuple[str, bool, bool]:
     _, outer, inner = stack[-1] if stack else ("", False, False)
     named = set()

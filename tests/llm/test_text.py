@@ -5,6 +5,7 @@ import html
 import math
 import os
 import re
+import time
 
 import brute
 import numpy as np
@@ -70,6 +71,27 @@ def test_odd_pages(tree, page):
     assert main_text.main_text(page, tree) == ""
 
 
+def test_links_are_seen_through_any_number_of_tags():
+    for depth in (0, 60, 70, 500):
+        page = "<a href=1>" + "<b>" * depth + "seven words that are all one link</a>"
+        (_, features), = main_text.blocks_of(f"<p>{page}</p>")
+        assert features[1] == 1.0
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<b></i>", "<p><b>", "<a><div><b><a>x</a>", "<b><br>x<div>y</div>", "<a href='", "<!--", "</", "<script>"],
+)
+def test_broken_pages_take_linear_time(page):
+    def seconds(times):
+        start = time.perf_counter()
+        main_text.blocks_of(page * times)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(40_000) < 0.2 + 25 * min(seconds(4_000) for _ in range(3))
+
+
 def test_main_text_with_nulls_and_extra_columns(spark, tree):
     rows = [(1, None, None, "x"), (1, None, None, "x"), (None, "u", "<article><p>Yes.</p></article>", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
