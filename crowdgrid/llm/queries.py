@@ -125,13 +125,8 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = token_files.document_ids(token_files.write_files(table(spark, sf_dir, "documents")))
-    return read.select(
-        "doc_id",
-        "start",
-        F.expr("octet_length(ids) div 4").alias("n_tokens"),
-        F.crc32("ids").alias("ids_crc32"),
-    )
+    files = token_files.write_files(table(spark, sf_dir, "documents"))
+    return token_files.document_checks(files).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

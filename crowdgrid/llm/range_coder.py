@@ -161,14 +161,14 @@ def encode(blocks: list[np.ndarray], id_bits: int, most_ids: int) -> list[bytes]
         ids[: sizes[lane], lane] = blocks[i]
         ranks[: sizes[lane], lane] = _ranks(ids[: sizes[lane], lane], scratch)
     models, interval = _Models(count, most_ids), _Interval(count)
-    # Two words at most leave for an id, and two close the block.
-    words = np.zeros((count, 2 * longest + 2), dtype=np.uint32)
-    used = np.zeros(count, dtype=np.int64)
+    # The words that have left, with the block of each.
+    left: list[np.ndarray] = []
+    blocks_left: list[np.ndarray] = []
     columns = models.classes.shape[1]
 
     def emit(lanes: np.ndarray) -> None:
-        words[lanes, used[lanes]] = interval.lead(lanes)
-        used[lanes] += 1
+        left.append(interval.lead(lanes).astype(np.uint32))
+        blocks_left.append(lanes.astype(np.int32))
 
     for step, live in enumerate(_live(sizes, longest)):
         if live < count:
@@ -208,12 +208,15 @@ def encode(blocks: list[np.ndarray], id_bits: int, most_ids: int) -> list[bytes]
                 emit(narrow)
         models.learn(now, right2, right1)
     # The lower end of the last interval names it.
-    every = np.arange(len(order))
-    words[every, used] = interval.low >> _WORD
-    words[every, used + 1] = interval.low & _LOW
-    for lane, i in enumerate(order):
-        if sizes[lane]:
-            out[i] = words[lane, : used[lane] + 2].astype("<u4").tobytes()
+    every = np.arange(len(order), dtype=np.int32)
+    left += [(interval.low >> _WORD).astype(np.uint32), (interval.low & _LOW).astype(np.uint32)]
+    blocks_left += [every, every]
+    owner = np.concatenate(blocks_left)
+    words = np.concatenate(left)[np.argsort(owner, kind="stable")].astype("<u4")
+    ends = np.cumsum(np.bincount(owner, minlength=len(order)))
+    for i, size, start, end in zip(order, sizes, np.append(0, ends), ends):
+        if size:
+            out[i] = words[start:end].tobytes()
     return out
 
 

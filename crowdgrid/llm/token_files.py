@@ -239,10 +239,29 @@ def file_starts(files: DataFrame) -> DataFrame:
     )
 
 
-def document_ids(files: DataFrame) -> DataFrame:
-    """doc_id, ``start`` (the ids of all documents before it) and the ids, read from files."""
+def placed(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """``start`` in place of the file: the ids of all documents before each row's."""
     return (
-        read_files(files)
-        .join(file_starts(files), ["part", "file"])
-        .select("doc_id", (F.col("file_start") + F.col("before")).alias("start"), "ids")
+        rows.join(file_starts(files), ["part", "file"])
+        .withColumn("start", F.col("file_start") + F.col("before"))
+        .drop("part", "file", "place", "before", "file_start")
+    )
+
+
+def document_ids(files: DataFrame) -> DataFrame:
+    """doc_id, ``ids`` and ``start`` of every document, read from files."""
+    return placed(read_files(files), files)
+
+
+def document_checks(files: DataFrame) -> DataFrame:
+    """doc_id, the number of ids, their CRC-32 and ``start`` of every document, read from
+    files; the ids themselves go no further than the task that reads them."""
+    read = read_files(files).select(
+        "part",
+        "file",
+        "before",
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
     )
+    return placed(read, files)

@@ -10,14 +10,18 @@ tokenizer, through the whole library.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from functools import lru_cache
 
 import numpy as np
 
 # Chunks that are remembered, and their length in characters at most.
-MOST_CHUNKS = 400_000
+MOST_CHUNKS = 600_000
 LONGEST_CHUNK = 64
+# Fixed value: the pre-token pattern whose letters make one pre-token and whose marks another.
+LETTERS_OR_MARKS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+MARKS = frozenset(".,;:!?")
 
 
 class TokenIds:
@@ -31,8 +35,9 @@ class TokenIds:
         self.tokenizer.no_padding()
         self.id_bits = max(1, (max(self.tokenizer.get_vocab().values())).bit_length())
         with open(path, encoding="utf-8") as file:
-            pattern, self.added = _chunked(json.load(file))
-        self.pattern = None
+            pattern, added = _chunked(json.load(file))
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        self.pattern, self.simple = None, pattern == LETTERS_OR_MARKS
         if pattern is not None:
             import regex
 
@@ -54,10 +59,10 @@ class TokenIds:
 
     def _chunk(self, key: bytes) -> bytes:
         chunk = key.decode()
-        if not _plain(chunk) or any(a in chunk for a in self.added):
+        if not _plain(chunk) or self.added.search(chunk):
             found = self._whole(chunk)
         else:
-            parts = self.pattern.findall(chunk.lower())
+            parts = self._split(chunk.lower())
             found = b"".join([self.parts.get(p) or self._part(p) for p in parts])
         if len(chunk) <= LONGEST_CHUNK:
             if len(self.chunks) >= MOST_CHUNKS:
@@ -65,6 +70,15 @@ class TokenIds:
             self.chunks[key] = found
         return found
 
+    def _split(self, chunk: str) -> list[str]:
+        """The pre-tokens of a plain chunk in lower case."""
+        if self.simple:
+            if chunk.isalpha():
+                return [chunk]
+            if chunk[-1] in MARKS and chunk[:-1].isalpha():
+                return [chunk[:-1], chunk[-1]]
+        return self.pattern.findall(chunk)
+
     def _part(self, part: str) -> bytes:
         shown = part if part.isascii() else "".join([_BYTES[b] for b in part.encode()])
         ids = [token.id for token in self.tokenizer.model.tokenize(shown)]

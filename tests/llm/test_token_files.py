@@ -152,6 +152,12 @@ def test_many_small_files_and_odd_texts(spark, tokenizer):
     assert digests(token_files.document_ids(files)) == expected(tokenizer, rows)
 
 
+def test_checks_agree_with_the_ids(spark):
+    files = token_files.write_files(spark.createDataFrame([(i % 9, "x " * i) for i in range(40)], DOCS), file_ids=30)
+    checks = token_files.document_checks(files).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted((tuple(r) for r in checks), key=lambda r: (r[1], r[2])) == digests(token_files.document_ids(files))
+
+
 def test_long_texts_lie_in_one_file(spark, tokenizer):
     rows = [(1, "word " * 150_000), (2, "b" * 50_000), (3, " " * 2_000_000), (4, "\n" * 2_000_000 + "x")]
     files = token_files.write_files(spark.createDataFrame(rows, DOCS), file_ids=1000)
