@@ -2,7 +2,9 @@
 
 Visits that share a position are fitted as one weighted point. The cost and the
 silhouette are the same as over single visits, a crowded spot becomes one row, and
-the repeated passes of KMeans run over positions instead of visits.
+the repeated passes of KMeans run over positions instead of visits. All k of a sweep
+are fitted and scored in the same passes (see ``kmeans``), and the result does not
+depend on how the positions are dealt to tasks.
 """
 
 from __future__ import annotations
@@ -12,24 +14,19 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 from math import isfinite
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark import StorageLevel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crowdgrid.operators import kmeans
+
 POSITION = ["lat_visit", "lon_visit"]
 SEED = 42
 MAX_K = 10
 METHODS = ("silhouette_max", "argmin_silhouette", "elbow")
-# Tasks that hold the positions of a fit. KMeans seeds by task and by row order, so positions
-# are dealt by hash and sorted, and the same number gives the same fit in any session.
-FIT_PARTITIONS = 8
-# Fits of a sweep that run side by side.
-FITS_AT_ONCE = 4
 
 
 def known(points: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -56,84 +53,85 @@ def middle(points: DataFrame, columns: Sequence[str] = POSITION) -> tuple[float,
 def assemble(
     visits: DataFrame, columns: Sequence[str] = POSITION, shift: Sequence[float] | None = None
 ) -> DataFrame:
-    """Add the ``features`` vector, less ``shift``, which is noted in its metadata.
+    """Add the ``features`` vector, less ``shift``.
 
     Cleaning has already removed NULL and NaN.
     """
     if shift is None:
         return VectorAssembler(inputCols=list(columns), outputCol="features").transform(visits)
     names = {f"_centred{i}": F.col(c) - F.lit(m) for i, (c, m) in enumerate(zip(columns, shift))}
-    wide = VectorAssembler(inputCols=list(names), outputCol="features").transform(
-        visits.withColumns(names)
-    )
-    return wide.withColumn("features", F.col("features").alias("features", metadata={"shift": list(shift)})).drop(*names)
-
+    centred = visits.withColumns(names)
+    wide = VectorAssembler(inputCols=list(names), outputCol="features").transform(centred)
+    return wide.drop(*names)
 
-def _shift_of(points: DataFrame) -> tuple[float, ...] | None:
-    noted = points.schema["features"].metadata.get("shift")
-    return None if noted is None else tuple(noted)
 
+@dataclass(frozen=True)
+class Positions:
+    """Distinct positions with the number of their visits as ``weight``, and their extent."""
 
-def _positions(visits: DataFrame, columns: Sequence[str] = POSITION) -> DataFrame:
-    counted = known(visits, columns).groupBy(*columns)
-    return counted.agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    rows: DataFrame
+    grid: kmeans.Grid
+    distinct: int
+    visits: int
 
 
-def weighted_positions(visits: DataFrame, columns: Sequence[str] = POSITION) -> DataFrame:
-    """Distinct positions with centred ``features`` and the number of visits as ``weight``."""
-    counted = _positions(visits, columns)
-    return assemble(counted, columns, middle(counted, columns))
+@contextmanager
+def held_positions(visits: DataFrame) -> Iterator[Positions]:
+    """The weighted positions of all visits, persisted once for the passes of a fit."""
+    counted = known(visits, POSITION).groupBy(*POSITION)
+    held = counted.agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    held = held.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        distinct, total, *bounds = held.agg(
+            F.count(F.lit(1)), F.sum("weight"), *_bounds(POSITION)
+        ).first()
+        if (total or 0) > kmeans.MOST_VISITS:
+            raise ValueError(f"more than {kmeans.MOST_VISITS} visits in one fit")
+        yield Positions(held, kmeans.Grid.over(bounds), distinct, int(total or 0))
+    finally:
+        held.unpersist()
 
 
 @dataclass(frozen=True)
 class PositionModel:
-    """A KMeans model over positions less a constant ``shift``."""
+    """Centres of positions and the cost of the visits they were fitted on."""
 
-    model: KMeansModel
-    shift: tuple[float, ...] | None = None
-
-    @property
-    def summary(self):
-        return self.model.summary
-
-    def clusterCenters(self) -> list[tuple[float, ...]]:  # noqa: N802  (the library's name)
-        """The centres as positions."""
-        centers = [tuple(map(float, c)) for c in self.model.clusterCenters()]
-        if self.shift is None:
-            return centers
-        return [tuple(x + m for x, m in zip(c, self.shift)) for c in centers]
+    centers: tuple[tuple[float, ...], ...]
+    cost: float
 
     def transform(self, visits: DataFrame, columns: Sequence[str] = POSITION) -> DataFrame:
-        if "features" in visits.columns and _shift_of(visits) == self.shift:
-            return self.model.transform(visits)
-        fresh = assemble(visits.drop("features"), columns, self.shift)
-        return self.model.transform(fresh).drop("features")
+        return assign_fixed(visits, self.centers, columns)
 
     def save(self, path: str) -> None:
+        row = (self.cost, [list(c) for c in self.centers])
         spark = SparkSession.active()
-        self.model.write().overwrite().save(f"{path}/kmeans")
-        row = spark.createDataFrame([(self.shift,)], "shift array<double>").coalesce(1)
-        row.write.mode("overwrite").parquet(f"{path}/shift")
+        frame = spark.createDataFrame([row], "cost double, centers array<array<double>>")
+        frame.coalesce(1).write.mode("overwrite").parquet(path)
 
     @staticmethod
     def load(path: str) -> PositionModel:
-        shift = SparkSession.active().read.parquet(f"{path}/shift").first()["shift"]
-        return PositionModel(
-            KMeansModel.load(f"{path}/kmeans"), None if shift is None else tuple(shift)
-        )
+        row = SparkSession.active().read.parquet(path).first()
+        return PositionModel(tuple(tuple(c) for c in row["centers"]), row["cost"])
 
 
-def fit(points: DataFrame, k: int, seed: int = SEED) -> PositionModel:
-    """Fit k centres on ``features``, weighted where the table has a ``weight``.
+def fit(points: Positions, k: int, seed: int = SEED) -> PositionModel:
+    """Fit k centres, or as many as positions differ."""
+    return _fitted(points, [k], seed)[0][k]
 
-    KMeans is handed a projection, which it caches as plain vectors: over a persisted
-    table it would unpack every row again in each of its passes.
-    """
-    kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_pred")
-    names = ["features"]
-    if "weight" in points.columns:
-        kmeans, names = kmeans.setWeightCol("weight"), ["features", "weight"]
-    return PositionModel(kmeans.fit(points.select(*names)), _shift_of(points))
+
+def _fitted(
+    points: Positions, ks: Sequence[int], seed: int
+) -> tuple[dict[int, PositionModel], dict, dict]:
+    """The model of every k, with its centres on the grid and the sums about them."""
+    if not points.distinct:
+        raise ValueError("there is no position to fit")
+    begin = kmeans.seeds(points.rows, POSITION, points.grid, ks, seed)
+    centers, sums = kmeans.rounds(points.rows, POSITION, points.grid, begin)
+    cost = kmeans.costs(points.grid, sums)
+    models = {
+        k: PositionModel(tuple(points.grid.positions(c)), cost[k]) for k, c in centers.items()
+    }
+    return models, centers, sums
 
 
 def assign(
@@ -159,29 +157,24 @@ def is_empty(df: DataFrame) -> bool:
 
 
 def sweep(
-    points: DataFrame,
-    max_k: int = MAX_K,
-    seed: int = SEED,
-    parallelism: int = FITS_AT_ONCE,
-    silhouette: bool = True,
+    points: Positions, max_k: int = MAX_K, seed: int = SEED, silhouette: bool = True
 ) -> list[dict]:
-    """Fit k = 2..max_k on a persisted table; k, model, cost and silhouette of each.
+    """Fit k = 2..max_k; k, model, cost and silhouette of each.
 
-    A score that is not finite counts as none. The fits do not depend on each other, so several run at once and fill the
-    cores that one small fit leaves idle. A fit that found a single centre has no
-    silhouette.
+    All k share their passes: those that still move are assigned and added up in one job a
+    round, and one more job scores them all. A score that is not finite counts as none, and
+    a fit with a single cluster has none.
     """
-
-    def one(k: int) -> dict:
-        model = fit(points, k, seed)
-        several = len(model.clusterCenters()) > 1
-        value = score(model.transform(points)) if silhouette and several else None
+    models, centers, sums = _fitted(points, range(2, max_k + 1), seed)
+    scores: dict[int, float | None] = {}
+    if silhouette:
+        scores = kmeans.silhouettes(points.rows, POSITION, points.grid, centers, sums)
+    found = []
+    for k, model in models.items():
+        value = scores.get(k)
         value = value if value is not None and isfinite(value) else None
-        return {"k": k, "model": model, "cost": model.summary.trainingCost, "silhouette": value}
-
-    with ThreadPool(parallelism) as pool:
-        run = inheritable_thread_target(points.sparkSession)(one)
-        return pool.map(run, range(2, max_k + 1), chunksize=1)
+        found.append({"k": k, "model": model, "cost": model.cost, "silhouette": value})
+    return found
 
 
 def pick(scores: list[dict], method: str = "silhouette_max") -> int:
@@ -220,59 +213,35 @@ def _elbow(curve: list[tuple[int, float]]) -> int:
     return max(curve, key=lambda p: (gap(p), -p[0]))[0]
 
 
-@contextmanager
-def held_positions(
-    visits: DataFrame, partitions: int = FIT_PARTITIONS
-) -> Iterator[tuple[DataFrame, int]]:
-    """Weighted positions for the sweep, persisted once, and how many there are."""
-    held = _positions(visits).repartition(partitions, *POSITION).sortWithinPartitions(*POSITION)
-    held = held.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        distinct, *bounds = held.agg(F.count(F.lit(1)), *_bounds(POSITION)).first()
-        yield assemble(held, POSITION, _halfway(bounds)), distinct
-    finally:
-        held.unpersist()
-
-
 def fit_best(
-    visits: DataFrame,
-    max_k: int = MAX_K,
-    method: str = "silhouette_max",
-    seed: int = SEED,
-    parallelism: int = FITS_AT_ONCE,
+    visits: DataFrame, max_k: int = MAX_K, method: str = "silhouette_max", seed: int = SEED
 ) -> PositionModel | None:
     """The model of the k that a sweep chooses; None where fewer than two positions differ.
 
     The sweep never goes beyond the number of distinct positions, where further
-    centres could only repeat. Fitting the chosen k again would give the same model.
+    centres could only repeat.
     """
     _check(method)
-    with held_positions(visits) as (points, distinct):
-        limit = min(max_k, distinct)
+    with held_positions(visits) as points:
+        limit = min(max_k, points.distinct)
         if limit < 2:
             return None
-        scores = sweep(points, limit, seed, parallelism, method != "elbow")
+        scores = sweep(points, limit, seed, method != "elbow")
         chosen = pick(scores, method)
         return next(s["model"] for s in scores if s["k"] == chosen)
 
 
 def select_k(
-    visits: DataFrame,
-    max_k: int = MAX_K,
-    method: str = "silhouette_max",
-    seed: int = SEED,
-    parallelism: int = FITS_AT_ONCE,
+    visits: DataFrame, max_k: int = MAX_K, method: str = "silhouette_max", seed: int = SEED
 ) -> int:
     """Choose k; fewer than two visits is an error, identical visits give 1."""
     _check(method)
-    with held_positions(visits) as (points, distinct):
-        rows = points.agg(F.sum("weight")).first()[0] or 0
-        if rows < 2:
+    with held_positions(visits) as points:
+        if points.visits < 2:
             raise ValueError("at least two visits are needed to choose k")
-        if distinct < 2:
+        if points.distinct < 2:
             return 1
-        limit = min(max_k, distinct)
-        return pick(sweep(points, limit, seed, parallelism, method != "elbow"), method)
+        return pick(sweep(points, min(max_k, points.distinct), seed, method != "elbow"), method)
 
 
 def cluster(visits: DataFrame, **choice) -> DataFrame:

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from crowdgrid.operators.clusters import known, middle
@@ -26,7 +27,9 @@ GENERATED_TERMS = 64
 CLUSTERS_PER_PASS = 1000
 
 
-def cluster_sums(points: DataFrame, cluster: str, columns: Sequence[str]) -> DataFrame:
+def cluster_sums(
+    points: DataFrame, cluster: str | list[str], columns: Sequence[str]
+) -> DataFrame:
     """Per cluster: size, sum of squared norms, and the sum of each column."""
     return points.groupBy(cluster).agg(
         F.count(F.lit(1)).alias("n"),
@@ -79,11 +82,68 @@ def silhouette(
             if mine:
                 scored = materialise(_measure(scored, mine, columns, generated_terms))
 
+    return scored.agg(F.avg(_value()).alias("silhouette"))
+
+
+def silhouettes(
+    points: DataFrame,
+    clusters: Sequence[str],
+    columns: Sequence[str],
+    clusters_per_pass: int = CLUSTERS_PER_PASS,
+    generated_terms: int = GENERATED_TERMS,
+) -> DataFrame:
+    """One row with the mean silhouette of every labelling, under the name of its column.
+
+    The labellings share three jobs, whatever their number: the bounds, the sums of all
+    clusters of all labellings, and the scores. A labelling with more clusters than one pass
+    takes is scored by ``silhouette`` after them. Labels are compared as their text.
+    """
+    columns = list(columns)
+    usable = known(points, columns)
+    shift = middle(usable, columns)
+    labels = {name: f"_label{i}" for i, name in enumerate(clusters)}
+    usable = usable.select(
+        *[F.col(name).cast("string").alias(own) for name, own in labels.items()],
+        *[(F.col(c).cast("double") - F.lit(m)).alias(c) for c, m in zip(columns, shift)],
+    )
+    each = F.array(*[F.struct(F.lit(name).alias("by"), F.col(own).alias("own")) for name, own in labels.items()])
+    told = usable.select(*columns, F.inline(each)).filter("own IS NOT NULL")
+    sums = cluster_sums(told, ["by", "own"], columns)
+    most = F.count(F.lit(1)).over(Window.partitionBy("by"))
+    found: dict[str, list[Row]] = {name: [] for name in labels}
+    for row in sums.withColumn("_most", most).filter(F.col("_most") <= clusters_per_pass).collect():
+        found[row["by"]].append(row)
+    scored, values = usable, {}
+    for name, own in labels.items():
+        if found[name]:
+            ready = scored.withColumns(
+                {
+                    "own": F.col(own),
+                    "_a": F.lit(None).cast("double"),
+                    "_b": F.lit(None).cast("double"),
+                    "_n": F.lit(None).cast("bigint"),
+                }
+            )
+            value = F.when(F.col("own").isNotNull(), _value())
+            measured = _measure(ready, found[name], columns, generated_terms)
+            scored = measured.withColumn(f"_score{own}", value).drop("own", "_a", "_b", "_n")
+            values[name] = F.avg(f"_score{own}")
+    apart = {
+        name: silhouette(points, name, columns, clusters_per_pass, generated_terms).first()[0]
+        for name in labels
+        if not found[name]
+    }
+    values |= {name: F.lit(value).cast("double") for name, value in apart.items()}
+    return scored.agg(F.count(F.lit(1)).alias("_rows"), *[values[n].alias(n) for n in labels]).drop("_rows")
+
+
+def _value() -> Column:
+    """The score of a point from its own and its least other mean distance."""
     a = F.col("_a") * F.col("_n") / (F.col("_n") - 1)
     value = F.when(F.col("_n") == 1, F.lit(0.0)).otherwise(
         F.try_divide(F.col("_b") - a, F.greatest(a, F.col("_b")))
     )
-    return scored.agg(F.avg(F.coalesce(value, F.lit(0.0))).alias("silhouette"))
+    return F.coalesce(value, F.lit(0.0))
 
 
 def _measure(

@@ -143,6 +143,30 @@ scores AS (
   SELECT (b - a) / greatest(a, b) AS score FROM pos JOIN neg USING (own, x, y))"""
 
 
+def _argmin_silhouette() -> str:
+    names = ", ".join(f"round(max(score) FILTER (k = {k}), 6) AS k{k}" for k in range(2, 11))
+    return f"""WITH {VISITS}, centred AS (
+  SELECT user_id, lat_visit - avg(lat_visit) OVER () AS x, lon_visit - avg(lon_visit) OVER () AS y
+  FROM visits),
+points AS (
+  SELECT k, user_id % k AS own, x, y, x * x + y * y AS norm, count(*) AS copies
+  FROM centred, generate_series(2, 10) AS t(k) GROUP BY ALL),
+sums AS (
+  SELECT k, own AS other, sum(copies) AS n, sum(copies * norm) AS psi, sum(copies * x) AS sx,
+    sum(copies * y) AS sy FROM points GROUP BY k, own),
+away AS (
+  SELECT p.*, s.other, s.n, norm + psi / n - 2 * (x * sx + y * sy) / n AS d
+  FROM points p JOIN sums s USING (k)),
+sides AS (
+  SELECT k, own, x, y, copies, max(CASE WHEN own = other THEN d * n / nullif(n - 1, 0) END) AS a,
+    min(CASE WHEN own <> other THEN d END) AS b FROM away GROUP BY k, own, x, y, copies),
+scores AS (
+  SELECT k, sum(copies * CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END)
+    / sum(copies) AS score FROM sides GROUP BY k)
+SELECT (SELECT count(*) FROM events) AS total,
+  CAST(arg_min(k, score) AS INTEGER) AS argmin_silhouette, {names} FROM scores"""
+
+
 def _nearest_label() -> str:
     away = [
         f"(lat_visit - {_double(la)}) * (lat_visit - {_double(la)}) + "
@@ -271,6 +295,7 @@ FROM events UNION ALL SELECT 'one_row', -1, 1::BIGINT""",
     "m4_chosen_k": """SELECT count(*) AS total,
   CAST(count(DISTINCT user_id % 5) AS INTEGER) AS silhouette_max,
   CAST(count(DISTINCT user_id % 5) AS INTEGER) AS elbow FROM events""",
+    "m4_argmin_silhouette": _argmin_silhouette(),
     "m6_clustered_batches": f"""WITH {PLACED}
 SELECT {VISIT_COLUMNS}, visit_date, place, 4::BIGINT AS batches FROM placed""",
     "m7_saved_model_scores": PLACES,

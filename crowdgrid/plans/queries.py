@@ -20,12 +20,13 @@ from crowdgrid.functions.visits import (
 )
 from crowdgrid.operators import clusters, hotspots, journeys, markers, totals
 from crowdgrid.operators.clean import visits_from_messages
-from crowdgrid.operators.silhouette import silhouette
+from crowdgrid.operators.silhouette import silhouette, silhouettes
 from crowdgrid.schema import CLUSTERED_COLUMNS, VISIT_COLUMNS
 from crowdgrid.session import pin, scratch
 from crowdgrid.sources import messages as msg
 from crowdgrid.sources import tables
 from crowdgrid.sources.testtables import (
+    event_labellings,
     event_messages,
     event_pings,
     event_visits,
@@ -387,7 +388,7 @@ def _numbered(labelled: DataFrame, *batch: str) -> DataFrame:
 
 def kmeans_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     visits = _grouped_visits(spark, sf_dir).select(*VISIT_COLUMNS)
-    with clusters.held_positions(visits) as (points, _):
+    with clusters.held_positions(visits) as points:
         model = clusters.fit(points, GROUPS)
     return _numbered(clusters.assign(model, visits)).select(*VISIT_COLUMNS, "place")
 
@@ -420,19 +421,22 @@ def silhouette_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chosen_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both ways of choosing k find the five places."""
     visits = _grouped_visits(spark, sf_dir)
-    with clusters.held_positions(visits) as (points, distinct):
-        scores = clusters.sweep(points, min(clusters.MAX_K, distinct))
+    with clusters.held_positions(visits) as points:
+        scores = clusters.sweep(points, min(clusters.MAX_K, points.distinct))
     picked = [F.lit(clusters.pick(scores, m)).alias(m) for m in ("silhouette_max", "elbow")]
     return totals.total_visits(visits).select("total", *picked)
 
 
 def argmin_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's own choice of k, the lowest silhouette."""
-    visits = _grouped_visits(spark, sf_dir)
-    with clusters.held_positions(visits) as (points, distinct):
-        scores = clusters.sweep(points, min(clusters.MAX_K, distinct))
-    picked = F.lit(clusters.pick(scores, "argmin_silhouette")).alias("argmin_silhouette")
-    return totals.total_visits(visits).select("total", picked)
+    """The reference's own choice of k, the lowest silhouette, over fixed labellings: every
+    visit is labelled by its user's number modulo k. With the scores it chooses from."""
+    ks = range(2, clusters.MAX_K + 1)
+    labelled = event_labellings(_events(spark, sf_dir), ks)
+    row = silhouettes(labelled, [f"k{k}" for k in ks], clusters.POSITION).first()
+    scores = [{"k": k, "cost": None, "silhouette": row[f"k{k}"]} for k in ks]
+    chosen = F.lit(clusters.pick(scores, "argmin_silhouette")).alias("argmin_silhouette")
+    shown = [F.round(F.lit(s["silhouette"]), 6).alias(f"k{s['k']}") for s in scores]
+    return totals.total_visits(labelled).select("total", chosen, *shown)
 
 
 def degenerate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +73,13 @@ def event_visits(events: DataFrame, grouped: bool = False) -> DataFrame:
     )
 
 
+def event_labellings(events: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """Positions of all events with the columns ``k2``, ``k3`` ...: ``user_id`` modulo k."""
+    return events.select(
+        _latitude(), _longitude(), *[(F.col("user_id") % k).alias(f"k{k}") for k in ks]
+    )
+
+
 def _device_id() -> Column:
     number = F.lpad(F.col("user_id").cast("string"), 9, "0")
     return F.concat(F.lit("+447"), number).alias("device_id")
