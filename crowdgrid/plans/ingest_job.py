@@ -7,7 +7,8 @@
 ``--mode cluster`` (default) clusters every micro-batch anew, ``fit`` fits a model on the
 stored visits and saves it, ``score`` labels the stream with that model, and ``counts``
 appends live hourly cell counts to the table. ``--max-messages`` bounds a micro-batch, the
-first one over a backlog included; nothing is lost by it.
+first one over a backlog included; nothing is lost by it. A ``--connector`` gets each visit
+once, by a commit log beside the checkpoint or in ``--commit-log``.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--table", help="folder of the visit table")
     p.add_argument("--connector", help="append through this format instead of to files")
     p.add_argument("--option", action="append", default=[], help="key=value for the connector")
+    p.add_argument("--commit-log", help="folder that keeps replays from storing visits twice")
+    p.add_argument("--append-only", action="store_true", help="the connector cannot read back")
     p.add_argument("--source-option", action="append", default=[], help="key=value for the source")
     p.add_argument("--model", help="folder of the saved model")
     p.add_argument("--max-messages", type=int, help="Kafka messages in one micro-batch at most")
@@ -87,15 +90,21 @@ def main(argv: list[str] | None = None) -> None:
         counts = live_counts(visits, lateness=args.lateness)
         query = store_counts(counts, args.table, args.checkpoint, args.once, args.interval)
     elif args.mode == "score":
-        callback = StoreBatch(args.table, args.connector, options)
+        callback = StoreBatch(args.table, args.connector, options, _commit_log(args))
         scored = score_stream(visits, args.model)
         query = run_batches(scored, callback, args.checkpoint, args.once, args.interval)
     else:
-        callback = ClusterBatch(args.table, args.connector, options, choice)
+        callback = ClusterBatch(args.table, args.connector, options, _commit_log(args), choice)
         query = run_batches(visits, callback, args.checkpoint, args.once, args.interval)
     query.awaitTermination()
 
 
+def _commit_log(args: argparse.Namespace) -> str | None:
+    if args.append_only:
+        return None
+    return args.commit_log or f"{args.checkpoint.rstrip('/')}-commits"
+
+
 def _visits(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     options = _pairs(args.source_option)
     if args.source == "kafka":

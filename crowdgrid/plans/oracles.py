@@ -191,6 +191,9 @@ FROM pings""",
     "s3_append_table": f"""WITH {VISITS}
 SELECT {VISIT_COLUMNS}, cluster_pred, visit_date FROM visits""",
     "s4_micro_batches": f"WITH {VISITS} SELECT {VISIT_COLUMNS}, visit_date FROM visits",
+    "s4_connector_replays": f"""WITH {VISITS}
+SELECT connector, {VISIT_COLUMNS}, visit_date, 4::BIGINT AS batches
+FROM visits, (VALUES ('json'), ('csv')) AS c(connector)""",
     "s4_compacted_batches": f"WITH {VISITS} SELECT {VISIT_COLUMNS}, visit_date FROM visits",
     "s5_encode_round_trip": CLEAN,
     "s6_view_scan": f"""WITH {VISITS}

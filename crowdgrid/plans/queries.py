@@ -25,6 +25,7 @@ from crowdgrid.schema import CLUSTERED_COLUMNS, VISIT_COLUMNS
 from crowdgrid.session import pin, scratch
 from crowdgrid.sources import messages as msg
 from crowdgrid.sources import tables
+from crowdgrid.sources.connectors import ConnectorSink
 from crowdgrid.sources.testtables import (
     event_labellings,
     event_messages,
@@ -158,6 +159,33 @@ def connector_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_visits(spark, **through).select(*CLUSTERED_COLUMNS, "visit_date")
 
 
+def connector_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches through two connectors: one is appended in part before it is written, as after
+    a crash, and all are written twice. Every visit is there once in each."""
+    events, shown = _events(spark, sf_dir), []
+    for fmt, more in (("json", {}), ("csv", {"header": "true"})):
+        options = {"path": scratch(spark, fmt), **more}
+        sink = ConnectorSink(fmt, scratch(spark, "commits"), options)
+
+        def keep(batch: DataFrame, batch_id: int, sink: ConnectorSink = sink) -> None:
+            if batch_id == 1:
+                staged = sink.stage(batch, batch_id)
+                sink.begin(spark, batch_id)
+                some = staged.filter(F.pmod(F.xxhash64("date_visit"), F.lit(3)) == 0)
+                tables.append(some, None, sink.fmt, sink.options)
+            sink.write(batch, batch_id)
+            sink.write(batch, batch_id)
+
+        parts = stream_in_parts(spark, events, scratch(spark, "parts"), BATCHES)
+        visits = visits_from_messages(event_messages(parts))
+        run_batches(visits, keep, scratch(spark, "checkpoint"), once=True).awaitTermination()
+        back = tables.read_visits(spark, fmt=fmt, options=options)
+        batches = back.select(F.countDistinct("batch_id").alias("batches"))
+        back = back.select(F.lit(fmt).alias("connector"), *VISIT_COLUMNS, "visit_date")
+        shown.append(back.join(F.broadcast(batches)))
+    return shown[0].unionByName(shown[1])
+
+
 def encode_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visits_from_messages(msg.encode(event_pings(_events(spark, sf_dir))))
 
@@ -536,6 +564,7 @@ QUERIES: dict[str, Query] = {
     "s3_append_table": append_table,
     "s4_micro_batches": micro_batches,
     "s4_compacted_batches": compacted_batches,
+    "s4_connector_replays": connector_replays,
     "s5_encode_round_trip": encode_round_trip,
     "s6_view_scan": view_scan,
     "s6_connector_round_trip": connector_round_trip,

@@ -2,13 +2,20 @@
 
 Micro-batches land in the folder of the table, each in its own (visit_date, batch_id)
 partitions. ``compact`` publishes closed batches as segments, partitioned by date only, in a
-folder below that plain reads of the table pass over. A one-row entry in the log of segments
-makes a segment count, and from then on its landed batches do not. ``tidy`` removes those.
+folder below that plain reads of the table pass over. The log of segments has numbered
+entries, each with all segments that count from then on; landed batches that a segment holds
+no longer do. An entry is created only where none has its number, so of two compactions that
+start from the same entry one is published, and the other starts again or joins it. ``tidy``
+removes what no longer counts.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import time
+import uuid
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -16,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdgrid.schema import STORED_VISIT_SCHEMA
+from crowdgrid.sources import files
 
 VIEW_NAME = "visits"
 
@@ -23,6 +31,11 @@ VIEW_NAME = "visits"
 SEGMENTS = "_segments"
 SEGMENT_LOG = "_segment_log"
 
+# Tries of a compaction that others overtake, and hours after which files of a compaction
+# that was never published are taken for left over.
+TRIES = 10
+LEFT_OVER_HOURS = 24
+
 # Lookups of one device skip the row groups whose filter rules it out; the adaptive
 # filter is no larger than its devices need.
 DEVICE_INDEX = {
@@ -65,8 +78,8 @@ def write_batch(df: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -
     a published batch writes nothing, as its rows are there. A stream that starts with a
     new checkpoint numbers its batches anew and therefore needs a new table.
     """
-    segments = _segments(df.sparkSession, path)
-    if segments and batch_id <= segments[-1][1]:
+    done = segments(df.sparkSession, path).done
+    if done is not None and batch_id <= done:
         return
     owned = with_visit_date(df).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     (
@@ -80,79 +93,136 @@ def write_batch(df: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -
     )
 
 
+@dataclass(frozen=True)
+class Segments:
+    """An entry of the log: its number, the segments that count (first batch, last batch,
+    folder), and the folders of those that no longer do."""
+
+    version: int = 0
+    live: tuple[tuple[int, int, str], ...] = ()
+    dropped: tuple[str, ...] = ()
+
+    @property
+    def done(self) -> int | None:
+        """The last published batch."""
+        return self.live[-1][1] if self.live else None
+
+
+def segments(spark: SparkSession, path: str) -> Segments:
+    """The last entry of the log."""
+    log = os.path.join(path, SEGMENT_LOG)
+    numbers = [int(os.path.basename(p)) for p in files.matching(spark, os.path.join(log, "[0-9]*"))]
+    if not numbers:
+        return Segments()
+    entry = json.loads(files.read_text(spark, os.path.join(log, f"{max(numbers):08d}")))
+    return Segments(max(numbers), tuple(map(tuple, entry["live"])), tuple(entry["dropped"]))
+
+
 def compact(
-    spark: SparkSession, path: str, through: int | None = None, full: bool = False
+    spark: SparkSession,
+    path: str,
+    through: int | None = None,
+    full: bool = False,
+    stopped: bool = False,
 ) -> int | None:
     """Publish the landed batches up to ``through`` as one segment partitioned by date.
 
-    By default that is every batch but the latest, which may still be written. With
-    ``full`` the earlier segments are merged in, so that the number of files depends on the
-    dates alone. Run one compaction at a time; a failed one is simply run again. Returns the
+    By default that is every batch but the latest, which may still be written; the latest is
+    published only where the caller says that the stream has ``stopped``. With ``full`` the
+    earlier segments are merged in, so that the number of files depends on the dates alone.
+    Several compactions may run at once, and a failed one is simply run again. Returns the
     last batch that is published, or None.
     """
-    segments = _segments(spark, path)
-    done = segments[-1][1] if segments else None
+    for _ in range(TRIES):
+        known = segments(spark, path)
+        planned = _plan(spark, path, known, through, full, stopped)
+        if planned is None:
+            return known.done
+        low, high, merged, rows = planned
+        folder = f"{low}-{high}-{uuid.uuid4().hex[:8]}"
+        target = os.path.join(path, SEGMENTS, folder)
+        writer = _laid_out(rows, "visit_date").write.options(**DEVICE_INDEX).mode("overwrite")
+        writer.partitionBy("visit_date").option("partitionOverwriteMode", "static").parquet(target)
+        if _publish(spark, path, known, (low, high, folder), merged):
+            return high
+        files.delete(spark, target)
+    raise RuntimeError(f"{TRIES} compactions of {path} were overtaken by others")
+
+
+def _plan(
+    spark: SparkSession,
+    path: str,
+    known: Segments,
+    through: int | None,
+    full: bool,
+    stopped: bool,
+) -> tuple[int, int, list[str], DataFrame] | None:
+    """First and last batch of the next segment, the folders it merges, and its rows."""
     try:
-        landed = _landed(spark, path, "parquet", done)
+        landed = _landed(spark, path, "parquet", known.done)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return done
+        return None
     first, latest = landed.agg(F.min("batch_id"), F.max("batch_id")).first()
-    last = through if through is not None else None if latest is None else latest - 1
+    if through is not None and latest is not None and through >= latest and not stopped:
+        raise ValueError(f"batch {latest} may still be written; say that the stream has stopped")
+    last = through if through is not None else None if latest is None else latest - (not stopped)
     fresh = latest is not None and first <= last
-    if not fresh and not (full and len(segments) > 1):
-        return done
+    if not fresh and not (full and len(known.live) > 1):
+        return None
     rows = [landed.filter(F.col("batch_id") <= last)] if fresh else []
-    low, high = (first, min(last, latest)) if fresh else segments[0]
-    if full and segments:
-        rows += [_published(spark, path, s) for s in segments]
-        low, high = segments[0][0], max(high, done)
-    segment = reduce(DataFrame.unionByName, rows)
-    target = os.path.join(path, SEGMENTS, f"{low}-{high}")
-    writer = _laid_out(segment, "visit_date").write.options(**DEVICE_INDEX).mode("overwrite")
-    writer.partitionBy("visit_date").option("partitionOverwriteMode", "static").parquet(target)
-    entry = spark.range(1, numPartitions=1).select(F.lit(low).alias("low"), F.lit(high).alias("high"))
-    entry.write.mode("append").parquet(os.path.join(path, SEGMENT_LOG))
-    return high
-
-
-def tidy(spark: SparkSession, path: str) -> int:
-    """Remove published batches from the landing folder, and merged segments.
+    low, high = (first, min(last, latest)) if fresh else known.live[0][:2]
+    merged = []
+    if full and known.live:
+        rows += [_published(spark, path, folder) for _, _, folder in known.live]
+        merged = [folder for _, _, folder in known.live]
+        low, high = known.live[0][0], max(high, known.done)
+    return low, high, merged, reduce(DataFrame.unionByName, rows)
+
+
+def _publish(
+    spark: SparkSession,
+    path: str,
+    known: Segments,
+    segment: tuple[int, int, str],
+    merged: list[str],
+) -> bool:
+    """Add an entry with the segment; False where others have published what it holds."""
+    low, high, _ = segment
+    while True:
+        kept = [s for s in known.live if s[2] not in merged]
+        gone = len(kept) + len(merged) != len(known.live)
+        if gone or any(first <= high and last >= low for first, last, _ in kept):
+            return False
+        live, dropped = sorted([*kept, segment]), [*known.dropped, *merged]
+        number = os.path.join(path, SEGMENT_LOG, f"{known.version + 1:08d}")
+        if files.create_new(spark, number, json.dumps({"live": live, "dropped": dropped})):
+            return True
+        known = segments(spark, path)
+
+
+def tidy(spark: SparkSession, path: str, left_over_hours: float = LEFT_OVER_HOURS) -> int:
+    """Remove published batches from the landing folder, merged segments, and segments that
+    no compaction published for some hours.
 
     Call it when no reader that started before the last compaction is left. Returns the
     number of folders removed.
     """
-    segments = _segments(spark, path)
-    if not segments:
+    known = segments(spark, path)
+    if not known.live:
         return 0
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def folders(pattern: str) -> list:
-        found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, pattern)))
-        return [status.getPath() for status in found or []]
-
-    landed = folders("visit_date=*/batch_id=*")
-    gone = [f for f in landed if int(f.getName().split("=")[1]) <= segments[-1][1]]
-    live = {f"{low}-{high}" for low, high in segments}
-    gone += [f for f in folders(os.path.join(SEGMENTS, "*")) if f.getName() not in live]
-    return sum(files.delete(f, True) for f in gone)
 
+    def name(folder: str) -> str:
+        return os.path.basename(folder)
 
-def _segments(spark: SparkSession, path: str) -> list[tuple[int, int]]:
-    """First and last batch of every segment that no larger one contains, in order."""
-    try:
-        log = spark.read.schema("low long, high long").parquet(os.path.join(path, SEGMENT_LOG))
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
-    live: list[tuple[int, int]] = []
-    for low, high in sorted({(r.low, r.high) for r in log.collect()}, key=lambda s: (s[0], -s[1])):
-        if not live or high > live[-1][1]:
-            live.append((low, high))
-    return live
+    landed = files.matching(spark, os.path.join(path, "visit_date=*/batch_id=*"))
+    gone = [f for f in landed if int(name(f).split("=")[1]) <= known.done]
+    live, old = {s[2] for s in known.live}, (time.time() - 3600 * left_over_hours) * 1000
+    for folder, changed in files.matching(spark, os.path.join(path, SEGMENTS, "*")).items():
+        if name(folder) not in live and (name(folder) in known.dropped or changed < old):
+            gone.append(folder)
+    return sum(files.delete(spark, f) for f in gone)
 
 
 def _landed(spark: SparkSession, path: str, fmt: str, done: int | None) -> DataFrame:
@@ -160,9 +230,8 @@ def _landed(spark: SparkSession, path: str, fmt: str, done: int | None) -> DataF
     return landed if done is None else landed.filter(F.col("batch_id") > done)
 
 
-def _published(spark: SparkSession, path: str, segment: tuple[int, int]) -> DataFrame:
-    folder = os.path.join(path, SEGMENTS, f"{segment[0]}-{segment[1]}")
-    stored = spark.read.schema(STORED_VISIT_SCHEMA).parquet(folder)
+def _published(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    stored = spark.read.schema(STORED_VISIT_SCHEMA).parquet(os.path.join(path, SEGMENTS, folder))
     return stored.select(*STORED_VISIT_SCHEMA.names)
 
 
@@ -189,10 +258,10 @@ def read_visits(
             ]
         )
     else:
-        segments = _segments(spark, path)
-        table = _landed(spark, path, fmt, segments[-1][1] if segments else None)
-        for segment in segments:
-            table = table.unionByName(_published(spark, path, segment))
+        known = segments(spark, path)
+        table = _landed(spark, path, fmt, known.done)
+        for _, _, folder in known.live:
+            table = table.unionByName(_published(spark, path, folder))
     return table.select(*columns) if columns else table
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crowdgrid.operators.clusters import PositionModel, assign, cluster, fit_best, is_empty
 from crowdgrid.schema import CLUSTERED_COLUMNS
+from crowdgrid.sources.connectors import ConnectorSink
 from crowdgrid.sources.tables import append, write_batch
 
 # Fixed value: the trigger interval of the job.
@@ -22,16 +23,20 @@ TRIGGER = "10 seconds"
 class StoreBatch:
     """Callback that writes one micro-batch to the visit table under its ``batch_id``.
 
-    With ``connector`` the rows are appended through that format instead of to files;
-    a replay may then store a batch twice, under the same ``batch_id``.
+    With ``connector`` the rows are appended through that format instead of to files, and
+    ``log`` names the folder of its staging and commit log, which keep a replay from storing
+    a visit twice. Without a ``log``, for connectors that cannot read back, it may.
     """
 
     path: str | None = None
     connector: str | None = None
     options: dict[str, str] = field(default_factory=dict)
+    log: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if self.connector:
+        if self.connector and self.log:
+            ConnectorSink(self.connector, self.log, self.options).write(batch, batch_id)
+        elif self.connector:
             numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             append(numbered, None, self.connector, self.options)
         else:

@@ -1,6 +1,7 @@
 """The stored table: what reaches the scan, and writing a batch twice."""
 
 import os
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 from crowdgrid.operators import hotspots, journeys
 from crowdgrid.schema import CLUSTERED_COLUMNS, STORED_VISIT_SCHEMA
 from crowdgrid.session import SETTINGS, pin, scratch, shared_dir
-from crowdgrid.sources import tables
+from crowdgrid.sources import files, tables
+from crowdgrid.sources.connectors import ConnectorSink
 from crowdgrid.sources.testtables import event_visits, read_table
 
 
@@ -70,7 +72,7 @@ def test_compaction_returns_each_visit_once(spark, visits):
     for b in (3, 4):
         tables.write_batch(parts[b], b, path)
     assert tables.compact(spark, path) == 3 and right(range(5))
-    assert tables.compact(spark, path, through=4, full=True) == 4 and right(range(5))
+    assert tables.compact(spark, path, through=4, full=True, stopped=True) == 4 and right(range(5))
     tables.tidy(spark, path)
     assert right(range(5)) and tables.tidy(spark, path) == 0
     assert files_of(spark, path) == dates < before
@@ -88,6 +90,130 @@ def test_a_failed_compaction_changes_nothing(spark, visits):
     assert tables.read_visits(spark, path).count() == 2 * visits.count()
 
 
+def test_the_latest_batch_is_published_only_once_the_stream_has_stopped(spark, visits):
+    path = scratch(spark, "latest")
+    for b in range(3):
+        tables.write_batch(visits.limit(20), b, path)
+    for through in (2, 9):
+        with pytest.raises(ValueError):
+            tables.compact(spark, path, through=through)
+    assert tables.segments(spark, path).live == ()
+    assert tables.compact(spark, path, through=0) == 0
+    assert tables.compact(spark, path, stopped=True) == 2
+    assert tables.read_visits(spark, path).count() == 60
+
+
+def test_compactions_at_once_lose_and_repeat_nothing(spark, visits):
+    """Some over the same batches, some with all segments merged, from several threads."""
+    path = scratch(spark, "at-once")
+    few = visits.limit(50).cache()
+    for turn in range(3):
+        for b in range(3 * turn, 3 * turn + 3):
+            tables.write_batch(few, b, path)
+        with ThreadPool(4) as pool:
+            done = pool.map(lambda i: tables.compact(spark, path, full=i % 2 == 1), range(4))
+        assert max(done) == 3 * turn + 1
+        live = tables.segments(spark, path).live
+        assert all(a[1] < b[0] for a, b in zip(live, live[1:])) and live[0][0] == 0
+        counted = tables.read_visits(spark, path).groupBy("batch_id").count().collect()
+        assert {r.batch_id: r["count"] for r in counted} == dict.fromkeys(range(3 * turn + 3), 50)
+    tables.tidy(spark, path)
+    assert tables.read_visits(spark, path).count() == 9 * 50
+
+
+def test_an_overtaken_compaction_starts_again(spark, visits, monkeypatch):
+    """Another one publishes more batches while this one writes its segment."""
+    path = scratch(spark, "overtaken")
+    few = visits.limit(30).cache()
+    for b in range(3):
+        tables.write_batch(few, b, path)
+    real, turns = tables._publish, []
+
+    def late(spark_, path_, known, *more):
+        if not turns:
+            turns.append(1)
+            tables.write_batch(few, 3, path)
+            assert tables.compact(spark, path) == 2
+        return real(spark_, path_, known, *more)
+
+    monkeypatch.setattr(tables, "_publish", late)
+    assert tables.compact(spark, path, full=True) == 2
+    assert len(tables.segments(spark, path).live) == 1
+    assert tables.read_visits(spark, path).count() == 4 * 30
+
+
+def test_merging_joins_what_others_published_meanwhile(spark, visits, monkeypatch):
+    path = scratch(spark, "joined")
+    few = visits.limit(30).cache()
+    for b in range(3):
+        tables.write_batch(few, b, path)
+        tables.compact(spark, path)
+    assert len(tables.segments(spark, path).live) == 2
+    real, turns = tables._publish, []
+
+    def late(spark_, path_, known, *more):
+        if not turns:
+            turns.append(1)
+            tables.write_batch(few, 3, path)
+            tables.compact(spark, path)
+        return real(spark_, path_, known, *more)
+
+    monkeypatch.setattr(tables, "_publish", late)
+    plan_ = tables._plan(spark, path, tables.segments(spark, path), None, True, False)
+    assert plan_[:2] == (0, 1)
+    assert tables.compact(spark, path, full=True) == 1
+    assert [s[:2] for s in tables.segments(spark, path).live] == [(0, 1), (2, 2)]
+    assert tables.read_visits(spark, path).count() == 4 * 30
+
+
+def test_files_are_created_once(spark, tmp_path):
+    path = str(tmp_path / "a" / "b")
+    with ThreadPool(8) as pool:
+        made = pool.map(lambda i: files.create_new(spark, path, f"text {i}"), range(40))
+    assert sum(made) == 1 and files.read_text(spark, path) == f"text {made.index(True)}"
+    assert not files.exists(spark, path + "x") and list(files.matching(spark, path + "*")) == [f"file:{path}"]
+    assert os.listdir(tmp_path / "a") == ["b"]
+    assert files.delete(spark, path) and not files.exists(spark, path)
+
+
+CONNECTORS = [("json", {}), ("csv", {"header": "true"}), ("parquet", {})]
+
+
+@pytest.mark.parametrize(("fmt", "more"), CONNECTORS)
+def test_a_batch_goes_through_a_connector_once(spark, visits, tmp_path, fmt, more):
+    odd = spark.createDataFrame([(None, None, 0.1 + 0.2, -1e-300, None)] * 3, visits.schema)
+    rows = visits.limit(40).unionByName(odd).cache()
+    options = {"path": str(tmp_path / "t"), **more}
+    sink = ConnectorSink(fmt, str(tmp_path / "log"), options)
+
+    def stored(batch_id):
+        back = tables.read_visits(spark, fmt=fmt, options=options).filter(F.col("batch_id") == batch_id)
+        return sorted(back.select(*CLUSTERED_COLUMNS).collect(), key=str)
+
+    want = sorted(rows.collect(), key=str)
+    sink.write(rows, 0)
+    sink.write(rows.limit(1), 0)
+    assert stored(0) == want
+    # Begun but nothing appended; appended in part; appended in whole but not noted.
+    for batch_id, share in ((1, None), (2, 0.5), (3, 1.0)):
+        staged = sink.stage(rows, batch_id)
+        assert sink.begin(spark, batch_id) and not sink.begin(spark, batch_id)
+        if share:
+            part = staged if share == 1 else staged.filter("device_id IS NULL").limit(2)
+            tables.append(part, None, fmt, options)
+        sink.write(rows.limit(5), batch_id)  # the staged rows count, not those of the replay
+        assert stored(batch_id) == want
+    assert not list(files.matching(spark, str(tmp_path / "log" / "staged" / "*")))
+
+
+def test_a_first_batch_that_stored_nothing(spark, visits, tmp_path):
+    options = {"path": str(tmp_path / "never")}
+    sink = ConnectorSink("json", str(tmp_path / "log"), options)
+    sink.begin(spark, 0)
+    sink.write(visits.limit(4), 0)
+    assert tables.read_visits(spark, fmt="json", options=options).count() == 4
+
+
 def test_compacted_dates_prune_partitions(spark, visits):
     path = scratch(spark, "pruned")
     for b in range(2):
