@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from crowdgrid.operators.clean import visits_from_messages
 from crowdgrid.operators.clusters import MAX_K, METHODS, SEED
 from crowdgrid.session import builder
+from crowdgrid.sources.kept import KEPT
 from crowdgrid.sources.messages import kafka_options, read_messages
 from crowdgrid.sources.tables import read_visits
 from crowdgrid.streaming.ingest import (
@@ -47,6 +48,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--option", action="append", default=[], help="key=value for the connector")
     p.add_argument("--commit-log", help="folder that keeps replays from storing visits twice")
     p.add_argument("--append-only", action="store_true", help="the connector cannot read back")
+    p.add_argument(
+        "--keep", nargs="*", choices=list(KEPT), default=list(KEPT), help="tables kept beside --table"
+    )
     p.add_argument("--source-option", action="append", default=[], help="key=value for the source")
     p.add_argument("--model", help="folder of the saved model")
     p.add_argument("--max-messages", type=int, help="Kafka messages in one micro-batch at most")
@@ -85,16 +89,18 @@ def main(argv: list[str] | None = None) -> None:
         history = read_visits(spark, None if args.connector else args.table, None, through, options)
         save_model(history, args.model, **choice)
         return
-    visits = _visits(spark, args)
+    visits, keep = _visits(spark, args), tuple(args.keep)
     if args.mode == "counts":
         counts = live_counts(visits, lateness=args.lateness)
         query = store_counts(counts, args.table, args.checkpoint, args.once, args.interval)
     elif args.mode == "score":
-        callback = StoreBatch(args.table, args.connector, options, _commit_log(args))
+        callback = StoreBatch(args.table, args.connector, options, _commit_log(args), keep)
         scored = score_stream(visits, args.model)
         query = run_batches(scored, callback, args.checkpoint, args.once, args.interval)
     else:
-        callback = ClusterBatch(args.table, args.connector, options, _commit_log(args), choice)
+        callback = ClusterBatch(
+            args.table, args.connector, options, _commit_log(args), keep, choice
+        )
         query = run_batches(visits, callback, args.checkpoint, args.once, args.interval)
     query.awaitTermination()
 

@@ -224,6 +224,8 @@ FROM parsed""",
     "p9_dates_between": RANGE,
     "p9_dates_between_text": RANGE,
     "p10_one_device": f"""WITH {VISITS}
+SELECT {VISIT_COLUMNS}, cluster_pred FROM visits WHERE device_id = sha256('{DEVICE}')""",
+    "p10_device_by_dates": f"""WITH {VISITS}
 SELECT {VISIT_COLUMNS}, cluster_pred FROM visits WHERE device_id = sha256('{DEVICE}')""",
     "p11_emptiness": "SELECT count(*) = 0 AS all_empty, true AS never_empty FROM events",
     "p12_alerts": f"WITH {_flags()} SELECT cell, hour, date, alert FROM report",
@@ -246,6 +248,9 @@ FROM counts GROUP BY cell, hour""",
 SELECT cell, hour, date, pings, round(mean, 6) AS mean, round(std, 6) AS std FROM report""",
     "a4_hotspot_report": f"""WITH {_flags()}
 SELECT cell, hour, date, pings, round(mean, 6) AS mean, round(std, 6) AS std, alert, red_wave
+FROM report""",
+    "a4_report_from_stored_counts": f"""WITH {_flags()}
+SELECT cell, hour, date, pings, round(mean, 6) AS mean, round(std, 6) AS std, alert, red_wave
 FROM report""",
     "a5_pings_by_hour": HOURS,
     "a5_pings_by_hour_from_counts": HOURS,

@@ -26,6 +26,7 @@ from crowdgrid.session import pin, scratch
 from crowdgrid.sources import messages as msg
 from crowdgrid.sources import tables
 from crowdgrid.sources.connectors import ConnectorSink
+from crowdgrid.sources.kept import KEPT
 from crowdgrid.sources.testtables import (
     event_labellings,
     event_messages,
@@ -186,6 +187,34 @@ def connector_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown[0].unionByName(shown[1])
 
 
+def _kept_table(spark: SparkSession, sf_dir: str) -> str:
+    """A table of several batches with its kept tables: batches written in no order, some
+    twice, the second time with other rows first, and compacted between."""
+    out, keep = scratch(spark, "kept"), tuple(KEPT)
+    visits = event_visits(_events(spark, sf_dir)).select(*CLUSTERED_COLUMNS)
+    share = F.pmod(F.xxhash64(*CLUSTERED_COLUMNS), F.lit(BATCHES + 2))
+    for batch in (1, 0, 2, 1, 3, 5, 4):
+        if batch == 2:  # a first try with fewer rows
+            tables.write_batch(visits.filter((share == 2) & (F.col("lon_visit") > -2.4333)), 2, out, keep=keep)
+        tables.write_batch(visits.filter(share == batch), batch, out, keep=keep)
+        if batch == 3:
+            tables.compact(spark, out)
+    tables.compact(spark, out, through=4, full=True)
+    return out
+
+
+def device_by_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One device from the partitions of the dates it was seen on."""
+    found = tables.device_visits(spark, _kept_table(spark, sf_dir), DEVICE_HASH)
+    return found.select(*CLUSTERED_COLUMNS)
+
+
+def report_from_stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hotspot report from counts kept batch by batch."""
+    counts = tables.stored_counts(spark, _kept_table(spark, sf_dir))
+    return _rounded(hotspots.with_flags(counts, threshold=THRESHOLD), "mean", "std")
+
+
 def encode_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visits_from_messages(msg.encode(event_pings(_events(spark, sf_dir))))
 
@@ -579,6 +608,7 @@ QUERIES: dict[str, Query] = {
     "p9_dates_between": dates_between,
     "p9_dates_between_text": dates_between_text,
     "p10_one_device": one_device,
+    "p10_device_by_dates": device_by_dates,
     "p11_emptiness": emptiness,
     "p12_alerts": alerts,
     "p12_fractional_alerts": fractional_alerts,
@@ -592,6 +622,7 @@ QUERIES: dict[str, Query] = {
     "a2_spread": spread,
     "a3_counts_with_spread": counts_with_spread,
     "a4_hotspot_report": hotspot_report,
+    "a4_report_from_stored_counts": report_from_stored_counts,
     "a5_pings_by_hour": pings_by_hour,
     "a5_pings_by_hour_from_counts": pings_by_hour_from_counts,
     "a6_cluster_sizes": cluster_sizes,

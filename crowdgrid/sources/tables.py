@@ -18,12 +18,11 @@ import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdgrid.schema import STORED_VISIT_SCHEMA
-from crowdgrid.sources import files
+from crowdgrid.sources import files, kept
 
 VIEW_NAME = "visits"
 
@@ -38,10 +37,7 @@ LEFT_OVER_HOURS = 24
 
 # Lookups of one device skip the row groups whose filter rules it out; the adaptive
 # filter is no larger than its devices need.
-DEVICE_INDEX = {
-    "parquet.bloom.filter.enabled#device_id": "true",
-    "parquet.bloom.filter.adaptive.enabled": "true",
-}
+DEVICE_INDEX = kept.BLOOM
 
 
 def with_visit_date(df: DataFrame) -> DataFrame:
@@ -70,15 +66,25 @@ def _laid_out(dated: DataFrame, *partitions: str) -> DataFrame:
     return dated.hint("rebalance", "visit_date").sortWithinPartitions(*partitions, "device_id")
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -> None:
+def write_batch(
+    df: DataFrame,
+    batch_id: int,
+    path: str,
+    fmt: str = "parquet",
+    keep: tuple[str, ...] = (),
+) -> None:
     """Write one micro-batch so that writing it again replaces it.
 
     A batch owns its (visit_date, batch_id) partitions; the same offsets give the
     same dates, so a replay overwrites exactly what the first try left behind. A replay of
     a published batch writes nothing, as its rows are there. A stream that starts with a
     new checkpoint numbers its batches anew and therefore needs a new table.
+
+    ``keep`` names tables of ``kept`` that follow from the batch: they are made from its
+    files, so the batch itself is not computed again.
     """
-    done = segments(df.sparkSession, path).done
+    spark = df.sparkSession
+    done = segments(spark, path).done
     if done is not None and batch_id <= done:
         return
     owned = with_visit_date(df).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -91,6 +97,11 @@ def write_batch(df: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -
         .partitionBy("visit_date", "batch_id")
         .save(path)
     )
+    if keep:
+        written = list(files.matching(spark, os.path.join(path, f"visit_date=*/batch_id={batch_id}")))
+        stored = spark.read.format(fmt).schema(STORED_VISIT_SCHEMA).option("basePath", path)
+        rows = stored.load(written) if written else spark.createDataFrame([], STORED_VISIT_SCHEMA)
+        kept.write_landed(rows, batch_id, path, keep)
 
 
 @dataclass(frozen=True)
@@ -143,9 +154,12 @@ def compact(
         target = os.path.join(path, SEGMENTS, folder)
         writer = _laid_out(rows, "visit_date").write.options(**DEVICE_INDEX).mode("overwrite")
         writer.partitionBy("visit_date").option("partitionOverwriteMode", "static").parquet(target)
+        batches = [b for b in landed_batches(spark, path, known.done) if b <= high]
+        kept.write_segment(spark, path, folder, batches, merged)
         if _publish(spark, path, known, (low, high, folder), merged):
             return high
         files.delete(spark, target)
+        kept.tidy(spark, path, -1, [folder])
     raise RuntimeError(f"{TRIES} compactions of {path} were overtaken by others")
 
 
@@ -158,21 +172,19 @@ def _plan(
     stopped: bool,
 ) -> tuple[int, int, list[str], DataFrame] | None:
     """First and last batch of the next segment, the folders it merges, and its rows."""
-    try:
-        landed = _landed(spark, path, "parquet", known.done)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    first, latest = landed.agg(F.min("batch_id"), F.max("batch_id")).first()
+    batches = landed_batches(spark, path, known.done)
+    latest = batches[-1] if batches else None
     if through is not None and latest is not None and through >= latest and not stopped:
         raise ValueError(f"batch {latest} may still be written; say that the stream has stopped")
-    last = through if through is not None else None if latest is None else latest - (not stopped)
-    fresh = latest is not None and first <= last
-    if not fresh and not (full and len(known.live) > 1):
+    last = through if through is not None else latest if stopped or not batches else latest - 1
+    closed = [b for b in batches if b <= last]
+    if not closed and not (full and len(known.live) > 1):
         return None
-    rows = [landed.filter(F.col("batch_id") <= last)] if fresh else []
-    low, high = (first, min(last, latest)) if fresh else known.live[0][:2]
+    low, high = (closed[0], closed[-1]) if closed else known.live[0][:2]
+    rows = []
+    if closed:
+        landed = _landed(spark, path, "parquet", known.done)
+        rows.append(landed.filter(F.col("batch_id") <= high))
     merged = []
     if full and known.live:
         rows += [_published(spark, path, folder) for _, _, folder in known.live]
@@ -219,10 +231,59 @@ def tidy(spark: SparkSession, path: str, left_over_hours: float = LEFT_OVER_HOUR
     landed = files.matching(spark, os.path.join(path, "visit_date=*/batch_id=*"))
     gone = [f for f in landed if int(name(f).split("=")[1]) <= known.done]
     live, old = {s[2] for s in known.live}, (time.time() - 3600 * left_over_hours) * 1000
-    for folder, changed in files.matching(spark, os.path.join(path, SEGMENTS, "*")).items():
-        if name(folder) not in live and (name(folder) in known.dropped or changed < old):
-            gone.append(folder)
-    return sum(files.delete(spark, f) for f in gone)
+    folders = [
+        folder
+        for folder, changed in files.matching(spark, os.path.join(path, SEGMENTS, "*")).items()
+        if name(folder) not in live and (name(folder) in known.dropped or changed < old)
+    ]
+    removed = sum(files.delete(spark, f) for f in gone + folders)
+    kept.tidy(spark, path, known.done, [name(f) for f in folders])
+    return removed
+
+
+def landed_batches(spark: SparkSession, path: str, done: int | None) -> list[int]:
+    """The landed batches after the last published one, from the names of their folders."""
+    found = files.matching(spark, os.path.join(path, "visit_date=*/batch_id=*"))
+    batches = {int(os.path.basename(f).split("=")[1]) for f in found}
+    return sorted(b for b in batches if done is None or b > done)
+
+
+def _kept(spark: SparkSession, path: str, name: str, condition: Column | None = None) -> DataFrame | None:
+    known = segments(spark, path)
+    folders = [folder for _, _, folder in known.live]
+    return kept.read(spark, path, name, landed_batches(spark, path, known.done), folders, condition)
+
+
+def device_visits(spark: SparkSession, path: str, device_id: str) -> DataFrame:
+    """All visits of one hashed device, from the partitions of the dates it was seen on.
+
+    The dates come from the kept table ``device_dates``, of which one folder a segment and
+    the matching row groups of landed batches are read; there are as many as dates at most.
+    Where that table is not whole, every date is looked through.
+    """
+    wanted = F.col("device_id") == F.lit(device_id)
+    visits = read_visits(spark, path).filter(wanted)
+    bucket = F.col("bucket") == kept.bucket_of(F.lit(device_id))
+    dates = _kept(spark, path, "device_dates", bucket & wanted)
+    if dates is None:
+        return visits
+    found = [r["visit_date"] for r in dates.select("visit_date").collect()]
+    seen = F.col("visit_date").isin([d for d in found if d is not None])
+    return visits.filter(seen | F.col("visit_date").isNull() if None in found else seen)
+
+
+def stored_counts(
+    spark: SparkSession, path: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """Pings per (cell, hour, date) of a range of dates from the kept table ``cell_counts``,
+    without a look at visits; ``hotspots.with_flags`` makes the report of them."""
+    first, last = (F.lit(d).cast("date") for d in (start, end))
+    bounds = [c for d, c in ((start, F.col("date") >= first), (end, F.col("date") <= last)) if d]
+    condition = reduce(lambda a, b: a & b, bounds) if bounds else None
+    counts = _kept(spark, path, "cell_counts", condition)
+    if counts is None:
+        raise ValueError(f"the counts of {path} are not kept for all batches")
+    return counts.select("cell", "hour", "date", "pings")
 
 
 def _landed(spark: SparkSession, path: str, fmt: str, done: int | None) -> DataFrame:

@@ -25,13 +25,15 @@ class StoreBatch:
 
     With ``connector`` the rows are appended through that format instead of to files, and
     ``log`` names the folder of its staging and commit log, which keep a replay from storing
-    a visit twice. Without a ``log``, for connectors that cannot read back, it may.
+    a visit twice. Without a ``log``, for connectors that cannot read back, it may. ``keep``
+    names the tables that are kept beside files.
     """
 
     path: str | None = None
     connector: str | None = None
     options: dict[str, str] = field(default_factory=dict)
     log: str | None = None
+    keep: tuple[str, ...] = ()
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if self.connector and self.log:
@@ -40,7 +42,7 @@ class StoreBatch:
             numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             append(numbered, None, self.connector, self.options)
         else:
-            write_batch(batch, batch_id, self.path)
+            write_batch(batch, batch_id, self.path, keep=self.keep)
 
 
 @dataclass

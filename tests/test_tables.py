@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from crowdgrid.operators import hotspots, journeys
 from crowdgrid.schema import CLUSTERED_COLUMNS, STORED_VISIT_SCHEMA
 from crowdgrid.session import SETTINGS, pin, scratch, shared_dir
-from crowdgrid.sources import files, tables
+from crowdgrid.sources import files, kept, tables
 from crowdgrid.sources.connectors import ConnectorSink
 from crowdgrid.sources.testtables import event_visits, read_table
 
@@ -176,6 +176,92 @@ def test_files_are_created_once(spark, tmp_path):
     assert files.delete(spark, path) and not files.exists(spark, path)
 
 
+KEEP = tuple(kept.KEPT)
+
+
+def same_rows(a, b):
+    return a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def partition_filters(df):
+    return [part.split("]")[0] for part in plan(df).split("PartitionFilters: [")[1:]]
+
+
+def test_kept_tables_follow_any_order_of_batches(spark, visits):
+    """Batches in any order, written twice, compacted in between: reports and lookups equal
+    those of the visits at every step."""
+    path = scratch(spark, "kept")
+    share = F.pmod(F.xxhash64(*visits.columns), F.lit(6))
+    odd = spark.createDataFrame([(None, None, 53.5, -2.4, 1), ("z", None, 53.5, -2.4, 1)], visits.schema)
+    whole = visits.unionByName(odd).cache()
+    devices = [r[0] for r in whole.select("device_id").distinct().limit(2).collect()] + ["z", "nobody"]
+    written = set()
+
+    def right():
+        stored = tables.read_visits(spark, path).select(*CLUSTERED_COLUMNS)
+        known = whole.filter(share.isin(sorted(written)))
+        assert same_rows(stored, known)
+        counts = hotspots.cell_counts(known)
+        assert same_rows(tables.stored_counts(spark, path), counts)
+        ranged = hotspots.date_range(tables.with_visit_date(known), "2024-01-05", "2024-01-09")
+        got = tables.stored_counts(spark, path, "2024-01-05", "2024-01-09")
+        assert same_rows(hotspots.with_flags(got), hotspots.hotspots(ranged))
+        for device in devices:
+            one = tables.device_visits(spark, path, device).select(*CLUSTERED_COLUMNS)
+            assert same_rows(one, journeys.device_visits(known, device))
+
+    for step in (2, 0, 2, 1, "compact", 3, 0, "full", 5, 4, "compact", "tidy", "last"):
+        if isinstance(step, int):
+            tables.write_batch(whole.filter(share == step), step, path, keep=KEEP)
+            written.add(step)
+            if tables.segments(spark, path).done is not None:
+                continue
+        elif step == "tidy":
+            assert tables.tidy(spark, path) > 0
+        else:
+            tables.compact(spark, path, full=step == "full", stopped=step == "last")
+        if not isinstance(step, int):
+            right()
+    left = files.matching(spark, os.path.join(path, kept.FOLDER, "*", kept.LANDED, "*"))
+    tables.tidy(spark, path)
+    after = files.matching(spark, os.path.join(path, kept.FOLDER, "*", kept.LANDED, "*"))
+    assert len(left) > len(after) == 0
+    right()
+
+
+def test_a_lookup_opens_the_partitions_of_its_dates(spark, visits):
+    path = scratch(spark, "lookup")
+    device = visits.select("device_id").first()[0]
+    some = visits.filter((F.col("device_id") != device) | F.col("date_visit").between("2024-01-03", "2024-01-05"))
+    dates = some.filter(F.col("device_id") == device).select(F.substring("date_visit", 1, 10).alias("d")).distinct()
+    days = sorted(r.d for r in dates.collect())
+    for b in range(2):
+        tables.write_batch(some, b, path, keep=KEEP)
+        tables.compact(spark, path)
+    found = tables.device_visits(spark, path, device)
+    filters = partition_filters(found)
+    assert len(filters) == 2 and len(days) in (1, 2, 3)
+    assert all(d in f for d in days for f in filters)
+    assert {str(r[0]) for r in found.select("visit_date").distinct().collect()} == set(days)
+    opened = {r[0].split("visit_date=")[1][:10] for r in found.select(F.input_file_name()).distinct().collect()}
+    assert opened == set(days)
+    dated = tables._kept(spark, path, "device_dates", F.col("bucket") == kept.bucket_of(F.lit(device)))
+    assert any("bucket" in f for f in partition_filters(dated))
+
+
+def test_tables_that_are_not_kept_whole_are_not_used(spark, visits):
+    path = scratch(spark, "partly")
+    device = visits.select("device_id").first()[0]
+    tables.write_batch(visits, 0, path, keep=KEEP)
+    tables.write_batch(visits, 1, path)
+    want = 2 * visits.filter(F.col("device_id") == device).count()
+    for _ in range(2):
+        assert tables.device_visits(spark, path, device).count() == want
+        with pytest.raises(ValueError):
+            tables.stored_counts(spark, path)
+        tables.compact(spark, path, stopped=True)
+
+
 CONNECTORS = [("json", {}), ("csv", {"header": "true"}), ("parquet", {})]
 
 
