@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from crowdgrid.functions import hexgrid
 from crowdgrid.plans.queries import (
     CENTERS,
     COARSE,
@@ -41,13 +40,22 @@ VISITS = f"""{PINGS}, visits AS (
   FROM pings)"""
 
 
+# Fixed values of the grid: earth radius in metres, standard parallel in degrees, area of a
+# cell at resolution 10 in square metres, bits of an axis.
+RADIUS, PARALLEL, AREA = "6371007.2e0", "cos(radians(53.55e0))", "15047.5e0"
+
+
+def _edge(resolution: int) -> str:
+    return f"sqrt(2 * {AREA} * pow(7e0, {10 - resolution}) / (3 * sqrt(3e0)))"
+
+
 def _cells(resolution: int = 10) -> str:
-    k = {name: _double(v) for name, v in hexgrid.factors(resolution).items()}
-    rad = _double(hexgrid.RAD_PER_DEG)
-    offset = hexgrid.AXIS_OFFSET
-    return f"""{VISITS}, axes AS (
-  SELECT *, lon_visit * {k['q_lon']} - sin(lat_visit * {rad}) * {k['q_lat']} AS qf,
-    sin(lat_visit * {rad}) * {k['r_lat']} AS rf FROM visits),
+    return f"""{VISITS}, plane AS (
+  SELECT *, {RADIUS} * radians(lon_visit) * {PARALLEL} AS px,
+    {RADIUS} * sin(radians(lat_visit)) / {PARALLEL} AS py, {_edge(resolution)} AS edge FROM visits),
+axes AS (
+  SELECT * EXCLUDE (px, py, edge), (px * sqrt(3e0) / 3 - py / 3) / edge AS qf,
+    2 * py / (3 * edge) AS rf FROM plane),
 near AS (
   SELECT *, CAST(floor(qf + 0.5e0) AS BIGINT) AS q0, CAST(floor(rf + 0.5e0) AS BIGINT) AS r0,
     CAST(floor(0.5e0 - qf - rf) AS BIGINT) AS s0 FROM axes),
@@ -56,7 +64,7 @@ moved AS (
   SELECT *, CASE WHEN dq > dr AND dq > ds THEN -r0 - s0 ELSE q0 END AS q,
     CASE WHEN dq > dr AND dq > ds THEN r0 WHEN dr > ds THEN -q0 - s0 ELSE r0 END AS r FROM off),
 placed AS (
-  SELECT *, {resolution << 56}::BIGINT + (q + {offset}) * {1 << 28}::BIGINT + (r + {offset}) AS cell
+  SELECT *, ({resolution}::BIGINT << 56) + ((q + 134217728) << 28) + (r + 134217728) AS cell
   FROM moved)"""
 
 
@@ -78,18 +86,14 @@ report AS (
   FROM counts c JOIN sums m ON c.cell = m.cell AND c.hour = m.hour)"""
 
 
-CENTER = """round(degrees(asin(r * {sin_per_r})), 6) AS lat,
-    round((q + r * 0.5e0) * {lon_per_axis}, 6) AS lon"""
-
-
 def _center() -> str:
-    k = hexgrid.factors(10)
-    return CENTER.format(**{n: _double(k[n]) for n in ("sin_per_r", "lon_per_axis")})
+    return f"""round(degrees(asin(1.5e0 * r * {_edge(10)} * {PARALLEL} / {RADIUS})), 6) AS lat,
+    round(degrees((q + r * 0.5e0) * sqrt(3e0) * {_edge(10)} / ({RADIUS} * {PARALLEL})), 6) AS lon"""
 
 
-AXES_OF_CELL = f"""axes_of AS (
-  SELECT *, ((cell >> 28) & {hexgrid.AXIS_MASK}) - {hexgrid.AXIS_OFFSET} AS q,
-    (cell & {hexgrid.AXIS_MASK}) - {hexgrid.AXIS_OFFSET} AS r FROM report)"""
+AXES_OF_CELL = """axes_of AS (
+  SELECT *, ((cell >> 28) & 268435455) - 134217728 AS q,
+    (cell & 268435455) - 134217728 AS r FROM report)"""
 
 POPUP = """CASE WHEN red_wave
       THEN 'ALERT! Red Wave - ' || pings || ' pings at this location, Date: ' || date
@@ -143,6 +147,57 @@ scores AS (
   SELECT (b - a) / greatest(a, b) AS score FROM pos JOIN neg USING (own, x, y))"""
 
 
+def _globe() -> str:
+    """Cells of the globe at resolution 10 and their centres, zone by zone."""
+    edge = _edge(10)
+    return f"""points AS (
+  SELECT event_id, (event_id * 7919) % 180001 / 1000e0 - 90 AS lat,
+    (event_id * 104729) % 360001 / 1000e0 - 180 AS lon FROM events),
+turned AS (
+  SELECT event_id, lat, CASE WHEN lon >= 180 THEN lon - 360 ELSE lon END AS lon,
+    CASE WHEN lat >= 75 THEN 180 WHEN lat < -75 THEN 181 ELSE CAST(floor(lat) AS BIGINT) + 90 END AS zone
+  FROM points),
+zones AS (
+  SELECT z AS zone, sin(radians(z - 90)) AS foot, cos(radians(z - 89.5e0)) AS mid,
+    cos(radians(z - 90 - degrees({edge} / {RADIUS}))) AS low,
+    cos(radians(z - 89 + degrees({edge} / {RADIUS}))) AS high,
+    CASE WHEN z IN (89, 90) THEN 1e0 ELSE cos(radians(z - 89.5e0)) END AS most
+  FROM generate_series(15, 164) AS t(z)),
+sized AS (
+  SELECT zone, foot, {RADIUS} / mid * greatest(mid / low, low / mid, mid / high, high / mid, most / mid)
+      / (1.5e0 * {edge}) AS rows,
+    ceil(2 * pi() * {RADIUS} * mid * greatest(mid / low, low / mid, mid / high, high / mid, most / mid)
+      / (sqrt(3e0) * {edge})) AS columns FROM zones),
+cap AS (SELECT {edge} * cos((radians(15e0) + {edge} / {RADIUS}) / 2) AS cap_edge),
+flat AS (
+  SELECT *, 2 * {RADIUS} / cap_edge * sin((pi() / 2 - abs(radians(lat))) / 2) AS rho
+  FROM turned LEFT JOIN sized USING (zone), cap),
+axes AS (
+  SELECT *, CASE WHEN zone >= 180 THEN rho * cos(radians(lon)) * 2 / 3
+      ELSE (sin(radians(lat)) - foot) * rows END AS rf,
+    CASE WHEN zone >= 180 THEN rho * sin(radians(lon)) / sqrt(3e0) ELSE lon * columns / 360 END AS uf
+  FROM flat),
+near AS (
+  SELECT *, uf - rf / 2 AS qf, CAST(floor(uf - rf / 2 + 0.5e0) AS BIGINT) AS q0,
+    CAST(floor(rf + 0.5e0) AS BIGINT) AS r0, CAST(floor(0.5e0 - uf - rf / 2) AS BIGINT) AS s0 FROM axes),
+off AS (SELECT *, abs(q0 - qf) AS dq, abs(r0 - rf) AS dr, abs(s0 + qf + rf) AS ds FROM near),
+moved AS (
+  SELECT *, CASE WHEN dq > dr AND dq > ds THEN -r0 - s0 ELSE q0 END AS q,
+    CASE WHEN dq > dr AND dq > ds THEN r0 WHEN dr > ds THEN -q0 - s0 ELSE r0 END AS r FROM off),
+wrapped AS (
+  SELECT *, CASE WHEN zone >= 180 THEN q
+    ELSE ((q % columns::BIGINT) + columns::BIGINT) % columns::BIGINT END AS place FROM moved),
+globe AS (
+  SELECT event_id, (10::BIGINT << 59) + (zone::BIGINT << 50) + (r + 8388608)
+      + ((CASE WHEN zone >= 180 THEN place + 33554432 ELSE place END) << 24) AS cell,
+    CASE WHEN zone >= 180 THEN (CASE WHEN zone = 180 THEN 1 ELSE -1 END) * (90 - 2 * degrees(asin(
+        cap_edge * sqrt(3 * (q + r / 2e0) * (q + r / 2e0) + 2.25e0 * r * r) / (2 * {RADIUS}))))
+      ELSE degrees(asin(greatest(-1e0, least(1e0, foot + r / rows)))) END AS lat,
+    CASE WHEN zone >= 180 THEN degrees(atan2(sqrt(3e0) * (q + r / 2e0), 1.5e0 * r))
+      ELSE ((place + r / 2e0) / columns + 0.5e0 - floor((place + r / 2e0) / columns + 0.5e0) - 0.5e0) * 360
+      END AS lon FROM wrapped)"""
+
+
 def _argmin_silhouette() -> str:
     names = ", ".join(f"round(max(score) FILTER (k = {k}), 6) AS k{k}" for k in range(2, 11))
     return f"""WITH {VISITS}, centred AS (
@@ -238,6 +293,9 @@ SELECT cell, hour, date, CASE WHEN red_wave THEN 'red' ELSE 'blue' END AS color
 SELECT date_visit, cell, 'hx10:' || q || ':' || r AS cell_text FROM placed""",
     "g1_coarse_cells": f"""WITH {_cells(COARSE)}
 SELECT cell, count(*) AS pings FROM placed GROUP BY cell""",
+    "g1_globe_cells": f"WITH {_globe()} SELECT event_id, cell FROM globe",
+    "g2_globe_centers": f"""WITH {_globe()}
+SELECT event_id, cell, round(lat, 6) AS lat, round(lon, 6) AS lon FROM globe""",
     "g2_cell_centers": f"""WITH {_cells()}, cells AS (SELECT DISTINCT cell, q, r FROM placed)
 SELECT cell, {_center()} FROM cells""",
     "a1_cell_counts": f"WITH {COUNTS} SELECT cell, hour, date, pings FROM counts",

@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from crowdgrid.functions import globe
 from crowdgrid.functions.hexgrid import cell_text, with_cell, with_center
 from crowdgrid.functions.visits import (
     epoch_to_text,
@@ -349,6 +350,26 @@ def cell_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(with_center(cells), "lat", "lon")
 
 
+def _around_the_globe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event at a place of its own, from pole to pole and from -180 to 180 degrees."""
+    number = F.col("event_id")
+    return _events(spark, sf_dir).select(
+        number,
+        (F.pmod(number * 7919, F.lit(180_001)) / F.lit(1000.0) - F.lit(90.0)).alias("lat_visit"),
+        (F.pmod(number * 104_729, F.lit(360_001)) / F.lit(1000.0) - F.lit(180.0)).alias("lon_visit"),
+    )
+
+
+def globe_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return globe.with_cell(_around_the_globe(spark, sf_dir)).select("event_id", "cell")
+
+
+def globe_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with the centre of its cell, which lies within one edge of it."""
+    placed = globe.with_center(globe.with_cell(_around_the_globe(spark, sf_dir)))
+    return _rounded(placed.select("event_id", "cell", "lat", "lon"), "lat", "lon")
+
+
 # Aggregations, joins, sorts
 
 
@@ -617,7 +638,9 @@ QUERIES: dict[str, Query] = {
     "p15_popups": popups,
     "g1_hex_cells": hex_cells,
     "g1_coarse_cells": coarse_cells,
+    "g1_globe_cells": globe_cells,
     "g2_cell_centers": cell_centers,
+    "g2_globe_centers": globe_centers,
     "a1_cell_counts": _counts,
     "a2_spread": spread,
     "a3_counts_with_spread": counts_with_spread,
