@@ -23,6 +23,7 @@ from crowdgrid.llm import (
     whitening,
 )
 from crowdgrid.llm.common import table
+from crowdgrid.llm.oracles import ORACLES as SQL
 
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,6 +146,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_token_files": op13_token_files,
 }
 
-# Each is given where SQL can say what the query returns; the tests hold the others against
-# a brute-force version, an exact round trip or held-out accuracy.
-ORACLES: dict[str, str] = {}
+# Given where SQL can say what the query returns; the tests hold the others against a
+# brute-force version, an exact round trip or held-out accuracy.
+ORACLES: dict[str, str] = SQL

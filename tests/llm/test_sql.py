@@ -1,0 +1,18 @@
+"""The text queries that SQL can state, against their SQL on the supplied tables."""
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from compare import connect, spark_rows, sql_rows  # noqa: E402
+
+from crowdgrid.llm.queries import ORACLES, QUERIES  # noqa: E402
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_matches_sql(spark, sf_dir, name):
+    assert name in QUERIES
+    assert spark_rows(QUERIES[name](spark, sf_dir)) == sql_rows(connect(sf_dir), ORACLES[name])
