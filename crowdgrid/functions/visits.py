@@ -67,4 +67,5 @@ def heat_popup(red_wave: Column, pings: Column, date: Column, hour: Column) -> C
 
 
 def journey_popup(device_id: Column, date_visit: Column) -> Column:
-    return F.format_string(JOURNEY_POPUP, device_id, F.coalesce(date_visit, F.lit("None")))
+    shown = (F.coalesce(c, F.lit("None")) for c in (device_id, date_visit))
+    return F.format_string(JOURNEY_POPUP, *shown)

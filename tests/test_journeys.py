@@ -131,3 +131,5 @@ def test_markers(visits):
     ]
     late = markers.journey_markers(visits.filter("device_id = 'busy' and date_visit is null"))
     assert late.first().popup == "<b>Device ID:</b> busy<br><b>Date:</b> None<br>"
+    unknown = visits.limit(1).withColumn("device_id", F.lit(None).cast("string"))
+    assert markers.journey_markers(unknown).first().popup.startswith("<b>Device ID:</b> None<br>")
