@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crowdgrid.session import materialise
+
 
 def normalised(url: Column) -> Column:
     """The url without scheme, user, port, query and fragment; host in lower case and
@@ -118,11 +120,13 @@ def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """
     valid = intervals(entries)
     keys = capture_keys(captures.select("url", "day").distinct())
+    # Stored, so that the days of a crowded key are made distinct before they are dealt by key.
+    days = materialise(keys.select("key", "day").distinct())
     # Keys that were never listed leave before the as-of join.
-    listed = keys.join(valid.select("key").distinct(), "key", "left_semi")
-    force = as_of(listed.select("key", "day").distinct(), valid)
+    listed = days.join(valid.select("key").distinct(), "key", "left_semi")
+    force = as_of(listed, valid)
     hits = (
-        listed.join(force, ["key", "day"])
+        keys.join(force, ["key", "day"])
         .groupBy("url", "day")
         .agg(F.max(F.struct("rank", "key", "valid_from", "reason")).alias("hit"))
     )
