@@ -4,6 +4,7 @@ import hashlib
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from crowdgrid.operators import hotspots
 from crowdgrid.operators.clean import visits_from_messages
@@ -12,7 +13,7 @@ from crowdgrid.schema import CLUSTERED_COLUMNS, VISIT_COLUMNS
 from crowdgrid.sources import tables
 from crowdgrid.sources.messages import publish, read_messages
 from crowdgrid.sources.testtables import event_pings, event_visits, read_table
-from crowdgrid.streaming.ingest import ClusterBatch, run_batches, save_model, score_stream
+from crowdgrid.streaming.ingest import ClusterBatch, StoreBatch, run_batches, save_model, score_stream
 from crowdgrid.streaming.live import live_counts, store_counts, watch_counts
 
 
@@ -107,6 +108,33 @@ def test_connector_sink(spark, inbox, tmp_path):
     assert stored.count() == 4 and {*CLUSTERED_COLUMNS, "batch_id"} <= set(stored.columns)
 
 
+def test_a_connector_gets_a_failed_batch_once(spark, inbox, tmp_path):
+    out, state = {"path": str(tmp_path / "json")}, tmp_path / "state"
+    inbox.send(*[ping(i, i) for i in range(6)])
+    callback = ClusterBatch(
+        connector="json", options=out, log=str(tmp_path / "log"), choice={"max_k": 3}
+    )
+
+    def breaks(df, batch_id):
+        callback(df, batch_id)
+        raise RuntimeError("lost after appending")
+
+    with pytest.raises(Exception, match="lost after appending"):
+        work(inbox.visits(), breaks, state)
+    work(inbox.visits(), callback, state)
+    assert tables.read_visits(spark, fmt="json", options=out).count() == 6
+
+
+def test_a_stream_keeps_its_tables(spark, inbox, tmp_path):
+    out = str(tmp_path / "out")
+    callback = StoreBatch(path=out, keep=("device_dates", "cell_counts"))
+    for turn in range(2):
+        inbox.send(*[ping(turn, i % 2, 1704099600.0 + 86400 * i) for i in range(6)])
+        work(inbox.visits(), lambda df, b: callback(df.withColumn("cluster_pred", F.lit(0)), b), tmp_path / "state")
+    assert tables.stored_counts(spark, out).agg(F.sum("pings")).first()[0] == 12
+    assert tables.stored_counts(spark, out, "2024-01-02", "2024-01-03").agg(F.sum("pings")).first()[0] == 4
+
+
 def test_stream_equals_batch(spark, sf_dir, tmp_path):
     box, out = str(tmp_path / "box"), str(tmp_path / "out")
     events = read_table(spark, sf_dir, "events")
@@ -130,7 +158,7 @@ def test_saved_model_keeps_its_labels(spark, inbox, tmp_path):
          lambda df, _: tables.append(df, out), tmp_path / "state")
     label = {r.lat_visit: r.cluster_pred for r in spark.read.parquet(out).collect()}
     assert label[49.0] == label[50.0] != label[0.0]
-    assert len(model.clusterCenters()) == 2
+    assert len(model.centers) == 2
     assert save_model(history.limit(1), str(tmp_path / "none")) is None
 
 
