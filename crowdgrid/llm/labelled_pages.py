@@ -1,4 +1,12 @@
-"""The small labelled table: pages written for training, with the texts of their article."""
+"""The small labelled table: pages for training, with the texts of their article.
+
+Some are written by hand; the others are laid out by a rule, in several styles: with tags that
+say what a place is, with names, with names that mislead, and without any of these.
+"""
+
+from __future__ import annotations
+
+import random
 
 NEWS = """<html><head><title>Harbour opens</title><style>p{color:red}</style></head><body>
 <header><h1>Daily Paper</h1><p>Independent news since long ago</p></header>
@@ -65,6 +73,10 @@ SHORT = "<html><body><article><p>Yes.</p></article></body></html>"
 ENDING = """<html><body><nav><a href=1>Home</a></nav><article><h1>Notes</h1><p>It rained.</p><p>Then not.</p>
 </article></body></html>"""
 
+START = """<html><body><article><h1>Notes</h1><p>It snowed.</p><p>Then not.</p></article><footer>Imprint</footer>"""
+
+OPENING = """<main><p>Rain again.</p><p>Nobody came.</p><h2>Later</h2><p>Sun.</p></main>"""
+
 LINKED = """<html><body><main><p><a href=1>One link only</a></p></main><p>Imprint</p></body></html>"""
 
 ASIDES = """<html><body><nav>All pages of this site in one place</nav><aside>Buy a boat this week and get a second
@@ -73,6 +85,8 @@ one for half of the price, as long as we have any left in our harbour.</aside><f
 PAGES = [
     (SHORT, ("Yes.",)),
     (ENDING, ("Notes", "It rained.", "Then not.")),
+    (START, ("Notes", "It snowed.", "Then not.")),
+    (OPENING, ("Rain again.", "Nobody came.", "Later", "Sun.")),
     (LINKED, ("One link only",)),
     (ASIDES, ()),
     (NEWS, (
@@ -120,3 +134,175 @@ PAGES = [
         "stopped at last.",
     )),
 ]
+
+# Names that tell the truth about a place, by the kind of place.
+TRUE_NAMES = {
+    "menu": ["menu", "nav", "main-navigation", "breadcrumbs", "site-menu"],
+    "notice": ["cookie-notice", "alert", "banner", "consent-popup"],
+    "advert": ["ad", "ads", "advert", "sponsored", "promo-box"],
+    "related": ["related", "sidebar", "recommended", "right-sidebar", "widget-area"],
+    "comments": ["comments", "replies", "comment-list", "user-comments"],
+    "form": ["newsletter", "signup", "search-box", "login"],
+    "footer": ["footer", "site-footer", "copyright", "page-footer"],
+}
+# Names of layouts that hold the article, though a word in them names another place.
+FALSE_NAMES = [
+    "layout with-sidebar", "page-header-social-wrap", "has-banner", "ad-free", "comments-enabled",
+    "no-sidebar wide", "content-sidebar-wrap", "menu-open-wrap", "header", "widget-frame",
+]
+INNER_NAMES = ["content", "entry", "story", "article-body", "post-content"]
+STYLES = ("tags", "names", "misleading", "misleading names", "bare")
+PER_STYLE = 80
+
+_WORDS = (
+    "river stone light winter harbour engine garden letter market bridge copper window paper "
+    "village morning report council summer answer forest wheel silver number station island "
+    "after before under their every would could many never often small large quiet early"
+).split()
+
+
+class _Writer:
+    """Writes one page in a style, and remembers the texts of its article."""
+
+    def __init__(self, style: str, seed: int) -> None:
+        self.style = style
+        self.draw = random.Random(f"{style} {seed}")
+        self.article: list[str] = []
+        self.said: set[str] = set()
+
+    def words(self, least: int, most: int) -> str:
+        """Words that are not yet on the page, so that a text has one label."""
+        count, text = self.draw.randint(least, most), ""
+        while not text or text in self.said:
+            text = " ".join(self.draw.choice(_WORDS) for _ in range(count)).capitalize() + "."
+            count += 1
+        self.said.add(text)
+        return text
+
+    def links(self, count: int, least: int = 1, most: int = 3) -> list[str]:
+        return [f"<a href=/{n}>{self.words(least, most)}</a>" for n in range(count)]
+
+    def place(self, kind: str, tag: str, body: str) -> str:
+        """A place outside the article, called what it is as the style does."""
+        if self.style in ("tags", "misleading") and tag != "div":
+            return f"<{tag}>{body}</{tag}>"
+        if self.style == "bare":
+            return f"<div>{body}</div>"
+        name = self.draw.choice(TRUE_NAMES[kind])
+        return f'<div {self.draw.choice(["class", "id"])}="{name}">{body}</div>'
+
+    def own(self, tag: str, text: str, shown: str | None = None) -> str:
+        self.article.append(text)
+        return f"<{tag}>{shown or text}</{tag}>"
+
+    def body(self) -> str:
+        draw, out = self.draw, []
+        if draw.random() < 0.6:
+            title = self.words(1, 9)
+            linked = self.style != "bare" and draw.random() < 0.2
+            out.append(self.own(draw.choice(["h1", "h2"]), title, f"<a href=/z>{title}</a>" if linked else title))
+        else:
+            out.append(self.own("p", self.words(15, 90)))
+        for _ in range(draw.randint(2, 9) if draw.random() < 0.9 else draw.randint(10, 40)):
+            shape = draw.random()
+            if shape < 0.5:
+                out.append(self.own("p", self.words(15, 90) if draw.random() < 0.9 else self.words(90, 2000)))
+            elif shape < 0.75:
+                out.append(self.own("p", self.words(1, 9)))
+            elif shape < 0.85:
+                first, link, last = self.words(5, 20), self.words(1, 3), self.words(5, 20)
+                out.append(self.own("p", f"{first} {link} {last}", f"{first} <a href=/x>{link}</a> {last}"))
+            elif shape < 0.9 and self.style != "bare":
+                link = self.words(2, 6)
+                out.append(self.own("p", link, f"<a href=/y>{link}</a>"))
+            elif shape < 0.91 and self.style != "bare":
+                owner = self.words(1, 3)  # an article may quote a notice
+                out.append(self.own("p", f"All rights reserved by {owner}"))
+            elif shape < 0.95:
+                items = [self.own("li", self.words(1, 6)) for _ in range(draw.randint(2, 4))]
+                out.append(f"<ul>{''.join(items)}</ul>")
+            else:
+                out.append(self.own("h3", self.words(1, 5)))
+        out.append(self.own("p", self.words(15, 60) if self.style == "bare" else self.words(1, 40)))
+        return "".join(out)
+
+    def shell(self, body: str) -> str:
+        """The article's own place."""
+        draw = self.draw
+        if self.style in ("tags", "misleading"):
+            tag = draw.choice(["article", "main"])
+            body = f"<{tag}>{body}</{tag}>"
+        elif self.style in ("names", "misleading names"):
+            body = f'<div class="{draw.choice(INNER_NAMES)}">{body}</div>'
+        return body
+
+    def menu(self) -> str:
+        links = self.links(self.draw.randint(2, 7))
+        rows = self.draw.choice(["list", "line", "paragraphs"])
+        if rows == "list":
+            return f"<ul>{''.join(f'<li>{a}</li>' for a in links)}</ul>"
+        return " | ".join(links) if rows == "line" else "".join(f"<p>{a}</p>" for a in links)
+
+    def headlines(self) -> str:
+        """Links as long as sentences, or of a few words, below or beside each other."""
+        draw = self.draw
+        least, most = (4, 18) if draw.random() < 0.6 else (1, 5)
+        links = self.links(draw.randint(1 if self.style != "bare" else 2, 5), least, most)
+        title = f"<h4>{self.words(1, 3)}</h4>" if self.style != "bare" and draw.random() < 0.7 else ""
+        return title + (" ".join(links) if draw.random() < 0.4 else "".join(f"<p>{a}</p>" for a in links))
+
+    def ending(self) -> str:
+        owner = self.words(1, 3)
+        lines = [f"&copy; {owner}", f"Copyright 2019 {owner}", f"All rights reserved by {owner}"]
+        return f"<p>{self.draw.choice(lines)}</p>"
+
+    def page(self) -> tuple[str, tuple[str, ...]]:
+        draw, bare = self.draw, self.style == "bare"
+        inside = [self.body()]
+        if draw.random() < 0.3:  # a list of links within the article's place is still a menu
+            inside.append(f"<ul>{''.join(f'<li>{a}</li>' for a in self.links(draw.randint(3, 6), 2, 9))}</ul>")
+        if not bare and draw.random() < 0.5:
+            inside.append(self.place("related", "aside", self.headlines()))
+        if self.style.endswith("names") and draw.random() < 0.3:
+            inside.append(self.place("advert", "div", self.words(3, 30)))
+        article = self.shell("".join(inside))
+        after = [self.place("related", "aside", self.headlines())] if draw.random() < 0.6 else []
+        if not bare and draw.random() < 0.5:
+            many = draw.randint(1, 5) if draw.random() < 0.7 else draw.randint(6, 25)
+            said = [f"<p>{self.words(2, draw.choice([30, 60, 200]))}</p>" for _ in range(many)]
+            if draw.random() < 0.4 and self.style in ("tags", "misleading"):
+                said = [f"<article>{s}</article>" for s in said]
+            name = draw.choice(TRUE_NAMES["comments"])
+            after.append(f'<section id="{name}">{"".join(said)}</section>')
+        if self.style.startswith("misleading"):
+            held = article + (after.pop() if after and draw.random() < 0.5 else "")
+            name = draw.choice(FALSE_NAMES)
+            article = f'<div class="{name}">{held}</div>'
+            if draw.random() < 0.2:
+                article = f"<form action=/>{article}</form>"
+        before = [self.place("menu", "nav", self.menu())] if draw.random() < 0.7 else []
+        if not bare and draw.random() < 0.5:
+            before.append(self.place("notice", "div", f"<p>{self.words(6, 30)}</p>"))
+        if not bare and draw.random() < 0.5:
+            kind = "advert" if self.style != "misleading" else "related"
+            before.append(self.place(kind, "aside", self.words(4, draw.choice([40, 200]))))
+        if not bare and draw.random() < 0.3:
+            after.append(self.place("form", "form", f"<p>{self.words(4, 25)}</p>"))
+        if not bare and draw.random() < 0.2:
+            after.append(self.place("footer", "footer", f"<p>{self.words(20, 200)}</p>"))
+        if draw.random() < 0.6:
+            menu = self.menu() if draw.random() < 0.5 else ""
+            after.append(self.place("footer", "footer", self.ending() + menu))
+        before = before if draw.random() < 0.85 else []
+        after = after if draw.random() < 0.85 else []
+        return f"<html><body>{''.join(before)}{article}{''.join(after)}</body></html>", tuple(self.article)
+
+
+def laid_out(style: str, seed: int) -> tuple[str, tuple[str, ...]]:
+    """A page of a style and the texts of its article, the same for the same arguments."""
+    return _Writer(style, seed).page()
+
+
+def labelled() -> list[tuple[str, tuple[str, ...]]]:
+    """All labelled pages: those written by hand, and ``PER_STYLE`` of each style."""
+    return PAGES + [laid_out(style, n) for style in STYLES for n in range(PER_STYLE)]

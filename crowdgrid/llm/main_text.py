@@ -1,13 +1,20 @@
 """Main text of web pages: flat blocks, classified by a decision tree.
 
 A page becomes a flat list of text blocks. Each block is described by its number of words
-and its link density, those of the blocks before and after it, and the kind of place it
-stands in. A decision tree, trained by Spark on the small labelled table of
-``labelled_pages``, says which blocks belong to the article.
+and its link density, those of the blocks before and after it, and the place it stands in.
+A decision tree, trained by Spark on the small labelled table of ``labelled_pages``, says
+which blocks belong to the article.
+
+A place that its tag or name calls a menu, an advert and the like is one feature among
+others, beside the share of the page's article-like words that stand in it: a layout called
+``with-sidebar`` that holds the whole article is told from the sidebar by that share. On pages
+that name nothing, word counts and link densities decide.
 
 Defined results: NULL or empty html, and a page without article blocks, give the empty text
 and 0 characters. Every input row gives one row, repeated rows too. Markup that is never
-closed ends with the page; an unfinished tag at the end of a cut page is dropped.
+closed ends with the page; an unfinished tag at the end of a cut page is dropped. Pages of
+any length are read whole, in time that grows with their length. Columns other than page_id,
+url and html are left aside, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +30,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crowdgrid.llm.labelled_pages import PAGES
+from crowdgrid.llm.labelled_pages import labelled
 
 # Tag names of HTML.
 BLOCK_TAGS = frozenset(
@@ -40,9 +47,8 @@ HIDDEN_TAGS = (
     "textarea", "title",
 )
 ARTICLE_TAGS = frozenset(["article", "main"])
-OUTER_TAGS = frozenset(
-    ["nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "label", "head"]
-)
+OUTER_TAGS = frozenset(["nav", "footer", "aside", "menu", "dialog"])
+CONTROL_TAGS = frozenset(["button", "select", "label", "head"])
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 # Words in a class, id or role that name a place outside, or inside, the article.
 OUTER_WORDS = frozenset(
@@ -55,6 +61,13 @@ OUTER_WORDS = frozenset(
     "alert toc".split()
 )
 INNER_WORDS = frozenset("article content entry story main".split())
+# Before such a word a name tells what a place has or lacks, not what it is.
+HAVING_WORDS = frozenset("with has have without no non".split())
+# What calls a place outer: part of a name, a whole name or a form, a tag, a thing never read.
+PART, NAME, TAG, UNSEEN = 1, 2, 3, 4
+# A block of this many words with less than this share of them in links reads like an article.
+LONG_WORDS = 10
+LONG_DENSITY = 0.34
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -70,20 +83,40 @@ _PLACE = re.compile(
 )
 _UNSEEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z0-9]+")
+_SAID = re.compile(r"\S*\w\S*")
+_NOTICE = re.compile(r"©|\(c\)\s*\d{4}|\bcopyright\b|\brights reserved\b", re.IGNORECASE)
 
 FEATURES = (
     "words", "link_density", "words_before", "link_density_before", "words_after",
-    "link_density_after", "outer_place", "article_place", "page_has_article", "heading",
+    "link_density_after", "outer_kind", "outer_lacks", "article_place", "page_has_article",
+    "heading", "notice", "long_before", "long_after",
 )
 Tree = tuple
 
 
+@dataclass
+class Outer:
+    """A place called outer, and the number of the outer place around it."""
+
+    kind: int
+    around: int | None
+
+
+@dataclass
+class Open:
+    """An open tag: what it makes of the text in it."""
+
+    tag: str
+    outer: int | None = None  # number of the innermost outer place
+    article: int = 0  # 2: in an article by its tag, 1: by a name
+
+
 @dataclass
 class Block:
     """A run of text between two block tags."""
 
-    outer: bool
-    inner: bool
+    outer: int | None
+    article: int
     heading: bool
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
@@ -91,8 +124,12 @@ class Block:
     def text(self) -> str:
         return " ".join(entities.unescape("".join(self.parts)).split())
 
-    def link_words(self) -> int:
-        return len(" ".join(self.linked).split())
+    def link_density(self, text: str) -> float:
+        """The share of the words in links; signs between links are no words."""
+        if not self.linked:
+            return 0.0
+        linked = len(_SAID.findall(entities.unescape(" ".join(self.linked))))
+        return min(1.0, linked / (len(_SAID.findall(text)) or 1))
 
 
 class _Open:
@@ -100,19 +137,19 @@ class _Open:
     so that a tag is found or closed without a search."""
 
     def __init__(self) -> None:
-        self.tags: list[tuple[str, bool, bool]] = []  # tag, stands outside, stands in the article
+        self.tags: list[Open] = []
         self.places: dict[str, list[int]] = defaultdict(list)
         self.blocks: list[int] = []
 
-    def push(self, entry: tuple[str, bool, bool]) -> None:
-        self.places[entry[0]].append(len(self.tags))
-        if entry[0] in BLOCK_TAGS:
+    def push(self, entry: Open) -> None:
+        self.places[entry.tag].append(len(self.tags))
+        if entry.tag in BLOCK_TAGS:
             self.blocks.append(len(self.tags))
         self.tags.append(entry)
 
     def close_from(self, place: int) -> None:
         while len(self.tags) > place:
-            self.places[self.tags.pop()[0]].pop()
+            self.places[self.tags.pop().tag].pop()
         while self.blocks and self.blocks[-1] >= place:
             self.blocks.pop()
 
@@ -127,20 +164,21 @@ class _Open:
             self.close_from(self.places[ended][-1])
 
     def block(self) -> str:
-        return self.tags[self.blocks[-1]][0] if self.blocks else ""
+        return self.tags[self.blocks[-1]].tag if self.blocks else ""
 
 
 def blocks_of(page: str | None) -> list[tuple[str, list[float]]]:
     """The blocks of a page in order, each with its features in the order of ``FEATURES``."""
     found: list[Block] = []
+    outers: list[Outer] = []
     open_ = _Open()
     page, at, block = page or "", 0, None
 
     def say(piece: str) -> None:
         nonlocal block
         if block is None:
-            _, outer, inner = open_.tags[-1] if open_.tags else ("", False, False)
-            block = Block(outer, inner, open_.block() in HEADINGS)
+            around = open_.tags[-1] if open_.tags else Open("")
+            block = Block(around.outer, around.article, open_.block() in HEADINGS)
             found.append(block)
         block.parts.append(piece)
         if open_.places["a"]:
@@ -173,38 +211,88 @@ def blocks_of(page: str | None) -> list[tuple[str, list[float]]]:
         elif not m["attrs"].endswith("/") or tag in BLOCK_TAGS:
             if tag in BLOCK_TAGS or tag == "a":
                 open_.close_implied(tag)
-            open_.push(_place(tag, m["attrs"], open_.tags))
-    return _described(found)
-
-
-def _place(tag: str, attrs: str, stack: list[tuple[str, bool, bool]]) -> tuple[str, bool, bool]:
-    _, outer, inner = stack[-1] if stack else ("", False, False)
-    named = set()
-    if attrs and tag not in ("html", "body"):
-        for m in _PLACE.finditer(attrs):
-            named.update(_WORDS.findall((m[1] or m[2] or m[3] or "").lower()))
-        outer = outer or bool(_UNSEEN.search(attrs))
-    inner = inner or tag in ARTICLE_TAGS or bool(named & INNER_WORDS and tag != "a")
-    if tag not in ARTICLE_TAGS and tag not in HEADINGS:
-        outer = outer or tag in OUTER_TAGS or bool(named & OUTER_WORDS)
-        outer = outer or (tag == "header" and not inner)
-    return tag, outer, inner
-
-
-def _described(found: list[Block]) -> list[tuple[str, list[float]]]:
+            open_.push(_place(tag, m["attrs"], open_.tags, outers))
+    return _described(found, outers)
+
+
+def _called(attrs: str) -> tuple[int, bool]:
+    """What the names of a place call it: the kind of outer place or 0, and whether inner."""
+    kind, inner = 0, False
+    for m in _PLACE.finditer(attrs):
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            words = _WORDS.findall(name)
+            inner = inner or not INNER_WORDS.isdisjoint(words)
+            for before, word in zip([""] + words, words):
+                if word in OUTER_WORDS and before not in HAVING_WORDS:
+                    kind = max(kind, NAME if len(words) == 1 else PART)
+    return kind, inner and not kind
+
+
+def _place(tag: str, attrs: str, stack: list[Open], outers: list[Outer]) -> Open:
+    around = stack[-1] if stack else Open("")
+    named = attrs and tag not in ("html", "body")
+    kind, inner = _called(attrs) if named else (0, False)
+    article = max(around.article, 2 if tag in ARTICLE_TAGS else int(inner and tag != "a"))
+    if tag in ARTICLE_TAGS or tag in HEADINGS:
+        kind = 0
+    elif tag in OUTER_TAGS or (tag == "header" and not article):
+        kind = TAG
+    elif tag == "form":
+        kind = NAME
+    if tag in CONTROL_TAGS or (named and _UNSEEN.search(attrs)):
+        kind = UNSEEN
+    if not kind:
+        return Open(tag, around.outer, article)
+    # A part of a menu is no less a menu for what its own name says.
+    if around.outer is not None and outers[around.outer].kind >= TAG:
+        kind = max(kind, outers[around.outer].kind)
+    outers.append(Outer(kind, around.outer))
+    return Open(tag, len(outers) - 1, article)
+
+
+def _described(found: list[Block], outers: list[Outer]) -> list[tuple[str, list[float]]]:
     kept = [(b, t) for b in found if (t := b.text())]
     words = [float(len(t.split())) for _, t in kept]
-    density = [min(1.0, b.link_words() / n) for (b, _), n in zip(kept, words)]
-    has_article = float(any(b.inner and not b.outer for b, _ in kept))
-    out = []
+    density = [b.link_density(t) for b, t in kept]
+    kinds = [outers[b.outer].kind if b.outer is not None else 0 for b, _ in kept]
+    long_ = [n >= LONG_WORDS and d < LONG_DENSITY for n, d in zip(words, density)]
+    # The article-like blocks: those in an article by tag, else by name, else the long ones.
+    level = max((b.article for (b, _), k in zip(kept, kinds) if k < TAG), default=0)
+    likely = [
+        k < TAG and d < LONG_DENSITY and (b.article == level if level else far)
+        for (b, _), k, d, far in zip(kept, kinds, density, long_)
+    ]
+    held = [0.0] * len(outers)
+    for (b, _), n, is_likely in zip(kept, words, likely):
+        if is_likely and b.outer is not None:
+            held[b.outer] += n
+    for at in range(len(outers) - 1, -1, -1):  # a place comes after the one around it
+        if outers[at].around is not None:
+            held[outers[at].around] += held[at]
+    total = sum(n for n, is_likely in zip(words, likely) if is_likely)
+    first, at = set(), next((b.outer for (b, _), is_likely in zip(kept, likely) if is_likely), None)
+    while at is not None:
+        first.add(at)
+        at = outers[at].around
+    out, before, after = [], 0, sum(long_)
     for i, (b, t) in enumerate(kept):
+        after -= long_[i]
+        last = i + 1 == len(kept)
         around = [
             words[i], density[i],
             words[i - 1] if i else 0.0, density[i - 1] if i else 0.0,
-            words[i + 1] if i + 1 < len(kept) else 0.0, density[i + 1] if i + 1 < len(kept) else 0.0,
+            0.0 if last else words[i + 1], 0.0 if last else density[i + 1],
+        ]
+        place = [
+            float(kinds[i]),
+            # The share of the article-like words that its outer place does not hold; one that
+            # does not hold the first of them stands apart as a whole, whatever it holds.
+            float(b.outer is not None) if b.outer not in first else 1.0 - held[b.outer] / total,
+            float(b.article), float(level), float(b.heading),
+            float(words[i] <= 30 and bool(_NOTICE.search(t))), float(min(before, 2)), float(min(after, 2)),
         ]
-        place = [float(b.outer), float(b.inner), has_article, float(b.heading)]
         out.append((t, around + place))
+        before += long_[i]
     return out
 
 
@@ -212,11 +300,11 @@ def train(spark: SparkSession, pages: list[tuple[str, tuple[str, ...]]] | None =
     """Train on labelled pages: (html, the texts of its article blocks)."""
     rows = [
         (float(text in wanted), Vectors.dense(features))
-        for page, wanted in pages or PAGES
+        for page, wanted in pages or labelled()
         for text, features in blocks_of(page)
     ]
     model = DecisionTreeClassifier(
-        featuresCol="features", labelCol="label", maxDepth=8, maxBins=128, minInstancesPerNode=1, seed=1
+        featuresCol="features", labelCol="label", maxDepth=12, maxBins=256, minInstancesPerNode=1, seed=1
     ).fit(spark.createDataFrame(rows, ["label", "features"]).coalesce(1))
     return _tree(model._java_obj.rootNode())
 

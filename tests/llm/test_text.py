@@ -21,7 +21,7 @@ from crowdgrid.llm import (
     token_counts,
 )
 from crowdgrid.llm.common import table
-from crowdgrid.llm.labelled_pages import PAGES
+from crowdgrid.llm.labelled_pages import PAGES, STYLES, laid_out
 from crowdgrid.llm.queries import QUERIES
 
 DOCS = "doc_id long, text string"
@@ -66,6 +66,77 @@ def test_unseen_page_layouts(tree):
     assert main_text.main_text(page, tree) == "A <b> é\nFirst line second & third.\nNo."
 
 
+def test_held_out_layouts(tree):
+    """Pages whose seeds the training never draws, in every style."""
+    for style in STYLES:
+        right = blocks = 0
+        for seed in range(1000, 1060):
+            page, wanted = laid_out(style, seed)
+            for text, features in main_text.blocks_of(page):
+                right += main_text.belongs(tree, features) == (text in wanted)
+                blocks += 1
+        assert blocks > 600 and right >= 0.98 * blocks, (style, right, blocks)
+
+
+def test_tree_learns_from_words_links_and_neighbours(tree):
+    def used(node):
+        return set() if len(node) == 1 else {main_text.FEATURES[node[0]]} | used(node[2]) | used(node[3])
+
+    assert "link_density" in [main_text.FEATURES[n[0]] for n in (tree, tree[2])]
+    assert {"words", "words_before", "words_after"} <= used(tree)
+    assert used(tree) & {"link_density_before", "link_density_after"}
+
+
+ARTICLE = "<article><h1>Slow rivers</h1><p>The river rose by two metres in a single night.</p><p>Yes.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "opening",
+    [
+        '<div class="layout with-sidebar">', '<div id="page-header-social-wrap">', '<form id="aspnetForm">',
+        '<div class="comments-open"><section class="ad-free">', '<div class="header">',
+    ],
+)
+def test_layouts_with_misleading_names_keep_their_article(tree, opening):
+    page = (
+        f"<nav><a href=1>Home</a></nav>{opening}{ARTICLE}<aside><p>Buy a boat from us this week.</p></aside>"
+        "</div><footer>&copy; Owner</footer>"
+    )
+    wanted = "Slow rivers\nThe river rose by two metres in a single night.\nYes."
+    assert main_text.main_text(page, tree) == wanted
+
+
+def test_pages_without_names_lose_links_and_notices(tree):
+    story = "The river rose by two metres in one night, and the lower town was under water at dawn."
+    page = f"""<body><p><a href=1>Home</a> | <a href=2>World</a></p><h1>Flood in the town</h1><p>{story}</p>
+    <p>Nobody was hurt.</p><p>{story} Then it sank again.</p>
+    <p><a href=3>Old bridge to be rebuilt after the flood of the last spring</a></p>
+    <p><a href=4>Mayor thanks the many helpers of the long and cold night</a></p>
+    <p>All rights reserved by the owner of this site</p></body>"""
+    wanted = f"Flood in the town\n{story}\nNobody was hurt.\n{story} Then it sank again."
+    assert main_text.main_text(page, tree) == wanted
+
+
+def test_more_comments_than_article(tree):
+    said = "<article><p>I was there too and it was a very long and wet night for all of us.</p></article>"
+    page = f"<nav><a href=1>Home</a></nav>{ARTICLE}<section id=comments>{said * 20}</section><footer>End</footer>"
+    wanted = "Slow rivers\nThe river rose by two metres in a single night.\nYes."
+    assert main_text.main_text(page, tree) == wanted
+
+
+def test_very_long_pages_are_read_whole(tree):
+    body = "".join(f"<p>word{n} and some more of them</p>" for n in range(20_000)) + "<p>" + "w " * 500_000
+    page = f"<nav><a href=1>Home</a></nav><article>{body}</article><footer>End</footer>"
+    lines = main_text.main_text(page, tree).split("\n")
+    assert len(lines) == 20_001 and len(lines[-1]) == 999_999
+
+
+def test_deep_named_places_take_linear_time():
+    start = time.perf_counter()
+    main_text.blocks_of('<div class="ad">x' * 20_000)
+    assert time.perf_counter() - start < 5
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!--", "<script>x", "</p></div>", "<a b='"])
 def test_odd_pages(tree, page):
     assert main_text.main_text(page, tree) == ""
