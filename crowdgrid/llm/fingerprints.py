@@ -9,7 +9,9 @@ words they share.
 
 Defined results: a NULL text counts as empty. An empty text, or one of white space, has an
 empty fingerprint, which is wholly like another empty one and unlike any other. A text of
-one word has that word as its only k-mer. Equal texts have equal fingerprints.
+one word has that word as its only k-mer. Equal texts have equal fingerprints. Texts are read
+whole, up to 16,777,215 words, beyond which places would wrap. Other columns are left aside,
+whatever their names.
 """
 
 from __future__ import annotations

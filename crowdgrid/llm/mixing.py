@@ -17,7 +17,8 @@ number alone; but weights that are no such parts are rounded, and drift from the
 
 Defined results: a NULL source is a source of its own. Sources without a weight, or with
 one that is not positive, follow after all others. Repeated rows are documents like any
-others. An empty table gives an empty one.
+others. An empty table gives an empty one. A text, of any length, only serves to tell rows of
+one ``doc_id`` apart; columns with the names of helper columns change nothing.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ third of all rows in one group thus costs a bounded number of candidates a row.
 Defined results: a NULL or empty text has no shingles, belongs to no group and is kept.
 Repeated rows are all returned; rows of one doc_id with different texts are grouped by
 their texts. A NULL doc_id is larger than any other; a group of NULL ids alone has a NULL
-component and its rows are kept.
+component and its rows are kept. Texts of any length are compared whole. Columns with the names
+of helper columns change nothing.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ the Cholesky factors are inverted once, on the driver, when the model is made.
 Defined results: a NULL text counts as empty; an empty text has the vector of zeros and a
 score like any other. Repeated rows are scored each. Labels that are neither 0 nor 1 are
 ignored, a document with several labels takes the one met more often (1 on a tie). Without
-labels of both classes every text gets the same score, the smoothed share of label 1.
+labels of both classes every text gets the same score, the smoothed share of label 1. Texts of
+any length are read whole. Columns with the names of helper columns change nothing.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ buckets, so it goes to the tasks as one constant whatever the number of document
 
 Defined results: a NULL or empty text has no words, fails the base rules and is not kept.
 Without trusted documents the ratio is 0 for every text, which is kept. Repeated rows are
-judged each, and count each in the corpus model.
+judged each, and count each in the corpus model. Texts of any length are read whole. Other
+columns are left aside, whatever their names.
 """
 
 from __future__ import annotations

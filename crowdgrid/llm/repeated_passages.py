@@ -14,7 +14,8 @@ another place, in the same document or elsewhere; windows are judged on the inpu
 
 Defined results: a NULL or empty text has no words and nothing is removed. Texts shorter
 than a window are never changed. Repeated rows are documents like any others, so a text of
-``window`` words or more that is there twice loses all its words. A NULL doc_id is allowed.
+``window`` words or more that is there twice loses all its words. A NULL doc_id is allowed. Texts
+of any length are read whole. Columns with the names of helper columns change nothing.
 """
 
 from __future__ import annotations

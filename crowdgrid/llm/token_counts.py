@@ -10,7 +10,8 @@ nothing is shuffled and no text leaves its task; counts do not depend on what it
 
 Defined results: a NULL or empty text has no pre-tokens and 0 tokens. Characters outside
 the vocabulary cost one token for each of their UTF-8 bytes. Among segmentations of equal
-score the one with fewer tokens counts. Repeated rows are counted each.
+score the one with fewer tokens counts. Repeated rows are counted each. Texts of any length are
+read whole. Other columns are left aside, whatever their names.
 """
 
 from __future__ import annotations

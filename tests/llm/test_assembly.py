@@ -1,7 +1,9 @@
 """Mixing, packing, url lists and the pipeline."""
 
+import random
 import zlib
 from datetime import date, timedelta
+from fractions import Fraction
 
 import brute
 import corpus_pipeline
@@ -66,6 +68,38 @@ def test_exact_plan_does_not_drift():
     assert [s for s, _, _ in out[-4:]] == ["unweighted"] * 4
 
 
+def _shares(blocks, weights, slots):
+    """What each source has read before each slot by its exact share, slot after slot."""
+    left = {s: Fraction(n) for s, n in blocks.items()}
+    for _ in range(slots + 1):
+        yield {s: blocks[s] - n for s, n in left.items()}
+        time = Fraction(1)
+        while time and any(left.values()):
+            live = [s for s in left if left[s]]
+            total = sum(Fraction(weights[s]) for s in live)
+            step = min(time, *(left[s] * total / Fraction(weights[s]) for s in live))
+            for s in live:
+                left[s] -= step * Fraction(weights[s]) / total
+            time -= step
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_exact_plan_keeps_every_source_within_one_block(seed):
+    draw = random.Random(seed)
+    names = [None, *(f"s{i}" for i in range(draw.randint(0, 6)))]
+    blocks = {s: draw.randint(1, 60) for s in names}
+    weights = {s: draw.choice([1, 5, 1 / 3, 0.001, draw.random() + 1e-9]) for s in names}
+    total, done = sum(blocks.values()), dict.fromkeys(names, 0)
+    ideal = list(_shares(blocks, weights, total))
+    plan = list(mixing.exact_plan(blocks, weights))
+    assert [t for _, _, t in plan] == list(range(total))
+    for s, block, slot in plan:
+        assert block == done[s]
+        done[s] += 1
+        assert all(abs(done[x] - ideal[slot + 1][x]) < 1 for x in names)
+    assert done == blocks
+
+
 def test_mixing_follows_weights_that_are_no_whole_parts(spark):
     rows = [(i, f"text {i}", "a" if i < 4000 else "b") for i in range(13_000)]
     docs = spark.createDataFrame(rows, DOCS)
