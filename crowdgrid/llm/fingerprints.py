@@ -179,13 +179,13 @@ def with_next(docs: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
         )
     )
     both = rows.withColumn("guest", F.lit(False)).unionByName(first)
-    signed = both.withColumn("fingerprint", fingerprint(F.col("text")))
+    # Signed after they are dealt, so that the shuffle's range sample reads texts only.
+    signed = both.repartitionByRange("block").withColumn("fingerprint", fingerprint(F.col("text")))
     order = Window.partitionBy("block").orderBy(
         "guest", F.col("doc_id").desc_nulls_last(), F.col("text").desc()
     )
     return (
-        signed.repartitionByRange("block")
-        .withColumn("next_text", F.lead("text").over(order))
+        signed.withColumn("next_text", F.lead("text").over(order))
         .withColumn("next_fingerprint", F.lead("fingerprint").over(order))
         .filter(~F.col("guest"))
         .select("doc_id", "text", "fingerprint", "next_text", "next_fingerprint")
