@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from crowdgrid.functions.visits import mask_device_id
 from crowdgrid.sources.messages import encode
 
+# Rows of a streamed file, about.
+FILE_ROWS = 100_000
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -27,10 +30,18 @@ def stream_table(
     return reader.parquet(sf_dir)
 
 
-def stream_in_parts(spark: SparkSession, df: DataFrame, path: str, parts: int) -> DataFrame:
-    """The whole of ``df`` written as ``parts`` files and streamed one file at a time."""
-    df.repartition(parts, *df.columns).write.parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+def stream_in_parts(
+    spark: SparkSession, df: DataFrame, path: str, parts: int, file_rows: int = FILE_ROWS
+) -> DataFrame:
+    """The whole of ``df`` written as files and streamed in ``parts`` batches of as many files.
+
+    A batch has a file for every ``file_rows`` of its rows, so that its tasks grow with it.
+    Where that is more than one, rows are dealt in turn: repeated ones do not meet in a file.
+    """
+    files = max(1, -(-df.count() // (parts * file_rows)))
+    dealt = df.repartition(parts, *df.columns) if files == 1 else df.repartition(parts * files)
+    dealt.write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def event_pings(events: DataFrame, grouped: bool = False) -> DataFrame:

@@ -12,7 +12,7 @@ from crowdgrid.plans import ingest_job
 from crowdgrid.schema import CLUSTERED_COLUMNS, VISIT_COLUMNS
 from crowdgrid.sources import tables
 from crowdgrid.sources.messages import publish, read_messages
-from crowdgrid.sources.testtables import event_pings, event_visits, read_table
+from crowdgrid.sources.testtables import event_pings, event_visits, read_table, stream_in_parts
 from crowdgrid.streaming.ingest import ClusterBatch, StoreBatch, run_batches, save_model, score_stream
 from crowdgrid.streaming.live import live_counts, store_counts, watch_counts
 
@@ -284,3 +284,21 @@ def test_submit_script_arguments():
         ["--checkpoint", "c", "--table", "t", "--bootstrap", "h:1", "--topic", "x"]
     )
     assert (args.interval, args.max_k, args.seed) == ("10 seconds", 10, 42)
+
+
+def test_parts_of_a_stream_have_files_by_their_rows(spark, tmp_path):
+    """Also where rows repeat: always as many batches, each of several files."""
+    rows = spark.range(400).select((F.col("id") % 2).alias("x"))
+    for file_rows, files in ((100, 1), (20, 5)):
+        path, seen = str(tmp_path / f"parts{files}"), []
+
+        def note(batch, _, seen=seen):
+            seen.append((batch.select("file").distinct().count(), batch.count()))
+
+        distinct = spark.range(400) if files == 1 else rows
+        stream = stream_in_parts(spark, distinct, path, 4, file_rows=file_rows)
+        named = stream.withColumn("file", F.input_file_name())
+        run_batches(named, note, str(tmp_path / f"state{files}"), once=True).awaitTermination()
+        assert [n for n, _ in seen] == [files] * 4
+        assert sum(n for _, n in seen) == 400
+    assert spark.read.parquet(path).groupBy("x").count().orderBy("x").collect() == [(0, 200), (1, 200)]
