@@ -38,8 +38,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token pieces of all documents with their sequence and place."""
-    return packing.pack_documents(docs, added=packing.added_tokens())
+    """The token pieces of all documents with their sequence and place, in the mixed order."""
+    return packing.pack_documents(docs, added=packing.added_tokens(), in_order=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -8,6 +8,10 @@ with a gap hand their sequences that still have room to groups of the next round
 pieces of different groups meet and are packed again; the new packing is taken only where
 it needs fewer sequences.
 
+Pieces are dealt by a hash, or, where the order of the documents is to last, in runs of that
+order: groups are neighbours, pieces of one length are exchanged until sequences hold what
+stands together, and sequences are numbered and returned by the place of their middle piece.
+
 Defined results: a NULL text counts as empty and has the closing id alone. Texts of any length
 are read whole, runs of millions of blanks included. Repeated rows are packed each. No
 document, no rows. Other columns are left aside, whatever their names.
@@ -24,7 +28,8 @@ from collections.abc import Iterator, Mapping
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdgrid.llm.common import in_slices
@@ -34,9 +39,17 @@ CAPACITY = 1024
 END_ID = 2
 GROUP_ITEMS = 20_000
 ROUNDS = 3
+# In the documents' order, how many neighbouring groups meet in the next round, and how often
+# the pieces of a group are exchanged.
+GROUPS_MEET = 4
+EXCHANGES = 4
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long, certified boolean"
+# Where a document stands, and the place of a piece among all.
+STANDS = ("_part", "_file", "_row", "_read")
+STOOD = "_part long, _file string, _row long, _read long"
+PLACE = "_place"
 
 
 class Encoder:
@@ -110,16 +123,17 @@ def pieces(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     added: Mapping[str, int] | None = None,
+    stands: bool = False,
 ) -> DataFrame:
     """The pieces of every document: only one longer than ``capacity`` is cut, and its
-    first piece is the one that may be shorter."""
+    first piece is the one that may be shorter. ``stands`` adds where the document stands."""
     path = tokenizer or default_tokenizer()
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path, added)
         for batch in in_slices(batches):
-            rows = []
+            rows, cuts = [], []
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
                 ids = encoder.ids(text.as_py() or "") + end
                 total, at, number = len(ids) // 4, 0, 0
@@ -128,11 +142,54 @@ def pieces(
                     crc = zlib.crc32(ids[4 * at : 4 * (at + length)])
                     rows.append((doc_id.as_py(), number, at, length, crc))
                     at, number = at + length, number + 1
-            yield _batch(rows)
-
+                cuts.append(number)
+            found = _batch(rows)
+            if stands:
+                of = np.repeat(np.arange(len(cuts)), cuts)
+                for name in STANDS:
+                    found = found.append_column(name, batch.column(name).take(pa.array(of)))
+            yield found
+
+    if stands:
+        return _standing(docs).mapInArrow(cut, f"{PIECES}, {STOOD}")
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
 
 
+def _standing(docs: DataFrame) -> DataFrame:
+    """doc_id and text with the file and the row in it that each document was read from, as the
+    reader deals files in an order of its own. Other rows stand as their partitions do."""
+    read = F.monotonically_increasing_id().alias("_read")
+
+    def of(file: Column, row: Column) -> DataFrame:
+        return docs.select(
+            "doc_id", "text", _part(file).alias("_part"), file.alias("_file"), row.alias("_row"), read
+        )
+
+    try:
+        stored = docs.metadataColumn("_metadata")
+        return of(stored["file_path"], stored["row_index"])
+    except AnalysisException:  # not from Parquet files
+        return of(F.lit(None).cast("string"), F.lit(None).cast("long"))
+
+
+def _part(file: Column) -> Column:
+    """The number of a file that Spark wrote."""
+    return F.regexp_extract(file, r"part-(\d+)[^/]*$", 1).try_cast("long")
+
+
+def placed(parts: DataFrame) -> DataFrame:
+    """Number the pieces from 0 as their documents stand. They are stored in order, and the
+    place follows from the file, of which one row each is counted, and the row in it."""
+    ordered = materialise(parts.orderBy(*STANDS, "piece").drop(*STANDS))
+    stored = ordered.metadataColumn("_metadata")
+    rows = ordered.select("*", stored["file_path"].alias("_file"), stored["row_index"].alias("_row"))
+    files = rows.groupBy("_file").agg((F.max("_row") + 1).alias("_n"))
+    earlier = Window.orderBy(_part(F.col("_file")), "_file").rowsBetween(Window.unboundedPreceding, -1)
+    before = files.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    numbered = rows.join(F.broadcast(before), "_file")
+    return numbered.withColumn(PLACE, F.col("_before") + F.col("_row")).drop("_file", "_row", "_before")
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
@@ -260,12 +317,95 @@ def _packer(turn: int, capacity: int):
     return packed
 
 
+def pack_in_order(
+    parts: DataFrame,
+    capacity: int = CAPACITY,
+    group_items: int = GROUP_ITEMS,
+    rounds: int = ROUNDS,
+) -> DataFrame:
+    """The same for a table of pieces with their ``PLACE``, so that the order lasts.
+
+    A group is a run of ``group_items`` places; those with a gap meet their neighbours in the
+    next round. A sequence has the place of its middle piece as its number, and rows come in
+    the order of sequences.
+    """
+    total = (parts.agg(F.max(PLACE)).first()[0] or 0) + 1
+    whole = parts.filter(F.col("length") == capacity)
+    done = [
+        whole.select(
+            *whole.columns,
+            F.col(PLACE).alias("sequence_id"),
+            F.lit(0).cast("long").alias("offset"),
+            F.lit(True).alias("certified"),
+        )
+    ]
+    rest = parts.filter(F.col("length") < capacity).withColumn("sequence_id", F.col(PLACE))
+    schema = f"{PACKED}, {PLACE} long"
+    for turn in range(rounds):
+        width = group_items * GROUPS_MEET**turn
+        grouped = rest.withColumn("_group", F.floor(F.col("sequence_id") / F.lit(width)))
+        found = materialise(
+            grouped.groupBy("_group").applyInPandas(_packer_in_order(turn, capacity), schema)
+        )
+        last = turn + 1 == rounds or total <= width
+        done.append(found if last else found.filter("certified"))
+        if last:
+            break
+        rest = found.filter("NOT certified").drop("certified", "offset")
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out.drop("certified", PLACE).orderBy("sequence_id", "offset")
+
+
+def gathered(sizes: np.ndarray, places: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    """The bin of each piece after exchanges of pieces of one size: bins stay as full as they
+    are, and of each size the earlier pieces go to the bins that stand earlier."""
+    by_place = np.lexsort((places, sizes))
+    weights = np.bincount(bins, sizes)
+    out = bins.copy()
+    for _ in range(EXCHANGES):
+        middle = np.bincount(out, sizes * places.astype(float)) / weights
+        slots = np.lexsort((middle[out], sizes))
+        out[by_place] = out[slots]
+    return out
+
+
+def _packer_in_order(turn: int, capacity: int):
+    def packed(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.drop(columns="_group").sort_values(["length", PLACE], ascending=[False, True])
+        sizes = frame["length"].to_numpy()
+        bins = best_fit_decreasing(sizes, capacity)
+        used, bound = int(bins.max()) + 1, lower_bound(sizes, capacity)
+        if turn and frame["sequence_id"].nunique() <= used:
+            used = frame["sequence_id"].nunique()
+        else:
+            places = frame[PLACE].to_numpy()
+            frame["sequence_id"] = gathered(sizes, places - places.min(), bins)
+        frame = frame.sort_values(["sequence_id", PLACE])
+        by_sequence = frame.groupby("sequence_id", sort=False)
+        lower = (by_sequence[PLACE].transform("size") - 1) // 2 == by_sequence.cumcount()
+        middle = frame[lower].set_index("sequence_id")[PLACE]
+        frame["sequence_id"] = frame["sequence_id"].map(middle)
+        frame["offset"] = _offsets(frame)
+        filled = frame.groupby("sequence_id")["length"].transform("sum")
+        frame["certified"] = (filled == capacity) | (used == bound)
+        return frame
+
+    return packed
+
+
 def pack_documents(
     docs: DataFrame,
     tokenizer: str | None = None,
     capacity: int = CAPACITY,
     added: Mapping[str, int] | None = None,
+    in_order: bool = False,
 ) -> DataFrame:
-    """Tokenise, cut and pack the documents: one row per piece."""
+    """Tokenise, cut and pack the documents: one row per piece. ``in_order`` keeps the order of
+    ``docs`` as they were stored, or else of their partitions."""
+    if in_order:
+        parts = materialise(pieces(docs, tokenizer, capacity, added=added, stands=True))
+        return pack_in_order(placed(parts), capacity)
     return pack(materialise(pieces(docs, tokenizer, capacity, added=added)), capacity)
 

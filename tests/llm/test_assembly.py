@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from crowdgrid.llm import mixing, packing, url_lists
 from crowdgrid.llm.common import table
 from crowdgrid.llm.queries import QUERIES
+from crowdgrid.session import materialise
 
 DOCS = "doc_id long, text string, source string"
 
@@ -271,6 +272,39 @@ def test_rounds_exchange_without_loss(spark):
     assert len(filled) <= len(once)
 
 
+def test_packing_keeps_the_mixed_order(spark, tmp_path):
+    r = np.random.default_rng(3)
+    docs = [(i, " ".join(["word"] * int(n)), "ab"[i % 2]) for i, n in enumerate(r.integers(0, 2500, 600))]
+    docs += [(7, "one more", "a"), (7, "one more", "a"), (None, None, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    mixed = materialise(corpus_pipeline.mix(spark, df, str(tmp_path)))
+    order = [x.doc_id for x in corpus_pipeline.mix(spark, df, str(tmp_path)).collect()]
+    rows = corpus_pipeline.pack(spark, mixed, str(tmp_path)).collect()
+    used = _check_packed(rows, [d[:2] for d in docs])
+    assert used <= 1.03 * -(-sum(x.length for x in rows) // 1024) + 1
+    assert [x.sequence_id for x in rows] == sorted(x.sequence_id for x in rows)
+    once = [x for x in rows if x.doc_id not in (7, None)]
+    at = np.array([order.index(x.doc_id) for x in once]).argsort(kind="stable").argsort()
+    assert np.corrcoef(at, np.arange(len(once)))[0, 1] > 0.7
+
+
+def test_rounds_in_order_lose_nothing(spark):
+    r = np.random.default_rng(1)
+    rows = [(i, 0, 0, int(n), 0, i) for i, n in enumerate(r.integers(1, 1025, 3000))]
+    parts = spark.createDataFrame(rows, f"{packing.PIECES}, {packing.PLACE} long")
+    out = packing.pack_in_order(parts, group_items=200).collect()
+    assert sorted((x.doc_id, x.length) for x in out) == sorted((x[0], x[3]) for x in rows)
+    filled, places = {}, {}
+    for x in out:
+        assert x.offset == filled.get(x.sequence_id, 0)
+        filled[x.sequence_id] = x.offset + x.length
+        places.setdefault(x.sequence_id, []).append(x.doc_id)
+    assert max(filled.values()) <= 1024
+    assert all(p[(len(p) - 1) // 2] == q and p == sorted(p) for q, p in places.items())
+    once = packing.pack_in_order(parts, group_items=200, rounds=1).select("sequence_id").distinct()
+    assert len(filled) <= once.count()
+
+
 def _blocked(captures, entries):
     """Whether, and by which key, each capture is blocked: every entry's history replayed."""
     out = []
