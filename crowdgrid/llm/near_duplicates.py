@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdgrid.llm.common import free_name
-from crowdgrid.session import materialise
+from crowdgrid.session import materialise, small_batches
 
 TREES = 20
 DEPTHS = (4, 6, 8)
@@ -424,6 +424,7 @@ def _key_of(column: str, words: int) -> Column:
 
 def _grouped(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """doc_id, key and n_shingles of every row; key, rep and component_id of every class."""
+    small_batches(docs.sparkSession)
     rows = materialise(_signed(docs, words))
     classes = _classes(rows)
     pairs, crowded = candidates(classes, percent)

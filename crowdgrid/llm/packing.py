@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdgrid.llm.common import in_slices
-from crowdgrid.session import materialise
+from crowdgrid.session import materialise, small_batches
 
 CAPACITY = 1024
 END_ID = 2
@@ -127,6 +127,7 @@ def pieces(
 ) -> DataFrame:
     """The pieces of every document: only one longer than ``capacity`` is cut, and its
     first piece is the one that may be shorter. ``stands`` adds where the document stands."""
+    small_batches(docs.sparkSession)
     path = tokenizer or default_tokenizer()
     end = np.array([end_id], dtype="<u4").tobytes()
 

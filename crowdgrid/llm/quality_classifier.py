@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdgrid.llm.common import free_name
-from crowdgrid.session import materialise
+from crowdgrid.session import materialise, small_batches
 
 SYMBOLS = b"#*$%&|<>"
 STOPS = b".,;:"
@@ -94,6 +94,7 @@ class Model:
 
 def with_statistics(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
     """Add the vector of each row's text as column ``name``."""
+    small_batches(docs.sparkSession)
 
     @F.arrow_udf("array<double>")
     def measured(texts: pa.Array) -> pa.Array:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdgrid.llm.common import WORD_PATTERN, free_name, in_slices
-from crowdgrid.session import materialise
+from crowdgrid.session import materialise, small_batches
 
 WINDOW = 35
 PHRASE = 8
@@ -188,6 +188,7 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     A span is a struct (start, stop) of word places; spans may touch or overlap.
     """
+    small_batches(docs.sparkSession)
     blocks = reference_blocks(docs, window)
     # What is counted is stored before it is joined, here and below: adaptive execution splits
     # a crowded anchor, block or window only where both sides come straight from a shuffle.

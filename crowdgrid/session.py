@@ -49,6 +49,16 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows to Python a few MB at a time: a batch is held by the executor and by its
+    Python workers, several times over. A limit that someone has set stands."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, "4m")
+
+
 _made: list[str] = []
 
 

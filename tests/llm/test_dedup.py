@@ -3,11 +3,13 @@
 import random
 
 import brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from crowdgrid.llm import near_duplicates, repeated_passages
 from crowdgrid.llm.common import table
+from crowdgrid.session import BATCH_BYTES
 
 SCHEMA = "doc_id long, text string"
 
@@ -109,6 +111,26 @@ def test_components_of_a_chain_and_a_star(spark):
     }
 
 
+def test_texts_go_to_python_a_few_mb_at_a_time(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["bytes"])
+
+    wide = spark.range(3000, numPartitions=1).select(F.expr("repeat('word ', 2000) AS text"))
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, "x")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    try:
+        spark.conf.unset(BATCH_BYTES)
+        near_duplicates.keep_one(docs).collect()
+        largest = wide.mapInArrow(sizes, "bytes long").agg(F.max("bytes")).first()[0]
+        assert largest < 6 << 20
+        spark.conf.set(BATCH_BYTES, "2m")
+        assert near_duplicates.keep_one(docs).count() == 2
+        assert spark.conf.get(BATCH_BYTES) == "2m"
+    finally:
+        spark.conf.unset(BATCH_BYTES)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert near_duplicates.near_duplicates(docs).count() == 0
