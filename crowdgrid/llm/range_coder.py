@@ -27,6 +27,10 @@ CLASS_SCALE = 14
 RATE = 5
 # The least part of a weight and of a frequency.
 LEAST = 32
+# Steps after which the frequencies of rank classes are set anew; what a class met counts as
+# much in the counts, of which an eighth is forgotten then.
+PERIOD = 16
+MET = 32
 # A pair of weights in one number.
 PAIR = SCALE + 1
 
@@ -39,14 +43,6 @@ _ONE = 1 << SCALE
 _SURER = (np.array([0, 1, 0, 2, 1, 3, 2, 3], dtype=np.int32)) << ID_BITS
 
 
-def _targets(classes: int) -> np.ndarray:
-    """Cumulative frequencies that each class pulls towards, every class keeping a share."""
-    frequencies = np.full((classes, classes), LEAST, dtype=np.int64)
-    np.fill_diagonal(frequencies, (1 << CLASS_SCALE) - LEAST * (classes - 1))
-    sums = frequencies.cumsum(axis=1)
-    return np.hstack([np.zeros((classes, 1), np.int64), sums]).astype(np.int16)
-
-
 class _Models:
     """What all blocks of a call have learnt so far, a row of every table for each block.
 
@@ -59,10 +55,11 @@ class _Models:
         self.base = every << SLOT_BITS
         self.weights = np.full(blocks << 5, (_ONE >> 2) << PAIR | _ONE >> 2, dtype=np.int32)
         self.weight_base = every << 5
-        classes = 1 + most_ids.bit_length()
-        self.targets = _targets(classes)
-        even = np.append(np.arange(classes) * ((1 << CLASS_SCALE) // classes), 1 << CLASS_SCALE)
-        self.classes = np.tile(even.astype(np.int16), (blocks, 1))
+        self.columns = 1 + most_ids.bit_length()
+        self.met = np.full((blocks, self.columns), MET, dtype=np.int32)
+        # Where each class begins in 2**CLASS_SCALE, the blocks one after the other.
+        self.class_base = every << CLASS_SCALE
+        self.begins = np.full(blocks * self.columns + 1, blocks << CLASS_SCALE, dtype=np.int64)
         self.last = np.zeros(blocks, dtype=np.int64)
         self.mixed = np.zeros(blocks, dtype=np.int64)
 
@@ -95,12 +92,28 @@ class _Models:
         self.mixed = ids * 7919 + self.last * 26227 >> 3 & _SLOTS
         self.last = ids.astype(np.int64)
 
-    def spread(self, lanes: np.ndarray) -> np.ndarray:
-        """The cumulative frequencies of the classes in some blocks."""
-        return self.classes.take(lanes, axis=0)
+    def set_classes(self) -> None:
+        """The frequencies of the classes by what was met, every class keeping a share."""
+        met, live = self.met[: len(self.base)], len(self.base) * self.columns
+        sums = met.cumsum(axis=1, dtype=np.int64)
+        spread = (1 << CLASS_SCALE) - LEAST * self.columns
+        begins = self.begins[:live].reshape(met.shape)
+        begins[:, 0] = 0
+        begins[:, 1:] = sums[:, :-1] * spread // sums[:, -1:] + LEAST * np.arange(1, self.columns)
+        begins += self.class_base[: len(met), None]
+        met -= met >> 3
+
+    def class_at(self, lanes: np.ndarray, part: np.ndarray) -> np.ndarray:
+        """The place of the class whose share of the interval ``part`` lies in."""
+        return self.begins.searchsorted(self.class_base.take(lanes) + part, side="right") - 1
+
+    def share(self, lanes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the class at a place begins, and its frequency."""
+        begin = self.begins.take(place)
+        return begin - self.class_base.take(lanes), self.begins.take(place + 1) - begin
 
-    def learn_class(self, lanes: np.ndarray, table: np.ndarray, kind: np.ndarray) -> None:
-        self.classes[lanes] = table + (self.targets.take(kind, axis=0) - table >> RATE)
+    def learn_class(self, place: np.ndarray) -> None:
+        self.met.ravel()[place] += MET
 
 
 def _surer(known: np.ndarray, sure: np.ndarray, right: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -164,7 +177,6 @@ def encode(blocks: list[np.ndarray], id_bits: int, most_ids: int) -> list[bytes]
     # The words that have left, with the block of each.
     left: list[np.ndarray] = []
     blocks_left: list[np.ndarray] = []
-    columns = models.classes.shape[1]
 
     def emit(lanes: np.ndarray) -> None:
         left.append(interval.lead(lanes).astype(np.uint32))
@@ -174,6 +186,8 @@ def encode(blocks: list[np.ndarray], id_bits: int, most_ids: int) -> list[bytes]
         if live < count:
             count = live
             models.shorten(live)
+        if step % PERIOD == 0:
+            models.set_classes()
         low, width, now = interval.low[:count], interval.width[:count], ids[step, :count]
         models.predict()
         right2, right1 = now == models.id2, now == models.id1
@@ -195,14 +209,13 @@ def encode(blocks: list[np.ndarray], id_bits: int, most_ids: int) -> list[bytes]
             kind = (digits + 1) * ~new
             rest = np.where(new, now.take(missed), rank - (1 << digits))
             digits[new] = id_bits
-            table = models.spread(missed)
-            flat, place = table.ravel(), np.arange(len(missed)) * columns + kind
-            start, end = flat.take(place), flat.take(place + 1)
+            place = missed * models.columns + kind
+            start, share = models.share(missed, place)
             unit = width.take(missed) >> np.uint64(CLASS_SCALE)
-            unit_rest = unit * (end - start).astype(np.uint64) >> digits.astype(np.uint64)
+            unit_rest = unit * share.astype(np.uint64) >> digits.astype(np.uint64)
             low[missed] += unit * start.astype(np.uint64) + unit_rest * rest.astype(np.uint64)
             width[missed] = unit_rest
-            models.learn_class(missed, table, kind)
+            models.learn_class(place)
             narrow = missed[unit_rest < _FULL]
             if len(narrow):
                 emit(narrow)
@@ -240,7 +253,6 @@ def decode(
     # The ids of every block in the order of their first occurrence, from 1.
     seen = np.zeros((count, longest + 1), dtype=np.int32)
     known = np.zeros(count, dtype=np.int64)
-    columns = models.classes.shape[1]
 
     def refill(lanes: np.ndarray) -> None:
         interval.lead(lanes)
@@ -252,6 +264,8 @@ def decode(
         if live < count:
             count = live
             models.shorten(live)
+        if step % PERIOD == 0:
+            models.set_classes()
         low, width = interval.low[:count], interval.width[:count]
         models.predict()
         unit = width >> np.uint64(SCALE)
@@ -269,22 +283,20 @@ def decode(
         now = np.where(in2, models.id2, models.id1)
         missed = np.flatnonzero(miss)
         if len(missed):
-            table = models.spread(missed)
             unit = width.take(missed) >> np.uint64(CLASS_SCALE)
             place = code.take(missed) - low.take(missed)
-            part = (place // unit).astype(np.int16)
-            kind = (table <= part[:, None]).sum(axis=1) - 1
-            flat, at = table.ravel(), np.arange(len(missed)) * columns + kind
-            start, end = flat.take(at), flat.take(at + 1)
+            at = models.class_at(missed, (place // unit).astype(np.int64))
+            kind = at - missed * models.columns
+            start, share = models.share(missed, at)
             new = kind == 0
             digits = kind - 1
             digits[new] = id_bits
             skipped = unit * start.astype(np.uint64)
-            unit_rest = unit * (end - start).astype(np.uint64) >> digits.astype(np.uint64)
+            unit_rest = unit * share.astype(np.uint64) >> digits.astype(np.uint64)
             rest = ((place - skipped) // unit_rest).astype(np.int64)
             low[missed] += skipped + unit_rest * rest.astype(np.uint64)
             width[missed] = unit_rest
-            models.learn_class(missed, table, kind)
+            models.learn_class(at)
             found = np.where(new, rest, seen[missed, (rest + (1 << digits)) * ~new])
             now[missed] = found
             fresh = missed[new]

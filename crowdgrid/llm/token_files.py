@@ -159,8 +159,8 @@ def write_files(
             return pa.RecordBatch.from_pylist([row], schema=_FILE_SCHEMA)
 
         for batch in in_slices(batches):
-            for name, text in zip(batch.column("doc_id"), batch.column("text")):
-                ids = encoder.ids(text.as_py() or "") + end
+            for name, text in zip(batch.column("doc_id"), batch.column("text").cast(pa.binary())):
+                ids = encoder.ids_of(text.as_py() or b"") + end
                 names.append(name.as_py())
                 texts.append(ids)
                 held += len(ids) // 4

@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -42,16 +43,22 @@ class TokenIds:
             import regex
 
             self.pattern = regex.compile(pattern)
-        self.chunks: dict[bytes, bytes] = {}
+        # An added token of letters alone could stand inside a word.
+        self.words = self.simple and not any(a.isalpha() for a in added)
+        self.chunks: dict[bytes, bytes] = _Chunks(self._chunk)
         self.parts: dict[str, bytes] = {}
+        self.codes = np.arange(1 << self.id_bits, dtype="<u4")[:, None].view("V4")[:, 0].tolist()
 
     def ids(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned numbers of 32 bits."""
+        return self.ids_of(text.encode())
+
+    def ids_of(self, text: bytes) -> bytes:
+        """The same for a text in UTF-8."""
         if self.pattern is None:
-            return self._whole(text)
-        known = self.chunks
+            return self._whole(text.decode())
         # Bytes are split at white space of ASCII alone; the pattern drops what else there is.
-        return b"".join([known.get(c) or self._chunk(c) for c in text.encode().split()])
+        return b"".join(map(self.chunks.__getitem__, text.split()))
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -59,7 +66,10 @@ class TokenIds:
 
     def _chunk(self, key: bytes) -> bytes:
         chunk = key.decode()
-        if not _plain(chunk) or self.added.search(chunk):
+        if self.words and chunk.isalpha() and (key.isascii() or _plain(chunk)):
+            part = chunk.lower()
+            found = self.parts.get(part) or self._part(part)
+        elif not _plain(chunk) or self.added.search(chunk):
             found = self._whole(chunk)
         else:
             parts = self._split(chunk.lower())
@@ -81,8 +91,8 @@ class TokenIds:
 
     def _part(self, part: str) -> bytes:
         shown = part if part.isascii() else "".join([_BYTES[b] for b in part.encode()])
-        ids = [token.id for token in self.tokenizer.model.tokenize(shown)]
-        found = np.array(ids, dtype="<u4").tobytes()
+        codes = self.codes
+        found = b"".join([codes[token.id] for token in self.tokenizer.model.tokenize(shown)])
         if len(part) <= LONGEST_CHUNK:
             if len(self.parts) >= MOST_CHUNKS:
                 self.parts.clear()
@@ -90,6 +100,16 @@ class TokenIds:
         return found
 
 
+class _Chunks(dict):
+    """What is known by chunk; a new one is looked up by ``find``, which may keep it."""
+
+    def __init__(self, find: Callable[[bytes], bytes]) -> None:
+        self.find = find
+
+    def __missing__(self, key: bytes) -> bytes:
+        return self.find(key)
+
+
 @lru_cache(maxsize=2)
 def shared(path: str) -> TokenIds:
     """One encoder for all tasks of a Python worker, with what it has looked up so far."""

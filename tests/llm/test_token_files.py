@@ -121,6 +121,26 @@ def test_bounded_memory_of_chunks(monkeypatch, tokenizer):
     assert len(encoder.chunks) <= 5 and len(encoder.parts) <= 5
 
 
+def test_words_of_letters_are_not_searched(tokenizer):
+    encoder = token_ids.TokenIds(token_files.default_tokenizer())
+    text = "Plain words, Été naïve <|endoftext|> x<|endoftext|>y ǅ İstanbul ﬁn e\u0301 12ab straße 語"
+    wanted = np.array(plain(tokenizer, text)[:-1], dtype="<u4").tobytes()
+    assert encoder.ids_of(text.encode()) == encoder.ids(text) == wanted
+    words = token_ids.TokenIds(token_files.default_tokenizer())
+    words.added = None  # a search would fail
+    text = "plain Words été Naïve"
+    assert words.ids_of(text.encode()) == np.array(plain(tokenizer, text)[:-1], dtype="<u4").tobytes()
+
+
+def test_frequencies_of_classes_are_set_for_many_steps_at_once(monkeypatch):
+    steps = []
+    whole = range_coder._Models.set_classes
+    monkeypatch.setattr(range_coder._Models, "set_classes", lambda self: (steps.append(1), whole(self)))
+    r = np.random.default_rng(9)
+    round_trip([r.integers(0, 60000, n) for n in (2048, 2048, 31)], 16)
+    assert len(steps) == 2 * 2048 // range_coder.PERIOD
+
+
 def expected(tokenizer, rows):
     """By ascending doc_id; rows are unique in it."""
     out, start = [], 0
