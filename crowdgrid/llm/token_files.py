@@ -7,7 +7,7 @@ that start empty, and carries checksums of its code and of its ids, so any block
 and a damaged one is named. The files are the binary cells of a Parquet table, written and
 read by Spark, so any store it reaches will do.
 
-Layout, little-endian: ``CGI1``; id bits, ids a block as u32; documents, ids, blocks as u64;
+Layout, little-endian: ``CGI2``; id bits, ids a block as u32; documents, ids, blocks as u64;
 for every document whether it has an id (u8), its id (i64), its number of ids (u64); for
 every block its bytes, the CRC-32 of them and of its ids (u32 each); the CRC-32 of all that;
 the blocks.
@@ -34,7 +34,7 @@ from crowdgrid.llm.common import in_slices
 from crowdgrid.llm.token_ids import shared
 from crowdgrid.session import scratch
 
-MAGIC = b"CGI1"
+MAGIC = b"CGI2"
 END_ID = 1
 # Ids in a block; those of a file, from which a new one is begun; blocks coded side by side.
 BLOCK_IDS = 2048

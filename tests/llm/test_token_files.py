@@ -121,6 +121,12 @@ def test_bounded_memory_of_chunks(monkeypatch, tokenizer):
     assert len(encoder.chunks) <= 5 and len(encoder.parts) <= 5
 
 
+def test_files_of_the_former_coder_are_refused():
+    data = token_files.pack_file([1], [np.arange(9, dtype="<u4").tobytes()], 16)
+    with pytest.raises(ValueError, match="not a file"):
+        token_files.read_blocks(b"CGI1" + data[4:])
+
+
 def test_words_of_letters_are_not_searched(tokenizer):
     encoder = token_ids.TokenIds(token_files.default_tokenizer())
     text = "Plain words, Été naïve <|endoftext|> x<|endoftext|>y ǅ İstanbul ﬁn e\u0301 12ab straße 語"
