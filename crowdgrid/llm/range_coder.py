@@ -39,8 +39,16 @@ _LOW = np.uint64((1 << 32) - 1)
 _FULL = np.uint64(1 << 32)
 _SLOTS = (1 << SLOT_BITS) - 1
 _ONE = 1 << SCALE
+_CLASS = (1 << CLASS_SCALE) - 1
 # How sure an entry is next, by 2 * sure + right; one more where it was right, up to 3.
 _SURER = (np.array([0, 1, 0, 2, 1, 3, 2, 3], dtype=np.int32)) << ID_BITS
+# Weights move a part 2**-RATE of the way to one or the other end. Both of a pair move in one
+# step, by whether order 1 (1) and order 2 (2) were right: order 1 rests where order 2 was right.
+_UP, _DOWN = _ONE - LEAST >> RATE, LEAST >> RATE
+_ROUND = ((1 << RATE) - 1) * (1 << PAIR | 1)
+_PART = (1 << PAIR - RATE) - 1
+_FALL = np.array([_PART << PAIR | _PART] * 2 + [_PART << PAIR] * 2, dtype=np.int32)
+_RISE = np.array([_DOWN << PAIR | _DOWN, _DOWN << PAIR | _UP] + [_UP << PAIR] * 2, dtype=np.int32)
 
 
 class _Models:
@@ -50,9 +58,10 @@ class _Models:
     """
 
     def __init__(self, blocks: int, most_ids: int) -> None:
-        every = np.arange(blocks, dtype=np.int64)
-        self.entries = np.full((2, blocks << SLOT_BITS), NOTHING, dtype=np.int32)
-        self.base = every << SLOT_BITS
+        self.every = every = np.arange(blocks, dtype=np.int64)
+        # The tables of order 1, and after them those of order 2.
+        self.entries = np.full(2 * blocks << SLOT_BITS, NOTHING, dtype=np.int32)
+        self.base = np.arange(2 * blocks, dtype=np.int64).reshape(2, blocks) << SLOT_BITS
         self.weights = np.full(blocks << 5, (_ONE >> 2) << PAIR | _ONE >> 2, dtype=np.int32)
         self.weight_base = every << 5
         self.columns = 1 + most_ids.bit_length()
@@ -60,68 +69,80 @@ class _Models:
         # Where each class begins in 2**CLASS_SCALE, the blocks one after the other.
         self.class_base = every << CLASS_SCALE
         self.begins = np.full(blocks * self.columns + 1, blocks << CLASS_SCALE, dtype=np.int64)
+        self.slots = np.zeros((2, blocks), dtype=np.int64)
         self.last = np.zeros(blocks, dtype=np.int64)
-        self.mixed = np.zeros(blocks, dtype=np.int64)
+        self._bounds()
+
+    def _bounds(self) -> None:
+        """Where the shares of the interval begin: order 2, order 1, order 0, and the end."""
+        self.bounds = np.zeros((4, len(self.last)), dtype=np.uint64)
+        self.bounds[3] = _ONE
 
     def shorten(self, blocks: int) -> None:
         """Go on with the first blocks only; the others are done."""
-        self.base, self.weight_base = self.base[:blocks], self.weight_base[:blocks]
-        self.last, self.mixed = self.last[:blocks], self.mixed[:blocks]
+        self.base, self.weight_base = self.base[:, :blocks], self.weight_base[:blocks]
+        self.slots, self.last = self.slots[:, :blocks], self.last[:blocks]
+        self.every = self.every[:blocks]
+        self._bounds()
 
     def predict(self) -> None:
-        """Both remembered ids and the bounds of their shares of the interval."""
-        self.at1 = self.base + (self.last * 40503 >> 4 & _SLOTS)
-        self.at2 = self.base + self.mixed
-        entry1, entry2 = self.entries[0].take(self.at1), self.entries[1].take(self.at2)
-        self.id1, self.id2 = entry1 & NOTHING, entry2 & NOTHING
-        self.sure1, self.sure2 = entry1 >> ID_BITS, entry2 >> ID_BITS
-        context = self.sure2 << 3 | self.sure1 << 1 | (self.id1 == self.id2)
+        """The ids that order 1 and order 2 remember, and the bounds of their shares."""
+        self.at = self.base + self.slots
+        entry = self.entries.take(self.at)
+        self.known, self.sure = entry & NOTHING, entry >> ID_BITS
+        context = self.sure[1] << 3 | self.sure[0] << 1 | (self.known[0] == self.known[1])
         self.where = self.weight_base + context
-        pair = self.weights.take(self.where)
-        self.w2, self.w1 = pair >> PAIR, pair & (1 << PAIR) - 1
-        self.bound = self.w2 + ((_ONE - self.w2) * self.w1 >> SCALE)
-
-    def learn(self, ids: np.ndarray, right2: np.ndarray, right1: np.ndarray) -> None:
-        """Move weights and entries towards the id that came."""
-        span = _ONE - 2 * LEAST
-        w2 = self.w2 + (LEAST + span * right2 - self.w2 >> RATE)
-        w1 = self.w1 + ((LEAST + span * right1 - self.w1 >> RATE) * ~right2)
-        self.weights[self.where] = w2 << PAIR | w1
-        self.entries[1][self.at2] = _surer(self.id2, self.sure2, right2, ids)
-        self.entries[0][self.at1] = _surer(self.id1, self.sure1, right1, ids)
-        self.mixed = ids * 7919 + self.last * 26227 >> 3 & _SLOTS
+        self.pair = self.weights.take(self.where)
+        w2, w1 = self.pair >> PAIR, self.pair & (1 << PAIR) - 1
+        self.bounds[1] = w2
+        self.bounds[2] = w2 + ((_ONE - w2) * w1 >> SCALE)
+
+    def shares(self, case: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the share of every block begins, and its width: 0 for order 2, 1 for order 1
+        and 2 for order 0."""
+        at = case * np.int64(len(case)) + self.every
+        start = self.bounds.take(at)
+        at += len(case)
+        return start, self.bounds.take(at) - start
+
+    def learn(self, ids: np.ndarray, right: np.ndarray) -> None:
+        """Move weights and entries towards the id that came; ``right`` for either order."""
+        which = right[1].view(np.int8) << 1 | right[0].view(np.int8)
+        fall = self.pair + _ROUND >> RATE & _FALL.take(which)
+        self.weights[self.where] = self.pair - fall + _RISE.take(which)
+        # The next entry: surer where it was right, else less sure, or replaced.
+        kept = self.known | _SURER.take(self.sure << 1 | right)
+        self.entries[self.at] = np.where(self.sure | right, kept, ids)
+        self.slots[1] = ids * 7919 + self.last * 26227 >> 3 & _SLOTS
         self.last = ids.astype(np.int64)
+        self.slots[0] = self.last * 40503 >> 4 & _SLOTS
 
     def set_classes(self) -> None:
         """The frequencies of the classes by what was met, every class keeping a share."""
-        met, live = self.met[: len(self.base)], len(self.base) * self.columns
+        met, live = self.met[: len(self.last)], len(self.last) * self.columns
         sums = met.cumsum(axis=1, dtype=np.int64)
         spread = (1 << CLASS_SCALE) - LEAST * self.columns
         begins = self.begins[:live].reshape(met.shape)
         begins[:, 0] = 0
         begins[:, 1:] = sums[:, :-1] * spread // sums[:, -1:] + LEAST * np.arange(1, self.columns)
+        self.inside = np.ascontiguousarray(begins[:, 1:].T, dtype=np.int16)
         begins += self.class_base[: len(met), None]
         met -= met >> 3
 
-    def class_at(self, lanes: np.ndarray, part: np.ndarray) -> np.ndarray:
-        """The place of the class whose share of the interval ``part`` lies in."""
-        return self.begins.searchsorted(self.class_base.take(lanes) + part, side="right") - 1
+    def class_of(self, lanes: np.ndarray, part: np.ndarray) -> np.ndarray:
+        """The class whose share of the interval ``part`` lies in."""
+        return (self.inside.take(lanes, axis=1) <= part.astype(np.int16)).sum(axis=0)
 
-    def share(self, lanes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def share(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the class at a place begins, and its frequency."""
         begin = self.begins.take(place)
-        return begin - self.class_base.take(lanes), self.begins.take(place + 1) - begin
+        share = self.begins.take(place + 1) - begin
+        return (begin & _CLASS).view(np.uint64), share.view(np.uint64)
 
     def learn_class(self, place: np.ndarray) -> None:
         self.met.ravel()[place] += MET
 
 
-def _surer(known: np.ndarray, sure: np.ndarray, right: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The next entry: surer where it was right, else less sure, or replaced."""
-    kept = known | _SURER.take(sure << 1 | right)
-    return np.where(sure | right, kept, ids)
-
-
 def _ranks(ids: np.ndarray, scratch: np.ndarray) -> np.ndarray:
     """1 + the rank by first occurrence of every id that came before, 0 for a new one."""
     places = np.arange(len(ids), dtype=np.int32)
@@ -133,9 +154,10 @@ def _ranks(ids: np.ndarray, scratch: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _digits(values: np.ndarray) -> np.ndarray:
-    """Binary digits after the leading one."""
-    return np.frexp(values.astype(np.float64))[1] - 1
+def _kinds(id_bits: int, columns: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of every class: the binary digits that tell its members apart, and its least rank."""
+    digits = np.array([id_bits, *range(columns - 1)], dtype=np.uint64)
+    return digits, np.array([0, *(1 << d for d in range(columns - 1))], dtype=np.int64)
 
 
 class _Interval:
@@ -174,6 +196,8 @@ def encode(blocks: list[np.ndarray], id_bits: int, most_ids: int) -> list[bytes]
         ids[: sizes[lane], lane] = blocks[i]
         ranks[: sizes[lane], lane] = _ranks(ids[: sizes[lane], lane], scratch)
     models, interval = _Models(count, most_ids), _Interval(count)
+    digits_of, least_of = _kinds(id_bits, models.columns)
+    kind_of = np.array([r.bit_length() for r in range(most_ids + 1)], dtype=np.int64)
     # The words that have left, with the block of each.
     left: list[np.ndarray] = []
     blocks_left: list[np.ndarray] = []
@@ -190,36 +214,31 @@ def encode(blocks: list[np.ndarray], id_bits: int, most_ids: int) -> list[bytes]
             models.set_classes()
         low, width, now = interval.low[:count], interval.width[:count], ids[step, :count]
         models.predict()
-        right2, right1 = now == models.id2, now == models.id1
-        first = right1 & ~right2
-        miss = ~(right1 | right2)
-        start = models.w2 * first + models.bound * miss
-        end = models.w2 * right2 + models.bound * first + _ONE * miss
+        right = now == models.known
+        wrong = ~right
+        start, share = models.shares(wrong[1].view(np.int8) + (wrong[0] & wrong[1]))
         unit = width >> np.uint64(SCALE)
-        low += unit * start.astype(np.uint64)
-        np.multiply(unit, (end - start).astype(np.uint64), out=width)
+        low += unit * start
+        np.multiply(unit, share, out=width)
         narrow = np.flatnonzero(width < _FULL)
         if len(narrow):
             emit(narrow)
-        missed = np.flatnonzero(miss)
+        missed = np.flatnonzero(wrong[0] & wrong[1])
         if len(missed):
             rank = ranks[step].take(missed)
-            new = rank == 0
-            digits = _digits(rank | new)
-            kind = (digits + 1) * ~new
-            rest = np.where(new, now.take(missed), rank - (1 << digits))
-            digits[new] = id_bits
+            kind = kind_of.take(rank)
+            rest = np.where(rank == 0, now.take(missed), rank - least_of.take(kind))
             place = missed * models.columns + kind
-            start, share = models.share(missed, place)
+            start, share = models.share(place)
             unit = width.take(missed) >> np.uint64(CLASS_SCALE)
-            unit_rest = unit * share.astype(np.uint64) >> digits.astype(np.uint64)
-            low[missed] += unit * start.astype(np.uint64) + unit_rest * rest.astype(np.uint64)
+            unit_rest = unit * share >> digits_of.take(kind)
+            low[missed] += unit * start + unit_rest * rest.view(np.uint64)
             width[missed] = unit_rest
             models.learn_class(place)
             narrow = missed[unit_rest < _FULL]
             if len(narrow):
                 emit(narrow)
-        models.learn(now, right2, right1)
+        models.learn(now, right)
     # The lower end of the last interval names it.
     every = np.arange(len(order), dtype=np.int32)
     left += [(interval.low >> _WORD).astype(np.uint32), (interval.low & _LOW).astype(np.uint32)]
@@ -242,6 +261,7 @@ def decode(
     if not longest:
         return [np.zeros(0, dtype=np.uint32) for _ in codes]
     models, interval = _Models(count, most_ids), _Interval(count)
+    digits_of, least_of = _kinds(id_bits, models.columns)
     # The words of all blocks in a row; a block that is read past its end meets the next.
     given = [np.frombuffer(codes[i], dtype="<u4") for i in order]
     words = np.concatenate([*given, np.zeros(2, dtype="<u4")]).astype(np.uint64)
@@ -270,34 +290,31 @@ def decode(
         models.predict()
         unit = width >> np.uint64(SCALE)
         place = code[:count] - low
-        in2 = place < unit * models.w2.astype(np.uint64)
-        miss = place >= unit * models.bound.astype(np.uint64)
-        first = ~(in2 | miss)
-        start = models.w2 * first + models.bound * miss
-        end = models.w2 * in2 + models.bound * first + _ONE * miss
-        low += unit * start.astype(np.uint64)
-        np.multiply(unit, (end - start).astype(np.uint64), out=width)
+        past2 = place >= unit * models.bounds[1]
+        miss = place >= unit * models.bounds[2]
+        start, share = models.shares(past2.view(np.int8) + miss)
+        low += unit * start
+        np.multiply(unit, share, out=width)
         narrow = np.flatnonzero(width < _FULL)
         if len(narrow):
             refill(narrow)
-        now = np.where(in2, models.id2, models.id1)
+        now = np.where(past2, models.known[0], models.known[1])
         missed = np.flatnonzero(miss)
         if len(missed):
             unit = width.take(missed) >> np.uint64(CLASS_SCALE)
             place = code.take(missed) - low.take(missed)
-            at = models.class_at(missed, (place // unit).astype(np.int64))
-            kind = at - missed * models.columns
-            start, share = models.share(missed, at)
-            new = kind == 0
-            digits = kind - 1
-            digits[new] = id_bits
-            skipped = unit * start.astype(np.uint64)
-            unit_rest = unit * share.astype(np.uint64) >> digits.astype(np.uint64)
-            rest = ((place - skipped) // unit_rest).astype(np.int64)
-            low[missed] += skipped + unit_rest * rest.astype(np.uint64)
+            kind = models.class_of(missed, place // unit)
+            at = missed * models.columns + kind
+            start, share = models.share(at)
+            skipped = unit * start
+            unit_rest = unit * share >> digits_of.take(kind)
+            rest = ((place - skipped) // unit_rest).view(np.int64)
+            low[missed] += skipped + unit_rest * rest.view(np.uint64)
             width[missed] = unit_rest
             models.learn_class(at)
-            found = np.where(new, rest, seen[missed, (rest + (1 << digits)) * ~new])
+            new = kind == 0
+            met = seen.take(missed * seen.shape[1] + (rest + least_of.take(kind)) * ~new)
+            found = np.where(new, rest, met)
             now[missed] = found
             fresh = missed[new]
             known[fresh] += 1
@@ -306,7 +323,7 @@ def decode(
             if len(narrow):
                 refill(narrow)
         ids[step, :count] = now
-        models.learn(now, now == models.id2, now == models.id1)
+        models.learn(now, now == models.known)
     out: list[np.ndarray] = [np.zeros(0, dtype=np.uint32)] * len(codes)
     for lane, i in enumerate(order):
         out[i] = ids[: sizes_[lane], lane].astype(np.uint32)

@@ -43,6 +43,7 @@ LANES = 4096
 
 FILES = "part int, file int, n_docs long, n_ids long, data binary"
 READ = "part int, file int, place long, doc_id long, before long, ids binary"
+CHECKED = "part int, file int, before long, doc_id long, n_tokens long, ids_crc32 long"
 
 _HEAD = np.dtype([("bits", "<u4"), ("block", "<u4"), ("docs", "<u8"), ("ids", "<u8"), ("blocks", "<u8")])
 _DOC = np.dtype([("known", "u1"), ("id", "<i8"), ("ids", "<u8")])
@@ -255,13 +256,28 @@ def document_ids(files: DataFrame) -> DataFrame:
 
 def document_checks(files: DataFrame) -> DataFrame:
     """doc_id, the number of ids, their CRC-32 and ``start`` of every document, read from
-    files; the ids themselves go no further than the task that reads them."""
-    read = read_files(files).select(
-        "part",
-        "file",
-        "before",
-        "doc_id",
-        F.expr("octet_length(ids) div 4").alias("n_tokens"),
-        F.crc32("ids").alias("ids_crc32"),
-    )
-    return placed(read, files)
+    files; the ids themselves go no further than the process that reads them."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                part, file, data = (batch.column(c)[row].as_py() for c in ("part", "file", "data"))
+                names, sizes, sums = [], [], []
+                for doc_id, ids in unpack_file(data):
+                    names.append(doc_id)
+                    sizes.append(len(ids) // 4)
+                    sums.append(zlib.crc32(ids))
+                n_tokens = np.array(sizes, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(names), part, dtype=np.int32)),
+                        pa.array(np.full(len(names), file, dtype=np.int32)),
+                        pa.array(np.cumsum(n_tokens) - n_tokens),
+                        pa.array(names, pa.int64()),
+                        pa.array(n_tokens),
+                        pa.array(sums, pa.int64()),
+                    ],
+                    names=["part", "file", "before", "doc_id", "n_tokens", "ids_crc32"],
+                )
+
+    return placed(files.select("part", "file", "data").mapInArrow(check, CHECKED), files)

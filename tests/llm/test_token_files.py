@@ -138,6 +138,15 @@ def test_words_of_letters_are_not_searched(tokenizer):
     assert words.ids_of(text.encode()) == np.array(plain(tokenizer, text)[:-1], dtype="<u4").tobytes()
 
 
+def test_codes_are_what_they_were():
+    r = np.random.default_rng(11)
+    blocks = [np.minimum(r.zipf(1.3, n), 49_999).astype("<u4") for n in (2048, 700, 1, 0, 2048)]
+    codes = range_coder.encode(blocks, 16, 2048)
+    assert zlib.crc32(b"".join(codes)) == 0xbbf64306
+    back = range_coder.decode(codes, [len(b) for b in blocks], 16, 2048)
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, back))
+
+
 def test_frequencies_of_classes_are_set_for_many_steps_at_once(monkeypatch):
     steps = []
     whole = range_coder._Models.set_classes
@@ -184,6 +193,14 @@ def test_checks_agree_with_the_ids(spark):
     assert sorted((tuple(r) for r in checks), key=lambda r: (r[1], r[2])) == digests(token_files.document_ids(files))
 
 
+def test_checks_take_no_ids_out_of_the_reader(spark, monkeypatch, tokenizer):
+    rows = [(3, "one two"), (None, None), (1, "three")]
+    files = token_files.write_files(spark.createDataFrame(rows, DOCS))
+    monkeypatch.setattr(token_files, "read_files", None)
+    checks = token_files.document_checks(files).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted((tuple(r) for r in checks), key=lambda r: (r[1], r[2])) == expected(tokenizer, rows)
+
+
 def test_long_texts_lie_in_one_file(spark, tokenizer):
     rows = [(1, "word " * 150_000), (2, "b" * 50_000), (3, " " * 2_000_000), (4, "\n" * 2_000_000 + "x")]
     files = token_files.write_files(spark.createDataFrame(rows, DOCS), file_ids=1000)
