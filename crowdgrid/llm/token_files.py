@@ -1,16 +1,18 @@
 """Files of token ids: a context-mixing range coder over blocks that stand for themselves.
 
 Documents are dealt into ranges by id and sorted, and each task writes its ids as files of
-bounded size. A file has a head, an index of its documents, a table of its blocks, and the
-blocks. Each block holds the same number of ids, is coded by ``range_coder`` with models
-that start empty, and carries checksums of its code and of its ids, so any block can be read,
-and a damaged one is named. The files are the binary cells of a Parquet table, written and
+bounded size. A file has a head, an index of its documents, a table of its blocks, the tables
+of their frequencies, and the blocks. Each block holds the same number of ids, is coded by
+``block_coder`` with models that start empty, and carries checksums of its code and of its
+ids, so any block can be read, and a damaged one is named. Files of the former mark, whose
+blocks are those of ``range_coder``, are read as well. The files are the binary cells of a Parquet table, written and
 read by Spark, so any store it reaches will do.
 
-Layout, little-endian: ``CGI2``; id bits, ids a block as u32; documents, ids, blocks as u64;
+Layout, little-endian: ``CGI3``; id bits, ids a block as u32; documents, ids, blocks as u64;
 for every document whether it has an id (u8), its id (i64), its number of ids (u64); for
-every block its bytes, the CRC-32 of them and of its ids (u32 each); the CRC-32 of all that;
-the blocks.
+every block its bytes, the CRC-32 of them and of its ids (u32 each); the blocks of a group
+(u32), and for every group the bytes of its tables (u32) and these; the CRC-32 of all that;
+the blocks. ``CGI2`` has no groups.
 
 Defined results: a NULL text counts as empty and has the closing id alone. Rows with a NULL
 ``doc_id`` come first; rows of one ``doc_id`` follow each other by the hash of their text,
@@ -29,12 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from crowdgrid.llm import range_coder
+from crowdgrid.llm import block_coder, range_coder
 from crowdgrid.llm.common import in_slices
 from crowdgrid.llm.token_ids import shared
 from crowdgrid.session import scratch
 
-MAGIC = b"CGI2"
+MAGIC, FORMER = b"CGI3", b"CGI2"
 END_ID = 1
 # Ids in a block; those of a file, from which a new one is begun; blocks coded side by side.
 BLOCK_IDS = 2048
@@ -68,48 +70,71 @@ def pack_file(
     docs["id"] = [d or 0 for d in doc_ids]
     docs["ids"] = [len(t) // 4 for t in texts]
     blocks = [ids[at : at + block_ids] for at in range(0, len(ids), block_ids)]
-    codes = []
+    codes, groups = [], LANES.to_bytes(4, "little")
     for at in range(0, len(blocks), LANES):
-        codes += range_coder.encode(blocks[at : at + LANES], id_bits, block_ids)
+        coded, tables = block_coder.encode(blocks[at : at + LANES], id_bits, block_ids)
+        codes += coded
+        groups += len(tables).to_bytes(4, "little") + tables
     table = np.zeros(len(blocks), dtype=_BLOCK)
     table["bytes"] = [len(c) for c in codes]
     table["code"] = [zlib.crc32(c) for c in codes]
     table["ids"] = [zlib.crc32(b.tobytes()) for b in blocks]
     head = np.array([(id_bits, block_ids, len(docs), len(ids), len(blocks))], dtype=_HEAD)
-    front = MAGIC + head.tobytes() + docs.tobytes() + table.tobytes()
+    front = MAGIC + head.tobytes() + docs.tobytes() + table.tobytes() + groups
     return b"".join([front, zlib.crc32(front).to_bytes(4, "little"), *codes])
 
 
-def _front(data: bytes) -> tuple[np.void, np.ndarray, np.ndarray, int]:
-    """Head, documents and blocks of a file, and where its first block begins."""
-    if data[:4] != MAGIC:
-        raise ValueError("not a file of token ids")
-    at = 4 + _HEAD.itemsize
-    head = np.frombuffer(data, _HEAD, 1, 4)[0]
-    ends = at + int(head["docs"]) * _DOC.itemsize + int(head["blocks"]) * _BLOCK.itemsize
-    if zlib.crc32(data[:ends]) != int.from_bytes(data[ends : ends + 4], "little"):
+class _Front:
+    """Head, documents and blocks of a file, the tables of its groups, and where its first
+    block begins. A former file has no tables."""
+
+    def __init__(self, data: bytes) -> None:
+        if data[:4] not in (MAGIC, FORMER):
+            raise ValueError("not a file of token ids")
+        at = 4 + _HEAD.itemsize
+        self.head = head = np.frombuffer(data, _HEAD, 1, 4)[0]
+        ends = at + int(head["docs"]) * _DOC.itemsize + int(head["blocks"]) * _BLOCK.itemsize
+        self.group, self.tables = LANES, []
+        if data[:4] == MAGIC:
+            self.group = max(1, _number(data, ends))
+            ends += 4
+            for _ in range(0, int(head["blocks"]), self.group):
+                size = _number(data, ends)
+                self.tables.append(data[ends + 4 : ends + 4 + size])
+                ends += 4 + size
+        if zlib.crc32(data[:ends]) != _number(data, ends):
+            raise ValueError("the index of a file is damaged")
+        self.docs = np.frombuffer(data, _DOC, int(head["docs"]), at)
+        self.table = np.frombuffer(data, _BLOCK, int(head["blocks"]), at + self.docs.nbytes)
+        self.blocks = ends + 4
+
+
+def _number(data: bytes, at: int) -> int:
+    if at + 4 > len(data):
         raise ValueError("the index of a file is damaged")
-    docs = np.frombuffer(data, _DOC, int(head["docs"]), at)
-    table = np.frombuffer(data, _BLOCK, int(head["blocks"]), at + docs.nbytes)
-    return head, docs, table, ends + 4
+    return int.from_bytes(data[at : at + 4], "little")
 
 
 def read_blocks(data: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     """The ids of the blocks from ``first`` to before ``last``; all by default."""
-    head, _, table, at = _front(data)
-    begins = at + np.concatenate([[0], np.cumsum(table["bytes"], dtype=np.int64)])
-    total, size = int(head["ids"]), int(head["block"])
-    wanted = range(first, len(table) if last is None else last)
+    front = _Front(data)
+    head, table, group = front.head, front.table, front.group
+    begins = front.blocks + np.concatenate([[0], np.cumsum(table["bytes"], dtype=np.int64)])
+    total, size, bits = int(head["ids"]), int(head["block"]), int(head["bits"])
+    wanted = range(len(table))[first:last]
     found = [np.zeros(0, dtype="<u4")]
-    for start in range(0, len(wanted), LANES):
-        chosen = wanted[start : start + LANES]
+    for start in range(wanted.start // group * group, wanted.stop, group):
+        chosen = range(max(start, wanted.start), min(start + group, wanted.stop))
         codes = [data[begins[i] : begins[i + 1]] for i in chosen]
         _same(chosen, [zlib.crc32(c) for c in codes], table["code"], "code")
         sizes = [min(size, total - i * size) for i in chosen]
-        blocks = range_coder.decode(codes, sizes, int(head["bits"]), size)
-        _same(chosen, [zlib.crc32(b.astype("<u4").tobytes()) for b in blocks], table["ids"], "ids")
+        if front.tables:
+            blocks = block_coder.decode(codes, front.tables[start // group], sizes, bits, size)
+        else:
+            blocks = range_coder.decode(codes, sizes, bits, size)
+        _same(chosen, [zlib.crc32(b) for b in blocks], table["ids"], "ids")
         found += blocks
-    return np.concatenate(found).astype("<u4")
+    return np.concatenate(found).astype("<u4", copy=False)
 
 
 def _same(blocks: range, got: list[int], wanted: np.ndarray, what: str) -> None:
@@ -120,7 +145,7 @@ def _same(blocks: range, got: list[int], wanted: np.ndarray, what: str) -> None:
 
 def unpack_file(data: bytes) -> Iterator[tuple[int | None, bytes]]:
     """Every document of a file in order, with its ids as little-endian u32."""
-    docs, ids = _front(data)[1], read_blocks(data).tobytes()
+    docs, ids = _Front(data).docs, read_blocks(data).tobytes()
     at = 0
     for doc in docs:
         end = at + 4 * int(doc["ids"])

@@ -4,21 +4,22 @@ A tokenizer that drops white space, lower-cases and splits by a pattern gives a
 ids of its chunks between white space, one after the other. Each distinct chunk is then
 looked up or encoded once; chunks of plain printable Latin letters, digits and marks go to
 the library's model by their pre-tokens, all others, and every text of any other kind of
-tokenizer, through the whole library.
+tokenizer, through the whole library. A word of ASCII letters is remembered in lower case, for
+all chunks that have it in capitals or before a mark.
 """
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
 import unicodedata
-from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 
 # Chunks that are remembered, and their length in characters at most.
-MOST_CHUNKS = 600_000
+MOST_CHUNKS = 1_000_000
 LONGEST_CHUNK = 64
 # Fixed value: the pre-token pattern whose letters make one pre-token and whose marks another.
 LETTERS_OR_MARKS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -45,7 +46,9 @@ class TokenIds:
             self.pattern = regex.compile(pattern)
         # An added token of letters alone could stand inside a word.
         self.words = self.simple and not any(a.isalpha() for a in added)
-        self.chunks: dict[bytes, bytes] = _Chunks(self._chunk)
+        # One of letters and marks alone could stand in a word with its mark.
+        marked = self.words and not any(all(c.isalpha() or c in MARKS for c in a) for a in added)
+        self.chunks: dict[bytes, bytes] = (_Words if marked else _Chunks)(self)
         self.parts: dict[str, bytes] = {}
         self.codes = np.arange(1 << self.id_bits, dtype="<u4")[:, None].view("V4")[:, 0].tolist()
 
@@ -64,7 +67,13 @@ class TokenIds:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _chunk(self, key: bytes) -> bytes:
+    def word(self, letters: bytes) -> bytes:
+        """The ids of lower-case ASCII letters."""
+        codes = self.codes
+        return b"".join([codes[t.id] for t in self.tokenizer.model.tokenize(letters.decode())])
+
+    def chunk(self, key: bytes) -> bytes:
+        """The ids of any chunk."""
         chunk = key.decode()
         if self.words and chunk.isalpha() and (key.isascii() or _plain(chunk)):
             part = chunk.lower()
@@ -74,10 +83,6 @@ class TokenIds:
         else:
             parts = self._split(chunk.lower())
             found = b"".join([self.parts.get(p) or self._part(p) for p in parts])
-        if len(chunk) <= LONGEST_CHUNK:
-            if len(self.chunks) >= MOST_CHUNKS:
-                self.chunks.clear()
-            self.chunks[key] = found
         return found
 
     def _split(self, chunk: str) -> list[str]:
@@ -90,7 +95,7 @@ class TokenIds:
         return self.pattern.findall(chunk)
 
     def _part(self, part: str) -> bytes:
-        shown = part if part.isascii() else "".join([_BYTES[b] for b in part.encode()])
+        shown = part if part.isascii() else codecs.charmap_decode(part.encode(), "strict", _BYTES)[0]
         codes = self.codes
         found = b"".join([codes[token.id] for token in self.tokenizer.model.tokenize(shown)])
         if len(part) <= LONGEST_CHUNK:
@@ -101,13 +106,36 @@ class TokenIds:
 
 
 class _Chunks(dict):
-    """What is known by chunk; a new one is looked up by ``find``, which may keep it."""
+    """The ids of chunks; those of a new one are found by the encoder, and kept within bounds."""
 
-    def __init__(self, find: Callable[[bytes], bytes]) -> None:
-        self.find = find
+    def __init__(self, encoder: TokenIds) -> None:
+        self.encoder = encoder
 
     def __missing__(self, key: bytes) -> bytes:
-        return self.find(key)
+        return self._kept(key, self.encoder.chunk(key))
+
+    def _kept(self, key: bytes, found: bytes) -> bytes:
+        if len(key) <= LONGEST_CHUNK:
+            if len(self) >= MOST_CHUNKS:
+                self.clear()
+            self[key] = found
+        return found
+
+
+class _Words(_Chunks):
+    """The same where words of ASCII letters, and these with a mark, need no search."""
+
+    def __missing__(self, key: bytes) -> bytes:
+        if key.isalpha():
+            if key.islower():
+                found = self.encoder.word(key)
+            else:
+                found = self[key.lower()]
+        elif key[-1] in _MARKS and key[:-1].isalpha():
+            found = self[key[:-1].lower()] + self[key[-1:]]
+        else:
+            found = self.encoder.chunk(key)
+        return self._kept(key, found)
 
 
 @lru_cache(maxsize=2)
@@ -145,7 +173,7 @@ def _chunked(file: dict) -> tuple[str | None, list[str]]:
     return (splits[0]["pattern"]["Regex"] if plain else None), added
 
 
-def _byte_letters() -> list[str]:
+def _byte_letters() -> str:
     """The character that byte-level vocabularies write for each byte: itself where it is
     printable and no space, else the next free one from 256 on."""
     letters, free = [], 256
@@ -155,7 +183,8 @@ def _byte_letters() -> list[str]:
             free += 1
         else:
             letters.append(chr(byte))
-    return letters
+    return "".join(letters)
 
 
 _BYTES = _byte_letters()
+_MARKS = frozenset(map(ord, MARKS))

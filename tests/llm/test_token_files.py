@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from crowdgrid.llm import range_coder, token_files, token_ids
+from crowdgrid.llm import block_coder, range_coder, token_files, token_ids
 from crowdgrid.llm.common import table
 from crowdgrid.llm.queries import QUERIES
 
@@ -220,3 +220,62 @@ def test_repeated_rows_and_one_crowded_id(spark, tokenizer):
 def test_no_documents(spark):
     files = token_files.write_files(spark.createDataFrame([], DOCS))
     assert files.count() == 0 and token_files.document_ids(files).collect() == []
+
+
+def test_blocks_of_shared_tables_come_back():
+    r = np.random.default_rng(12)
+    for bits in (1, 2, 9, 16, 23):
+        most = 1 << bits
+        blocks = [r.integers(0, most, n) for n in (0, 1, 2, 3, 700, 0, 50, 701, 2048)]
+        blocks += [np.minimum(r.zipf(1.2, 900) - 1, most - 1), np.full(3000, most - 1), np.zeros(5, int)]
+        blocks += [np.arange(4000) % most, np.tile(r.integers(0, most, 7), 200)]
+        blocks += [r.integers(0, min(most, r.integers(1, 40)), r.integers(0, 400)) for _ in range(300)]
+        codes, tables = block_coder.encode(blocks, bits, 4096)
+        back = block_coder.decode(codes, tables, [len(b) for b in blocks], bits, 4096)
+        assert len(back) == len(blocks) and all(np.array_equal(a, b) for a, b in zip(blocks, back))
+    assert block_coder.encode([], 16, 9)[0] == [] and block_coder.decode([], b"", [], 16, 9) == []
+
+
+def test_shared_tables_save_as_many_bytes():
+    """And each step neither searches a class nor learns frequencies."""
+    r = np.random.default_rng(13)
+    blocks = [np.minimum(r.zipf(1.3, 2048) - 1, 49_407) for _ in range(600)]
+    codes, tables = block_coder.encode(blocks, 16, 2048)
+    former = range_coder.encode([b.astype("<u4") for b in blocks], 16, 2048)
+    assert len(tables) + sum(map(len, codes)) < 1.01 * sum(map(len, former))
+
+
+def test_groups_of_blocks_are_read_by_themselves(monkeypatch):
+    monkeypatch.setattr(token_files, "LANES", 3)
+    ids = (np.arange(1000) ** 2 % 977).astype("<u4")
+    data = token_files.pack_file([1], [ids.tobytes()], 16, block_ids=64)
+    monkeypatch.undo()
+    assert list(token_files.unpack_file(data)) == [(1, ids.tobytes())]
+    for first, last in ((0, 1), (2, 4), (3, 6), (4, 11), (15, 16)):
+        assert np.array_equal(token_files.read_blocks(data, first, last), ids[64 * first : 64 * last])
+    for at in range(0, len(data), 7):
+        broken = bytearray(data)
+        broken[at] ^= 255
+        with pytest.raises(ValueError):
+            token_files.read_blocks(bytes(broken))
+
+
+def test_files_of_the_former_mark_are_read():
+    ids = np.arange(5000, dtype="<u4")
+    blocks = [ids[at : at + 2048] for at in range(0, 5000, 2048)]
+    codes = range_coder.encode(blocks, 16, 2048)
+    head = np.array([(16, 2048, 1, 5000, 3)], dtype=token_files._HEAD)
+    docs = np.array([(1, 7, 5000)], dtype=token_files._DOC)
+    table = [(len(c), zlib.crc32(c), zlib.crc32(b)) for c, b in zip(codes, blocks)]
+    front = b"CGI2" + head.tobytes() + docs.tobytes() + np.array(table, dtype=token_files._BLOCK).tobytes()
+    data = b"".join([front, zlib.crc32(front).to_bytes(4, "little"), *codes])
+    assert list(token_files.unpack_file(data)) == [(7, ids.tobytes())]
+
+
+def test_a_word_is_encoded_once_for_all_its_chunks(tokenizer):
+    encoder = token_ids.TokenIds(token_files.default_tokenizer())
+    whole, met = encoder.word, []
+    encoder.word = lambda letters: met.append(letters) or whole(letters)
+    text = "Blexqz blexqz, BLEXQZ. blexqz! blexqz <|endoftext|> word's 's"
+    assert np.frombuffer(encoder.ids(text), "<u4").tolist() == plain(tokenizer, text)[:-1]
+    assert met == [b"blexqz"]
