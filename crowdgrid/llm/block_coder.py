@@ -20,8 +20,10 @@ import zlib
 
 import numpy as np
 
-from crowdgrid.llm.range_coder import ID_BITS, NOTHING, SLOT_BITS, _arranged, _live, _ranks
+from crowdgrid.llm.range_coder import ID_BITS, NOTHING, _arranged, _live
 
+# Slots of the order-1 and order-2 tables of a block, as a power of two.
+SLOT_BITS = 9
 # Frequencies are parts of 2**SCALE.
 SCALE = 12
 # Pairs of confidences from 0 to 3, and whether both orders name one id.
@@ -159,6 +161,16 @@ class _Interval:
         return low >> _WORD
 
 
+def _ranks(ids: np.ndarray, places: np.ndarray, scratch: np.ndarray) -> np.ndarray:
+    """1 + the rank by first occurrence of every id that came before, 0 for a new one."""
+    scratch[ids[::-1]] = places[::-1]
+    first = scratch.take(ids)
+    new = first == places
+    rank = new.cumsum(dtype=np.int32).take(first)
+    rank[new] = 0
+    return rank
+
+
 def encode(blocks: list[np.ndarray], id_bits: int, most_ids: int) -> tuple[list[bytes], bytes]:
     """The code of every block of at most ``most_ids`` ids below ``2**id_bits``, and the
     tables that ``decode`` needs to read any of them."""
@@ -172,9 +184,11 @@ def encode(blocks: list[np.ndarray], id_bits: int, most_ids: int) -> tuple[list[
     ids = np.zeros((longest, count), dtype=np.int32)
     rest = np.zeros((longest, count), dtype=np.int32)
     scratch = np.zeros(1 << id_bits, dtype=np.int32)
+    places = np.arange(longest, dtype=np.int32)
     for at, i in enumerate(order):
-        ids[: sizes[at], at] = blocks[i]
-        rest[: sizes[at], at] = _ranks(blocks[i], scratch)
+        block = blocks[i].astype(np.int64)
+        ids[: sizes[at], at] = block
+        rest[: sizes[at], at] = _ranks(block, places[: sizes[at]], scratch)
     lives = _live(sizes, longest)
     # The place in the tables, a symbol of a row, at every step.
     came = np.zeros((longest, count), dtype=symbols.place)

@@ -4,8 +4,8 @@ A tokenizer that drops white space, lower-cases and splits by a pattern gives a
 ids of its chunks between white space, one after the other. Each distinct chunk is then
 looked up or encoded once; chunks of plain printable Latin letters, digits and marks go to
 the library's model by their pre-tokens, all others, and every text of any other kind of
-tokenizer, through the whole library. A word of ASCII letters is remembered in lower case, for
-all chunks that have it in capitals or before a mark.
+tokenizer, through the whole library. A word of Latin letters is remembered in lower case,
+for all chunks that have it in capitals or before a mark.
 """
 
 from __future__ import annotations
@@ -13,13 +13,14 @@ from __future__ import annotations
 import codecs
 import json
 import re
+import string
 import unicodedata
 from functools import lru_cache
 
 import numpy as np
 
-# Chunks that are remembered, and their length in characters at most.
-MOST_CHUNKS = 1_000_000
+# Chunks that are remembered (some 135 bytes each), and their length at most.
+MOST_CHUNKS = 1_300_000
 LONGEST_CHUNK = 64
 # Fixed value: the pre-token pattern whose letters make one pre-token and whose marks another.
 LETTERS_OR_MARKS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -35,6 +36,7 @@ class TokenIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.tokenize = self.tokenizer.model.tokenize
         self.id_bits = max(1, (max(self.tokenizer.get_vocab().values())).bit_length())
         with open(path, encoding="utf-8") as file:
             pattern, added = _chunked(json.load(file))
@@ -68,9 +70,10 @@ class TokenIds:
         return np.array(ids, dtype="<u4").tobytes()
 
     def word(self, letters: bytes) -> bytes:
-        """The ids of lower-case ASCII letters."""
+        """The ids of a lower-case word in UTF-8."""
         codes = self.codes
-        return b"".join([codes[t.id] for t in self.tokenizer.model.tokenize(letters.decode())])
+        shown = letters.decode() if letters.isascii() else _shown(letters)
+        return b"".join([codes[t.id] for t in self.tokenize(shown)])
 
     def chunk(self, key: bytes) -> bytes:
         """The ids of any chunk."""
@@ -95,9 +98,9 @@ class TokenIds:
         return self.pattern.findall(chunk)
 
     def _part(self, part: str) -> bytes:
-        shown = part if part.isascii() else codecs.charmap_decode(part.encode(), "strict", _BYTES)[0]
+        shown = part if part.isascii() else _shown(part.encode())
         codes = self.codes
-        found = b"".join([codes[token.id] for token in self.tokenizer.model.tokenize(shown)])
+        found = b"".join([codes[token.id] for token in self.tokenize(shown)])
         if len(part) <= LONGEST_CHUNK:
             if len(self.parts) >= MOST_CHUNKS:
                 self.parts.clear()
@@ -123,21 +126,35 @@ class _Chunks(dict):
 
 
 class _Words(_Chunks):
-    """The same where words of ASCII letters, and these with a mark, need no search."""
+    """The same where words of Latin letters, and these with a mark, need no search."""
 
     def __missing__(self, key: bytes) -> bytes:
-        if key.isalpha():
-            if key.islower():
-                found = self.encoder.word(key)
-            else:
-                found = self[key.lower()]
-        elif key[-1] in _MARKS and key[:-1].isalpha():
-            found = self[key[:-1].lower()] + self[key[-1:]]
+        if key.isalpha() and key.islower():
+            found = self.encoder.word(key)
+        elif key[-1] in _MARKS and (word := _lower(key[:-1])):
+            found = self[word] + self[key[-1:]]
+        elif word := _lower(key):
+            found = self.encoder.word(key) if word == key else self[word]
         else:
             found = self.encoder.chunk(key)
         return self._kept(key, found)
 
 
+def _lower(word: bytes) -> bytes:
+    """A word of ASCII letters and letters from U+00C0 to U+01FF in lower case; else nothing."""
+    if word.isalpha():
+        return word.lower()
+    if word.translate(None, _LATIN) or _DOTTED in word:
+        return b""
+    text = word.decode()
+    return text.lower().encode() if text.isalpha() else b""
+
+
+def _shown(text: bytes) -> str:
+    """The characters that byte-level vocabularies write for bytes."""
+    return codecs.charmap_decode(text, "strict", _BYTES)[0]
+
+
 @lru_cache(maxsize=2)
 def shared(path: str) -> TokenIds:
     """One encoder for all tasks of a Python worker, with what it has looked up so far."""
@@ -188,3 +205,6 @@ def _byte_letters() -> str:
 
 _BYTES = _byte_letters()
 _MARKS = frozenset(map(ord, MARKS))
+# The bytes of ASCII letters and, in UTF-8, of U+00C0 to U+01FF.
+_LATIN = string.ascii_letters.encode() + bytes(range(0x80, 0xC0)) + bytes(range(0xC3, 0xC8))
+_DOTTED = "İ".encode()
