@@ -11,7 +11,7 @@ no step learns them and neither symbol nor class is searched.
 
 The steps are numpy operations over all blocks of a call, one id of each block at a time.
 The arithmetic coder has 64 bits and emits 32 at a time; a range that straddles a word is
-cut, so no carry runs back. Ids are below 2**24 and blocks of any size.
+cut, so no carry runs back. Ids are below 2**24 - 1 and blocks of any size.
 """
 
 from __future__ import annotations

@@ -132,7 +132,7 @@ def read_blocks(data: bytes, first: int = 0, last: int | None = None) -> np.ndar
             blocks = block_coder.decode(codes, front.tables[start // group], sizes, bits, size)
         else:
             blocks = range_coder.decode(codes, sizes, bits, size)
-        _same(chosen, [zlib.crc32(b) for b in blocks], table["ids"], "ids")
+        _same(chosen, [zlib.crc32(b.astype("<u4", copy=False)) for b in blocks], table["ids"], "ids")
         found += blocks
     return np.concatenate(found).astype("<u4", copy=False)
 

@@ -237,7 +237,6 @@ def test_blocks_of_shared_tables_come_back():
 
 
 def test_shared_tables_save_as_many_bytes():
-    """And each step neither searches a class nor learns frequencies."""
     r = np.random.default_rng(13)
     blocks = [np.minimum(r.zipf(1.3, 2048) - 1, 49_407) for _ in range(600)]
     codes, tables = block_coder.encode(blocks, 16, 2048)
